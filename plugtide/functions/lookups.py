@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plugtide.functions.durable import durable
+
+# Tables of up to this many rows (a few narrow columns each) are broadcast.
+BROADCAST_ROWS = 100_000
 # A key is hot when it holds at least this share of the fact rows, so there are at most
-# 1 / HOT_SHARE hot keys whatever the data looks like: the broadcast below is bounded by that.
+# 1 / HOT_SHARE hot keys whatever the data looks like.
 HOT_SHARE = 0.001
 SPREAD = 4096
 
@@ -16,36 +20,42 @@ def attach(
     table: DataFrame,
     keys: list[str],
     rows_per_key: str | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join `facts` to `table`, which has one row per key.
 
-    Hot keys are answered by a broadcast of their few rows; their fact rows then pass through the
-    shuffle of the second join spread over all partitions, since they need no partner there. Every
-    other key holds less than `HOT_SHARE` of the rows, so no partition of that join is large.
+    The table's rows are counted first. A small table is broadcast. A larger one is shuffled, and
+    only its hot keys, whose number is bounded, are broadcast: fact rows of a hot key are answered
+    there and then pass the second join spread over all partitions, since they need no partner in
+    it. Any other key holds less than `HOT_SHARE` of the rows, so no partition is large.
 
-    `rows_per_key` names a column of `table` with the number of fact rows of the key, when the
-    table was aggregated from the facts; it is not part of the result. Without it the facts are
-    counted by key first (one key-only pass with map-side combine).
+    `rows_per_key` names a column of `table` with the number of fact rows of the key, for tables
+    aggregated from the facts; it is not part of the result. Such a table is written before use,
+    so that the facts are read for it only once. Without it the facts are counted by key, but only
+    when the table is large.
     """
+    values = [c for c in table.columns if c not in keys and c != rows_per_key]
+    own = [c for c in facts.columns if c not in values]
+    if rows_per_key is not None:
+        table = durable(table, "lookup")
+    if table.count() <= broadcast_rows:
+        small = F.broadcast(table.select(*keys, *values))
+        return facts.select(*own).join(small, keys, "left").select(*own, *values)
+
     if rows_per_key is None:
-        counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        total = counts.agg(F.sum("_rows")).scalar()
-        hot_keys = counts.filter(F.col("_rows") >= total * HOT_SHARE).select(*keys)
-        values = [c for c in table.columns if c not in keys]
-        hot = table.join(F.broadcast(hot_keys), keys, "left_semi")
+        counts = durable(facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
+        hot_keys = counts.filter(F.col("_rows") >= counts.agg(F.sum("_rows")).scalar() * HOT_SHARE)
+        hot = table.join(F.broadcast(hot_keys.select(*keys)), keys, "left_semi")
     else:
         total = table.agg(F.sum(rows_per_key)).scalar()
-        values = [c for c in table.columns if c not in (*keys, rows_per_key)]
         hot = table.filter(F.col(rows_per_key) >= total * HOT_SHARE)
 
     hot = hot.select(*keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values])
     cold = table.select(*keys, F.lit(0).alias("_slot"), *[F.col(v).alias(f"_cold_{v}") for v in values])
-
-    own = [c for c in facts.columns if c not in values]
     return (
         facts.select(*own)
         .join(F.broadcast(hot), keys, "left")
-        .withColumn("_slot", _slot(facts, keys))
+        .withColumn("_slot", _slot(own, keys))
         .join(cold, [*keys, "_slot"], "left")
         .select(
             *own,
@@ -57,10 +67,10 @@ def attach(
     )
 
 
-def _slot(facts: DataFrame, keys: list[str]) -> Column:
+def _slot(columns: list[str], keys: list[str]) -> Column:
     """0 for rows that look for a partner, a spread of other numbers for rows that have none."""
     no_partner = F.coalesce(F.col("_hot"), F.lit(False))
     for key in keys:
         no_partner = no_partner | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)).cast("int") + 1
+    spread = F.pmod(F.xxhash64(*columns), F.lit(SPREAD)).cast("int") + 1
     return F.when(no_partner, spread).otherwise(F.lit(0))
