@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+LAST_DAY = "9999-12-31"
+
 
 def fix_overlaps(df: DataFrame) -> DataFrame:
     """A session that stops after the next one starts stops at its last energy change instead.
@@ -14,7 +16,10 @@ def fix_overlaps(df: DataFrame) -> DataFrame:
     first start of the point's next day, from a table with one row per point and day. A point with
     a long history is thus spread over as many tasks as it has days.
     """
-    df = df.filter(F.col("evse_uid").isNotNull()).withColumn("_day", F.to_date("started_at"))
+    # Unknown starts come last, as a day of their own; a day that is never NULL also keeps the two
+    # uses of `df` below identical, so that Spark runs what leads to it once.
+    day = F.coalesce(F.to_date("started_at"), F.lit(LAST_DAY).cast("date"))
+    df = df.filter(F.col("evse_uid").isNotNull()).withColumn("_day", day)
     ordered = Window.partitionBy("evse_uid", "_day").orderBy(
         "started_at", "stopped_at", "last_energy_change_at", "energy_wh"
     )

@@ -54,7 +54,7 @@ def shown(df: DataFrame, columns: list[str]) -> DataFrame:
             "d": lambda: F.date_format(column, "yyyy-MM-dd"),
             "t": lambda: F.date_format(column, "yyyy-MM-dd HH:mm:ss"),
             "i": lambda: column.cast("bigint"),
-            "f": lambda: F.round(column.cast("double"), 6) + F.lit(0.0),
+            "f": lambda: F.round(column.cast("double") + F.lit(oracles.NUDGE), 6) + F.lit(0.0),
         }[kind]().alias(name)
 
     return df.select(*map(rendered, columns))

@@ -27,6 +27,11 @@ KINDS = {
 KIND = {name: kind for kind, names in KINDS.items() for name in names.split()}
 
 
+# Shares of a day are often exact ties at the sixth place, where the last bit of a sum would decide;
+# both sides lift values a little before rounding.
+NUDGE = 1e-9
+
+
 def kind_of(column: str) -> str:
     return KIND.get(column, "f")
 
@@ -37,7 +42,7 @@ def rendered(column: str) -> str:
         "d": f"strftime({column}, '%Y-%m-%d') AS {column}",
         "t": f"strftime({column}, '%Y-%m-%d %H:%M:%S') AS {column}",
         "i": f"CAST({column} AS BIGINT) AS {column}",
-        "f": f"round(CAST({column} AS DOUBLE), 6) + 0.0 AS {column}",
+        "f": f"round(CAST({column} AS DOUBLE) + {NUDGE}, 6) + 0.0 AS {column}",
     }[kind_of(column)]
 
 

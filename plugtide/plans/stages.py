@@ -12,15 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plugtide import config
 from plugtide.config import Settings
 from plugtide.functions.durable import durable
 from plugtide.functions.lookups import attach
-from plugtide.functions.times import micros_between, seconds_between
+from plugtide.functions.times import micros_between
 from plugtide.operators import enrich, expand, filters, grid, overlaps, prepare, repair, rolling, rollup
+from plugtide.plans import calendar
 
 Step = Callable[..., DataFrame] | tuple[Callable[..., DataFrame], dict]
 
@@ -194,76 +195,23 @@ def use_by_day(rows: DataFrame, settings: Settings) -> DataFrame:
 def day_table(
     sessions: DataFrame, points: DataFrame, population: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Use per (kept point, day) with the attributes of point, station and city."""
-    rows = repaired(sessions, settings)
+    """Use per (kept point, day) with the attributes of point, station and city.
+
+    The repaired log is written, since it is read for the points and again for the days; both
+    readings prune its columns and push the range into the scan.
+    """
+    rows = durable(repaired(sessions, settings), "repaired")
     pairs = durable(point_stations(rows, settings), "point-stations")
     kept = kept_points(pairs, points, settings)
     days = durable(use_by_day(rows, settings), "use-by-day").join(kept.drop("_sessions"), "evse_uid")
-    days = attach(days, kept_stations(pairs, kept), ["location_name"])
+    days = attach(days, durable(kept_stations(pairs, kept), "stations"), ["location_name"])
     days = attach(days, population, ["location_city", "country"])
     return enrich.city_type(days).drop("population")
 
 
 def grid_from_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> DataFrame:
-    """The complete grid from the day table; equal to the grid of the single operators.
-
-    Averages and carried attributes are worked out per day, before days become five rows each.
-    """
-    point = Window.partitionBy("evse_uid")
-    lifetime = seconds_between(F.min("_opened").over(point), F.max("_closed").over(point))
-    so_far = point.orderBy("session_date").rowsBetween(Window.unboundedPreceding, 0)
-    everywhere = so_far.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    all_use = sum((F.col(p) for p in config.PERIOD_NAMES), F.lit(0.0))
-
-    days = days.repartition("evse_uid").withColumns({
-        "_lifetime": lifetime,
-        "_used": F.sum(all_use).over(point),
-        **{f"_{p}": F.sum(p).over(point) for p in config.PERIOD_NAMES},
-        **{
-            c: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.first(c, ignorenulls=True).over(everywhere))
-            for c in ("location_name", "station_charging_points", "station_avg_power")
-        },
-    })
-    spans = grid.day_spans(days, settings)
-    data_start = spans.agg(F.min("_since")).scalar()
-
-    periods = F.array(*[
-        F.struct(
-            F.lit(name).alias("name"),
-            F.lit(length).cast("bigint").alias("length"),
-            F.when(F.col("_real"), F.col(name)).otherwise(F.lit(0.0)).alias("used"),
-            expand.period_share(F.col(f"_{name}"), F.col("_lifetime"), F.lit(length)).alias("share"),
-        )
-        for name, _, _, length in config.DAY_PERIODS
-    ])
-    lengths = {name: length for name, _, _, length in config.DAY_PERIODS}
-    by_name = sorted(config.PERIOD_NAMES)
-    period_duration = F.col("_p.length")
-    if settings.compat:
-        # Idle days carry the length of the row before them in alphabetical period order, leading
-        # idle days that of the row after them.
-        period_duration = (
-            F.when(F.col("_real"), period_duration)
-            .when(F.col("_leading"), F.lit(lengths[by_name[0]]).cast("bigint"))
-            .otherwise(F.lit(lengths[by_name[-1]]).cast("bigint"))
-        )
-    attributes = [c for c in grid.CARRIED if c not in ("period_duration", "avg_total_busyness")]
-    rows = (
-        grid.gap_fill(spans)
-        .withColumn("_p", F.explode(periods))
-        .select(
-            "session_date",
-            F.col("_p.name").alias("day_period"),
-            "evse_uid",
-            F.col("_p.used").alias("usage_time"),
-            *attributes,
-            period_duration.alias("period_duration"),
-            expand.total_share(F.col("_used"), F.col("_lifetime")).alias("avg_total_busyness"),
-            F.col("_p.share").alias("avg_day_period_busyness"),
-        )
-    )
-    rows = grid.complete_grid(grid.period_busyness(rows, settings), holidays, settings)
-    return grid.operation_time(rows, data_start)
+    """The complete grid from the day table; equal to the grid of the single operators."""
+    return calendar.to_periods(calendar.filled_days(days, holidays, settings), calendar.GRID_FIELDS)
 
 
 def point_features(
@@ -275,7 +223,8 @@ def point_features(
 ) -> DataFrame:
     """The point-level feature table: the whole first half of the pipeline."""
     days = durable(day_table(sessions, points, population, settings), "days")
-    return compose(grid_from_days(days, holidays, settings), rolling_steps(settings))
+    filled = calendar.filled_days(days, holidays, settings)
+    return calendar.to_periods(calendar.rolled_days(filled, settings), calendar.FEATURE_FIELDS)
 
 
 # --- from the feature table to train and test ----------------------------------------------------
