@@ -16,7 +16,10 @@ from plugtide.functions.ordered import previous_row
 FIRST = Window.unboundedPreceding
 WINDOWS = (1, 7, 30)
 SPREAD_WINDOWS = (7, 30)
-PERIOD_ROWS = Window.partitionBy("evse_uid", "day_period").orderBy("session_date")
+
+
+def period_rows() -> WindowSpec:
+    return Window.partitionBy("evse_uid", "day_period").orderBy("session_date")
 
 
 def or_zero(value: Column) -> Column:
@@ -72,7 +75,7 @@ def rolling_period(df: DataFrame) -> DataFrame:
     """Mean busyness of the same period over the 1, 7 and 30 days before."""
     return df.withColumns({
         f"daily_period_rolling_avg_{w}d": or_zero(
-            F.avg("daily_period_busyness").over(PERIOD_ROWS.rowsBetween(-w, -1))
+            F.avg("daily_period_busyness").over(period_rows().rowsBetween(-w, -1))
         )
         for w in WINDOWS
     })
@@ -89,13 +92,13 @@ def rolling_iqr(df: DataFrame, settings: Settings) -> DataFrame:
     names = {w: f"daily_period_rolling_IQR_{w}d" for w in SPREAD_WINDOWS}
     if not settings.compat:
         df = with_spreads(df, {
-            name: ("daily_period_busyness", PERIOD_ROWS.rowsBetween(-w, -1)) for w, name in names.items()
+            name: ("daily_period_busyness", period_rows().rowsBetween(-w, -1)) for w, name in names.items()
         })
         return df.withColumns({name: or_zero(F.col(name)) for name in names.values()})
 
     point_rows = Window.partitionBy("evse_uid").orderBy("day_period", "session_date")
     rows = with_spreads(df, {
-        f"_iqr_{w}": ("daily_period_busyness", PERIOD_ROWS.rowsBetween(1 - w, 0)) for w in names
+        f"_iqr_{w}": ("daily_period_busyness", period_rows().rowsBetween(1 - w, 0)) for w in names
     })
     last = rows.groupBy("evse_uid").agg(*[
         F.max_by(f"_iqr_{w}", F.struct("day_period", "session_date")).alias(f"_last_{w}") for w in names
@@ -118,7 +121,7 @@ def spread_before(last: DataFrame) -> DataFrame:
 
 def past_week(df: DataFrame) -> DataFrame:
     """Busyness of the same period one week before."""
-    before = F.lag("daily_period_busyness", 7).over(PERIOD_ROWS)
+    before = F.lag("daily_period_busyness", 7).over(period_rows())
     return df.withColumn("past_week_same_period", or_zero(before))
 
 

@@ -7,7 +7,7 @@ Spark evaluates after one exchange and one sort. Results are the same.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from plugtide import config
@@ -22,12 +22,6 @@ PERIODS = config.PERIOD_NAMES
 BY_NAME = sorted(PERIODS)
 LENGTHS = {name: length for name, _, _, length in config.DAY_PERIODS}
 
-POINT = Window.partitionBy("evse_uid")
-DAYS = POINT.orderBy("session_date")
-ALL_DAYS = DAYS.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-SO_FAR = DAYS.rowsBetween(Window.unboundedPreceding, 0)
-EARLIER = DAYS.rowsBetween(Window.unboundedPreceding, -1)
-
 GRID_FIELDS = [
     "usage_time", "period_duration", "avg_day_period_busyness", "daily_period_busyness",
     "daily_period_busyness_cat", "gap_days",
@@ -40,6 +34,23 @@ FEATURE_FIELDS = [
 ]
 
 
+def point() -> WindowSpec:
+    return Window.partitionBy("evse_uid")
+
+
+def by_day() -> WindowSpec:
+    return point().orderBy("session_date")
+
+
+def up_to(last: int) -> WindowSpec:
+    """All days up to this one (0), up to yesterday (-1), and so on."""
+    return by_day().rowsBetween(Window.unboundedPreceding, last)
+
+
+def all_days() -> WindowSpec:
+    return up_to(Window.unboundedFollowing)
+
+
 def of(period: str, field: str) -> str:
     """The column of a day row that holds a field of one period."""
     return f"{period}__{field}"
@@ -61,11 +72,11 @@ def filled_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> Dat
     partitions = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     all_use = sum((F.col(p) for p in PERIODS), F.lit(0.0))
     days = days.repartition(partitions, "evse_uid").withColumns({
-        "_lifetime": seconds_between(F.min("_opened").over(POINT), F.max("_closed").over(POINT)),
-        "_used": F.sum(all_use).over(POINT),
-        **{f"_{p}": F.sum(p).over(POINT) for p in PERIODS},
+        "_lifetime": seconds_between(F.min("_opened").over(point()), F.max("_closed").over(point())),
+        "_used": F.sum(all_use).over(point()),
+        **{f"_{p}": F.sum(p).over(point()) for p in PERIODS},
         **{
-            c: F.coalesce(F.last(c, ignorenulls=True).over(SO_FAR), F.first(c, ignorenulls=True).over(ALL_DAYS))
+            c: F.coalesce(F.last(c, ignorenulls=True).over(up_to(0)), F.first(c, ignorenulls=True).over(all_days()))
             for c in ("location_name", "station_charging_points", "station_avg_power")
         },
     })
@@ -121,12 +132,11 @@ def _gap_days() -> dict[str, Column]:
     """Five grid rows back from a period means: all days before yesterday, and yesterday up to the
     same period in alphabetical order."""
     in_use = F.greatest(*[of(p, "usage_time") for p in PERIODS]) > 0
-    before_yesterday = DAYS.rowsBetween(Window.unboundedPreceding, -2)
-    earlier = F.last(F.when(in_use, F.col("session_date")), ignorenulls=True).over(before_yesterday)
+    earlier = F.last(F.when(in_use, F.col("session_date")), ignorenulls=True).over(up_to(-2))
     gaps = {}
     for i, period in enumerate(BY_NAME):
         seen = [F.col(of(p, "usage_time")) > 0 for p in BY_NAME[: i + 1]]
-        used_yesterday = F.lag(F.array_contains(F.array(*seen), True)).over(DAYS)
+        used_yesterday = F.lag(F.array_contains(F.array(*seen), True)).over(by_day())
         last_used = F.when(used_yesterday, F.date_sub("session_date", 1)).otherwise(
             F.coalesce(earlier, F.col("last_session_pre_data"))
         )
@@ -140,7 +150,7 @@ def rolled_days(filled: DataFrame, settings: Settings) -> DataFrame:
     week = "weeks_since_data_start"
     df = filled.withColumns({
         "daily_busyness": all_use / config.DAY_SECONDS,
-        "_week_starts": ~F.col(week).eqNullSafe(F.lag(week).over(DAYS)),
+        "_week_starts": ~F.col(week).eqNullSafe(F.lag(week).over(by_day())),
     })
 
     measures = {"daily_busyness": ("daily_rolling_avg", "daily_cumulative_average", "weekly_cumulative_average")}
@@ -152,19 +162,19 @@ def rolled_days(filled: DataFrame, settings: Settings) -> DataFrame:
     columns, spreads = {}, {}
     for measure, (rolling, daily, _) in measures.items():
         for w in WINDOWS:
-            columns[f"{rolling}_{w}d"] = or_zero(F.avg(measure).over(DAYS.rowsBetween(-w, -1)))
-        columns[daily] = or_zero(F.avg(measure).over(EARLIER))
+            columns[f"{rolling}_{w}d"] = or_zero(F.avg(measure).over(by_day().rowsBetween(-w, -1)))
+        columns[daily] = or_zero(F.avg(measure).over(up_to(-1)))
     for p in PERIODS:
         busyness = of(p, "daily_period_busyness")
-        columns[of(p, "past_week_same_period")] = or_zero(F.lag(busyness, 7).over(DAYS))
+        columns[of(p, "past_week_same_period")] = or_zero(F.lag(busyness, 7).over(by_day()))
         for w in SPREAD_WINDOWS:
-            frame = DAYS.rowsBetween(1 - w, 0) if settings.compat else DAYS.rowsBetween(-w, -1)
+            frame = by_day().rowsBetween(1 - w, 0) if settings.compat else by_day().rowsBetween(-w, -1)
             spreads[of(p, f"_iqr_{w}")] = (busyness, frame)
     df = _shifted_spreads(with_spreads(df.withColumns(columns), spreads), settings)
 
     # Weekly means sit on the first day of their week; the mean over earlier weeks skips the rest.
     in_week = Window.partitionBy("evse_uid", week)
-    weeks_before = POINT.orderBy(week).rangeBetween(Window.unboundedPreceding, -1)
+    weeks_before = point().orderBy(week).rangeBetween(Window.unboundedPreceding, -1)
     df = df.withColumns({f"_mean_{m}": F.avg(m).over(in_week) for m in measures})
     return df.withColumns({
         weekly: or_zero(F.avg(F.when(F.col("_week_starts"), F.col(f"_mean_{m}"))).over(weeks_before))
@@ -190,6 +200,6 @@ def _shifted_spreads(df: DataFrame, settings: Settings) -> DataFrame:
     for p, w in own:
         before = F.col(f"_before_{w}")
         if p in previous:
-            before = F.last(of(previous[p], f"_iqr_{w}")).over(ALL_DAYS)
-        columns[name(p, w)] = or_zero(F.coalesce(F.lag(of(p, f"_iqr_{w}")).over(DAYS), before))
+            before = F.last(of(previous[p], f"_iqr_{w}")).over(all_days())
+        columns[name(p, w)] = or_zero(F.coalesce(F.lag(of(p, f"_iqr_{w}")).over(by_day()), before))
     return df.join(spread_before(last), "evse_uid", "left").withColumns(columns)

@@ -21,7 +21,7 @@ from plugtide.plans.fixture import SETTINGS, Fixture
 from plugtide.sources import tables
 
 REPAIRED = replace(SETTINGS, compat=False)
-BY_POINT = replace(SETTINGS, grain="points", search_iterations=2, max_trees=8, max_depth=4)
+BY_POINT = replace(SETTINGS, grain="points", search_iterations=2, max_trees=5, max_depth=3)
 
 RAW = [
     "evse_uid", "started_at", "stopped_at", "last_energy_change_at", "energy_wh", "duration_seconds",
