@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,11 +15,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="plugtide-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder(spark.sparkContext.applicationId)
     return folder.rstrip("/")
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="plugtide-")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/plugtide/{name}-{uuid.uuid4().hex}"
 

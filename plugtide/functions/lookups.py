@@ -51,7 +51,10 @@ def attach(
         hot = table.filter(F.col(rows_per_key) >= total * HOT_SHARE)
 
     hot = hot.select(*keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values])
-    cold = table.select(*keys, F.lit(0).alias("_slot"), *[F.col(v).alias(f"_cold_{v}") for v in values])
+    # Always 0, but not a literal: the optimizer would take a literal out of the join keys, and with
+    # it the spread.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    cold = table.select(*keys, zero.alias("_slot"), *[F.col(v).alias(f"_cold_{v}") for v in values])
     return (
         facts.select(*own)
         .join(F.broadcast(hot), keys, "left")

@@ -434,6 +434,14 @@ def entries() -> dict[str, Entry]:
             lambda fx: prepare.interactions(ordinals(fx), "evse_uid"),
             [*PERIOD_KEYS, "is_train", *config.PRODUCTS, *config.DIFFERENCES], "SELECT * FROM crossed_points",
         ),
+        "interactions_stations": Entry(
+            lambda fx: prepare.interactions(
+                stages.preprocess(durable(station_rollup(features(fx), SETTINGS), "stations"), SETTINGS), "location_name"
+            ),
+            ["session_date", "day_period", "location_name", "is_train", "location_city_encoded", "location_name_encoded",
+             *config.STATION_FEATURES],
+            "SELECT * FROM crossed_stations",
+        ),
         "training_matrix": Entry(
             matrix, [*PERIOD_KEYS, *config.POINT_FEATURES, "label", "is_train"], "SELECT * FROM crossed_points"
         ),

@@ -45,6 +45,7 @@ def read_or_compute(
     try:
         return spark.read.parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        # An interrupted write leaves a folder without data files.
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
     return write_table(compute(), path, partition_by)
