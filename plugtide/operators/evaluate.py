@@ -131,7 +131,7 @@ def _with_totals(points: DataFrame) -> DataFrame:
 
 def roc_curve(df: DataFrame) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, and the origin with a NULL threshold."""
-    points = _with_totals(by_score(df)).select(
+    curve = _with_totals(by_score(df)).select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("fp").cast("double"), F.col("all_negatives").cast("double")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), F.col("all_positives").cast("double")).alias("tpr"),
@@ -139,13 +139,17 @@ def roc_curve(df: DataFrame) -> DataFrame:
     origin = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
-    return points.unionByName(origin)
+    return curve.unionByName(origin)
 
 
 def roc_auc(df: DataFrame) -> DataFrame:
-    """Area under the curve by trapezoids: every negative counts the positives above it, and half
+    """Area under the ROC curve, in one row."""
+    return auc_of(by_score(df))
+
+
+def auc_of(points: DataFrame) -> DataFrame:
+    """Trapezoids on the rows of `by_score`: every negative counts the positives above it, and half
     of those with its own score. The sums are whole numbers until the last division."""
-    points = by_score(df)
     above = F.col("tp") - F.col("positives")
     wide = "decimal(38,0)"
     doubled = F.sum(F.col("negatives").cast("decimal(18,0)") * (2 * above + F.col("positives")).cast("decimal(19,0)"))
@@ -157,39 +161,48 @@ def roc_auc(df: DataFrame) -> DataFrame:
 
 def pr_curve(df: DataFrame) -> DataFrame:
     """(threshold, precision, recall) per distinct score, and the end point (1, 0)."""
-    points = _pr_points(df).select("threshold", "precision", "recall")
+    curve = _pr_points(by_score(df))
     end = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"),
         F.lit(0.0).alias("recall"),
     )
-    return points.unionByName(end)
+    return curve.unionByName(end)
 
 
-def _pr_points(df: DataFrame) -> DataFrame:
+def _pr_points(points: DataFrame) -> DataFrame:
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     precision = tp / (tp + fp)
     # Without any positive every threshold recalls all of them.
     recall = F.coalesce(F.try_divide(tp, F.col("all_positives").cast("double")), F.lit(1.0))
-    return _with_totals(by_score(df)).select(
+    return _with_totals(points).select(
         F.col("score").alias("threshold"), precision.alias("precision"), recall.alias("recall")
     )
 
 
 def f1_by_threshold(df: DataFrame) -> DataFrame:
     """The points of the precision-recall curve with their F1."""
+    return _f1_points(by_score(df))
+
+
+def _f1_points(points: DataFrame) -> DataFrame:
     p, r = F.col("precision"), F.col("recall")
-    return _pr_points(df).withColumn("f1", 2 * (p * r) / (p + r + F.lit(1e-10)))
+    return _pr_points(points).withColumn("f1", 2 * (p * r) / (p + r + F.lit(1e-10)))
 
 
 def tune_threshold(df: DataFrame) -> DataFrame:
     """One row: the point of best F1 (the lowest threshold among equals) and the point nearest to
     0.5, which stands for the untuned model."""
+    return threshold_of(by_score(df))
+
+
+def threshold_of(points: DataFrame) -> DataFrame:
+    """The same from the rows of `by_score`."""
     point = F.struct("threshold", "precision", "recall", "f1")
     best = F.max_by(point, F.struct(F.col("f1"), -F.col("threshold")))
     default = F.min_by(point, F.struct(F.abs(F.col("threshold") - 0.5), F.col("threshold")))
     return (
-        f1_by_threshold(df)
+        _f1_points(points)
         .agg(best.alias("_best"), default.alias("_default"))
         .select(
             F.col("_best.threshold").alias("optimal_threshold"),

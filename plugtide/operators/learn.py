@@ -172,10 +172,11 @@ def training_rows(matrix: DataFrame, features: list[str], name: str, settings: S
 
 def _measure(scored: DataFrame, name: str, run: str, settings: Settings) -> list[tuple[str, str, str, float]]:
     """Measures at the model's own threshold and at the one of best F1."""
-    on = scored.filter(F.col("is_train") == F.lit(settings.tune_on == "train"))
     test = scored.filter(~F.col("is_train"))
-    tuned = evaluate.tune_threshold(on).first()
-    auc = evaluate.roc_auc(test).first()["roc_auc"]
+    points = evaluate.by_score(test)
+    auc = evaluate.auc_of(points).first()["roc_auc"]
+    on = evaluate.by_score(scored.filter("is_train")) if settings.tune_on == "train" else points
+    tuned = evaluate.threshold_of(on).first()
     at_default = evaluate.classification_metrics(scored).first().asDict()
     at_best = evaluate.classification_metrics(
         evaluate.apply_threshold(test, tuned["optimal_threshold"])

@@ -5,42 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LAST_DAY = "9999-12-31"
+from plugtide.functions.times import MICROS, micros_between, midnight
+
+HOUR = 3600 * MICROS
+NO_START = 2**62
 
 
 def fix_overlaps(df: DataFrame) -> DataFrame:
     """A session that stops after the next one starts stops at its last energy change instead.
 
     Only the neighbour's start is read, which never changes, so one look ahead is enough. The look
-    ahead is split by start day: inside a day it is a window, and a day's last session looks at the
-    first start of the point's next day, from a table with one row per point and day. A point with
-    a long history is thus spread over as many tasks as it has days.
+    ahead is split by start hour: inside an hour it is a window, and an hour's last session looks at
+    the first start of the point's next hour in use, from a table with one row per point and hour.
+    A point with a very long or dense history is thus spread over as many groups as it has hours.
     """
-    # Unknown starts come last, as a day of their own; a day that is never NULL also keeps the two
-    # uses of `df` below identical, so that Spark runs what leads to it once.
-    day = F.coalesce(F.to_date("started_at"), F.lit(LAST_DAY).cast("date"))
-    df = df.filter(F.col("evse_uid").isNotNull()).withColumn("_day", day)
-    ordered = Window.partitionBy("evse_uid", "_day").orderBy(
+    # Unknown starts come last, as an hour of their own; an hour that is never NULL also keeps the
+    # two uses of `df` below identical, so that Spark runs what leads to it once.
+    hour = F.floor(micros_between(midnight(F.lit("1970-01-01").cast("date")), F.col("started_at")) / HOUR)
+    df = df.filter(F.col("evse_uid").isNotNull()).withColumn("_hour", F.coalesce(hour, F.lit(NO_START)))
+    ordered = Window.partitionBy("evse_uid", "_hour").orderBy(
         "started_at", "stopped_at", "last_energy_change_at", "energy_wh"
     )
-    next_days = (
-        df.groupBy("evse_uid", "_day")
+    next_hours = (
+        df.groupBy("evse_uid", "_hour")
         .agg(F.min("started_at").alias("_first"))
         .select(
             "evse_uid",
-            "_day",
-            F.lead("_first").over(Window.partitionBy("evse_uid").orderBy("_day")).alias("_next_day_start"),
+            "_hour",
+            F.lead("_first").over(Window.partitionBy("evse_uid").orderBy("_hour")).alias("_next_hour_start"),
         )
     )
-    next_start = F.coalesce("_next_start", "_next_day_start")
+    next_start = F.coalesce("_next_start", "_next_hour_start")
     return (
         df.withColumn("_next_start", F.lead("started_at").over(ordered))
-        .join(next_days, ["evse_uid", "_day"], "left")
+        .join(next_hours, ["evse_uid", "_hour"], "left")
         .withColumn(
             "stopped_at",
             F.when(F.col("stopped_at") > next_start, F.col("last_energy_change_at")).otherwise(
                 F.col("stopped_at")
             ),
         )
-        .drop("_day", "_next_start", "_next_day_start")
+        .drop("_hour", "_next_start", "_next_hour_start")
     )
