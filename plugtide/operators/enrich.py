@@ -115,9 +115,13 @@ def holiday_flag(
 
 
 def population_join(df: DataFrame, population: DataFrame) -> DataFrame:
-    """Population of the row's city; rows without a city or a country are dropped."""
+    """Population of the row's city; rows without a city or a country are dropped.
+
+    Where the population table names a city twice, the larger number counts.
+    """
     known = df.filter(F.col("location_city").isNotNull() & F.col("country").isNotNull())
-    return attach(known, population.select("location_city", "country", "population"), ["location_city", "country"])
+    city = ["location_city", "country"]
+    return attach(known, population.groupBy(*city).agg(F.max("population").alias("population")), city)
 
 
 def city_type_of(population: Column) -> Column:

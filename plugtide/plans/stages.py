@@ -205,8 +205,7 @@ def day_table(
     kept = kept_points(pairs, points, settings)
     days = durable(use_by_day(rows, settings), "use-by-day").join(kept.drop("_sessions"), "evse_uid")
     days = attach(days, durable(kept_stations(pairs, kept), "stations"), ["location_name"])
-    days = attach(days, population, ["location_city", "country"])
-    return enrich.city_type(days).drop("population")
+    return enrich.city_type(enrich.population_join(days, population)).drop("population")
 
 
 def grid_from_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+import random
+from collections import defaultdict
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +181,48 @@ def test_holidays_of_the_own_country(table):
     ])
     out = enrich.holiday_flag(df, holidays, radius_days=2).orderBy("started_at").collect()
     assert [r["holiday_period"] for r in out] == [0, 1, 0, 0, 1]
+
+
+def random_log(seed: int, points: int, count: int) -> list[tuple]:
+    """Sessions of up to three days; half of them start on a full quarter of an hour, so starts collide."""
+    rng, rows = random.Random(seed), []
+    for _ in range(count):
+        start = datetime(2024, 1, 6) + timedelta(seconds=rng.randrange(0, 4 * 86400))
+        if rng.random() < 0.5:
+            start = start.replace(minute=start.minute // 15 * 15, second=0)
+        length = rng.randrange(1, 3 * 86400)
+        stop = start + timedelta(seconds=length)
+        lec = start + timedelta(seconds=rng.randrange(0, length + 600))
+        rows.append((f"p{rng.randrange(points)}", str(start), str(stop), str(lec), float(rng.randrange(1, 9999)), float(length)))
+    return rows
+
+
+def test_overlaps_against_a_plain_loop(table):
+    rows = random_log(7, 3, 300)
+    expected, by_point = [], defaultdict(list)
+    for p, start, stop, lec, wh, _ in rows:
+        by_point[p].append((start, stop, lec, wh))
+    for p, sessions in by_point.items():
+        sessions.sort()
+        for i, (start, stop, lec, wh) in enumerate(sessions):
+            overlaps_next = i + 1 < len(sessions) and stop > sessions[i + 1][0]
+            expected.append((p, start, lec if overlaps_next else stop, wh))
+    out = overlaps.fix_overlaps(table(LOG, rows))
+    got = [(r["evse_uid"], str(r["started_at"]), str(r["stopped_at"]), r["energy_wh"]) for r in out.collect()]
+    assert sorted(got) == sorted(expected)
+
+
+def test_split_and_allocation_lose_no_second(table):
+    rows = [(f"{i}", *r[1:]) for i, r in enumerate(random_log(11, 1, 200)) if not r[2].endswith("23:59:59")]
+    parts = split(table, *rows)
+    per_session = parts.groupBy("evse_uid").agg(F.count("*").alias("days"), F.sum("session_duration").alias("s"))
+    by_id = {r["evse_uid"]: r for r in per_session.collect()}
+    use = expand.period_allocation(parts).groupBy("evse_uid").agg(F.sum("usage_time").alias("used"))
+    times = {r[0]: (ts(r[1]), ts(r[2])) for r in rows}
+    for r in use.collect():
+        start, stop = times[r["evse_uid"]]
+        length = (stop - start).total_seconds()
+        assert r["used"] == length
+        days = (stop.date() - start.date()).days + 1
+        assert by_id[r["evse_uid"]]["days"] == days
+        assert days == 1 or by_id[r["evse_uid"]]["s"] == length
