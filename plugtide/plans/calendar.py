@@ -20,6 +20,8 @@ from plugtide.operators.rolling import SPREAD_WINDOWS, WINDOWS, or_zero, spread_
 
 PERIODS = config.PERIOD_NAMES
 BY_NAME = sorted(PERIODS)
+# Day rows that make a task worth its start, before idle days and periods multiply them.
+DAYS_PER_TASK = 20_000
 LENGTHS = {name: length for name, _, _, length in config.DAY_PERIODS}
 
 GRID_FIELDS = [
@@ -66,12 +68,13 @@ def to_periods(days: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def filled_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> DataFrame:
-    """Every day of every point's range, with use, busyness and gap days per period."""
-    # Rows multiply after this exchange, so its bytes say little about the work: a given number of
-    # partitions keeps adaptive execution from merging them.
-    partitions = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Every day of every point's range, with use, busyness and gap days per period.
+
+    `days` is read more than once and should be a written table.
+    """
+    days = days.repartition(_partitions(days), "evse_uid")
     all_use = sum((F.col(p) for p in PERIODS), F.lit(0.0))
-    days = days.repartition(partitions, "evse_uid").withColumns({
+    days = days.withColumns({
         "_lifetime": seconds_between(F.min("_opened").over(point()), F.max("_closed").over(point())),
         "_used": F.sum(all_use).over(point()),
         **{f"_{p}": F.sum(p).over(point()) for p in PERIODS},
@@ -115,6 +118,17 @@ def filled_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> Dat
     return holiday_flag(filled, holidays, "session_date", settings.holiday_radius_days)
 
 
+def _partitions(days: DataFrame) -> int:
+    """The session's shuffle partitions, or fewer for few rows.
+
+    Rows multiply after this exchange, so its bytes say little about the work; a given number keeps
+    adaptive execution from merging the partitions by size.
+    """
+    spark = days.sparkSession
+    wanted = max(spark.sparkContext.defaultParallelism, days.count() // DAYS_PER_TASK + 1)
+    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _period_duration(period: str, settings: Settings) -> Column:
     """With `compat`, idle days carry the length of the row before them in alphabetical period
     order, and leading idle days that of the row after them."""
