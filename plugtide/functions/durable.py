@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folders written by this Python process, until `drop_written` removes them.
+_written: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; only where it is unset, as in tests, our own."""
+    """A folder that all executors reach.
+
+    It is the one that `spark.checkpoint.dir` or `setCheckpointDir` names, and otherwise lies below
+    the session's warehouse, which executors share as well.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
-        folder = _own_folder(spark.sparkContext.applicationId)
+        named = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = named.get() if named.isDefined() else f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     return folder.rstrip("/")
 
 
-@cache
-def _own_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="plugtide-")
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/plugtide/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/plugtide/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
@@ -36,3 +39,33 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file is there, in any store that Spark reads."""
+    return _file_system(spark, path).exists(_hadoop_path(spark, path))
+
+
+def drop_written(spark: SparkSession, since: int = 0) -> None:
+    """Remove the intermediate tables written so far; results that read them must be done by then."""
+    while len(_written) > since:
+        path = _written.pop()
+        _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables written inside the block: they are gone after it."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        drop_written(spark, before)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())

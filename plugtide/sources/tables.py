@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plugtide import schema
+from plugtide.functions.durable import exists
 
 
 def load_sessions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -41,11 +41,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def read_or_compute(
     spark: SparkSession, path: str, compute: Callable[[], DataFrame], partition_by: list[str] | None = None
 ) -> DataFrame:
-    """The table at `path` if it is there; otherwise it is computed, written there and read."""
-    try:
+    """The table at `path` if it is there whole; otherwise it is computed, written there and read.
+
+    A table counts as whole only with the marker that Spark leaves when a write has ended; what an
+    interrupted write left behind is replaced.
+    """
+    if exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         return spark.read.parquet(path)
-    except AnalysisException as missing:
-        # An interrupted write leaves a folder without data files.
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
     return write_table(compute(), path, partition_by)
