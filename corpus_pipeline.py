@@ -6,7 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from plugtide.functions.durable import durable
-from plugtide.llm import exact, packing, secrets
+from plugtide.llm import exact, neardup, packing, quality, secrets
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learned from the given labels, does not reject."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +19,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a similarity of 0.8 or more on shingles of five words."""
+    return neardup.drop_near(docs, shingle=5, percent=80)
+
+
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are cut out of the texts; every document stays."""
     return secrets.redact(docs)
@@ -25,7 +35,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", keep_good),
     ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
     ("secret_scan", hide_secrets),
     ("packing", pack),
 ]

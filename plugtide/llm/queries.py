@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plugtide.llm import exact, packing, secrets, tokens
+from plugtide.llm import ann, exact, html, lm, neardup, packing, pieces, quality, secrets, tokens
 
 TOKEN_LIMIT = 2048
 
@@ -17,10 +17,32 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_read(spark, sf_dir, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_read(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_read(spark, sf_dir, "embeddings"), every=50, neighbours=5)
+
+
+def op6_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    segmented = pieces.segment_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return segmented.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "lossless", "ids")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_read(spark, sf_dir, "documents"))
 
@@ -30,15 +52,28 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_secret_scan": op3_secret_scan,
-    "op7_exact_dedup": op7_exact_dedup,
-    "op8_token_counts": op8_token_counts,
-    "op10_packing": op10_packing,
+    query.__name__: query
+    for query in (
+        op1_quality_classifier,
+        op2_html_extraction,
+        op3_secret_scan,
+        op4_near_dedup,
+        op5_nearest_neighbours,
+        op6_merge_dropout,
+        op7_exact_dedup,
+        op8_token_counts,
+        op9_lm_scoring,
+        op10_packing,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
