@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plugtide.llm.memo import Memo
 from plugtide.llm.tokens import open_tokenizer
 from plugtide.llm.words import coded, gather, raw, slices, strings
 
@@ -18,8 +19,8 @@ WINDOW = 2048
 END = 1
 # Documents packed together, on average.
 BLOCK_DOCS = 2048
-# Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 400_000
+# Distinct parts of text given to the tokenizer at once.
+JOINED = 2000
 # Where spaces touch other white space, the tokenizer joins them into one run.
 RUNS = r"[\x20\t\n\r\x0B\x0C\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -35,34 +36,32 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = open_tokenizer(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = pa.array([], pa.large_string())
-        self.ids = np.zeros(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        size = self.tokenizer.get_vocab_size()
+        # Each character of a token's name stands for one byte.
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], np.int64)
+        self.memo = Memo(self._parts)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        return np.fromiter((i for row in ids for i in row), np.uint32, starts[-1]), starts
-
-    def _places(self, parts: pa.Array) -> np.ndarray:
-        """Where the ids of each distinct part are remembered; new ones are encoded now."""
-        places = pc.index_in(parts, self.known).to_numpy(zero_copy_only=False)
-        new = np.isnan(places) if places.dtype.kind == "f" else np.zeros(len(places), bool)
-        if new.any():
-            if len(self.known) + int(new.sum()) > REMEMBERED and len(self.known):
-                self._forget()
-                return self._places(parts)
-            added = parts.filter(pa.array(new))
-            ids, starts = self._encode(added.to_pylist())
-            places = np.where(new, len(self.known) + np.cumsum(new) - 1, np.nan_to_num(places))
-            self.known = pa.concat_arrays([self.known, added])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + starts[1:]])
-            self.ids = np.concatenate([self.ids, ids])
-        return places.astype(np.int64)
+        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        starts = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), starts
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct parts.
+
+        Parts that begin with their space and end without one are encoded many at a time, one after
+        the other; the bytes of the tokens tell where each part's end.
+        """
+        texts = parts.to_pylist()
+        alone = np.fromiter((t[0] != " " or t[-1].isspace() for t in texts), bool, len(texts))
+        single, single_starts = self._encode([texts[i] for i in np.flatnonzero(alone)])
+        rest = [texts[i] for i in np.flatnonzero(~alone)]
+        joined, _ = self._encode(["".join(rest[i : i + JOINED]) for i in range(0, len(rest), JOINED)])
+        ends = np.cumsum(pc.binary_length(parts).to_numpy(zero_copy_only=False)[~alone])
+        passed = np.concatenate([[0], np.cumsum(self.bytes_of[joined])])
+        joined_starts = np.searchsorted(passed, np.concatenate([[0], ends]))
+        order = np.where(alone, np.cumsum(alone) - 1, len(single_starts) - 1 + np.cumsum(~alone) - 1)
+        return gather(np.concatenate([single, joined]), np.concatenate([single_starts, single_starts[-1] + joined_starts[1:]]), order)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text's begin and the last one's end."""
@@ -70,16 +69,15 @@ class Encoder:
         odd = pc.match_substring_regex(texts, f"{RUNS}\\x20|\\x20{RUNS}")
         for content in self.special:
             odd = pc.or_(odd, pc.match_substring(texts, content))
-        odd = np.asarray(odd.to_numpy(zero_copy_only=False), bool)
-        data, starts = raw(pc.if_else(pa.array(odd), "", texts))
-        if not len(data):
-            ids, id_starts = np.zeros(0, np.uint32), np.zeros(len(starts), np.int64)
-        else:
+        data, starts = raw(pc.if_else(odd, "", texts))
+        odd = odd.to_numpy(zero_copy_only=False)
+        ids, id_starts = np.zeros(0, np.uint32), np.zeros(len(starts), np.int64)
+        if len(data):
             cuts = data == 32
             cuts[starts[:-1][starts[:-1] < len(data)]] = True
             at = np.flatnonzero(cuts)
             places, parts = coded(strings(data, np.append(at, len(data))))
-            ids, part_starts = self._gathered(parts, places)
+            ids, part_starts = self.memo(parts, places)
             id_starts = part_starts[np.searchsorted(at, starts)]
         if not odd.any():
             return ids, id_starts
@@ -87,10 +85,6 @@ class Encoder:
         rows = np.where(odd, len(odd) + np.cumsum(odd) - 1, np.arange(len(odd)))
         return gather(np.concatenate([ids, whole]), np.concatenate([id_starts, id_starts[-1] + whole_starts[1:]]), rows)
 
-    def _gathered(self, parts: pa.Array, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self._places(parts)
-        return gather(self.ids, self.starts, at[places])
-
 
 def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
