@@ -160,6 +160,8 @@ def _search(rows: DataFrame, queries: DataFrame, codes: Codes, every: int, neigh
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows.withColumn("rows", dealt("rows", row_blocks)).withColumn("queries", all_of(query_blocks))
     right = queries.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    # Columns of their own, since both sides may come from the same rows.
+    right = right.select(F.col("vec_id").alias("vec_id"), F.col("vector").alias("vector"))
     right = right.withColumn("queries", dealt("queries", query_blocks)).withColumn("rows", all_of(row_blocks))
     errors = np.arange(256, dtype=np.uint8)
     probes = [errors[_WEIGHT <= most].astype(np.int64) for most in codes.allowed(radius)]

@@ -223,8 +223,8 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """`docs` with `score`, from 0 to 1. Null and empty texts have no indicators and get the constant's score."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "_quality") -> DataFrame:
+    """`docs` with a score from 0 to 1 in a new column. Null and empty texts have no indicators and get the constant's score."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.constant, model.slope, model.offset))
     columns = docs.columns
     place = columns.index(text_col)
@@ -233,10 +233,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         learned = Model(*shared.value)
         for batch in slices(batches, text_col):
             values = learned.scores(*indicators(batch.column(place)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*columns, score_col])
 
     kinds = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
-    return docs.mapInArrow(scored, f"{kinds}, score double")
+    return docs.mapInArrow(scored, f"{kinds}, `{score_col}` double")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,11 +246,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """
     model = train(docs, labels, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return score(rows, model).select(
+    return score(rows, model, score_col="score").select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= KEEP).cast("int").alias("predicted")
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without those scored below `KEEP`."""
-    return score(docs, train(docs, labels, id_col, text_col), text_col).filter(F.col("score") >= KEEP).select(*docs.columns)
+    scored = score(docs, train(docs, labels, id_col, text_col), text_col)
+    return scored.filter(F.col("_quality") >= KEEP).select(*docs.columns)
