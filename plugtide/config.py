@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 # --- Fixed values: names, orders and bounds that results depend on -----------------------------
 
@@ -81,6 +82,33 @@ STATION_FEATURES = [
 ]
 POINT_FEATURES = STATION_FEATURES[:8] + ["point_avg_power"] + STATION_FEATURES[8:]
 
+# Attributes whose first known value stands for a (day, period, point), those that idle days carry
+# over, those whose first value stands for a station, and those averaged over its points.
+POINT_FIRSTS = [
+    "type", "first_active_day", "final_active_day", "last_session_pre_data", "period_duration",
+    "month", "country", "weekday", "season", "year", "location_city", "location_name",
+    "holiday_period", "city_type", "station_charging_points", "station_avg_power",
+    "point_avg_power", "gap_days", "avg_total_busyness", "avg_day_period_busyness",
+]
+CARRIED = [
+    "type", "first_active_day", "final_active_day", "last_session_pre_data", "country",
+    "location_city", "location_name", "city_type", "station_charging_points", "station_avg_power",
+    "point_avg_power", "avg_total_busyness", "period_duration",
+]
+STATION_FIRSTS = [
+    "month", "country", "weekday", "season", "year", "location_city", "holiday_period", "city_type",
+    "station_charging_points", "station_avg_power", "period_duration",
+    "days_since_data_start", "weeks_since_data_start",
+]
+STATION_MEANS = [
+    "avg_total_busyness", "avg_day_period_busyness", "daily_period_busyness", "daily_busyness",
+    "daily_rolling_avg_1d", "daily_rolling_avg_7d", "daily_rolling_avg_30d",
+    "daily_period_rolling_avg_1d", "daily_period_rolling_avg_7d", "daily_period_rolling_avg_30d",
+    "daily_period_rolling_IQR_7d", "daily_period_rolling_IQR_30d", "past_week_same_period",
+    "daily_cumulative_average", "weekly_cumulative_average",
+    "period_daily_cumulative_average", "period_weekly_cumulative_average",
+]
+
 # Ranges of the hyper-parameter search: whole numbers include both ends.
 FOREST_SPACE = {
     "trees": (100, 2500),
@@ -105,12 +133,15 @@ LEAF_BOOST_SPACE = {
     "row_share": (0.7, 1.0),
     "feature_share": (0.6, 1.0),
 }
+SEARCH_SPACES = {"forest": FOREST_SPACE, "boosted_deep": DEEP_BOOST_SPACE, "boosted_leaf": LEAF_BOOST_SPACE}
 
 
 @dataclass(frozen=True)
 class Settings:
     """Every knob of the pipeline.
 
+    `search_spaces` holds the ranges that the random search draws from, per model.
+
     `compat` keeps four quirks of the established results: the open upper busyness bin, grids that
     run past the range, the carried period length, and the spread measure that looks into the
     preceding group on a group's first day. Switch it off for the repaired rules.
@@ -130,11 +161,8 @@ class Settings:
     seed: int = 42
     split_ratio: float = 0.8
     folds: int = 3
-    # The established search draws 150 settings of up to 2,500 trees; these defaults are a smoke
-    # size. `max_trees=2500, max_depth=20, search_iterations=150` is the full search.
-    search_iterations: int = 4
-    max_trees: int = 20
-    max_depth: int = 6
+    search_iterations: int = 150
+    search_spaces: Mapping[str, Mapping] = field(default_factory=lambda: SEARCH_SPACES)
     fit_parallelism: int = 2
     importance_share: float = 0.90
     max_features: int = 10

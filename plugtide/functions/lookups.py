@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 
 from plugtide.functions.durable import durable
 
-# Tables of up to this many rows (a few narrow columns each) are broadcast.
-BROADCAST_ROWS = 100_000
-# A key is hot when it holds at least this share of the fact rows, so there are at most
-# 1 / HOT_SHARE hot keys whatever the data looks like.
-HOT_SHARE = 0.001
+# Tables of up to this many bytes are broadcast.
+BROADCAST_BYTES = 8 << 20
 SPREAD = 4096
 
 
@@ -20,35 +17,35 @@ def attach(
     table: DataFrame,
     keys: list[str],
     rows_per_key: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join `facts` to `table`, which has one row per key.
 
-    The table's rows are counted first. A small table is broadcast. A larger one is shuffled, and
-    only its hot keys, whose number is bounded, are broadcast: fact rows of a hot key are answered
-    there and then pass the second join spread over all partitions, since they need no partner in
-    it. Any other key holds less than `HOT_SHARE` of the rows, so no partition is large.
+    The table is written and its bytes are counted. A small table is broadcast. A larger one is
+    shuffled, and only its hot keys are broadcast: those with more fact rows than a quarter of an
+    even partition, of which there are at most four per shuffle partition. Fact rows of a hot key are
+    answered there and then pass the second join spread over all partitions, since they need no
+    partner in it; all other keys are small against a partition.
 
     `rows_per_key` names a column of `table` with the number of fact rows of the key, for tables
-    aggregated from the facts; it is not part of the result. Such a table is written before use,
-    so that the facts are read for it only once. Without it the facts are counted by key, but only
-    when the table is large.
+    aggregated from the facts; it is not part of the result. Without it the facts are counted by
+    key, but only when the table is large.
     """
     values = [c for c in table.columns if c not in keys and c != rows_per_key]
     own = [c for c in facts.columns if c not in values]
-    if rows_per_key is not None:
-        table = durable(table, "lookup")
-    if table.count() <= broadcast_rows:
+    table = durable(table, "lookup")
+    if _bytes(table.select(*keys, *values)) <= broadcast_bytes:
         small = F.broadcast(table.select(*keys, *values))
         return facts.select(*own).join(small, keys, "left").select(*own, *values)
 
+    hot_share = 1 / (4 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if rows_per_key is None:
         counts = durable(facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
-        hot_keys = counts.filter(F.col("_rows") >= counts.agg(F.sum("_rows")).scalar() * HOT_SHARE)
+        hot_keys = counts.filter(F.col("_rows") > counts.agg(F.sum("_rows")).scalar() * hot_share)
         hot = table.join(F.broadcast(hot_keys.select(*keys)), keys, "left_semi")
     else:
         total = table.agg(F.sum(rows_per_key)).scalar()
-        hot = table.filter(F.col(rows_per_key) >= total * HOT_SHARE)
+        hot = table.filter(F.col(rows_per_key) > total * hot_share)
 
     hot = hot.select(*keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values])
     # Always 0, but not a literal: the optimizer would take a literal out of the join keys, and with
@@ -70,6 +67,13 @@ def attach(
     )
 
 
+def _bytes(table: DataFrame) -> int:
+    """The bytes of all values: a word each, and the text of strings."""
+    texts = [F.sum(F.octet_length(name)) for name, kind in table.dtypes if kind == "string"]
+    sizes = table.agg(F.count(F.lit(1)) * 8 * len(table.columns), *texts).first()
+    return sum(int(size or 0) for size in sizes)
+
+
 def _slot(columns: list[str], keys: list[str]) -> Column:
     """0 for rows that look for a partner, a spread of other numbers for rows that have none."""
     no_partner = F.coalesce(F.col("_hot"), F.lit(False))

@@ -100,15 +100,13 @@ def holiday_flag(
 ) -> DataFrame:
     """1 where a holiday of the row's country lies within the radius, else 0.
 
-    The range condition becomes an equality on exploded dates. The date table is limited by the
-    calendar (countries x days); Catalyst broadcasts it when its size allows and otherwise joins on
-    (country, date), which spreads a country over its days.
+    The range condition becomes an equality on exploded dates, whose table is limited by the
+    calendar (countries x days).
     """
     near = holiday_dates(holidays, radius_days).withColumn("_near", F.lit(1))
+    dated = df.drop("holiday_period").withColumn("_date", F.to_date(date_col))
     return (
-        df.drop("holiday_period")
-        .withColumn("_date", F.to_date(date_col))
-        .join(near, ["country", "_date"], "left")
+        attach(dated, near, ["country", "_date"])
         .withColumn("holiday_period", F.coalesce("_near", F.lit(0)))
         .drop("_date", "_near")
     )

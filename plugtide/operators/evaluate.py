@@ -131,12 +131,16 @@ def _with_totals(points: DataFrame) -> DataFrame:
 
 def roc_curve(df: DataFrame) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, and the origin with a NULL threshold."""
-    curve = _with_totals(by_score(df)).select(
+    return _roc_points(by_score(df))
+
+
+def _roc_points(points: DataFrame) -> DataFrame:
+    curve = _with_totals(points).select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("fp").cast("double"), F.col("all_negatives").cast("double")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), F.col("all_positives").cast("double")).alias("tpr"),
     )
-    origin = df.sparkSession.range(1).select(
+    origin = points.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return curve.unionByName(origin)
@@ -161,8 +165,11 @@ def auc_of(points: DataFrame) -> DataFrame:
 
 def pr_curve(df: DataFrame) -> DataFrame:
     """(threshold, precision, recall) per distinct score, and the end point (1, 0)."""
-    curve = _pr_points(by_score(df))
-    end = df.sparkSession.range(1).select(
+    return _with_end(_pr_points(by_score(df)))
+
+
+def _with_end(curve: DataFrame) -> DataFrame:
+    end = curve.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"),
         F.lit(0.0).alias("recall"),
@@ -223,6 +230,26 @@ def apply_threshold(df: DataFrame, threshold: float | Column) -> DataFrame:
     return df.withColumn("prediction", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
+def evaluation_tables(scored: DataFrame, points: DataFrame, optimal_threshold: float) -> dict[str, DataFrame]:
+    """Everything that is shown of a scored table: counts and report at both thresholds, and the curves.
+
+    `scored` has label, score and the model's own prediction; `points` are its rows of `by_score`.
+    """
+    at = {"default": scored, "optimal": apply_threshold(scored, optimal_threshold)}
+
+    def both(table) -> DataFrame:
+        default, optimal = (table(df).select(F.lit(kind).alias("threshold_kind"), "*") for kind, df in at.items())
+        return default.unionByName(optimal)
+
+    return {
+        "confusion_matrix": both(confusion_matrix),
+        "classification_report": both(classification_report),
+        "roc_curve": _roc_points(points),
+        "pr_curve": _with_end(_pr_points(points)),
+        "f1_by_threshold": _f1_points(points),
+    }
+
+
 def select_features(importances: DataFrame, share_kept: float = 0.90, at_most: int = 10) -> DataFrame:
     """Ranks features and marks those to keep, on a table with one row per feature.
 

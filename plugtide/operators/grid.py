@@ -19,19 +19,6 @@ from plugtide.schema import require
 
 KEYS = ["session_date", "day_period", "evse_uid"]
 
-FIRST_KNOWN = [
-    "type", "first_active_day", "final_active_day", "last_session_pre_data", "period_duration",
-    "month", "country", "weekday", "season", "year", "location_city", "location_name",
-    "holiday_period", "city_type", "station_charging_points", "station_avg_power",
-    "point_avg_power", "gap_days", "avg_total_busyness", "avg_day_period_busyness",
-]
-
-CARRIED = [
-    "type", "first_active_day", "final_active_day", "last_session_pre_data", "country",
-    "location_city", "location_name", "city_type", "station_charging_points", "station_avg_power",
-    "point_avg_power", "avg_total_busyness", "period_duration",
-]
-
 
 def first_known(name: str, order: str = "started_at") -> Column:
     """The first value that is not NULL, by `order`; ties go to the least value."""
@@ -44,7 +31,7 @@ def aggregate_by_point(df: DataFrame) -> DataFrame:
     require(df, *KEYS, "usage_time", "started_at")
     return df.groupBy(*KEYS).agg(
         F.coalesce(F.sum("usage_time"), F.lit(0.0)).alias("usage_time"),
-        *[first_known(c) for c in FIRST_KNOWN if c in df.columns],
+        *[first_known(c) for c in config.POINT_FIRSTS if c in df.columns],
     )
 
 
@@ -159,7 +146,7 @@ def carry_attributes(df: DataFrame, settings: Settings) -> DataFrame:
     carried = {
         # Where nothing came before, the first known value of the point is the next one to come.
         c: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.first(c, ignorenulls=True).over(everywhere))
-        for c in CARRIED
+        for c in config.CARRIED
         if c in df.columns
     }
     if not settings.compat and "period_duration" in carried:

@@ -7,27 +7,25 @@ one-row measures.
 from __future__ import annotations
 
 import random
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plugtide import config
 from plugtide.config import Settings
-from plugtide.functions.durable import durable
+from plugtide.functions.durable import durable, shared_folder
 from plugtide.operators import evaluate
 
-# name -> (estimator, search space, how rows are weighted)
+# name -> (estimator, how rows are weighted)
 MODELS = {
-    "forest": (RandomForestClassifier, config.FOREST_SPACE, "balanced"),
-    "boosted_deep": (GBTClassifier, config.DEEP_BOOST_SPACE, "positive"),
-    "boosted_leaf": (GBTClassifier, config.LEAF_BOOST_SPACE, "balanced"),
+    "forest": (RandomForestClassifier, "balanced"),
+    "boosted_deep": (GBTClassifier, "positive"),
+    "boosted_leaf": (GBTClassifier, "balanced"),
 }
 
 # Search name -> the estimator's parameter; the number of trees differs by estimator.
@@ -65,38 +63,40 @@ def assemble(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def weighted(df: DataFrame, scheme: str) -> DataFrame:
-    """Adds a `weight`, looked up in the two rows of `class_weights`."""
+    """Adds a `weight`, looked up in the two rows that `class_weights` gives for `df` itself."""
     weights = class_weights(df).select("label", F.col(scheme).alias("weight"))
     return df.join(F.broadcast(weights), "label")
 
 
 def with_folds(df: DataFrame, keys: list[str], folds: int) -> DataFrame:
-    """A fold number from a hash of the keys: the same on every run and every partitioning."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int"))
+    """A fold number from a hash of the keys, the same on every run and every partitioning.
+
+    Each label is spread evenly: rows are numbered per label and hash bucket, and the buckets start
+    at different folds. A bucket holds some 1/4096 of a label's rows.
+    """
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    df = df.withColumn("_digest", digest).withColumn("_bucket", F.conv(F.substring("_digest", 1, 3), 16, 10).cast("int"))
+    number = F.row_number().over(Window.partitionBy("label", "_bucket").orderBy("_digest", *keys))
+    return df.withColumn("fold", F.pmod(F.col("_bucket") + number, F.lit(folds))).drop("_digest", "_bucket")
 
 
 def draw_settings(name: str, settings: Settings) -> list[dict]:
-    """Seeded random draws from the model's search space, capped by the settings."""
+    """Seeded random draws from the model's search space: a list of values, or a range with both ends."""
     rng = random.Random(settings.seed)
-    _, space, _ = MODELS[name]
-    caps = {"trees": settings.max_trees, "depth": settings.max_depth}
+    space = settings.search_spaces[name]
 
-    def draw(parameter: str):
-        values = space[parameter]
+    def draw(values):
         if isinstance(values, list):
             return rng.choice(values)
         low, high = values
-        if isinstance(low, int):
-            high = min(high, caps.get(parameter, high))
-            return rng.randint(min(low, high), high)
-        return rng.uniform(low, high)
+        return rng.randint(low, high) if isinstance(low, int) else rng.uniform(low, high)
 
-    return [{p: draw(p) for p in space} for _ in range(settings.search_iterations)]
+    return [{p: draw(values) for p, values in space.items()} for _ in range(settings.search_iterations)]
 
 
 def estimator(name: str, drawn: dict, settings: Settings):
     """An estimator of the model with drawn settings."""
-    kind, _, _ = MODELS[name]
+    kind, _ = MODELS[name]
     trees = "numTrees" if kind is RandomForestClassifier else "maxIter"
     arguments = {PARAMETERS.get(p, trees): v for p, v in drawn.items()}
     if "feature_share" in drawn:
@@ -106,30 +106,50 @@ def estimator(name: str, drawn: dict, settings: Settings):
     )
 
 
-def random_search(train: DataFrame, name: str, settings: Settings) -> tuple[Model, dict, list[tuple[dict, float]]]:
-    """Best model by mean F1 of the positive class over the folds, refitted on all training rows.
+def fit(name: str, drawn: dict, rows: DataFrame, settings: Settings) -> Model:
+    """The model on `rows` (features, label), weighted by the labels of these rows."""
+    context = rows.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        # Boosting cuts the lineage of its rounds there.
+        context.setCheckpointDir(f"{shared_folder(rows.sparkSession)}/plugtide/rounds")
+    return estimator(name, drawn, settings).fit(weighted(rows, MODELS[name][1]))
+
+
+@dataclass
+class Search:
+    """The drawn settings, and per draw and fold: rows and positives held out, and F1 on them."""
+
+    drawn: list[dict]
+    tried: list[tuple[int, int, int, int, float]]
+
+    @property
+    def best(self) -> int:
+        """The draw with the best mean F1, the first of equals."""
+        means = [0.0] * len(self.drawn)
+        for number, *_, f1 in self.tried:
+            means[number] += f1
+        return max(range(len(means)), key=means.__getitem__)
+
 
-    `train` has features, label, weight and fold. Returns the model, its settings, and the score of
-    every drawn setting.
+def random_search(train: DataFrame, name: str, settings: Settings) -> Search:
+    """F1 of the positive class for every drawn setting, on each fold after a fit on the others.
+
+    `train` has features, label and fold. Weights come from the rows of a fit alone.
     """
-    drawn = draw_settings(name, settings)
-    grid = []
-    base = estimator(name, drawn[0], settings)
-    for draw in drawn:
-        candidate = estimator(name, draw, settings)
-        grid.append({base.getParam(p.name): v for p, v in candidate.extractParamMap().items() if candidate.isSet(p)})
-    search = CrossValidator(
-        estimator=base,
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0),
-        numFolds=settings.folds,
-        foldCol="fold",
-        parallelism=settings.fit_parallelism,
-        seed=settings.seed,
-    ).fit(train)
-    scores = [float(s) for s in search.avgMetrics]
-    best = max(range(len(drawn)), key=scores.__getitem__)
-    return search.bestModel, drawn[best], list(zip(drawn, scores))
+    search = Search(draw_settings(name, settings), [])
+    for fold in range(settings.folds):
+        rows = durable(train.filter(F.col("fold") != fold), "fold")
+        held = durable(train.filter(F.col("fold") == fold), "fold")
+        size = held.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("label"), F.lit(0)).alias("positives")).first()
+
+        def one(number: int, rows=rows, held=held, fold=fold, size=size):
+            model = fit(name, search.drawn[number], rows, settings)
+            f1 = evaluate.classification_metrics(score(model, held)).first()["f1"]
+            return number, fold, size["rows"], int(size["positives"]), float(f1)
+
+        with ThreadPoolExecutor(settings.fit_parallelism) as pool:
+            search.tried += pool.map(one, range(len(search.drawn)))
+    return search
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:
@@ -150,60 +170,67 @@ def importances(spark: SparkSession, model: Model, features: list[str]) -> DataF
 
 @dataclass
 class Trained:
-    """What one model leaves behind."""
+    """What one model leaves behind. `tables` holds, per run, the evaluation tables."""
 
     name: str
+    search: Search
     model: Model
     settings: dict
+    ranked: DataFrame
     selected: list[str]
     retrained: Model
-    measures: list[tuple[str, str, str, float]]
+    scored: dict[str, DataFrame] = field(default_factory=dict)
+    tables: dict[str, dict[str, DataFrame]] = field(default_factory=dict)
+    measures: list[tuple[str, str, str, float]] = field(default_factory=list)
+
 
+RUNS = ("initial", "optimised")
 
-def _fold_keys(matrix: DataFrame, settings: Settings) -> list[str]:
+
+def _keys(matrix: DataFrame, settings: Settings) -> list[str]:
     return [c for c in ("session_date", "day_period", settings.group) if c in matrix.columns]
 
 
-def training_rows(matrix: DataFrame, features: list[str], name: str, settings: Settings) -> DataFrame:
-    _, _, scheme = MODELS[name]
-    train = with_folds(matrix.filter("is_train"), _fold_keys(matrix, settings), settings.folds)
-    return weighted(assemble(train, features), scheme)
+def training_rows(matrix: DataFrame, features: list[str], settings: Settings) -> DataFrame:
+    return with_folds(assemble(matrix.filter("is_train"), features), _keys(matrix, settings), settings.folds)
 
 
-def _measure(scored: DataFrame, name: str, run: str, settings: Settings) -> list[tuple[str, str, str, float]]:
-    """Measures at the model's own threshold and at the one of best F1."""
+def _evaluate(trained: Trained, run: str, scored: DataFrame, settings: Settings) -> None:
+    """Measures and tables at the model's own threshold and at the one of best F1."""
     test = scored.filter(~F.col("is_train"))
-    points = evaluate.by_score(test)
+    points = durable(evaluate.by_score(test), "points")
     auc = evaluate.auc_of(points).first()["roc_auc"]
-    on = evaluate.by_score(scored.filter("is_train")) if settings.tune_on == "train" else points
-    tuned = evaluate.threshold_of(on).first()
-    at_default = evaluate.classification_metrics(scored).first().asDict()
-    at_best = evaluate.classification_metrics(
-        evaluate.apply_threshold(test, tuned["optimal_threshold"])
-    ).first().asDict()
-    rows = {f"default_{k}": v for k, v in at_default.items()}
-    rows |= {f"optimal_{k}": v for k, v in at_best.items()}
-    rows |= {"optimal_threshold": tuned["optimal_threshold"], "roc_auc": auc}
-    return [(name, run, k, None if v is None else float(v)) for k, v in rows.items()]
+    tune_on = evaluate.by_score(scored.filter("is_train")) if settings.tune_on == "train" else points
+    tuned = evaluate.threshold_of(tune_on).first().asDict()
+    at_best = evaluate.apply_threshold(scored, tuned["optimal_threshold"])
+    rows = {}
+    for kind, predicted in (("default", scored), ("optimal", at_best)):
+        rows |= {f"{kind}_{k}": v for k, v in evaluate.classification_metrics(predicted).first().asDict().items()}
+    # The points of the precision-recall curve nearest to one half and of best F1.
+    rows |= {f"curve_{k}": v for k, v in tuned.items() if not k.endswith("_threshold")}
+    rows |= {"optimal_threshold": tuned["optimal_threshold"], "default_threshold": tuned["default_threshold"], "roc_auc": auc}
+    rows["features"] = len(settings.features if run == RUNS[0] else trained.selected)
+    trained.measures += [(trained.name, run, k, None if v is None else float(v)) for k, v in rows.items()]
+    trained.scored[run] = scored
+    trained.tables[run] = evaluate.evaluation_tables(test, points, tuned["optimal_threshold"])
 
 
 def train_model(matrix: DataFrame, name: str, settings: Settings) -> Trained:
-    """Search, score, tune, select features, retrain on those with the same settings, score again."""
-    spark, features = matrix.sparkSession, settings.features
-    train = training_rows(matrix, features, name, settings)
-    model, drawn, _ = random_search(train, name, settings)
-    scored = durable(score(model, assemble(matrix, features)), "scored")
-    measures = _measure(scored, name, "initial", settings)
-
+    """Search, score with the best model, tune, select features, retrain on those, score again."""
+    features = settings.features
+    train = durable(training_rows(matrix, features, settings), "train")
+    search = random_search(train, name, settings)
+    drawn = search.drawn[search.best]
+    model = fit(name, drawn, train, settings)
     ranked = evaluate.select_features(
-        importances(spark, model, features), settings.importance_share, settings.max_features
+        importances(matrix.sparkSession, model, features), settings.importance_share, settings.max_features
     )
     selected = [r["feature"] for r in ranked.filter("selected").orderBy("rank").collect()]
-    retrained = estimator(name, drawn, settings).fit(training_rows(matrix, selected, name, settings))
-    rescored = durable(score(retrained, assemble(matrix, selected)), "scored")
-    measures += _measure(rescored, name, "optimised", settings)
-    measures.append((name, "optimised", "selected_features", float(len(selected))))
-    return Trained(name, model, drawn, selected, retrained, measures)
+    retrained = fit(name, drawn, training_rows(matrix, selected, settings), settings)
+    trained = Trained(name, search, model, drawn, ranked, selected, retrained)
+    for run, fitted, used in zip(RUNS, (model, retrained), (features, selected)):
+        _evaluate(trained, run, durable(score(fitted, assemble(matrix, used)), "scored"), settings)
+    return trained
 
 
 def train_models(matrix: DataFrame, settings: Settings, names: list[str] | None = None) -> list[Trained]:
@@ -215,3 +242,32 @@ def model_results(spark: SparkSession, trained: list[Trained]) -> DataFrame:
     """All measures as rows (model, run, metric, value)."""
     rows = [row for t in trained for row in t.measures]
     return spark.createDataFrame(rows, "model string, run string, metric string, value double")
+
+
+def result_tables(spark: SparkSession, trained: list[Trained]) -> dict[str, DataFrame]:
+    """Everything to keep of a training: measures, hyper-parameters, search, importances, curves."""
+    drawn = [(t.name, p, str(v)) for t in trained for p, v in t.settings.items()]
+    tried = [(t.name, *row, row[0] == t.search.best) for t in trained for row in t.search.tried]
+    result = {
+        "measures": model_results(spark, trained),
+        "hyper_parameters": spark.createDataFrame(drawn, "model string, parameter string, value string"),
+        "search": spark.createDataFrame(
+            tried, "model string, draw int, fold int, rows long, positives long, f1 double, best boolean"
+        ),
+        "importances": _union(_named(t.ranked, t.name) for t in trained),
+    }
+    for table in next(iter(trained[0].tables.values())):
+        result[table] = _union(_named(t.tables[run][table], t.name, run) for t in trained for run in RUNS)
+    return result
+
+
+def _named(df: DataFrame, model: str, run: str | None = None) -> DataFrame:
+    names: dict[str, Column] = {"model": F.lit(model)} | ({"run": F.lit(run)} if run else {})
+    return df.select(*[c.alias(n) for n, c in names.items()], "*")
+
+
+def _union(tables) -> DataFrame:
+    first, *rest = tables
+    for table in rest:
+        first = first.unionByName(table)
+    return first

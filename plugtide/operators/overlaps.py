@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from plugtide.functions.times import MICROS, micros_between, midnight
 
 HOUR = 3600 * MICROS
-NO_START = 2**62
 
 
 def fix_overlaps(df: DataFrame) -> DataFrame:
@@ -19,15 +18,18 @@ def fix_overlaps(df: DataFrame) -> DataFrame:
     the first start of the point's next hour in use, from a table with one row per point and hour.
     A point with a very long or dense history is thus spread over as many groups as it has hours.
     """
-    # Unknown starts come last, as an hour of their own; an hour that is never NULL also keeps the
-    # two uses of `df` below identical, so that Spark runs what leads to it once.
+    # A session without a start has no neighbour and stays as it is.
+    known = df.filter(F.col("evse_uid").isNotNull())
+    unknown = known.filter(F.col("started_at").isNull())
     hour = F.floor(micros_between(midnight(F.lit("1970-01-01").cast("date")), F.col("started_at")) / HOUR)
-    df = df.filter(F.col("evse_uid").isNotNull()).withColumn("_hour", F.coalesce(hour, F.lit(NO_START)))
+    # An hour that is never NULL keeps the two uses of the table below identical, so that Spark runs
+    # what leads to it once.
+    known = known.filter(F.col("started_at").isNotNull()).withColumn("_hour", F.coalesce(hour, F.lit(0)))
     ordered = Window.partitionBy("evse_uid", "_hour").orderBy(
         "started_at", "stopped_at", "last_energy_change_at", "energy_wh"
     )
     next_hours = (
-        df.groupBy("evse_uid", "_hour")
+        known.groupBy("evse_uid", "_hour")
         .agg(F.min("started_at").alias("_first"))
         .select(
             "evse_uid",
@@ -36,8 +38,8 @@ def fix_overlaps(df: DataFrame) -> DataFrame:
         )
     )
     next_start = F.coalesce("_next_start", "_next_hour_start")
-    return (
-        df.withColumn("_next_start", F.lead("started_at").over(ordered))
+    looked_at = (
+        known.withColumn("_next_start", F.lead("started_at").over(ordered))
         .join(next_hours, ["evse_uid", "_hour"], "left")
         .withColumn(
             "stopped_at",
@@ -47,3 +49,4 @@ def fix_overlaps(df: DataFrame) -> DataFrame:
         )
         .drop("_hour", "_next_start", "_next_hour_start")
     )
+    return looked_at.unionByName(unknown)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plugtide import config
 from plugtide.config import Settings
+from plugtide.functions.durable import durable
 from plugtide.functions.lookups import attach
 
 
@@ -29,17 +30,21 @@ def target_encode(df: DataFrame, columns: list[str], target: str, alpha: float =
     Values that training has not seen get the overall mean on test rows; a missing value stays
     missing on training rows.
     """
-    train = df.filter("is_train")
-    overall = train.agg(F.avg(target)).scalar()
+    # One pass over the training rows serves the overall mean and every column.
+    sums = durable(
+        df.filter("is_train").groupBy(*columns).agg(F.sum(target).alias("_sum"), F.count(target).alias("_n")),
+        "target-sums",
+    )
+    overall = sums.agg(F.try_divide(F.sum("_sum"), F.sum("_n"))).scalar()
     for column in columns:
         encoded = f"{column}_encoded"
         means = (
-            train.filter(F.col(column).isNotNull())
+            sums.filter(F.col(column).isNotNull())
             .groupBy(column)
-            .agg(F.avg(target).alias("_mean"), F.count(target).alias("_n"))
+            .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
             .select(
                 column,
-                ((F.col("_mean") * F.col("_n") + overall * alpha) / (F.col("_n") + alpha)).alias(encoded),
+                F.when(F.col("_n") > 0, (F.col("_sum") + overall * alpha) / (F.col("_n") + alpha)).alias(encoded),
             )
         )
         df = attach(df, means, [column]).withColumn(
@@ -66,12 +71,17 @@ def label_encode(df: DataFrame, column: str = "daily_period_busyness_cat") -> Da
 
 
 def shift_features(
-    df: DataFrame, group: str, shifted: dict[str, str] | None = None, part: str = "is_train"
+    df: DataFrame,
+    group: str,
+    shifted: dict[str, str] | None = None,
+    part: str = "is_train",
+    means_from: DataFrame | None = None,
 ) -> DataFrame:
     """Values of the day before, per (group, period), train and test apart.
 
     First rows: the holiday flag wraps around to the group's last one, the weekday is counted
-    back, anything else gets the mean of the whole train or test part.
+    back, anything else gets the mean of the whole train or test part. `means_from` is a written
+    table with the same rows to take these means from.
     """
     shifted = config.SHIFTED if shifted is None else shifted
     rows = Window.partitionBy(part, group, "day_period").orderBy("session_date")
@@ -80,7 +90,7 @@ def shift_features(
     averaged = [s for s in shifted.values() if s not in ("holiday_period", "weekday_encoded")]
     if averaged:
         # Two rows, one per part.
-        means = df.groupBy(part).agg(*[F.avg(s).alias(f"_mean_{s}") for s in averaged])
+        means = (df if means_from is None else means_from).groupBy(part).agg(*[F.avg(s).alias(f"_mean_{s}") for s in averaged])
         df = df.join(F.broadcast(means), part)
 
     columns = {}
@@ -108,9 +118,9 @@ def drop_features(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.drop(*columns)
 
 
-def interactions(df: DataFrame, group: str) -> DataFrame:
+def interactions(df: DataFrame, group: str, means_from: DataFrame | None = None) -> DataFrame:
     """Shifts, products and differences; the shifts themselves are dropped again."""
-    df = shift_features(df, group)
+    df = shift_features(df, group, means_from=means_from)
     for name, (left, right) in config.PRODUCTS.items():
         df = interaction_product(df, name, left, right)
     for name, (left, right) in config.DIFFERENCES.items():

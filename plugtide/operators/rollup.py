@@ -5,24 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plugtide import config
 from plugtide.config import Settings
 from plugtide.operators.grid import busyness_category, first_known
 
-FIRST_KNOWN = [
-    "month", "country", "weekday", "season", "year", "location_city", "holiday_period", "city_type",
-    "station_charging_points", "station_avg_power", "period_duration",
-    "days_since_data_start", "weeks_since_data_start",
-]
-
-MEANS = [
-    "avg_total_busyness", "avg_day_period_busyness", "daily_period_busyness", "daily_busyness",
-    "daily_rolling_avg_1d", "daily_rolling_avg_7d", "daily_rolling_avg_30d",
-    "daily_period_rolling_avg_1d", "daily_period_rolling_avg_7d", "daily_period_rolling_avg_30d",
-    "daily_period_rolling_IQR_7d", "daily_period_rolling_IQR_30d", "past_week_same_period",
-    "daily_cumulative_average", "weekly_cumulative_average",
-    "period_daily_cumulative_average", "period_weekly_cumulative_average",
-]
-
 
 def station_rollup(df: DataFrame, settings: Settings) -> DataFrame:
     """One row per (day, period, station), with the category of the mean busyness.
@@ -37,8 +23,8 @@ def station_rollup(df: DataFrame, settings: Settings) -> DataFrame:
             F.min("first_active_day").alias("first_active_day"),
             F.min("gap_days").alias("gap_days"),
             F.sum("usage_time").alias("usage_time"),
-            *[first_known(c, order="evse_uid") for c in FIRST_KNOWN],
-            *[F.avg(c).alias(c) for c in MEANS],
+            *[first_known(c, order="evse_uid") for c in config.STATION_FIRSTS],
+            *[F.avg(c).alias(c) for c in config.STATION_MEANS],
         )
     )
     return stations.withColumn(

@@ -15,13 +15,11 @@ from plugtide.config import Settings
 from plugtide.functions.times import midnight, seconds_between
 from plugtide.operators.enrich import holiday_flag, time_features
 from plugtide.operators.expand import period_share, total_share
-from plugtide.operators.grid import CARRIED, busyness_category, day_spans, gap_fill, operation_time
+from plugtide.operators.grid import busyness_category, day_spans, gap_fill, operation_time
 from plugtide.operators.rolling import SPREAD_WINDOWS, WINDOWS, or_zero, spread_before, with_spreads
 
 PERIODS = config.PERIOD_NAMES
 BY_NAME = sorted(PERIODS)
-# Day rows that make a task worth its start, before idle days and periods multiply them.
-DAYS_PER_TASK = 20_000
 LENGTHS = {name: length for name, _, _, length in config.DAY_PERIODS}
 
 GRID_FIELDS = [
@@ -72,8 +70,11 @@ def filled_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> Dat
 
     `days` is read more than once and should be a written table.
     """
-    days = days.repartition(_partitions(days), "evse_uid")
     all_use = sum((F.col(p) for p in PERIODS), F.lit(0.0))
+    # The first day of any span, read from the table as it is: a point's first row reaches back to
+    # its first active day, and that is the same in all its rows.
+    opened = F.greatest("first_active_day", F.lit(settings.remove_before).cast("date"))
+    data_start = days.agg(F.min(F.least("session_date", opened))).scalar()
     days = days.withColumns({
         "_lifetime": seconds_between(F.min("_opened").over(point()), F.max("_closed").over(point())),
         "_used": F.sum(all_use).over(point()),
@@ -84,9 +85,8 @@ def filled_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> Dat
         },
     })
     spans = day_spans(days, settings)
-    data_start = spans.agg(F.min("_since")).scalar()
 
-    attributes = [c for c in CARRIED if c not in ("period_duration", "avg_total_busyness")]
+    attributes = [c for c in config.CARRIED if c not in ("period_duration", "avg_total_busyness")]
     busyness = {p: F.col(of(p, "usage_time")) / LENGTHS[p] for p in PERIODS}
     filled = (
         gap_fill(spans)
@@ -118,17 +118,6 @@ def filled_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> Dat
     return holiday_flag(filled, holidays, "session_date", settings.holiday_radius_days)
 
 
-def _partitions(days: DataFrame) -> int:
-    """The session's shuffle partitions, or fewer for few rows.
-
-    Rows multiply after this exchange, so its bytes say little about the work; a given number keeps
-    adaptive execution from merging the partitions by size.
-    """
-    spark = days.sparkSession
-    wanted = max(spark.sparkContext.defaultParallelism, days.count() // DAYS_PER_TASK + 1)
-    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def _period_duration(period: str, settings: Settings) -> Column:
     """With `compat`, idle days carry the length of the row before them in alphabetical period
     order, and leading idle days that of the row after them."""
@@ -159,7 +148,10 @@ def _gap_days() -> dict[str, Column]:
 
 
 def rolled_days(filled: DataFrame, settings: Settings) -> DataFrame:
-    """Adds rolling means, spreads, past week and cumulative means, per day and per period."""
+    """Adds rolling means, spreads, past week and cumulative means, per day and per period.
+
+    `filled` is read more than once and should be a written table.
+    """
     all_use = sum((F.col(of(p, "usage_time")) for p in PERIODS), F.lit(0.0))
     week = "weeks_since_data_start"
     df = filled.withColumns({
@@ -184,7 +176,7 @@ def rolled_days(filled: DataFrame, settings: Settings) -> DataFrame:
         for w in SPREAD_WINDOWS:
             frame = by_day().rowsBetween(1 - w, 0) if settings.compat else by_day().rowsBetween(-w, -1)
             spreads[of(p, f"_iqr_{w}")] = (busyness, frame)
-    df = _shifted_spreads(with_spreads(df.withColumns(columns), spreads), settings)
+    df = _shifted_spreads(with_spreads(df.withColumns(columns), spreads), filled, settings)
 
     # Weekly means sit on the first day of their week; the mean over earlier weeks skips the rest.
     in_week = Window.partitionBy("evse_uid", week)
@@ -196,7 +188,7 @@ def rolled_days(filled: DataFrame, settings: Settings) -> DataFrame:
     }).drop(*[f"_mean_{m}" for m in measures])
 
 
-def _shifted_spreads(df: DataFrame, settings: Settings) -> DataFrame:
+def _shifted_spreads(df: DataFrame, filled: DataFrame, settings: Settings) -> DataFrame:
     """The spreads of the days before; with `compat`, a group's first day shows the group before."""
     def name(p: str, w: int) -> str:
         return of(p, f"daily_period_rolling_IQR_{w}d")
@@ -205,10 +197,6 @@ def _shifted_spreads(df: DataFrame, settings: Settings) -> DataFrame:
     if not settings.compat:
         return df.withColumns({name(p, w): or_zero(F.col(of(p, f"_iqr_{w}"))) for p, w in own})
 
-    last_period = BY_NAME[-1]
-    last = df.groupBy("evse_uid").agg(*[
-        F.max_by(of(last_period, f"_iqr_{w}"), "session_date").alias(f"_last_{w}") for w in SPREAD_WINDOWS
-    ])
     previous = dict(zip(BY_NAME[1:], BY_NAME))
     columns = {}
     for p, w in own:
@@ -216,4 +204,20 @@ def _shifted_spreads(df: DataFrame, settings: Settings) -> DataFrame:
         if p in previous:
             before = F.last(of(previous[p], f"_iqr_{w}")).over(all_days())
         columns[name(p, w)] = or_zero(F.coalesce(F.lag(of(p, f"_iqr_{w}")).over(by_day()), before))
-    return df.join(spread_before(last), "evse_uid", "left").withColumns(columns)
+    return df.join(spread_before(_last_spreads(filled)), "evse_uid", "left").withColumns(columns)
+
+
+def _last_spreads(filled: DataFrame) -> DataFrame:
+    """The spreads on each point's last day, from its last days alone."""
+    last = F.col(of(BY_NAME[-1], "daily_period_busyness"))
+    days = (
+        filled.select("evse_uid", "session_date", last.alias("_x"))
+        .withColumn("_age", F.datediff(F.max("session_date").over(point()), "session_date"))
+        .filter(F.col("_age") < max(SPREAD_WINDOWS))
+    )
+
+    def spread(w: int) -> Column:
+        recent = F.when(F.col("_age") < w, F.col("_x"))
+        return F.percentile(recent, 0.75) - F.percentile(recent, 0.25)
+
+    return days.groupBy("evse_uid").agg(*[spread(w).alias(f"_last_{w}") for w in SPREAD_WINDOWS])

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,20 @@ from plugtide.plans.fixture import SETTINGS, Fixture
 from plugtide.sources import tables
 
 REPAIRED = replace(SETTINGS, compat=False)
-BY_POINT = replace(SETTINGS, grain="points", search_iterations=2, max_trees=5, max_depth=3)
+# Small enough for a check, and wide enough that draws differ in trees and in depth.
+SEARCH = {
+    "search_iterations": 2,
+    "folds": 2,
+    "search_spaces": {
+        "forest": config.FOREST_SPACE | {"trees": (4, 12), "depth": (3, 7)},
+        "boosted_deep": config.DEEP_BOOST_SPACE | {"trees": (3, 8), "depth": (2, 4)},
+        "boosted_leaf": config.LEAF_BOOST_SPACE | {"trees": (3, 8), "depth": (2, 4), "min_leaf": (2, 20)},
+    },
+}
+BY_POINT = replace(SETTINGS, grain="points", **SEARCH)
+# Stations are labelled by the repaired rule: the established one leaves mean busyness of 1.01 and
+# more without a category, and such rows can not be labelled.
+BY_STATION = replace(SETTINGS, compat=False, **SEARCH)
 
 RAW = [
     "evse_uid", "started_at", "stopped_at", "last_energy_change_at", "energy_wh", "duration_seconds",
@@ -42,7 +56,7 @@ GRID = [
 ]
 ROLLED = [
     "session_date", "day_period", "location_name", "first_active_day", "gap_days", "usage_time",
-    *oracles.ROLLED_FIRSTS, *oracles.ROLLED_MEANS, "daily_period_busyness_cat",
+    *config.STATION_FIRSTS, *config.STATION_MEANS, "daily_period_busyness_cat",
 ]
 
 
@@ -52,7 +66,7 @@ def shown(df: DataFrame, columns: list[str]) -> DataFrame:
         return {
             "s": lambda: column,
             "d": lambda: F.date_format(column, "yyyy-MM-dd"),
-            "t": lambda: F.date_format(column, "yyyy-MM-dd HH:mm:ss"),
+            "t": lambda: F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
             "i": lambda: column.cast("bigint"),
             "f": lambda: F.round(column.cast("double") + F.lit(oracles.NUDGE), 6) + F.lit(0.0),
         }[kind]().alias(name)
@@ -149,43 +163,48 @@ def timed_grid(fx: Fixture) -> DataFrame:
     return stages.grid_from_days(days, fx.holidays, SETTINGS)
 
 
-def features(fx: Fixture) -> DataFrame:
-    return stages.point_features(fx.sessions, fx.points, fx.holidays, fx.population, SETTINGS)
+def features(fx: Fixture, settings=SETTINGS) -> DataFrame:
+    return stages.point_features(fx.sessions, fx.points, fx.holidays, fx.population, settings)
 
 
-def written_features(fx: Fixture) -> DataFrame:
-    return durable(features(fx), "features")
+def written_features(fx: Fixture, settings=SETTINGS) -> DataFrame:
+    return durable(features(fx, settings), "features")
 
 
 def split_points(fx: Fixture) -> DataFrame:
-    return prepare.sequential_split(written_features(fx), "evse_uid", SETTINGS.split_ratio)
+    return stages.split(features(fx), replace(SETTINGS, grain="points"))
 
 
 def ordinals(fx: Fixture) -> DataFrame:
     return prepare.ordinal_encode(split_points(fx))
 
 
-def matrix(fx: Fixture) -> DataFrame:
-    return durable(stages.model_table(written_features(fx), BY_POINT), "matrix")
+def matrix(fx: Fixture, settings=BY_POINT) -> DataFrame:
+    return durable(stages.model_table(written_features(fx, settings), settings), "matrix")
 
 
 def predicted(fx: Fixture) -> DataFrame:
     return evaluate.apply_threshold(fx.scores, 0.5)
 
 
+MEASURED = [c for c in config.POINT_FEATURES if not c.endswith("_encoded") and c not in (*config.PRODUCTS, *config.DIFFERENCES)]
+
+
 def correlations(fx: Fixture) -> DataFrame:
     """A stand-in for a model's importances that SQL can follow: |correlation| with the busyness."""
-    names = [c for c in config.POINT_FEATURES if c in oracles.ROLLED_MEANS and c != "daily_period_busyness"]
     rows = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.round(F.abs(F.corr(c, "daily_period_busyness")), 6).alias("importance"))
-        for c in names
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.round(F.abs(F.coalesce(F.nanvl(F.corr(c, "daily_period_busyness"), F.lit(0.0)), F.lit(0.0))), 6).alias("importance"),
+        )
+        for c in MEASURED
     ])
     return features(fx).agg(rows.alias("_r")).select(F.inline("_r"))
 
 
-CORRELATED = [c for c in config.POINT_FEATURES if c in oracles.ROLLED_MEANS and c != "daily_period_busyness"]
 IMPORTANCES_SQL = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(abs(corr({c}, daily_period_busyness)), 6) AS importance FROM features" for c in CORRELATED
+    f"SELECT '{c}' AS feature, round(abs(CASE WHEN stddev_pop({c}) > 0 THEN corr({c}, daily_period_busyness) ELSE 0 END), 6) "
+    f"AS importance FROM features" for c in MEASURED
 )
 
 
@@ -193,7 +212,7 @@ IMPORTANCES_SQL = " UNION ALL ".join(
 
 def load_sessions(fx: Fixture) -> DataFrame:
     path = fresh_path(fx.spark, "sessions-csv")
-    fx.sessions.write.option("header", True).csv(path)
+    fx.sessions.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     return tables.load_sessions(fx.spark, path)
 
 
@@ -214,47 +233,136 @@ def checkpoint_roundtrip(fx: Fixture) -> DataFrame:
 
 # --- models ----------------------------------------------------------------------------------------
 
-def trained(fx: Fixture, names: list[str] | None = None) -> list[learn.Trained]:
-    return learn.train_models(matrix(fx), BY_POINT, names)
+_fitted: dict[tuple, tuple[DataFrame, list[learn.Trained]]] = {}
 
 
-def train_models(fx: Fixture) -> DataFrame:
-    """Each model fitted once with the first drawn settings: its training rows and trees."""
-    table, rows = matrix(fx), []
-    for name in learn.MODELS:
-        train = learn.training_rows(table, BY_POINT.features, name, BY_POINT)
-        model = learn.estimator(name, learn.draw_settings(name, BY_POINT)[0], BY_POINT).fit(train)
-        rows.append((name, model.getNumTrees, model.numFeatures))
-    return fx.spark.createDataFrame(rows, "model string, trees int, features int")
+def trained(fx: Fixture, settings) -> tuple[DataFrame, list[learn.Trained]]:
+    """The matrix, and all models searched and fitted on it; once per session and input."""
+    key = (fx.spark.sparkContext.applicationId, fx.sf_dir, settings.grain)
+    if key not in _fitted:
+        table = matrix(fx, settings)
+        _fitted[key] = table, learn.train_models(table, settings)
+    return _fitted[key]
 
 
-def random_search(fx: Fixture) -> DataFrame:
-    train = learn.training_rows(matrix(fx), BY_POINT.features, "forest", BY_POINT)
-    _, best, tried = learn.random_search(train, "forest", BY_POINT)
-    rows = [(str(drawn), score, drawn == best) for drawn, score in tried]
-    return fx.spark.createDataFrame(rows, "settings string, f1 double, best boolean")
+def train_models(fx: Fixture, settings) -> DataFrame:
+    """What each model was fitted on."""
+    table, models = trained(fx, settings)
+    train, rows = learn.training_rows(table, settings.features, settings), []
+    for t in models:
+        of = learn.weighted(train, learn.MODELS[t.name][1])
+        sums = of.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("p"), F.sum("weight").alias("w")).first()
+        rows.append((t.name, sums.n, sums.p, sums.w, t.model.numFeatures))
+    return fx.spark.createDataFrame(rows, "model string, rows long, positives double, weight double, features int")
 
 
-def score(fx: Fixture) -> DataFrame:
-    table = matrix(fx)
-    train = learn.training_rows(table, BY_POINT.features, "boosted_deep", BY_POINT)
-    drawn = learn.draw_settings("boosted_deep", BY_POINT)[0]
-    model = learn.estimator("boosted_deep", drawn, BY_POINT).fit(train)
-    return learn.score(model, learn.assemble(table.filter("NOT is_train"), BY_POINT.features))
+def random_search(fx: Fixture, settings) -> DataFrame:
+    table = learn.result_tables(fx.spark, trained(fx, settings)[1])["search"]
+    return table.withColumn("valid", F.col("f1").between(0, 1))
 
 
-def retrain_selected(fx: Fixture) -> DataFrame:
-    result = trained(fx, ["forest"])[0]
-    return learn.importances(fx.spark, result.retrained, result.selected)
+def score(fx: Fixture, settings) -> DataFrame:
+    """The test rows as the best setting of each model scores them."""
+    parts = [
+        t.scored["initial"].filter("NOT is_train").withColumn("model", F.lit(t.name)) for t in trained(fx, settings)[1]
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    agrees = (F.col("prediction") == 1) == (F.col("score") > 0.5)
+    return rows.withColumns({"valid": F.col("score").between(0, 1), "agrees": agrees})
 
 
-def model_results(fx: Fixture) -> DataFrame:
-    return learn.model_results(fx.spark, trained(fx))
+def retrain_selected(fx: Fixture, settings) -> DataFrame:
+    rows = [
+        (t.name, 1 <= len(t.selected) <= settings.max_features,
+         set(t.selected) <= set(settings.features) and t.retrained.numFeatures == len(t.selected))
+        for t in trained(fx, settings)[1]
+    ]
+    return fx.spark.createDataFrame(rows, "model string, in_limit boolean, subset boolean")
+
+
+def model_results(fx: Fixture, settings) -> DataFrame:
+    """Every measure, and whether it is a share; area and tuned F1 are worked out again from the scores."""
+    models = trained(fx, settings)[1]
+    again = {}
+    for t in models:
+        values = {(run, metric): value for _, run, metric, value in t.measures}
+        for run, scored in t.scored.items():
+            test = scored.filter("NOT is_train").withColumn("label", F.col("label").cast("double"))
+            again[t.name, run, "roc_auc"] = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(test)
+            called = F.col("score") >= values[run, "optimal_threshold"]
+            hits = test.agg(F.sum(F.when(called, F.col("label"))), F.count_if(called), F.sum("label")).first()
+            again[t.name, run, "optimal_f1"] = 2 * (hits[0] or 0) / (hits[1] + hits[2])
+
+    def agrees(model: str, run: str, metric: str, value: float | None) -> bool:
+        if value is None or (model, run, metric) in again:
+            return value is not None and abs(value - again[model, run, metric]) < 1e-6
+        return value >= 1 if metric == "features" else 0 <= value <= 1
+
+    rows = [(*row[:3], agrees(*row)) for t in models for row in t.measures]
+    return fx.spark.createDataFrame(rows, "model string, run string, metric string, agrees boolean")
+
+
+def evaluation_tables(fx: Fixture) -> DataFrame:
+    """All evaluation tables of the fixture's scores, written, read back and shown as one."""
+    optimal = evaluate.tune_threshold(fx.scores).first()["optimal_threshold"]
+    results = evaluate.evaluation_tables(predicted(fx), durable(evaluate.by_score(fx.scores), "points"), optimal)
+    folder = fresh_path(fx.spark, "results")
+    tables.write_results(results, folder)
+    read = tables.read_results(fx.spark, folder, list(results))
+
+    def rows(part: str, kind: str, name: Column, threshold: str, *values: str) -> DataFrame:
+        numbers = dict(zip("xyz", [F.col(v).cast("double") for v in values] + [F.lit(None).cast("double")] * 3))
+        return read[part].select(
+            F.lit(part).alias("part"), F.expr(kind).cast("string").alias("threshold_kind"), name.cast("string").alias("name"),
+            F.expr(threshold).cast("double").alias("threshold"), *[c.alias(n) for n, c in numbers.items()],
+        )
+
+    none = F.lit(None)
+    cell = F.concat_ws("-", F.col("actual").cast("string"), F.col("predicted").cast("string"))
+    return (
+        rows("confusion_matrix", "threshold_kind", cell, "NULL", "rows")
+        .unionByName(rows("classification_report", "threshold_kind", F.col("class"), "NULL", "precision", "recall", "f1"))
+        .unionByName(rows("roc_curve", "NULL", none, "threshold", "fpr", "tpr"))
+        .unionByName(rows("pr_curve", "NULL", none, "threshold", "precision", "recall"))
+        .unionByName(rows("f1_by_threshold", "NULL", none, "threshold", "precision", "recall", "f1"))
+    )
+
+
+def class_weights(settings, tag: str) -> Entry:
+    return Entry(
+        lambda fx: learn.class_weights(matrix(fx, settings).filter("is_train")),
+        ["label", "rows", "balanced", "positive"],
+        f"""
+SELECT label, rows, sum(rows) OVER () / (2.0 * rows) AS balanced,
+       CASE WHEN label = 1 THEN round(sum(rows) FILTER (WHERE label = 0) OVER () / CAST(rows AS DOUBLE), 2) ELSE 1 END AS positive
+FROM (SELECT label, count(*) AS rows FROM crossed{tag} WHERE is_train = 1 GROUP BY label)""",
+    )
+
+
+def model_entries(settings, tag: str, suffix: str) -> dict[str, Entry]:
+    """The queries on fitted models at one grain."""
+    keys = ["session_date", "day_period", settings.group]
+
+    def entry(function, columns: list[str], sql: str) -> Entry:
+        return Entry(lambda fx: function(fx, settings), columns, sql)
+
+    return {
+        f"train_models{suffix}": entry(
+            train_models, ["model", "rows", "positives", "weight", "features"], oracles.fitted_rows(tag, len(settings.features))
+        ),
+        f"random_search{suffix}": entry(
+            random_search, ["model", "draw", "fold", "rows", "positives", "valid"],
+            oracles.searched(tag, settings.group, settings.folds, settings.search_iterations),
+        ),
+        f"score{suffix}": entry(score, ["model", *keys, "label", "valid", "agrees"], oracles.scored(tag)),
+        f"retrain_selected{suffix}": entry(retrain_selected, ["model", "in_limit", "subset"], oracles.SELECTED),
+        f"model_results{suffix}": entry(model_results, ["model", "run", "metric", "agrees"], oracles.RESULTS),
+    }
 
 
 # --- the catalog -----------------------------------------------------------------------------------
 
-FEATURES = [*GRID, *[c for c in oracles.ROLLED_MEANS if c not in GRID]]
+FEATURES = [*GRID, *[c for c in config.STATION_MEANS if c not in GRID]]
 KW = ["evse_uid", "started_at", "location_name", "energy_kwh", "session_charging_duration"]
 
 
@@ -378,7 +486,7 @@ def entries() -> dict[str, Entry]:
             settings=SETTINGS,
         ),
         "rolling_iqr_repaired": _rolling(
-            rolling.rolling_iqr, ["daily_period_rolling_IQR_7d", "daily_period_rolling_IQR_30d"], "r7_repaired",
+            rolling.rolling_iqr, ["daily_period_rolling_IQR_7d", "daily_period_rolling_IQR_30d"], "r7_plain",
             settings=REPAIRED,
         ),
         "past_week": _rolling(rolling.past_week, ["past_week_same_period"], "features"),
@@ -390,6 +498,9 @@ def entries() -> dict[str, Entry]:
             "features",
         ),
         "point_features": Entry(features, FEATURES, "SELECT * FROM features"),
+        "point_features_repaired": Entry(
+            lambda fx: features(fx, REPAIRED), FEATURES, "SELECT * FROM features_repaired"
+        ),
         # stations, train and test
         "station_rollup": Entry(
             lambda fx: station_rollup(features(fx), SETTINGS), ROLLED, "SELECT * FROM rolled"
@@ -436,7 +547,7 @@ def entries() -> dict[str, Entry]:
         ),
         "interactions_stations": Entry(
             lambda fx: prepare.interactions(
-                stages.preprocess(durable(station_rollup(features(fx), SETTINGS), "stations"), SETTINGS), "location_name"
+                stages.preprocess(stages.split(station_rollup(features(fx), SETTINGS), SETTINGS), SETTINGS), "location_name"
             ),
             ["session_date", "day_period", "location_name", "is_train", "location_city_encoded", "location_name_encoded",
              *config.STATION_FEATURES],
@@ -445,19 +556,25 @@ def entries() -> dict[str, Entry]:
         "training_matrix": Entry(
             matrix, [*PERIOD_KEYS, *config.POINT_FEATURES, "label", "is_train"], "SELECT * FROM crossed_points"
         ),
-        "class_weights": Entry(
-            lambda fx: learn.class_weights(matrix(fx).filter("is_train")), ["label", "rows", "balanced", "positive"],
-            """
-SELECT label, rows, sum(rows) OVER () / (2.0 * rows) AS balanced,
-       CASE WHEN label = 1 THEN round(sum(rows) FILTER (WHERE label = 0) OVER () / CAST(rows AS DOUBLE), 2) ELSE 1 END AS positive
-FROM (SELECT label, count(*) AS rows FROM crossed_points WHERE is_train = 1 GROUP BY label)""",
+        "class_weights": class_weights(BY_POINT, "_points"),
+        "label_encode_stations": Entry(
+            lambda fx: prepare.label_encode(station_rollup(features(fx, REPAIRED), REPAIRED)),
+            ["session_date", "day_period", "location_name", "daily_period_busyness_cat", "label"],
+            "SELECT * FROM crossed_stations_repaired",
         ),
+        "training_matrix_stations": Entry(
+            lambda fx: matrix(fx, BY_STATION),
+            ["session_date", "day_period", "location_name", *config.STATION_FEATURES, "label", "is_train"],
+            "SELECT * FROM crossed_stations_repaired",
+        ),
+        "class_weights_stations": class_weights(BY_STATION, "_stations_repaired"),
         # models
-        "train_models": Entry(train_models),
-        "random_search": Entry(random_search),
-        "score": Entry(score),
-        "retrain_selected": Entry(retrain_selected),
-        "model_results": Entry(model_results),
+        **model_entries(BY_POINT, "_points", ""),
+        **model_entries(BY_STATION, "_stations_repaired", "_stations"),
+        "evaluation_tables": Entry(
+            evaluation_tables, ["part", "threshold_kind", "name", "threshold", "x", "y", "z"], oracles.EVALUATION,
+            {"report": oracles.REPORT},
+        ),
         # measures
         "confusion_matrix": Entry(
             lambda fx: evaluate.confusion_matrix(predicted(fx)), ["actual", "predicted", "rows"],

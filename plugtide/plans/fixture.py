@@ -12,10 +12,10 @@ from plugtide.config import Settings
 
 SETTINGS = Settings(remove_before="2024-01-05", remove_after="2024-01-28", max_session_s=100000)
 
-# {text} is the engine's string type and {second} its truncation to whole seconds.
+# {text} is the engine's string type.
 SESSIONS_SQL = """
 WITH e AS (
-  SELECT event_id, user_id, event_type, {second} AS st,
+  SELECT event_id, user_id, event_type, ts AS st,
          CASE WHEN user_id % 10 = 9 THEN CAST(floor(round(value*100)*4/40) AS BIGINT)
               ELSE CAST(round(value*100) AS BIGINT)*4 END AS dur,
          CAST(round(value*100) AS BIGINT) AS v100 FROM events),
@@ -56,12 +56,12 @@ FROM nation WHERE n_nationkey <> 22
 """
 SCORES_SQL = """
 SELECT event_id AS row_id, CASE WHEN event_type IN ('click','signup') THEN 1 ELSE 0 END AS label,
-       floor(least(value, 200)) / 200 AS score FROM events
+       round(value / (value + 200), 4) AS score FROM events
 """
 
 
 def for_duckdb(sql: str) -> str:
-    return sql.format(text="VARCHAR", second="date_trunc('second', ts)")
+    return sql.format(text="VARCHAR")
 
 
 class Fixture:
@@ -71,7 +71,7 @@ class Fixture:
         self.spark, self.sf_dir = spark, sf_dir
 
     def _view(self, table: str, sql: str) -> DataFrame:
-        sql = sql.format(text="STRING", second="CAST(date_trunc('second', ts) AS TIMESTAMP_NTZ)")
+        sql = sql.format(text="STRING")
         given = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
         return self.spark.sql(sql.replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: given})
 

@@ -14,17 +14,24 @@ from plugtide.plans.fixture import SETTINGS as S
 # --- how columns are shown: text, whole number, double to six places, date, timestamp -------------
 
 KINDS = {
-    "s": "evse_uid type location_name location_city country weekday month season city_type day_period "
-         "daily_period_busyness_cat class feature",
-    "d": "first_active_day final_active_day last_session_pre_data session_date end_date",
-    "t": "started_at stopped_at last_energy_change_at",
-    "i": "quarter year holiday_period station_charging_points population period_duration gap_days "
-         "days_since_data_start weeks_since_data_start days_since_point_active weeks_since_point_active "
-         "is_train season_encoded weekday_encoded month_encoded city_type_encoded day_period_encoded "
-         "label prediction actual predicted rows support rank selected holiday_1d_shift weekday_enc_1d_shift "
-         "session_duration weekday_x_holiday weekday_x_day_period weekday_x_holiday_1d_shift row_id",
+    "s": [
+        "evse_uid", "type", "location_name", "location_city", "country", "weekday", "month", "season", "city_type",
+        "day_period", "daily_period_busyness_cat", "class", "feature", "model", "run", "metric", "part", "name",
+        "threshold_kind",
+    ],
+    "d": ["first_active_day", "final_active_day", "last_session_pre_data", "session_date", "end_date"],
+    "t": ["started_at", "stopped_at", "last_energy_change_at"],
+    "i": [
+        "quarter", "year", "holiday_period", "station_charging_points", "population", "period_duration", "gap_days",
+        "days_since_data_start", "weeks_since_data_start", "days_since_point_active", "weeks_since_point_active",
+        "is_train", "season_encoded", "weekday_encoded", "month_encoded", "city_type_encoded", "day_period_encoded",
+        "label", "prediction", "actual", "predicted", "rows", "support", "rank", "selected", "holiday_1d_shift",
+        "weekday_enc_1d_shift", "session_duration", "weekday_x_holiday", "weekday_x_day_period",
+        "weekday_x_holiday_1d_shift", "row_id", "draw", "fold", "positives", "features", "valid", "in_limit", "subset",
+        "agrees",
+    ],
 }
-KIND = {name: kind for kind, names in KINDS.items() for name in names.split()}
+KIND = {name: kind for kind, names in KINDS.items() for name in names}
 
 
 # Shares of a day are often exact ties at the sixth place, where the last bit of a sum would decide;
@@ -40,7 +47,7 @@ def rendered(column: str) -> str:
     return {
         "s": f"{column} AS {column}",
         "d": f"strftime({column}, '%Y-%m-%d') AS {column}",
-        "t": f"strftime({column}, '%Y-%m-%d %H:%M:%S') AS {column}",
+        "t": f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f') AS {column}",
         "i": f"CAST({column} AS BIGINT) AS {column}",
         "f": f"round(CAST({column} AS DOUBLE) + {NUDGE}, 6) + 0.0 AS {column}",
     }[kind_of(column)]
@@ -83,31 +90,7 @@ POPULATION_BIN = (
     "CASE WHEN population < 0 THEN NULL WHEN population >= 1000000 THEN 'Metropolis' WHEN population >= 100000 THEN 'City' "
     "WHEN population >= 10000 THEN 'Town' ELSE 'Village' END"
 )
-CARRIED = [
-    "type", "first_active_day", "final_active_day", "last_session_pre_data", "country", "location_city",
-    "location_name", "city_type", "station_charging_points", "station_avg_power", "point_avg_power",
-    "avg_total_busyness", "period_duration",
-]
-FIRSTS = [
-    "type", "first_active_day", "final_active_day", "last_session_pre_data", "period_duration", "month",
-    "country", "weekday", "season", "year", "location_city", "location_name", "holiday_period", "city_type",
-    "station_charging_points", "station_avg_power", "point_avg_power", "avg_total_busyness",
-    "avg_day_period_busyness",
-]
 LENGTH = "CASE day_period " + " ".join(f"WHEN '{n}' THEN {x}" for n, _, _, x in config.DAY_PERIODS) + " END"
-ROLLED_MEANS = [
-    "avg_total_busyness", "avg_day_period_busyness", "daily_period_busyness", "daily_busyness",
-    "daily_rolling_avg_1d", "daily_rolling_avg_7d", "daily_rolling_avg_30d", "daily_period_rolling_avg_1d",
-    "daily_period_rolling_avg_7d", "daily_period_rolling_avg_30d", "daily_period_rolling_IQR_7d",
-    "daily_period_rolling_IQR_30d", "past_week_same_period", "daily_cumulative_average",
-    "weekly_cumulative_average", "period_daily_cumulative_average", "period_weekly_cumulative_average",
-]
-ROLLED_FIRSTS = [
-    "month", "country", "weekday", "season", "year", "location_city", "holiday_period", "city_type",
-    "station_charging_points", "station_avg_power", "period_duration", "days_since_data_start",
-    "weeks_since_data_start",
-]
-
 
 def _operation_time(table: str) -> str:
     return f"""
@@ -127,7 +110,7 @@ def _grid(tag: str, compat: bool) -> dict[str, str]:
             f"CAST(DATE '{S.remove_after}' - INTERVAL 1 DAY AS DATE)))"
         )
     carry = []
-    for c in CARRIED:
+    for c in config.CARRIED:
         if c == "period_duration" and not compat:
             carry.append(f"{LENGTH} AS period_duration")
             continue
@@ -178,7 +161,8 @@ def _iqr(frame: str) -> str:
 PG = "PARTITION BY evse_uid, day_period ORDER BY session_date"
 
 
-def _rolling() -> dict[str, str]:
+def _rolling(tag: str, compat: bool) -> dict[str, str]:
+    """Rolling and cumulative measures of a grid, for one of the two rule sets."""
     day_means = ", ".join(
         f"coalesce(avg(daily_busyness) OVER (PARTITION BY evse_uid ORDER BY session_date "
         f"ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING), 0) AS daily_rolling_avg_{w}d" for w in (1, 7, 30)
@@ -187,44 +171,64 @@ def _rolling() -> dict[str, str]:
         f"coalesce(avg(daily_period_busyness) OVER ({PG} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING), 0) "
         f"AS daily_period_rolling_avg_{w}d" for w in (1, 7, 30)
     )
-    return {
-        "day_use": f"""
-SELECT *, {day_means} FROM (
-  SELECT evse_uid, session_date, sum(usage_time) / 86400.0 AS daily_busyness FROM grid GROUP BY ALL)""",
-        "r5": "SELECT g.*, d.* EXCLUDE (evse_uid, session_date) FROM grid g LEFT JOIN day_use d USING (evse_uid, session_date)",
-        "r6": f"SELECT *, {period_means} FROM r5",
-        "spread": "SELECT *, "
-        + _iqr(f"({PG} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)") + " AS iqr7, "
-        + _iqr(f"({PG} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)") + " AS iqr30 FROM r6",
-        "r7": """
+    shifted = f"""
 SELECT * EXCLUDE (iqr7, iqr30),
        coalesce(lag(iqr7) OVER (ORDER BY evse_uid, day_period, session_date), 0) AS daily_period_rolling_IQR_7d,
        coalesce(lag(iqr30) OVER (ORDER BY evse_uid, day_period, session_date), 0) AS daily_period_rolling_IQR_30d
-FROM spread""",
-        "r7_repaired": "SELECT *, coalesce("
-        + _iqr(f"({PG} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)") + ", 0) AS daily_period_rolling_IQR_7d, coalesce("
-        + _iqr(f"({PG} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)") + ", 0) AS daily_period_rolling_IQR_30d FROM r6",
-        "r8": """
+FROM spread{tag}"""
+    return {
+        f"day_use{tag}": f"""
+SELECT *, {day_means} FROM (
+  SELECT evse_uid, session_date, sum(usage_time) / 86400.0 AS daily_busyness FROM grid{tag} GROUP BY ALL)""",
+        f"r5{tag}": f"SELECT g.*, d.* EXCLUDE (evse_uid, session_date) FROM grid{tag} g "
+                    f"LEFT JOIN day_use{tag} d USING (evse_uid, session_date)",
+        f"r6{tag}": f"SELECT *, {period_means} FROM r5{tag}",
+        f"spread{tag}": "SELECT *, "
+        + _iqr(f"({PG} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)") + " AS iqr7, "
+        + _iqr(f"({PG} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)") + f" AS iqr30 FROM r6{tag}",
+        f"r7{tag}": shifted if compat else _plain_spreads(f"r6{tag}"),
+        f"r8{tag}": f"""
 SELECT *, coalesce(lag(daily_period_busyness, 35) OVER (PARTITION BY evse_uid ORDER BY session_date, day_period), 0)
-          AS past_week_same_period FROM r7""",
-        **_cumulative("evse_uid", "daily_busyness", "", "r8", "r9"),
-        **_cumulative("evse_uid, day_period", "daily_period_busyness", "period_", "r9", "features"),
+          AS past_week_same_period FROM r7{tag}""",
+        **_cumulative("evse_uid", "daily_busyness", "", f"r8{tag}", f"r9{tag}", tag),
+        **_cumulative("evse_uid, day_period", "daily_period_busyness", "period_", f"r9{tag}", f"features{tag}", tag),
     }
 
 
-def _cumulative(group: str, value: str, prefix: str, source: str, result: str) -> dict[str, str]:
+def _plain_spreads(source: str) -> str:
+    return (
+        "SELECT *, coalesce(" + _iqr(f"({PG} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")
+        + ", 0) AS daily_period_rolling_IQR_7d, coalesce("
+        + _iqr(f"({PG} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)")
+        + f", 0) AS daily_period_rolling_IQR_30d FROM {source}"
+    )
+
+
+def _cumulative(group: str, value: str, prefix: str, source: str, result: str, tag: str) -> dict[str, str]:
     tables, joins, columns = {}, "", ""
     for name, unit in (("weekly", "weeks_since_data_start"), ("daily", "days_since_data_start")):
-        tables[f"{prefix}{name}"] = f"""
+        tables[f"{prefix}{name}{tag}"] = f"""
 SELECT {group}, {unit}, coalesce(avg(m) OVER (PARTITION BY {group} ORDER BY {unit}
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS {prefix}{name}_cumulative_average
 FROM (SELECT {group}, {unit}, avg({value}) AS m FROM {source} GROUP BY {group}, {unit})"""
-        joins += f" LEFT JOIN {prefix}{name} USING ({group}, {unit})"
+        joins += f" LEFT JOIN {prefix}{name}{tag} USING ({group}, {unit})"
         columns += f", {prefix}{name}_cumulative_average"
     tables[result] = f"SELECT s.*{columns} FROM {source} s{joins}"
     return tables
 
 
+def _rolled(tag: str, compat: bool) -> dict[str, str]:
+    firsts = ", ".join(
+        f"first({c} ORDER BY evse_uid) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in config.STATION_FIRSTS
+    )
+    means = ", ".join(f"avg({c}) AS {c}" for c in config.STATION_MEANS)
+    return {f"rolled{tag}": f"""
+SELECT *, {_category(compat)} AS daily_period_busyness_cat FROM (
+  SELECT session_date, day_period, location_name, min(first_active_day) AS first_active_day, min(gap_days) AS gap_days,
+         sum(usage_time) AS usage_time, {firsts}, {means}
+  FROM features{tag} WHERE location_name IS NOT NULL GROUP BY session_date, day_period, location_name)"""}
+
+
 def _prepared(features: str, group: str, tag: str) -> dict[str, str]:
     """Split, encodings, shifts, products and differences at one grain."""
     encoded = ", ".join(f"{_position(c, order)} AS {c}_encoded" for c, order in config.ORDINAL_ORDERS.items())
@@ -269,12 +273,8 @@ FROM shifts{tag}""",
 
 def tables() -> dict[str, str]:
     firsts = ", ".join(
-        f"first({c} ORDER BY started_at, {c}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in FIRSTS
+        f"first({c} ORDER BY started_at, {c}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in config.POINT_FIRSTS if c != 'gap_days'
     )
-    rolled_firsts = ", ".join(
-        f"first({c} ORDER BY evse_uid) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ROLLED_FIRSTS
-    )
-    rolled_means = ", ".join(f"avg({c}) AS {c}" for c in ROLLED_MEANS)
     periods = _values([(n, a, b, x) for n, a, b, x in config.DAY_PERIODS])
     before, after = f"TIMESTAMP '{S.remove_before}'", f"TIMESTAMP '{S.remove_after}'"
     chg = _seconds("started_at", "last_energy_change_at")
@@ -379,14 +379,14 @@ LEFT JOIN (SELECT evse_uid, day_period, sum(usage_time) AS used FROM f12 GROUP B
         "measured": f"SELECT *, usage_time / ({LENGTH}) AS daily_period_busyness FROM agg",
         **_grid("", True),
         **_grid("_repaired", False),
-        **_rolling(),
-        "rolled": f"""
-SELECT *, {_category(True)} AS daily_period_busyness_cat FROM (
-  SELECT session_date, day_period, location_name, min(first_active_day) AS first_active_day, min(gap_days) AS gap_days,
-         sum(usage_time) AS usage_time, {rolled_firsts}, {rolled_means}
-  FROM features WHERE location_name IS NOT NULL GROUP BY session_date, day_period, location_name)""",
+        **_rolling("", True),
+        **_rolling("_repaired", False),
+        "r7_plain": _plain_spreads("r6"),
+        **_rolled("", True),
+        **_rolled("_repaired", False),
         **_prepared("features", "evse_uid", "_points"),
         **_prepared("rolled", "location_name", "_stations"),
+        **_prepared("rolled_repaired", "location_name", "_stations_repaired"),
         # measures
         "predicted": "SELECT label, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS prediction FROM scores",
         "counts": """
@@ -450,3 +450,69 @@ def statement(query: str, columns: list[str], extra: dict[str, str] | None = Non
     ctes = ",\n".join(f"{name} AS MATERIALIZED ({available[name].strip()})" for name in needed)
     shown = ", ".join(rendered(c) for c in columns)
     return f"WITH {ctes}\nSELECT {shown} FROM ({query.strip()}) AS result"
+
+
+# --- what SQL can know about fitted models --------------------------------------------------------
+
+SCHEMES = "(VALUES ('forest', 'balanced'), ('boosted_deep', 'positive'), ('boosted_leaf', 'balanced')) m(model, scheme)"
+CURVE_POINTS = [f"curve_{kind}_{m}" for kind in ("optimal", "default") for m in ("precision", "recall", "f1")]
+METRICS = [
+    *[f"{kind}_{m}" for kind in ("default", "optimal") for m in ("accuracy", "precision", "recall", "f1", "accuracy_train")],
+    *CURVE_POINTS, "optimal_threshold", "default_threshold", "roc_auc", "features",
+]
+
+
+def fitted_rows(tag: str, features: int) -> str:
+    return f"""
+SELECT model, rows, positives, {features} AS features,
+       CASE WHEN scheme = 'balanced' THEN rows
+            ELSE rows - positives + positives * round((rows - positives) / CAST(positives AS DOUBLE), 2) END AS weight
+FROM {SCHEMES}, (SELECT count(*) AS rows, sum(label) AS positives FROM crossed{tag} WHERE is_train = 1)"""
+
+
+def searched(tag: str, group: str, folds: int, draws: int) -> str:
+    return f"""
+SELECT model, draw, fold, rows, positives, 1 AS valid
+FROM {SCHEMES}, (SELECT unnest(range(0, {draws})) AS draw), (
+  SELECT fold, count(*) AS rows, sum(label) AS positives FROM (
+    SELECT label, (CAST('0x' || substr(h, 1, 3) AS INTEGER)
+                   + row_number() OVER (PARTITION BY label, substr(h, 1, 3) ORDER BY h)) % {folds} AS fold
+    FROM (SELECT label, md5(concat_ws('|', strftime(session_date, '%Y-%m-%d'), day_period, {group})) AS h
+          FROM crossed{tag} WHERE is_train = 1)) GROUP BY fold)"""
+
+
+def scored(tag: str) -> str:
+    return f"SELECT *, 1 AS valid, 1 AS agrees FROM {SCHEMES}, crossed{tag} WHERE is_train = 0"
+
+
+SELECTED = f"SELECT model, 1 AS in_limit, 1 AS subset FROM {SCHEMES}"
+RESULTS = (
+    f"SELECT model, run, metric, 1 AS agrees FROM {SCHEMES}, (VALUES ('initial'), ('optimised')) r(run), "
+    f"(SELECT unnest([{', '.join(repr(m) for m in METRICS)}]) AS metric)"
+)
+
+
+def _shown_counts(kind: str, counts: str) -> str:
+    cells = " UNION ALL ".join(
+        f"SELECT 'confusion_matrix' AS part, '{kind}' AS threshold_kind, '{cell}' AS name, NULL AS threshold, "
+        f"{column} AS x, NULL AS y, NULL AS z FROM {counts}"
+        for cell, column in (("0-0", "tn"), ("0-1", "fp"), ("1-0", "fn"), ("1-1", "tp"))
+    )
+    report = REPORT.replace("FROM counts", f"FROM {counts}")
+    total, right = "CAST(tp + tn + fp + fn AS DOUBLE)", "(tp + tn)"
+    return f"""{cells}
+UNION ALL SELECT 'classification_report', '{kind}', class, NULL, precision, recall, f1 FROM ({report})
+UNION ALL SELECT 'classification_report', '{kind}', 'accuracy', NULL, {right} / {total}, {right} / {total}, {right} / {total} FROM {counts}
+UNION ALL SELECT 'classification_report', '{kind}', 'macro avg', NULL, avg(precision), avg(recall), avg(f1) FROM ({report})
+UNION ALL SELECT 'classification_report', '{kind}', 'weighted avg', NULL, sum(precision * support) / sum(support),
+  sum(recall * support) / sum(support), sum(f1 * support) / sum(support) FROM ({report})"""
+
+
+EVALUATION = f"""
+{_shown_counts('default', 'counts')}
+UNION ALL {_shown_counts('optimal', 'tuned_counts')}
+UNION ALL SELECT 'roc_curve', NULL, NULL, threshold, fp / CAST(neg AS DOUBLE), tp / CAST(pos AS DOUBLE), NULL FROM thresholds
+UNION ALL SELECT 'roc_curve', NULL, NULL, NULL, 0, 0, NULL
+UNION ALL SELECT 'pr_curve', NULL, NULL, threshold, precision, recall, NULL FROM pr
+UNION ALL SELECT 'pr_curve', NULL, NULL, NULL, 1, 0, NULL
+UNION ALL SELECT 'f1_by_threshold', NULL, NULL, threshold, precision, recall, f1 FROM f1s"""

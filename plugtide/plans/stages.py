@@ -90,6 +90,11 @@ def repaired(sessions: DataFrame, settings: Settings) -> DataFrame:
     ])
 
 
+def written_log(sessions: DataFrame, settings: Settings) -> DataFrame:
+    """The repaired log as a table, each file in time order, so that a range skips most row groups."""
+    return durable(repaired(sessions, settings).sortWithinPartitions("started_at"), "repaired")
+
+
 def usable(settings: Settings) -> Column:
     """The row filters that follow the point's first and final day."""
     return (
@@ -156,7 +161,7 @@ def kept_stations(pairs: DataFrame, points: DataFrame) -> DataFrame:
 
 def clean(sessions: DataFrame, points: DataFrame, settings: Settings) -> DataFrame:
     """The cleaned sessions, as the cleaning operators leave them one after the other."""
-    rows = durable(repaired(sessions, settings), "repaired")
+    rows = written_log(sessions, settings)
     kept = kept_points(point_stations(rows, settings), points, settings).drop("point_avg_power")
     cleaned = attach(rows.filter(usable(settings)), kept, ["evse_uid"], rows_per_key="_sessions")
     return overlaps.fix_overlaps(cleaned.filter(F.col("type").isNotNull()))
@@ -200,11 +205,13 @@ def day_table(
     The repaired log is written, since it is read for the points and again for the days; both
     readings prune its columns and push the range into the scan.
     """
-    rows = durable(repaired(sessions, settings), "repaired")
+    rows = written_log(sessions, settings)
     pairs = durable(point_stations(rows, settings), "point-stations")
-    kept = kept_points(pairs, points, settings)
-    days = durable(use_by_day(rows, settings), "use-by-day").join(kept.drop("_sessions"), "evse_uid")
-    days = attach(days, durable(kept_stations(pairs, kept), "stations"), ["location_name"])
+    kept = durable(kept_points(pairs, points, settings), "points")
+    # Points that are dropped leave before their sessions are shuffled.
+    of_kept = rows.join(kept.select("evse_uid"), "evse_uid", "left_semi")
+    days = use_by_day(of_kept, settings).join(kept.drop("_sessions"), "evse_uid")
+    days = attach(days, kept_stations(pairs, kept), ["location_name"])
     return enrich.city_type(enrich.population_join(days, population)).drop("population")
 
 
@@ -222,7 +229,7 @@ def point_features(
 ) -> DataFrame:
     """The point-level feature table: the whole first half of the pipeline."""
     days = durable(day_table(sessions, points, population, settings), "days")
-    filled = calendar.filled_days(days, holidays, settings)
+    filled = durable(calendar.filled_days(days, holidays, settings), "filled-days")
     return calendar.to_periods(calendar.rolled_days(filled, settings), calendar.FEATURE_FIELDS)
 
 
@@ -232,9 +239,13 @@ def at_grain(features: DataFrame, settings: Settings) -> DataFrame:
     return rollup.station_rollup(features, settings) if settings.grain == "stations" else features
 
 
+def split(df: DataFrame, settings: Settings) -> DataFrame:
+    """The table split in time order, written: encodings and shifts read it again."""
+    return durable(prepare.sequential_split(df, settings.group, settings.split_ratio), "split")
+
+
 def preprocess(df: DataFrame, settings: Settings) -> DataFrame:
-    """Split, target encoding and ordinal encoding."""
-    df = prepare.sequential_split(df, settings.group, settings.split_ratio)
+    """Target encoding and ordinal encoding of a split table."""
     df = prepare.target_encode(
         df, ["location_city", settings.group], "daily_period_busyness", settings.alpha
     )
@@ -243,6 +254,6 @@ def preprocess(df: DataFrame, settings: Settings) -> DataFrame:
 
 def model_table(features: DataFrame, settings: Settings) -> DataFrame:
     """The training matrix from a feature table that has been written."""
-    df = durable(at_grain(features, settings), "grain")
-    df = prepare.interactions(preprocess(df, settings), settings.group)
+    parts = split(at_grain(features, settings), settings)
+    df = prepare.interactions(preprocess(parts, settings), settings.group, means_from=parts)
     return prepare.training_matrix(prepare.label_encode(df), settings)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,22 +12,35 @@ from plugtide import schema
 from plugtide.functions.durable import exists
 
 
-def load_sessions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """The session log, with its time columns parsed; columns are taken by name."""
-    return _load(spark, path, fmt, schema.SESSIONS)
+def load_sessions(spark: SparkSession, path: str, fmt: str = "csv", strict: bool = True) -> DataFrame:
+    """The session log, with its time columns parsed; columns are taken by name.
+
+    A cell that can not be read as its type fails the job with its column and value; with
+    `strict=False` it counts as missing.
+    """
+    return _load(spark, path, fmt, schema.SESSIONS, strict)
 
 
-def load_points(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def load_points(spark: SparkSession, path: str, fmt: str = "csv", strict: bool = True) -> DataFrame:
     """Point and type, the only two columns read from the point file."""
-    return _load(spark, path, fmt, schema.POINTS)
+    return _load(spark, path, fmt, schema.POINTS, strict)
 
 
-def _load(spark: SparkSession, path: str, fmt: str, fields: T.StructType) -> DataFrame:
+def _load(spark: SparkSession, path: str, fmt: str, fields: T.StructType, strict: bool) -> DataFrame:
     # Without inference the CSV reader only looks at the header here, and later parses no more
     # than the selected columns; the file may have others, in any order.
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
     df = schema.require(reader.format(fmt).load(path), *fields.names)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    return df.select(*[_read_as(f, strict).alias(f.name) for f in fields])
+
+
+def _read_as(field: T.StructField, strict: bool) -> Column:
+    given = F.col(field.name)
+    value = given.try_cast(field.dataType)
+    if not strict:
+        return value
+    told = F.concat(F.lit(f"Unreadable value in {field.name}: "), given.cast("string"))
+    return F.when(given.isNotNull() & value.isNull(), F.raise_error(told).cast(field.dataType)).otherwise(value)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -49,3 +62,13 @@ def read_or_compute(
     if exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         return spark.read.parquet(path)
     return write_table(compute(), path, partition_by)
+
+
+def write_results(results: dict[str, DataFrame], folder: str) -> None:
+    """One table per name below `folder`."""
+    for name, df in results.items():
+        write_table(df, f"{folder.rstrip('/')}/{name}")
+
+
+def read_results(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}") for name in names}
