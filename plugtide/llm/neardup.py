@@ -22,10 +22,12 @@ VALUES = CHUNKS * CHUNK
 # One error is enumerated in each chunk, so every pair of signatures within this distance is found:
 # with more than one error in all chunks the distance would be at least 2 * CHUNKS.
 DISTANCE = 2 * CHUNKS - 1
+# A finer sketch, of more minhash values with fewer bits, judges candidates before their sets do.
+SKETCH = 512
 # Members of a bucket that are compared in one task at once.
 TILE = 1024
 
-_MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, VALUES + SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -63,10 +65,18 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The minhash signature of each non-empty set, as rows of 16-bit values."""
-    begins = starts[:-1]
-    out = np.empty((len(begins), VALUES), np.uint16)
-    for k, multiplier in enumerate(_MULTIPLIERS):
-        out[:, k] = _mixed(np.minimum.reduceat(values * multiplier, begins)) >> np.uint64(64 - BITS)
+    return _minhashes(values, starts, _MULTIPLIERS[:VALUES], np.uint16)
+
+
+def sketches(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The finer sketch of each non-empty set, as rows of bytes."""
+    return _minhashes(values, starts, _MULTIPLIERS[VALUES:], np.uint8)
+
+
+def _minhashes(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray, kind) -> np.ndarray:
+    out = np.empty((len(starts) - 1, len(multipliers)), kind)
+    for k, multiplier in enumerate(multipliers):
+        out[:, k] = _mixed(np.minimum.reduceat(values * multiplier, starts[:-1])) >> np.uint64(64 - 8 * out.itemsize)
     return out
 
 
@@ -129,7 +139,11 @@ def _sets(size: int):
         for batch in slices(batches, "text"):
             values, starts = shingles(batch.column("text"), size)
             own = [values[a:b].tobytes() for a, b in zip(starts, starts[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(own, pa.binary())], ["node", "set"])
+            # Every text here has shingles: it shares a key with another.
+            fine = [s.tobytes() for s in sketches(values, starts)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(own, pa.binary()), pa.array(fine, pa.binary())], ["node", "set", "sketch"]
+            )
 
     return sets
 
@@ -170,9 +184,10 @@ def near_duplicates(
     * First each bucket's smallest node is held against its other members, one pair per member
       and bucket, and the links found are joined to components. What is left are buckets with
       several components. There only nodes outside a bucket's largest component are compared with
-      the rest, in tiles of bounded size, on signatures inside the task; a pair leaves the task
-      once, in the first key it shares, and only if its distance allows the similarity. No pair
-      inside a component and no pair of a far-off distance is ever written out.
+      the rest, in tiles of bounded size, on signatures and then on finer sketches inside the
+      task; a pair leaves the task once, in the first key it shares, and only if both distances
+      allow the similarity, but for some one in 10^6 of pairs just at it. No pair inside a
+      component and no pair of a far-off distance is ever written out.
     * Links are confirmed on the whole sets, as 64-bit hashes of shingles.
 
     Texts without words are linked with nothing. Rows without an id are linked with nothing and
@@ -197,14 +212,14 @@ def near_duplicates(
     sets = durable(
         rows.join(found, F.col("doc_id") == F.col("id"), "left_semi")
         .select(F.col("doc_id").alias("node"), "text")
-        .mapInArrow(_sets(shingle), "node long, set binary"),
+        .mapInArrow(_sets(shingle), "node long, set binary, sketch binary"),
         "sets",
     )
 
     first = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     links = _linked(first, sets, percent)
     label = components(links)
-    rest = _rest_of_pairs(members, nodes, label, percent)
+    rest = _rest_of_pairs(members, nodes, sets, label, percent)
     links = links.unionByName(_linked(rest, sets, percent))
     label = components(links)
 
@@ -218,7 +233,7 @@ def near_duplicates(
     )
 
 
-def _rest_of_pairs(members: DataFrame, nodes: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+def _rest_of_pairs(members: DataFrame, nodes: DataFrame, sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of different components, each once."""
     own = members.select("key", "slot", "node").join(
         label.withColumnRenamed("component", "label"), "node", "left"
@@ -236,11 +251,11 @@ def _rest_of_pairs(members: DataFrame, nodes: DataFrame, label: DataFrame, perce
             F.ceil((F.col("all") - F.col("largest.n")) / TILE).cast("int").alias("down"),
         )
     )
-    open_rows = own.join(mixed, "key").join(nodes.select("node", "signature"), "node")
-    open_rows = durable(open_rows, "open-buckets")
+    marks = nodes.select("node", "signature").join(sets.select("node", "sketch").dropDuplicates(["node"]), "node")
+    open_rows = durable(own.join(mixed, "key").join(marks, "node"), "open-buckets")
     tile = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
     all_tiles = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    columns = ["key", "slot", "node", "label", "signature"]
+    columns = ["key", "slot", "node", "label", "signature", "sketch"]
     right = open_rows.select(*columns, F.lit(False).alias("asks"), tile("across").alias("i"), all_tiles("down").alias("j"))
     left = open_rows.filter("label <> main").select(
         *columns, F.lit(True).alias("asks"), tile("down").alias("j"), all_tiles("across").alias("i")
@@ -249,16 +264,24 @@ def _rest_of_pairs(members: DataFrame, nodes: DataFrame, label: DataFrame, perce
     # Cells have at most some 2 x TILE rows; several small ones share a group.
     groups = max(1, -(-open_rows.count() // (4 * TILE)))
     cells = cells.withColumn("group", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)))
-    p = 1 - percent / 100
-    reach = int(VALUES * p + 6 * math.sqrt(VALUES * p * (1 - p)))
-    return cells.groupBy("group").applyInArrow(_compared(max(reach, DISTANCE)), "a long, b long").distinct()
+    compared = _compared(max(_reach(VALUES, BITS, percent, 6), DISTANCE), _reach(SKETCH, 8, percent, 5))
+    return cells.groupBy("group").applyInArrow(compared, "a long, b long").distinct()
+
 
+def _reach(values: int, bits: int, percent: int, spreads: float) -> int:
+    """The distance that two sets just similar enough keep to, but for so many standard deviations."""
+    p = (1 - percent / 100) * (1 - 0.5**bits)
+    return int(values * p + spreads * math.sqrt(values * p * (1 - p)))
 
-def _compared(reach: int):
+
+def _compared(reach: int, fine_reach: int):
     def compare(table: pa.Table) -> pa.Table:
         key, i, j, node, label = (table[c].to_numpy() for c in ("key", "i", "j", "node", "label"))
         asks, slot = table["asks"].to_numpy(), table["slot"].to_numpy()
-        signature = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(-1, VALUES)
+        signature, sketch = (
+            np.frombuffer(b"".join(table[c].to_pylist()), kind).reshape(len(table), -1)
+            for c, kind in (("signature", np.uint16), ("sketch", np.uint8))
+        )
         order = np.lexsort((j, i, key))
         cell = np.stack([key[order], i[order], j[order]])
         borders = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1
@@ -266,13 +289,12 @@ def _compared(reach: int):
         for rows in np.split(order, borders):
             left, right = rows[asks[rows]], rows[~asks[rows]]
             for some in np.array_split(left, max(1, -(-len(left) * max(1, len(right)) // 20_000))):
-                if not len(some) or not len(right):
-                    continue
                 differ = signature[some][:, None, :] != signature[right][None, :, :]
-                near = (differ.sum(axis=2) <= reach) & (label[some][:, None] != label[right][None, :])
-                x, y = np.nonzero(near)
+                x, y = np.nonzero((differ.sum(axis=2) <= reach) & (label[some][:, None] != label[right][None, :]))
                 at = _first_shared(differ[x, y].reshape(-1, CHUNKS, CHUNK)) == slot[rows[0]]
-                a, b = node[some][x[at]], node[right][y[at]]
+                x, y = some[x[at]], right[y[at]]
+                at = (sketch[x] != sketch[y]).sum(axis=1) <= fine_reach
+                a, b = node[x[at]], node[y[at]]
                 found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
         a, b = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
