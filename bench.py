@@ -8,6 +8,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from plugtide.functions.durable import intermediate_tables
 from plugtide.plans import catalog
 
 HEADLINE = [
@@ -21,12 +22,15 @@ HEADLINE = [
     "pr_curve",
     "tune_threshold",
     "classification_report",
+    "train_models_stations",
 ]
+WARM_UP = "/root/testdata/sf0.001"
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "spark-warehouse")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("plugtide-bench")
@@ -35,14 +39,24 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", folder)
+        .config("spark.checkpoint.dir", f"{folder}/_shared")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     entries, seconds = catalog.entries(), {}
-    for name in HEADLINE:
+
+    def run(name: str, folder: str) -> float:
         started = time.perf_counter()
-        entries[name].query(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - started, 3)
+        with intermediate_tables(spark):
+            entries[name].query(spark, folder).write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - started, 3)
+
+    # Start-up and compilation are not part of any query's time.
+    for name in ("training_matrix", "roc_auc"):
+        run(name, WARM_UP)
+    for name in HEADLINE:
+        seconds[name] = run(name, sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(seconds.values()), 3),

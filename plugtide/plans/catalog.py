@@ -24,12 +24,12 @@ from plugtide.sources import tables
 REPAIRED = replace(SETTINGS, compat=False)
 # Small enough for a check, and wide enough that draws differ in trees and in depth.
 SEARCH = {
-    "search_iterations": 2,
+    "search_iterations": 3,
     "folds": 2,
     "search_spaces": {
         "forest": config.FOREST_SPACE | {"trees": (4, 12), "depth": (3, 7)},
-        "boosted_deep": config.DEEP_BOOST_SPACE | {"trees": (3, 8), "depth": (2, 4)},
-        "boosted_leaf": config.LEAF_BOOST_SPACE | {"trees": (3, 8), "depth": (2, 4), "min_leaf": (2, 20)},
+        "boosted_deep": config.DEEP_BOOST_SPACE | {"trees": (3, 9), "depth": (2, 5)},
+        "boosted_leaf": config.LEAF_BOOST_SPACE | {"trees": (3, 9), "depth": (2, 5), "min_leaf": (2, 20)},
     },
 }
 BY_POINT = replace(SETTINGS, grain="points", **SEARCH)

@@ -449,7 +449,8 @@ def statement(query: str, columns: list[str], extra: dict[str, str] | None = Non
     add(query)
     ctes = ",\n".join(f"{name} AS MATERIALIZED ({available[name].strip()})" for name in needed)
     shown = ", ".join(rendered(c) for c in columns)
-    return f"WITH {ctes}\nSELECT {shown} FROM ({query.strip()}) AS result"
+    tables_first = f"WITH {ctes}\n" if needed else ""
+    return f"{tables_first}SELECT {shown} FROM ({query.strip()}) AS result"
 
 
 # --- what SQL can know about fitted models --------------------------------------------------------

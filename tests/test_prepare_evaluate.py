@@ -120,9 +120,15 @@ def test_class_weights(table):
     assert out[0]["positive"] == 1.0 and out[1]["positive"] == 2.33
 
 
-def test_drawn_settings_are_repeatable_and_capped():
-    settings = Settings(search_iterations=20, max_trees=15, max_depth=5)
+def test_drawn_settings_are_repeatable_and_use_the_whole_range():
+    settings = Settings()
     for name in learn.MODELS:
         drawn = learn.draw_settings(name, settings)
-        assert drawn == learn.draw_settings(name, settings)
-        assert all(d["trees"] <= 15 and d["depth"] <= 5 for d in drawn)
+        assert drawn == learn.draw_settings(name, settings) and len(drawn) == 150
+        for parameter, values in settings.search_spaces[name].items():
+            own = [d[parameter] for d in drawn]
+            if isinstance(values, list):
+                assert set(own) == set(values)
+            else:
+                low, high = values
+                assert low <= min(own) < low + 0.1 * (high - low) + 1 and high >= max(own) > high - 0.1 * (high - low) - 1

@@ -45,6 +45,24 @@ def test_attach_broadcasts_only_hot_keys_of_a_large_table(spark):
             spark.conf.unset(name)
 
 
+def test_a_key_just_under_the_bound_leaves_partitions_even(spark):
+    """With 8 partitions a key is hot beyond 1/32 of the rows; this one has a little less."""
+    i = F.col("id")
+    key = F.when(i % 33 == 0, "nearly hot").otherwise(F.concat(F.lit("k"), (i % 4001).cast("string")))
+    facts = spark.range(60000).select(i.alias("row"), key.alias("key"))
+    counts = facts.groupBy("key").agg(F.count("*").alias("rows"), F.sum("row").alias("n"))
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        out = attach(facts, counts, ["key"], "rows", broadcast_bytes=0)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 1.5 * 60000 / 8
+    finally:
+        for name in changed:
+            spark.conf.unset(name)
+
+
 def test_running_totals_and_previous_row(spark):
     df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("k"), (F.col("id") % 11).alias("v"))
     rows = sorted((r["k"], r["v"]) for r in df.collect())
