@@ -34,7 +34,7 @@ class Codes:
     def __init__(self, sample: np.ndarray, neighbours: int):
         random = np.random.default_rng(11)
         dimension = sample.shape[1]
-        axes = np.linalg.svd(sample, full_matrices=True)[2] if len(sample) else np.eye(dimension)
+        axes = np.linalg.eigh(sample.T @ sample)[1].T
         self.rotations = []
         for _ in range(ROTATIONS):
             turn = np.linalg.qr(random.normal(size=(dimension, dimension)))[0]
