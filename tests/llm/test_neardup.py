@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
-from plugtide.llm import neardup
+from plugtide.llm import neardup, queries
 from plugtide.llm.components import components
-from tests.llm.helpers import ODD_TEXTS, near_components, no_documents, odd_documents, shingle_set
+from tests.llm.helpers import ODD_TEXTS, SF, near_components, no_documents, odd_documents, shingle_set
 
 
 def check(spark, texts, size, percent):
@@ -24,6 +25,13 @@ def test_given_documents(spark, size, percent):
     check(spark, texts, size, percent)
 
 
+def test_against_sql(spark):
+    got = queries.op4_near_dedup(spark, SF).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    assert sorted(map(tuple, got)) == sorted(con.sql(queries.ORACLE_SQL["op4_near_dedup"]).fetchall())
+
+
 def test_chains_copies_and_common_passages(spark, monkeypatch):
     """A drifting chain, one text copied and changed many times, and a passage that all share; small tiles."""
     monkeypatch.setattr(neardup, "TILE", 16)
