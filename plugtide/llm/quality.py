@@ -226,17 +226,17 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "_quality") -> DataFrame:
     """`docs` with a score from 0 to 1 in a new column. Null and empty texts have no indicators and get the constant's score."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.constant, model.slope, model.offset))
-    columns = docs.columns
-    place = columns.index(text_col)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only the texts go to Python, and only the scores come back.
+    @F.arrow_udf("double")
+    def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         learned = Model(*shared.value)
-        for batch in slices(batches, text_col):
-            values = learned.scores(*indicators(batch.column(place)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*columns, score_col])
+        for column in columns:
+            batch = pa.RecordBatch.from_arrays([column], ["text"])
+            parts = [learned.scores(*indicators(b.column("text"))) for b in slices(iter([batch]), "text")]
+            yield pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
 
-    kinds = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
-    return docs.mapInArrow(scored, f"{kinds}, `{score_col}` double")
+    return docs.withColumn(score_col, scored(F.col(text_col).cast("string")))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
