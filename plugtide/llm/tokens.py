@@ -6,12 +6,14 @@ import os
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plugtide.llm.words import slices
+from plugtide.llm.memo import Memo
+from plugtide.llm.words import coded, slices, split_words
 
 # Characters of a chunk, and of the overlap of two chunks at first.
 CHUNK = 16_384
@@ -30,6 +32,11 @@ def open_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _word_counts(tokenizer, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    encoded = tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)
+    return np.fromiter(map(len, encoded), np.int64, len(words)), np.arange(len(words) + 1)
+
+
 def count_in_chunks(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
     """The number of tokens of a text, with no more than a chunk and its overlap encoded at once.
 
@@ -81,26 +88,25 @@ def count_tokens(
     """One row per row of `docs`: doc_id, n_bytes, n_tokens.
 
     `path` names a tokenizer file that every executor has. Texts up to `chunk` characters are
-    encoded whole, in batches; longer ones in overlapping chunks, so that memory is bounded by the
-    chunk (a text without white space is one chunk in the end). Strings of special tokens count as
-    the tokenizer takes them by default. A null text is empty and has no tokens; null ids and
-    repeated rows are passed on. There is no shuffle.
+    cut at every stable place, and a task encodes each distinct word once; longer ones go through
+    the tokenizer in overlapping chunks, so that memory is bounded by the chunk (a text without
+    white space is one chunk in the end). Strings of special tokens count as the tokenizer takes
+    them by default. A null text is empty and has no tokens; null ids and repeated rows are passed
+    on. There is no shuffle.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = open_tokenizer(path)
+        memo = Memo(lambda words: _word_counts(tokenizer, words), np.int64)
         for batch in slices(batches, "text"):
             texts = pc.fill_null(batch.column("text"), "")
-            rows = texts.to_pylist()
-            counts = [0] * len(rows)
-            whole = [i for i, t in enumerate(rows) if len(t) <= chunk]
-            for i, encoded in zip(
-                whole, tokenizer.encode_batch_fast([rows[i] for i in whole], add_special_tokens=False)
-            ):
-                counts[i] = len(encoded)
-            for i, text in enumerate(rows):
-                if len(text) > chunk:
-                    counts[i] = count_in_chunks(tokenizer, text, chunk, overlap)
+            huge = pc.greater(pc.utf8_length(texts), chunk)
+            words, starts = split_words(pc.if_else(huge, "", texts), lower=False)
+            places, distinct = coded(words)
+            passed = np.concatenate([[0], np.cumsum(memo(distinct, places)[0])])
+            counts = passed[starts[1:]] - passed[starts[:-1]]
+            for i in np.flatnonzero(huge.to_numpy(zero_copy_only=False)):
+                counts[i] = count_in_chunks(tokenizer, texts[i].as_py(), chunk, overlap)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pc.binary_length(texts).cast(pa.int64()), pa.array(counts, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],
