@@ -3,26 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from plugtide.functions.durable import durable
-from plugtide.llm.words import coded, rows_of, slices, split_words
+from plugtide.llm.words import SLICE_BYTES, coded, rows_of, slices, split_words
 
 # The word that ends a text; no word of a text is empty.
 END = ""
 # Words with at least this share of all training tokens are states of the automaton, so there are
 # at most 1 / HEAD_SHARE of them whatever the corpus, and the end.
-HEAD_SHARE = 1e-4
+HEAD_SHARE = 5e-4
 BITS = 14
 # Taken off each n-gram's count and given to the shorter context.
 DISCOUNT = 0.75
-# Tokens scored in one task at once, on average.
+# Tokens scored in one task at once, on average, and text counted at once.
 BLOCK_TOKENS = 2_500_000
+COUNTED_BYTES = 4 << 20
 
 WORDS = "block int, word string, code long"
 
@@ -82,7 +85,7 @@ def score_documents(
     frequent words; then the documents are dealt into blocks, each block asks once for every
     distinct word and n-gram it holds, and the answers, joined to it, make the part of the
     automaton that its texts can reach. Nothing that grows with the corpus is broadcast: the states
-    are at most 10,001, all else is joined. A null text is empty: just an end. An empty table gives an empty one.
+    are at most 2,001, all else is joined. A null text is empty: just an end. An empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("held_out", _training("doc_id", folds, held))
@@ -138,8 +141,8 @@ def score_documents(
 
     blocks = max(1, -(-seen // BLOCK_TOKENS))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    dealt = dealt.repartition(blocks, "block")
-    asked = dealt.select("block", "text").mapInArrow(_ask(head), WORDS).distinct()
+    dealt = dealt.mapInArrow(_parcel, "block int, parcel binary").repartition(blocks, "block").sortWithinPartitions("block")
+    asked = dealt.mapInArrow(_ask(head), WORDS).distinct()
     known = words.filter("c > 0").select("word", F.col("c").cast("double").alias("value"))
     answers = (
         asked.filter(F.col("word").isNotNull())
@@ -156,14 +159,15 @@ def score_documents(
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
-            _traverse(head, head_counts, left, total, distinct),
-            f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+            _traverse(head, head_counts, left, total, distinct, rows.schema["doc_id"].dataType),
+            f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+            "base_score double, score double",
         )
     )
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", COUNTED_BYTES):
         words, starts = split_words(batch.column("text"))
         places, distinct = coded(words)
         training = ~batch.column("held_out").to_numpy(zero_copy_only=False)
@@ -181,7 +185,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _count_grams(head: Head):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", COUNTED_BYTES):
             words, starts = split_words(batch.column("text"))
             places, distinct = coded(words)
             both = np.concatenate(codes(*head.states(distinct, places, starts)[:3]))
@@ -191,15 +195,48 @@ def _count_grams(head: Head):
     return count
 
 
+def _parcel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each slice and block as one compressed parcel, for the way through the shuffle."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in slices(batches, "text", COUNTED_BYTES):
+        column = batch.column("block").to_numpy()
+        blocks, parcels = np.unique(column), []
+        for block in blocks:
+            own = batch.filter(pa.array(column == block)).select(["doc_id", "held_out", "text"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, own.schema, options=options) as writer:
+                writer.write_batch(own)
+            parcels.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(parcels, pa.binary())], ["block", "parcel"])
+
+
+def _unpacked(parcels: Iterator[pa.Scalar], limit: int) -> Iterator[pa.RecordBatch]:
+    """The documents of parcels, in slices of about `limit` bytes however small the parcels are."""
+    held, size = [], 0
+
+    def joined() -> Iterator[pa.RecordBatch]:
+        return slices(iter(pa.Table.from_batches(held).combine_chunks().to_batches()), "text", limit)
+
+    for parcel in parcels:
+        for batch in pa.ipc.open_stream(parcel.as_buffer()):
+            held.append(batch)
+            size += batch.nbytes
+        if size > limit:
+            yield from joined()
+            held, size = [], 0
+    if held:
+        yield from joined()
+
+
 def _ask(head: Head):
-    """The distinct words without a state, and n-grams of states, that each block's texts hold."""
+    """The distinct words without a state, and n-grams of states, that each parcel holds."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = pa.array(head.words, pa.large_string())
-        for batch in slices(batches, "text"):
-            column = batch.column("block").to_numpy()
-            for block in np.unique(column):
-                words, starts = split_words(batch.column("text").filter(pa.array(column == block)))
+        rows = (row for b in batches for row in zip(b.column("block").to_pylist(), b.column("parcel")))
+        for block, own in groupby(rows, key=lambda row: row[0]):
+            for documents in _unpacked((parcel for _, parcel in own), COUNTED_BYTES):
+                words, starts = split_words(documents.column("text"))
                 places, distinct = coded(words)
                 both = np.concatenate(codes(*head.states(distinct, places, starts)[:3]))
                 grams = np.unique(both[both >= 0])
@@ -255,11 +292,10 @@ class Automaton:
         return np.where(is_state, share + fails * after_word, after_word)
 
 
-def _traverse(head: Head, head_counts, left, total: int, distinct_words: int):
-    def traverse(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
-        kind = texts.schema.field("doc_id").type
-        if not len(texts):
-            return pa.table({n: pa.array([], t) for n, t in _columns(kind)})
+def _traverse(head: Head, head_counts, left, total: int, distinct_words: int, id_kind):
+    def traverse(key, parcels: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(parcels):
+            return pa.table({n: pa.array([], t) for n, t in _columns(to_arrow_type(id_kind))})
         arcs = answers.filter(pc.is_valid(answers["code"])).combine_chunks()
         rare = answers.filter(pc.is_valid(answers["word"])).combine_chunks()
         known = pa.concat_arrays(
@@ -269,7 +305,7 @@ def _traverse(head: Head, head_counts, left, total: int, distinct_words: int):
         share_of = lambda c: (c + 0.5) / (total + 0.5 * (distinct_words + 1))
         automaton = Automaton(head, head_counts, left, arcs, share_of)
         parts = []
-        for batch in slices(iter(texts.combine_chunks().to_batches()), "text"):
+        for batch in _unpacked(parcels["parcel"], SLICE_BYTES):
             words, starts = split_words(batch.column("text"))
             places, distinct = coded(words)
             at = pc.fill_null(pc.index_in(distinct, known), -1).to_numpy(zero_copy_only=False).astype(np.int64)

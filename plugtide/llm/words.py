@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text handled at once inside a task; a longer text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -62,7 +62,7 @@ def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarr
     firsts = starts[:-1][starts[:-1] < starts[1:]]
     begins[firsts] = inside[firsts]
     at = np.flatnonzero(begins)
-    passed = np.cumsum(inside, dtype=np.int64)
+    passed = np.cumsum(inside, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
     offsets = np.append(passed[at] - 1, passed[-1])
     return strings(data[inside], offsets), np.searchsorted(at, starts)
 
@@ -84,3 +84,11 @@ def gather(values: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np
     begins = np.concatenate([[0], np.cumsum(lengths)])
     places = np.arange(begins[-1]) + np.repeat(starts[:-1][rows] - begins[:-1], lengths)
     return values[places], begins
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit mix in which every bit of the result depends on every bit of x."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
