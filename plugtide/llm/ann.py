@@ -130,9 +130,12 @@ def nearest(
     or whose length is not the most common one take no part. Rows with a query's own id are not its
     neighbours, a repeated query row is answered once. Ties go to the smaller id.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = vectors.select(
+        F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")
+    )
     rows = rows.filter(F.col("vec_id").isNotNull() & _usable(F.col("vector")))
-    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), F.desc("length")).first()
+    sizes = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("rows"))
+    lengths = sizes.orderBy(F.desc("rows"), F.desc("length")).first()
     result = "query_id long, rank int, vec_id long, score double"
     if lengths is None:
         return vectors.sparkSession.createDataFrame([], result)
@@ -140,7 +143,8 @@ def nearest(
 
     share = min(1.0, SAMPLE / lengths.rows)
     sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
-    known = np.array([r.vector for r in sample.select("vector", "vec_id").orderBy("vec_id", "vector").collect()], np.float64).reshape(-1, lengths.length)
+    known = [r.vector for r in sample.orderBy("vec_id", "vector").collect()]
+    known = np.array(known, np.float64).reshape(-1, lengths.length)
     codes = Codes(known / np.linalg.norm(known, axis=1, keepdims=True), neighbours)
 
     found = durable(_search(rows, rows, codes, every, neighbours, radius or codes.radius, lengths.rows), "ann-found")
@@ -148,12 +152,15 @@ def nearest(
     full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= neighbours)
     short = durable(queries.join(full, queries.vec_id == full.query_id, "left_anti"), "ann-short")
     if not short.isEmpty():
-        again = _search(rows, rows.join(short, "vec_id", "left_semi"), codes, every, neighbours, codes.bits, lengths.rows)
+        asked = rows.join(short, "vec_id", "left_semi")
+        again = _search(rows, asked, codes, every, neighbours, codes.bits, lengths.rows)
         found = found.join(short.withColumnRenamed("vec_id", "query_id"), "query_id", "left_anti").unionByName(again)
     return found
 
 
-def _search(rows: DataFrame, queries: DataFrame, codes: Codes, every: int, neighbours: int, radius: int, size: int) -> DataFrame:
+def _search(
+    rows: DataFrame, queries: DataFrame, codes: Codes, every: int, neighbours: int, radius: int, size: int
+) -> DataFrame:
     row_blocks = max(1, -(-size // BLOCK_ROWS))
     query_blocks = max(1, -(-size // (every * BLOCK_QUERIES)))
     dealt = lambda name, n: F.pmod(F.xxhash64("vec_id", F.lit(name)), F.lit(n)).cast("int")
@@ -180,8 +187,9 @@ def _search(rows: DataFrame, queries: DataFrame, codes: Codes, every: int, neigh
                 score = _cosine(vectors[at], vector)
                 best = np.lexsort((ids[at], -score))[:neighbours]
                 out.append((np.full(len(best), query), ids[at][best], score[best]))
-        query_ids, found, score = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
-        return pa.table({"query_id": pa.array(query_ids, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.float64())})
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0)] * 3
+        kinds = {"query_id": np.int64, "vec_id": np.int64, "score": np.float64}
+        return pa.table({name: c.astype(kind) for (name, kind), c in zip(kinds.items(), columns)})
 
     candidates = (
         left.groupBy("rows", "queries")

@@ -271,7 +271,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for batch in slices(batches, "html"):
             texts = [main_text(page, tree) for page in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
+                [
+                    batch.column("page_id"),
+                    batch.column("url"),
+                    pa.array(texts, pa.string()),
+                    pa.array(map(len, texts), pa.int64()),
+                ],
                 ["page_id", "url", "text", "n_chars"],
             )
 

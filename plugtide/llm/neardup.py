@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plugtide.functions.durable import durable
 from plugtide.llm.components import components
-from plugtide.llm.words import coded, rows_of, slices, split_words
+from plugtide.llm.words import coded, mixed, slices, split_words
 
 # A signature has CHUNKS x CHUNK minhash values of BITS bits; its distance to another is the number
 # of values that differ.
@@ -27,13 +27,8 @@ SKETCH = 512
 # Members of a bucket that are compared in one task at once.
 TILE = 1024
 
-_MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, VALUES + SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+# One odd multiplier per minhash value.
+_MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, VALUES + SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
 def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,19 +40,20 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(words):
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     places, distinct = coded(words)
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct.cast(pa.large_binary()).to_pylist()), np.uint64, len(distinct))
-    own = hashes[places]
+    plain = distinct.cast(pa.large_binary()).to_pylist()
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, plain), np.uint64, len(plain))[places]
     lengths = np.diff(starts)
     sets = []
     joined = own.copy()
     for k in range(1, size):
-        joined[: len(joined) - k] = _mixed(joined[: len(joined) - k]) + own[k:]
-    joined = _mixed(joined)
+        joined[: len(joined) - k] = mixed(joined[: len(joined) - k]) + own[k:]
+    joined = mixed(joined)
     for start, length in zip(starts[:-1], lengths):
         if length >= size:
             sets.append(np.unique(joined[start : start + length - size + 1]))
         elif length:
-            sets.append(np.array([xxhash.xxh3_64_intdigest(own[start : start + length].tobytes(), seed=1)], np.uint64))
+            whole = own[start : start + length].tobytes()
+            sets.append(np.array([xxhash.xxh3_64_intdigest(whole, seed=1)], np.uint64))
         else:
             sets.append(np.zeros(0, np.uint64))
     return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
@@ -76,7 +72,7 @@ def sketches(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def _minhashes(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray, kind) -> np.ndarray:
     out = np.empty((len(starts) - 1, len(multipliers)), kind)
     for k, multiplier in enumerate(multipliers):
-        out[:, k] = _mixed(np.minimum.reduceat(values * multiplier, starts[:-1])) >> np.uint64(64 - 8 * out.itemsize)
+        out[:, k] = mixed(np.minimum.reduceat(values * multiplier, starts[:-1])) >> np.uint64(64 - 8 * out.itemsize)
     return out
 
 
@@ -92,8 +88,8 @@ def chunk_keys(signature: np.ndarray) -> np.ndarray:
             key = np.full(len(part), chunk * CHUNK + out + 1, np.uint64)
             for place in range(CHUNK):
                 if place != out:
-                    key = _mixed(key) + part[:, place]
-            keys[:, chunk * CHUNK + out] = _mixed(key)
+                    key = mixed(key) + part[:, place]
+            keys[:, chunk * CHUNK + out] = mixed(key)
     return keys.view(np.int64)
 
 
@@ -110,7 +106,7 @@ def _sign(size: int):
                 for row, signature in zip(full, signatures(values, begins)):
                     signed[row] = signature.tobytes()
                 for i, salt in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
-                    sums[i][full] = np.add.reduceat(_mixed(values ^ np.uint64(salt)), begins[:-1])
+                    sums[i][full] = np.add.reduceat(mixed(values ^ np.uint64(salt)), begins[:-1])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -156,7 +152,8 @@ def _confirmed(percent: int):
                 x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (one, two))
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            pairs = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"])
+            yield pairs.filter(pa.array(linked, pa.bool_()))
 
     return confirm
 
@@ -228,12 +225,13 @@ def near_duplicates(
     result = signed.select("doc_id", *of_set).join(named, of_set, "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
-    return result.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
-    )
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+    return result.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def _rest_of_pairs(members: DataFrame, nodes: DataFrame, sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+def _rest_of_pairs(
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, label: DataFrame, percent: int
+) -> DataFrame:
     """Candidate pairs (a, b) of different components, each once."""
     own = members.select("key", "slot", "node").join(
         label.withColumnRenamed("component", "label"), "node", "left"
@@ -309,7 +307,9 @@ def _first_shared(differ: np.ndarray) -> np.ndarray:
     return chunk * CHUNK + np.argmax(differ[np.arange(len(differ)), chunk], axis=1)
 
 
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+def drop_near(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80
+) -> DataFrame:
     """`docs` without the near copies: of each component the document with the smallest id stays."""
     groups = near_duplicates(docs, id_col, text_col, shingle, percent)
     gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()

@@ -61,7 +61,8 @@ class Encoder:
         passed = np.concatenate([[0], np.cumsum(self.bytes_of[joined])])
         joined_starts = np.searchsorted(passed, np.concatenate([[0], ends]))
         order = np.where(alone, np.cumsum(alone) - 1, len(single_starts) - 1 + np.cumsum(~alone) - 1)
-        return gather(np.concatenate([single, joined]), np.concatenate([single_starts, single_starts[-1] + joined_starts[1:]]), order)
+        starts = np.concatenate([single_starts, single_starts[-1] + joined_starts[1:]])
+        return gather(np.concatenate([single, joined]), starts, order)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text's begin and the last one's end."""
@@ -246,7 +247,8 @@ def pack_documents(
                 columns["doc_tokens"].append(lengths[number])
                 columns["sequence_id"].append((block << 32) + window)
                 columns["offset"].append(offset)
-        return pa.table({"doc_id": table["doc_id"].take(pa.array(row, pa.int64()))} | {c: pa.array(v, pa.int64()) for c, v in columns.items()})
+        ids = table["doc_id"].take(pa.array(row, pa.int64()))
+        return pa.table({"doc_id": ids} | {c: pa.array(v, pa.int64()) for c, v in columns.items()})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]

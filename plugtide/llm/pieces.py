@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plugtide.llm.memo import Memo
-from plugtide.llm.words import coded, gather, raw, slices, strings
+from plugtide.llm.words import coded, gather, mixed, raw, slices, strings
 
 SEED = 17
 DROPOUT = 0.1
@@ -24,14 +24,6 @@ SPACE = "▁"
 WIDTHS = [4, 8, 12, 16, 24, 32, 64, 128, 512, 4096]
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit mix in which every bit of the result depends on every bit of x."""
-    x = x.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Vocabulary:
     """The pieces and merges of a model file whose pieces are merged by score, with byte fallback."""
 
@@ -72,7 +64,9 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.merged[at], -1)
 
-    def segment(self, units: pa.Array, variants: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    def segment(
+        self, units: pa.Array, variants: np.ndarray, seed: int, dropout: float
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The ids of each unit in its variant, and where they begin.
 
         All units of about the same length go through the agenda together: in each step every unit
@@ -218,9 +212,8 @@ def segment_documents(
                 wrong = np.concatenate([[0], np.cumsum(data != given)])
                 same = wrong[places[1:]] == wrong[places[:-1]]
             else:
-                same = np.array(
-                    [data[a:b].tobytes() == given[c:d].tobytes() for a, b, c, d in zip(begins, begins[1:], places, places[1:])]
-                )
+                edges = zip(begins, begins[1:], places, places[1:])
+                same = np.array([data[a:b].tobytes() == given[c:d].tobytes() for a, b, c, d in edges])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -244,8 +237,8 @@ def _work(vocabulary: Vocabulary, keyed: pa.Array, seed: int, dropout: float) ->
 
 def segment_texts(texts: pa.Array, keys: np.ndarray, memo: Memo, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, and where each text's begin and the last one's end."""
-    full = pc.not_equal(pc.binary_length(texts), 0)
-    spaced = pc.if_else(full, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string())), texts)
+    space, nothing = (pa.scalar(t, pa.large_string()) for t in (" ", ""))
+    spaced = pc.if_else(pc.equal(texts, ""), texts, pc.binary_join_element_wise(space, texts, nothing))
     data, starts = raw(spaced)
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
@@ -261,6 +254,6 @@ def segment_texts(texts: pa.Array, keys: np.ndarray, memo: Memo, seed: int) -> t
     both = places * VARIANTS + (chosen % np.uint64(VARIANTS)).astype(np.int64)
     distinct, places = np.unique(both, return_inverse=True)
     digits = pa.array((distinct % VARIANTS).astype(str), pa.large_string())
-    keyed = pc.binary_join_element_wise(digits, units.take(pa.array(distinct // VARIANTS)), pa.scalar("", pa.large_string()))
+    keyed = pc.binary_join_element_wise(digits, units.take(pa.array(distinct // VARIANTS)), nothing)
     ids, unit_starts = memo(keyed, places)
     return ids.astype(np.int64), unit_starts[first]

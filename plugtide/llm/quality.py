@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plugtide.llm.words import coded, lowered, raw, rows_of, slices, split_words
+from plugtide.llm.words import coded, lowered, mixed, raw, rows_of, slices, split_words
 
 # Labelled rows that the fit uses at most, on average over hashes; a fifth of them sets the sigmoid.
 SAMPLE = 20_000
@@ -26,16 +26,11 @@ ROUNDS = 20
 KEEP = 0.7
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
-
-
 def _hashes(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A hash of each ragged row of small numbers; none of the rows is empty."""
     place = np.arange(len(symbols)) - starts[:-1][rows_of(starts)]
     powers = np.cumprod(np.full(int(place.max(initial=0)) + 1, 0x9E3779B97F4A7C15, np.uint64))
-    return _mixed(np.add.reduceat((symbols.astype(np.uint64) + np.uint64(1)) * powers[place], starts[:-1]))
+    return mixed(np.add.reduceat((symbols.astype(np.uint64) + np.uint64(1)) * powers[place], starts[:-1]))
 
 
 # Letters of a kind count as one sign; all other ASCII characters stand for themselves.
@@ -76,10 +71,10 @@ def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     inner = np.concatenate([[False], rows[1:] == rows[:-1]])
     same = inner & np.concatenate([[False], places[1:] == places[:-1]])
     shape = np.where(same, np.uint64(0x5851F42D4C957F2D), shape)
-    two = np.where(inner, _mixed(np.roll(shape, 1) * np.uint64(3) + shape), shape)
+    two = np.where(inner, mixed(np.roll(shape, 1) * np.uint64(3) + shape), shape)
     inner2 = inner & np.concatenate([[False], inner[:-1]])
-    three = np.where(inner2, _mixed(np.roll(two, 1) * np.uint64(5) + shape), two)
-    grams = np.stack([own, _mixed(shape), two, three]) >> np.uint64(64 - BITS)
+    three = np.where(inner2, mixed(np.roll(two, 1) * np.uint64(5) + shape), two)
+    grams = np.stack([own, mixed(shape), two, three]) >> np.uint64(64 - BITS)
     keys = np.unique((rows << BITS) + grams.astype(np.int64))
     return keys & ((1 << BITS) - 1), np.searchsorted(keys, np.arange(len(texts) + 1) << BITS)
 
@@ -113,15 +108,18 @@ def fit(found: list[np.ndarray], labels: np.ndarray) -> Model:
     if positive[~held].all() or not positive[~held].any():
         held[:] = False
     size = 1 << BITS
-    counts = [
-        SMOOTHING + np.bincount(np.concatenate([f for f, h, p in zip(found, held, positive) if not h and p == c] or [[]]).astype(np.int64), minlength=size)
-        for c in (True, False)
-    ]
-    ratio = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
+
+    def share(label: bool) -> np.ndarray:
+        own = [f for f, h, p in zip(found, held, positive) if not h and p == label]
+        counts = SMOOTHING + np.bincount(np.concatenate(own).astype(np.int64), minlength=size)
+        return counts / counts.sum()
+
+    ratio = np.log(share(True)) - np.log(share(False))
     weights, constant = _descend(found, positive, ~held, ratio)
     weights = DRAWN * np.abs(weights).mean() + (1 - DRAWN) * weights
     model = Model(ratio * weights, constant, 1.0, 0.0)
-    rows = np.flatnonzero(held) if held.any() and not positive[held].all() and positive[held].any() else np.arange(len(labels))
+    both = held.any() and positive[held].any() and not positive[held].all()
+    rows = np.flatnonzero(held) if both else np.arange(len(labels))
     starts = np.concatenate([[0], np.cumsum([len(found[i]) for i in rows])]).astype(np.int64)
     margins = model.margins(np.concatenate([found[i] for i in rows]).astype(np.int64), starts)
     model.slope, model.offset = _sigmoid(margins, positive[rows])
@@ -137,7 +135,8 @@ def _descend(found, positive, used, ratio) -> tuple[np.ndarray, float]:
     rows = np.flatnonzero(used)
     values = {i: ratio[found[i]] / np.sqrt(max(len(found[i]), 1)) for i in rows}
     norm = {i: float(values[i] @ values[i]) + 1.0 for i in rows}
-    cost = COST * np.where(positive, len(rows) / (2 * positive[rows].sum()), len(rows) / (2 * (~positive[rows]).sum()))
+    of_class = np.where(positive, positive[rows].sum(), (~positive[rows]).sum())
+    cost = COST * len(rows) / (2 * of_class)
     alpha, weights, constant = np.zeros(len(y)), np.zeros(1 << BITS), 0.0
     shuffled = np.random.default_rng(7)
     for _ in range(ROUNDS):
@@ -165,8 +164,9 @@ def _sigmoid(margins: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
         p = 1 / (1 + np.exp(-np.clip(a * margins + b, -500, 500)))
         weight = np.maximum(p * (1 - p), 1e-9)
         g = np.array([((p - target) * margins).sum() + 1e-3 * a, (p - target).sum()])
-        h = np.array([[(weight * margins**2).sum() + 1e-3, (weight * margins).sum()], [(weight * margins).sum(), weight.sum()]])
-        step = np.linalg.solve(h + 1e-6 * np.eye(2), g)
+        cross = (weight * margins).sum()
+        h = np.array([[(weight * margins**2).sum() + 1e-3, cross], [cross, weight.sum() + 1e-6]])
+        step = np.linalg.solve(h, g)
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-8:
             break
@@ -177,7 +177,14 @@ def is_held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    sample: int = SAMPLE,
+) -> Model:
     """A model fitted in one task on at most about `sample` labelled rows that are not held out.
 
     The rows are those with the smallest hashes of their ids, so their ids can be broadcast and the
@@ -192,28 +199,31 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     )
     share = min(1.0, sample / max(1, known.count()))
     taken = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(taken), "_id")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.join(F.broadcast(taken), "_id")
     featured = rows.select(F.xxhash64("_id").alias("key"), F.col("_label").alias("label"), "text").mapInArrow(
         _featured, "key long, label int, found binary"
     )
-    weights = featured.repartition(1).mapInArrow(_fitted, "weights binary, constant double, slope double, offset double").first()
-    return Model(np.frombuffer(weights.weights, np.float32).astype(np.float64), weights.constant, weights.slope, weights.offset)
+    # One task fits: it gets the sample's indicators, which the sample's size bounds.
+    numbers = "weights binary, constant double, slope double, offset double"
+    fitted = featured.repartition(1).mapInArrow(_fitted, numbers).first()
+    weights = np.frombuffer(fitted.weights, np.float32).astype(np.float64)
+    return Model(weights, fitted.constant, fitted.slope, fitted.offset)
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         found, starts = indicators(batch.column("text"))
         own = [found[a:b].astype("<u4").tobytes() for a, b in zip(starts, starts[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), pa.array(own, pa.binary())], ["key", "label", "found"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("label"), pa.array(own, pa.binary())], ["key", "label", "found"]
+        )
 
 
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = sorted(
-        (key, label, found)
-        for b in batches
-        for key, label, found in zip(b.column("key").to_pylist(), b.column("label").to_pylist(), b.column("found").to_pylist())
-    )
-    model = fit([np.frombuffer(f, "<u4") for _, _, f in rows], np.array([label for _, label, _ in rows], np.int64))
+    rows = sorted(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+    found = [np.frombuffer(f, "<u4") for _, _, f in rows]
+    model = fit(found, np.array([label for _, label, _ in rows], np.int64))
     yield pa.RecordBatch.from_arrays(
         [
             pa.array([model.weights.astype(np.float32).tobytes()], pa.binary()),
@@ -224,7 +234,10 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "_quality") -> DataFrame:
-    """`docs` with a score from 0 to 1 in a new column. Null and empty texts have no indicators and get the constant's score."""
+    """`docs` with a score from 0 to 1 in a new column.
+
+    Null and empty texts have no indicators and get the constant's score.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.constant, model.slope, model.offset))
 
     # Only the texts go to Python, and only the scores come back.
@@ -247,7 +260,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     model = train(docs, labels, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return score(rows, model, score_col="score").select(
-        "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= KEEP).cast("int").alias("predicted")
+        "doc_id",
+        is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP).cast("int").alias("predicted"),
     )
 
 

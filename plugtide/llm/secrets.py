@@ -134,9 +134,8 @@ def battery(token: Column) -> Column:
 def _statistics(x: Column) -> Column:
     characters = F.split(x["t"], "")
     values = F.transform(characters, lambda c: F.instr(x["alphabet"], c) - 1.0 - (x["size"] - 1) / 2)
-    squares = _total(
-        F.transform(F.array_distinct(characters), lambda c: F.pow(x["n"] - F.length(F.replace(x["t"], c, F.lit(""))), F.lit(2.0)))
-    )
+    times = lambda c: x["n"] - F.length(F.replace(x["t"], c, F.lit("")))
+    squares = _total(F.transform(F.array_distinct(characters), lambda c: F.pow(times(c), F.lit(2.0))))
     return _let(
         values,
         lambda v: _let(
@@ -297,5 +296,6 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> D
     )
     clean = with_spans(docs, text_col).withColumn(text_col, F.when(F.size("_spans") > 0, cut).otherwise(text))
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
+        length = F.when(F.size("_spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+        clean = clean.withColumn("n_chars", length)
     return clean.select(*docs.columns)
