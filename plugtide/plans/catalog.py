@@ -26,6 +26,7 @@ REPAIRED = replace(SETTINGS, compat=False)
 SEARCH = {
     "search_iterations": 3,
     "folds": 2,
+    "fit_parallelism": 4,
     "search_spaces": {
         "forest": config.FOREST_SPACE | {"trees": (4, 12), "depth": (3, 7)},
         "boosted_deep": config.DEEP_BOOST_SPACE | {"trees": (3, 9), "depth": (2, 5)},
