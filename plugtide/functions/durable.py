@@ -41,6 +41,14 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def durable_sized(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The written table, and the bytes of its files; no job counts anything."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    size = _file_system(spark, path).getContentSummary(_hadoop_path(spark, path)).getLength()
+    return spark.read.schema(df.schema).parquet(path), int(size)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether the file is there, in any store that Spark reads."""
     return _file_system(spark, path).exists(_hadoop_path(spark, path))

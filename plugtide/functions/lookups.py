@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plugtide.functions.durable import durable
+from plugtide.functions.durable import durable, durable_sized
 
-# Tables of up to this many bytes are broadcast.
-BROADCAST_BYTES = 8 << 20
+# Tables whose files have up to this many bytes are broadcast.
+BROADCAST_BYTES = 4 << 20
 SPREAD = 4096
 
 
@@ -21,7 +21,7 @@ def attach(
 ) -> DataFrame:
     """Left join `facts` to `table`, which has one row per key.
 
-    The table is written and its bytes are counted. A small table is broadcast. A larger one is
+    The table is written, which tells its bytes. A small table is broadcast. A larger one is
     shuffled, and only its hot keys are broadcast: those with more fact rows than a quarter of an
     even partition, of which there are at most four per shuffle partition. Fact rows of a hot key are
     answered there and then pass the second join spread over all partitions, since they need no
@@ -33,8 +33,8 @@ def attach(
     """
     values = [c for c in table.columns if c not in keys and c != rows_per_key]
     own = [c for c in facts.columns if c not in values]
-    table = durable(table, "lookup")
-    if _bytes(table.select(*keys, *values)) <= broadcast_bytes:
+    table, size = durable_sized(table, "lookup")
+    if size <= broadcast_bytes:
         small = F.broadcast(table.select(*keys, *values))
         return facts.select(*own).join(small, keys, "left").select(*own, *values)
 
@@ -67,13 +67,6 @@ def attach(
     )
 
 
-def _bytes(table: DataFrame) -> int:
-    """The bytes of all values: a word each, and the text of strings."""
-    texts = [F.sum(F.octet_length(name)) for name, kind in table.dtypes if kind == "string"]
-    sizes = table.agg(F.count(F.lit(1)) * 8 * len(table.columns), *texts).first()
-    return sum(int(size or 0) for size in sizes)
-
-
 def _slot(columns: list[str], keys: list[str]) -> Column:
     """0 for rows that look for a partner, a spread of other numbers for rows that have none."""
     no_partner = F.coalesce(F.col("_hot"), F.lit(False))
