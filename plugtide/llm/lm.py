@@ -19,13 +19,13 @@ from plugtide.llm.words import SLICE_BYTES, coded, rows_of, slices, split_words
 END = ""
 # Words with at least this share of all training tokens are states of the automaton, so there are
 # at most 1 / HEAD_SHARE of them whatever the corpus, and the end.
-HEAD_SHARE = 5e-4
+HEAD_SHARE = 2e-4
 BITS = 14
 # Taken off each n-gram's count and given to the shorter context.
 DISCOUNT = 0.75
 # Tokens scored in one task at once, on average, and text counted at once.
-BLOCK_TOKENS = 2_500_000
-COUNTED_BYTES = 4 << 20
+BLOCK_TOKENS = 1_500_000
+COUNTED_BYTES = 3 << 20
 
 WORDS = "block int, word string, code long"
 
@@ -85,7 +85,7 @@ def score_documents(
     frequent words; then the documents are dealt into blocks, each block asks once for every
     distinct word and n-gram it holds, and the answers, joined to it, make the part of the
     automaton that its texts can reach. Nothing that grows with the corpus is broadcast: the states
-    are at most 2,001, all else is joined. A null text is empty: just an end. An empty table gives an empty one.
+    are at most 5,001, all else is joined. A null text is empty: just an end. An empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("held_out", _training("doc_id", folds, held))
@@ -328,6 +328,8 @@ def _traverse(head: Head, head_counts, left, total: int, distinct_words: int, id
                     }
                 )
             )
+        # The next block may run in the same process.
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(parts)
 
     return traverse

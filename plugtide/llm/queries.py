@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plugtide.llm import ann, exact, html, lm, neardup, packing, pieces, quality, secrets, tokens
+from plugtide.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
 TOKEN_LIMIT = 2048
 
@@ -75,37 +76,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_packing,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {
-    "op4_near_dedup": r"""
-        WITH RECURSIVE texts AS (
-          SELECT doc_id, regexp_extract_all(
-            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '[^\x20\x09-\x0D]+') AS w FROM documents),
-        shingles AS MATERIALIZED (
-          SELECT DISTINCT doc_id, unnest(list_transform(
-            range(1, greatest(len(w) - 2, least(len(w), 1)) + 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' '))) AS s
-          FROM texts),
-        sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-        links AS MATERIALIZED (
-          SELECT a, b FROM (
-            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
-            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) p
-          JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b
-          WHERE 100 * c >= 85 * (m.n + n.n - c)),
-        reached(a, b) AS (
-          SELECT doc_id, doc_id FROM documents
-          UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
-        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id,
-               min(r.b) = d.doc_id AS kept
-        FROM (SELECT DISTINCT doc_id FROM documents) d
-        JOIN reached r ON r.a = d.doc_id LEFT JOIN sizes n ON n.doc_id = d.doc_id GROUP BY d.doc_id
-    """,
-    "op7_exact_dedup": r"""
-        WITH d AS (
-          SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
-        SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
-               doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
-        FROM d
-    """,
-}

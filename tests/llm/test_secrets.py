@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from plugtide.llm import queries, secrets
@@ -81,6 +82,22 @@ def test_battery_finds_random_tokens_only(spark):
     assert len(found - set(range(40))) <= 4
 
 
+def test_found_tokens_against_sql(spark):
+    draw = random.Random(6)
+    token = lambda n: base64.b64encode(draw.randbytes(n)).decode().rstrip("=")
+    syllables = ["the", "ing", "er", "an", "re", "on", "at", "en", "nd", "ti"]
+    rows = [(i, f"é {token(draw.choice([15, 24, 33, 60, 120]))} secret={token(12)} {'ab' * 20}") for i in range(60)]
+    rows += [(i, "".join(draw.choice(syllables) for _ in range(draw.randrange(8, 60)))) for i in range(60, 200)]
+    rows += TRICKY[:-1] + [(None, f"x{token(48)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in secrets.find_secrets(docs).collect()), key=str)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(con.execute(queries.ORACLE_SQL["op3_secret_scan"]).fetchall(), key=str)
+    assert got == want and sum(r[-1] for r in got) >= 40
+
+
 def test_redaction(spark):
     rows = [
         (1, "é password=abcdefghijkl0123456789abcdef! tail", 9),
