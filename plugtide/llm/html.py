@@ -34,7 +34,8 @@ CHROME = {"nav", "aside", "footer", "header", "form", "menu", "dialog", "fieldse
 ARTICLE = {"article", "main"}
 # Names of classes, ids and roles that mark what surrounds an article.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banners?|sponsor(?:ed|s)?|promos?|promotions?"
+    r"(?:^|[\s_-])(?:ads?\d*|ad-?(?:box|unit|slot|container|wrapper)|adverts?"
+    r"|advertisements?|adsense|banners?|sponsor(?:ed|s)?|promos?|promotions?"
     r"|nav|navbar|navigation|menus?|breadcrumbs?|footer|site-header|page-header|masthead|topbar|toolbar"
     r"|side-?bars?|widgets?|related|recommended|share|sharing|social|comments?|replies|discussion|disqus"
     r"|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletter|subscribe|subscription"
@@ -42,7 +43,8 @@ MARKS = re.compile(
     re.IGNORECASE,
 )
 CONTENT_MARKS = re.compile(
-    r"(?:^|[\s_-])(?:article|article-?body|post-?body|post-?content|entry-?content|main|main-?content|story)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:article|article-?body|post|post-?body|post-?content|entry|entry-?content"
+    r"|main|main-?content|content|story|prose)(?:$|[\s_-])",
     re.IGNORECASE,
 )
 # Raw text ends only with the element's own end tag; whatever else looks like a tag belongs to it.

@@ -35,6 +35,7 @@ def test_tree_knows_its_table():
         ("<article><p>5 < 6 and 7 > 3</p><p>a \n b</p></article>", "5 < 6 and 7 > 3 a b"),
         ("<ARTICLE><P>Upper</P></ARTICLE><NAV>x</NAV>", "Upper"),
         (f"<div><h2>A heading of the page</h2>{P}<p>Short one.</p>{P}</div>", f"A heading of the page {KEPT} Short one. {KEPT}"),
+        (f"<div id='content'><h1>Title</h1>{P}<p>End.</p></div><div class='ad-box'>{P}</div>", f"Title {KEPT} End."),
         (f"<div style='display:none'>{P}</div><article>{P}</article>", KEPT),
     ],
 )
