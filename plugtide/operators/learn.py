@@ -131,24 +131,42 @@ class Search:
         return max(range(len(means)), key=means.__getitem__)
 
 
-def random_search(train: DataFrame, name: str, settings: Settings) -> Search:
+@dataclass
+class Fold:
+    """The rows of a fit, the rows held out from it, and how many of these there are."""
+
+    rows: DataFrame
+    held: DataFrame
+    size: int
+    positives: int
+
+
+def fold_tables(train: DataFrame, settings: Settings) -> list[Fold]:
+    """The folds of `train` (features, label, fold), written once for all models."""
+    folds = []
+    for fold in range(settings.folds):
+        rows, held = (durable(train.filter(part), "fold") for part in (F.col("fold") != fold, F.col("fold") == fold))
+        sizes = held.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+        folds.append(Fold(rows, held, sizes[0], int(sizes[1])))
+    return folds
+
+
+def random_search(folds: list[Fold], name: str, settings: Settings) -> Search:
     """F1 of the positive class for every drawn setting, on each fold after a fit on the others.
 
-    `train` has features, label and fold. Weights come from the rows of a fit alone.
+    Weights come from the rows of a fit alone.
     """
     search = Search(draw_settings(name, settings), [])
-    for fold in range(settings.folds):
-        rows = durable(train.filter(F.col("fold") != fold), "fold")
-        held = durable(train.filter(F.col("fold") == fold), "fold")
-        size = held.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("label"), F.lit(0)).alias("positives")).first()
 
-        def one(number: int, rows=rows, held=held, fold=fold, size=size):
-            model = fit(name, search.drawn[number], rows, settings)
-            f1 = evaluate.classification_metrics(score(model, held)).first()["f1"]
-            return number, fold, size["rows"], int(size["positives"]), float(f1)
+    def one(job: tuple[int, int]):
+        number, at = job
+        fold = folds[at]
+        model = fit(name, search.drawn[number], fold.rows, settings)
+        f1 = evaluate.classification_metrics(score(model, fold.held)).first()["f1"]
+        return number, at, fold.size, fold.positives, float(f1)
 
-        with ThreadPoolExecutor(settings.fit_parallelism) as pool:
-            search.tried += pool.map(one, range(len(search.drawn)))
+    with ThreadPoolExecutor(settings.fit_parallelism) as pool:
+        search.tried += pool.map(one, [(n, at) for at in range(len(folds)) for n in range(len(search.drawn))])
     return search
 
 
@@ -215,11 +233,13 @@ def _evaluate(trained: Trained, run: str, scored: DataFrame, settings: Settings)
     trained.tables[run] = evaluate.evaluation_tables(test, points, tuned["optimal_threshold"])
 
 
-def train_model(matrix: DataFrame, name: str, settings: Settings) -> Trained:
-    """Search, score with the best model, tune, select features, retrain on those, score again."""
+def train_model(matrix: DataFrame, train: DataFrame, folds: list[Fold], name: str, settings: Settings) -> Trained:
+    """Search, score with the best model, tune, select features, retrain on those, score again.
+
+    `train` and `folds` are the training rows of `matrix` and their `fold_tables`.
+    """
     features = settings.features
-    train = durable(training_rows(matrix, features, settings), "train")
-    search = random_search(train, name, settings)
+    search = random_search(folds, name, settings)
     drawn = search.drawn[search.best]
     model = fit(name, drawn, train, settings)
     ranked = evaluate.select_features(
@@ -235,7 +255,9 @@ def train_model(matrix: DataFrame, name: str, settings: Settings) -> Trained:
 
 def train_models(matrix: DataFrame, settings: Settings, names: list[str] | None = None) -> list[Trained]:
     """All models on one written matrix."""
-    return [train_model(matrix, name, settings) for name in names or MODELS]
+    train = durable(training_rows(matrix, settings.features, settings), "train")
+    folds = fold_tables(train, settings)
+    return [train_model(matrix, train, folds, name, settings) for name in names or MODELS]
 
 
 def model_results(spark: SparkSession, trained: list[Trained]) -> DataFrame:
