@@ -27,8 +27,6 @@ DISCOUNT = 0.75
 BLOCK_TOKENS = 1_500_000
 COUNTED_BYTES = 3 << 20
 
-WORDS = "block int, word string, code long"
-
 
 def with_ends(values: np.ndarray, starts: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
     """The ragged rows with `end` put after each, and where they begin."""
@@ -142,17 +140,13 @@ def score_documents(
     blocks = max(1, -(-seen // BLOCK_TOKENS))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     dealt = dealt.mapInArrow(_parcel, "block int, parcel binary").repartition(blocks, "block").sortWithinPartitions("block")
-    asked = dealt.mapInArrow(_ask(head), WORDS).distinct()
     known = words.filter("c > 0").select("word", F.col("c").cast("double").alias("value"))
-    answers = (
-        asked.filter(F.col("word").isNotNull())
-        .join(known, "word")
-        .select("block", "word", F.lit(None).cast("long").alias("code"), "value", F.lit(1.0).alias("left"))
-        .unionByName(
-            asked.filter(F.col("code").isNotNull())
-            .join(model, "code")
-            .select("block", F.lit(None).cast("string").alias("word"), "code", F.col("share").alias("value"), "left")
-        )
+    of_words = dealt.mapInArrow(_ask_words(head), "block int, word string").distinct().join(known, "word")
+    of_codes = dealt.mapInArrow(_ask_codes(head), "block int, code long").distinct().join(model, "code")
+    answers = of_words.select(
+        "block", "word", F.lit(None).cast("long").alias("code"), "value", F.lit(1.0).alias("left")
+    ).unionByName(
+        of_codes.select("block", F.lit(None).cast("string").alias("word"), "code", F.col("share").alias("value"), "left")
     )
     kind = dict(rows.dtypes)["doc_id"]
     return (
@@ -228,27 +222,39 @@ def _unpacked(parcels: Iterator[pa.Scalar], limit: int) -> Iterator[pa.RecordBat
         yield from joined()
 
 
-def _ask(head: Head):
-    """The distinct words without a state, and n-grams of states, that each parcel holds."""
+def _parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of documents with their block, from parcels in the order of blocks."""
+    rows = (row for b in batches for row in zip(b.column("block").to_pylist(), b.column("parcel")))
+    for block, own in groupby(rows, key=lambda row: row[0]):
+        for documents in _unpacked((parcel for _, parcel in own), COUNTED_BYTES):
+            yield block, documents
+
+
+def _ask_words(head: Head):
+    """The distinct words without a state that each block's texts hold."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = pa.array(head.words, pa.large_string())
-        rows = (row for b in batches for row in zip(b.column("block").to_pylist(), b.column("parcel")))
-        for block, own in groupby(rows, key=lambda row: row[0]):
-            for documents in _unpacked((parcel for _, parcel in own), COUNTED_BYTES):
-                words, starts = split_words(documents.column("text"))
-                places, distinct = coded(words)
-                both = np.concatenate(codes(*head.states(distinct, places, starts)[:3]))
-                grams = np.unique(both[both >= 0])
-                rare = distinct.filter(pc.is_null(pc.index_in(distinct, states))).cast(pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(rare) + len(grams), block, np.int32)),
-                        pa.concat_arrays([rare, pa.nulls(len(grams), pa.string())]),
-                        pa.concat_arrays([pa.nulls(len(rare), pa.int64()), pa.array(grams, pa.int64())]),
-                    ],
-                    ["block", "word", "code"],
-                )
+        for block, documents in _parcels(batches):
+            distinct = coded(split_words(documents.column("text"))[0])[1]
+            rare = distinct.filter(pc.is_null(pc.index_in(distinct, states))).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rare), block, np.int32)), rare], ["block", "word"])
+
+    return ask
+
+
+def _ask_codes(head: Head):
+    """The distinct pairs and triples of states that each block's texts hold."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, documents in _parcels(batches):
+            words, starts = split_words(documents.column("text"))
+            places, distinct = coded(words)
+            both = np.concatenate(codes(*head.states(distinct, places, starts)[:3]))
+            grams = np.unique(both[both >= 0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(grams), block, np.int32)), pa.array(grams, pa.int64())], ["block", "code"]
+            )
 
     return ask
 
