@@ -134,35 +134,23 @@ def _sets(size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             values, starts = shingles(batch.column("text"), size)
-            own = [values[a:b].tobytes() for a, b in zip(starts, starts[1:])]
+            own = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values.view(np.int64)))
             # Every text here has shingles: it shares a key with another.
             fine = [s.tobytes() for s in sketches(values, starts)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(own, pa.binary()), pa.array(fine, pa.binary())], ["node", "set", "sketch"]
+                [batch.column("node"), own, pa.array(fine, pa.binary())], ["node", "set", "sketch"]
             )
 
     return sets
 
 
-def _confirmed(percent: int):
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for one, two in zip(batch.column("set_a"), batch.column("set_b")):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (one, two))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            pairs = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"])
-            yield pairs.filter(pa.array(linked, pa.bool_()))
-
-    return confirm
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The pairs (a, b) whose whole sets are similar enough; one pair at a time is in memory."""
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return durable(pairs.join(one, "a").join(two, "b").mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    joined = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("set_a", "set_b")))
+    either = F.size("set_a") + F.size("set_b") - F.col("common")
+    return durable(joined.filter(100 * F.col("common") >= percent * either).select("a", "b"), "links")
 
 
 def near_duplicates(
@@ -187,7 +175,7 @@ def near_duplicates(
       component and no pair of a far-off distance is ever written out.
     * Links are confirmed on the whole sets, as 64-bit hashes of shingles.
 
-    Texts without words are linked with nothing. Rows without an id are linked with nothing and
+    Ids are whole numbers. Texts without words are linked with nothing. Rows without an id are linked with nothing and
     kept; rows with the same id count as one document. An empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -209,7 +197,7 @@ def near_duplicates(
     sets = durable(
         rows.join(found, F.col("doc_id") == F.col("id"), "left_semi")
         .select(F.col("doc_id").alias("node"), "text")
-        .mapInArrow(_sets(shingle), "node long, set binary, sketch binary"),
+        .mapInArrow(_sets(shingle), "node long, set array<long>, sketch binary"),
         "sets",
     )
 
