@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 
 from plugtide.llm.words import gather
 
+# Text handled at once: every slice looks all its distinct strings up.
+SLICE_BYTES = 4 << 20
 # Distinct strings remembered; beyond that a task starts afresh.
 REMEMBERED = 800_000
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plugtide.llm.memo import Memo
+from plugtide.llm.memo import SLICE_BYTES, Memo
 from plugtide.llm.tokens import open_tokenizer
 from plugtide.llm.words import coded, gather, raw, slices, strings
 
@@ -210,7 +210,7 @@ def pack_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             ids, starts = encoder(batch.column("text"))
             lengths, sums, rests = [], [], []
             for a, b in zip(starts[:-1], starts[1:]):

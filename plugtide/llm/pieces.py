@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plugtide.llm.memo import Memo
+from plugtide.llm.memo import SLICE_BYTES, Memo
 from plugtide.llm.words import coded, gather, mixed, raw, slices, strings
 
 SEED = 17
@@ -202,7 +202,7 @@ def segment_documents(
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path)
         memo = Memo(lambda keyed: _work(vocabulary, keyed, seed, dropout), np.uint16)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             texts = pc.fill_null(batch.column("text"), "").cast(pa.large_string())
             ids, starts = segment_texts(texts, batch.column("key").to_numpy(), memo, seed)
             data, begins = vocabulary.decode(ids, starts)

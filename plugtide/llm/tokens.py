@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plugtide.llm.memo import Memo
+from plugtide.llm.memo import SLICE_BYTES, Memo
 from plugtide.llm.words import coded, slices, split_words
 
 # Characters of a chunk, and of the overlap of two chunks at first.
@@ -98,7 +98,7 @@ def count_tokens(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = open_tokenizer(path)
         memo = Memo(lambda words: _word_counts(tokenizer, words), np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             texts = pc.fill_null(batch.column("text"), "")
             huge = pc.greater(pc.utf8_length(texts), chunk)
             words, starts = split_words(pc.if_else(huge, "", texts), lower=False)
