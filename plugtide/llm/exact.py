@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plugtide.functions.lookups import attach
+
 
 def normalised(text: Column) -> Column:
     """Each run of white space becomes one space; a null text is empty."""
@@ -21,8 +23,8 @@ def exact_groups(
     that a third of the rows share reaches the shuffle once per task, and texts whose hashes
     collide come apart. What follows is one short row per distinct text; it is matched to the
     documents on hash and SHA-256, and a pair of texts that agreed in both would end the job with
-    an error, never in a wrong group. That join is the only place where a hot group comes
-    together, in rows of some 80 bytes, and adaptive execution splits it.
+    an error, never in a wrong group. In that lookup the groups that hold more than a quarter of an
+    even partition, at most four per partition, are broadcast, so that their rows stay spread.
 
     Null and empty texts are equal. Rows with a null id are members of their group but never its
     smallest id; they are kept only when the group has no other id. Rows that repeat the kept row's
@@ -43,6 +45,7 @@ def exact_groups(
         .agg(
             F.min("keep_id").alias("keep_id"),
             F.sum("_rows").alias("group_size"),
+            F.sum("_rows").alias("_rows"),
             F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("Different texts agree in both hashes")))
             .otherwise(F.lit(True))
             .cast("boolean")
@@ -51,16 +54,13 @@ def exact_groups(
         .filter("_one")
         .drop("_one")
     )
-    return (
-        rows.select("doc_id", *hashed)
-        .join(groups, ["_hash", "_sha"])
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
-            F.lower(F.hex("_sha")).alias("text_sha256"),
-        )
+    found = attach(rows.select("doc_id", *hashed), groups, ["_hash", "_sha"], rows_per_key="_rows")
+    return found.select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
+        F.lower(F.hex("_sha")).alias("text_sha256"),
     )
 
 
