@@ -8,24 +8,29 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from plugtide.functions.durable import durable
-from plugtide.llm.words import SLICE_BYTES, coded, rows_of, slices, split_words
+from plugtide.llm.words import SLICE_BYTES, coded, mixed, rows_of, slices, split_words
 
 # The word that ends a text; no word of a text is empty.
 END = ""
-# Words with at least this share of all training tokens are states of the automaton, so there are
-# at most 1 / HEAD_SHARE of them whatever the corpus, and the end.
-HEAD_SHARE = 2e-4
-BITS = 14
+# Words with less than this share of all training tokens are no states. 0: every word is one, and
+# every pair and triple of words that the training texts hold is counted.
+HEAD_SHARE = 0.0
 # Taken off each n-gram's count and given to the shorter context.
 DISCOUNT = 0.75
-# Tokens scored in one task at once, on average, and text counted at once.
-BLOCK_TOKENS = 1_500_000
+# Tokens scored in one task at once, on average, tokens whose n-grams are summed at once, and text
+# counted at once.
+BLOCK_TOKENS = 1_000_000
+PART_TOKENS = 1_000_000
 COUNTED_BYTES = 3 << 20
+# A word is its 64-bit hash (Spark's xxhash64); after a known word, 48 bits of it.
+LOW = np.uint64((1 << 48) - 1)
+NO_BITS = np.zeros(0, np.uint64)
 
 
 def with_ends(values: np.ndarray, starts: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
@@ -33,35 +38,115 @@ def with_ends(values: np.ndarray, starts: np.ndarray, end) -> tuple[np.ndarray,
     return np.insert(values, starts[1:], end), starts + np.arange(len(starts))
 
 
-class Head:
-    """The words that are states, most frequent first, and the histories that texts spell with them."""
+def hashes(words: pa.Array) -> np.ndarray:
+    """Spark's xxhash64 of each word."""
+    plain = words.cast(pa.large_binary()).to_pylist()
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed=42) for w in plain), np.uint64, len(plain))
 
-    def __init__(self, words: list[str]):
-        self.words = words
-        self.end = words.index(END)
 
-    def states(self, distinct: pa.Array, places: np.ndarray, starts: np.ndarray):
-        """Per token, ends included: its state or -1, and the last two states of its history.
+def distinct_rows(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's place among the distinct rows in their order, and one row for each of these."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0) if len(order) else []
+    places = np.empty(len(order), np.int64)
+    places[order] = np.cumsum(new) - 1
+    return places, order[new]
 
-        A history begins with the end of the text before, and is cut by any word that is no state:
-        that is where the automaton falls back to its root.
-        """
-        known = pc.index_in(distinct, pa.array(self.words, pa.large_string()))
-        own = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        tokens, begins = with_ends(own[places] if len(own) else places, starts, self.end)
-        one = np.concatenate([[0], tokens[:-1]])
-        one[begins[:-1]] = self.end
-        two = np.concatenate([[0], one[:-1]])
-        two[begins[:-1]] = -1
-        two = np.where(one >= 0, two, -1)
-        return tokens, one, two, begins
+
+def parts_of(one: np.ndarray, low: np.ndarray, parts: int) -> np.ndarray:
+    """The part in which a pair, and all triples that go on from it, are summed."""
+    return (mixed(mixed(one) + low) % np.uint64(parts)).astype(np.int64)
 
 
-def codes(tokens: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of each token's pair and triple of states, or -1. A triple's top bit tells it from a pair."""
-    pairs = np.where((tokens >= 0) & (one >= 0), (one << BITS) + tokens, -1)
-    triples = np.where((pairs >= 0) & (two >= 0), (1 << 3 * BITS) + (two << 2 * BITS) + pairs, -1)
-    return pairs, triples
+class Block:
+    """The tokens of a block's documents, ends included, and their distinct pairs and triples.
+
+    A history begins with the end of the text before. Pairs stand in the order of part, first and
+    second word, triples in that of their pair and third word, so that whoever reads the same
+    documents again knows which answer is whose.
+    """
+
+    def __init__(self, documents: Iterator[pa.RecordBatch], head: np.ndarray | None, parts: int):
+        end = hashes(pa.array([END], pa.large_string()))[0]
+        self.ids, held, tokens, lengths = [], [], [], []
+        for batch in documents:
+            words, starts = split_words(batch.column("text"))
+            places, distinct = coded(words)
+            own, begins = with_ends(hashes(distinct)[places] if len(distinct) else NO_BITS, starts, end)
+            tokens.append(own)
+            lengths.append(np.diff(begins))
+            self.ids.append(batch.column("doc_id"))
+            held.append(batch.column("held_out").to_numpy(zero_copy_only=False))
+        self.held, self.lengths = np.concatenate(held), np.concatenate(lengths)
+        self.tokens = np.concatenate(tokens)
+        begins = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
+        self.row = np.repeat(np.arange(len(begins)), self.lengths)
+        self.one = np.concatenate([[end], self.tokens[:-1]])
+        self.one[begins] = end
+        known = np.ones(len(self.tokens), bool) if head is None else np.isin(self.tokens, head)
+        self.after = np.concatenate([[True], known[:-1]])
+        self.after[begins] = True
+        self.second = np.concatenate([[False], (known & self.after)[:-1]])
+        self.second[begins] = False
+
+        training = ~self.held[self.row]
+        at = np.flatnonzero(known & self.after)
+        one, low = self.one[at], self.tokens[at] & LOW
+        part = parts_of(one, low, parts)
+        places, rows = distinct_rows(part, one, low)
+        self.part, self.a, self.b = part[rows], one[rows], low[rows]
+        self.pair = np.full(len(self.tokens), -1)
+        self.pair[at] = places
+        self.pair_counts = np.bincount(places[training[at]], minlength=len(rows))
+        at = np.flatnonzero(known & self.second)
+        owner, low = self.pair[at - 1], self.tokens[at] & LOW
+        places, rows = distinct_rows(owner, low)
+        self.owner, self.third = owner[rows], low[rows]
+        self.triple = np.full(len(self.tokens), -1)
+        self.triple[at] = places
+        self.triple_counts = np.bincount(places[training[at]], minlength=len(rows))
+
+    def ranges(self) -> Iterator[tuple[int, slice, slice]]:
+        """Each part with its range of pairs and of triples."""
+        cuts = np.append(np.flatnonzero(np.diff(self.part, prepend=-1)), len(self.part))
+        borders = np.searchsorted(self.owner, cuts)
+        for i, begin in enumerate(cuts[:-1]):
+            yield int(self.part[begin]), slice(begin, cuts[i + 1]), slice(borders[i], borders[i + 1])
+
+    def parcels(self) -> Iterator[tuple[int, bytes]]:
+        """Per part the pairs and triples, with their counts in the training documents of the block."""
+        for part, own, thirds in self.ranges():
+            follow = np.bincount(self.owner[thirds] - own.start, minlength=own.stop - own.start)
+            yield part, _packed(
+                self.a[own], *_halves(self.b[own]), self.pair_counts[own], follow,
+                *_halves(self.third[thirds]), self.triple_counts[thirds],
+            )
+
+
+def _halves(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (low & np.uint64(0xFFFFFFFF)).astype(np.uint32), (low >> np.uint64(32)).astype(np.uint16)
+
+
+def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed bytes, behind the size of each."""
+    data = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    return np.array([a.nbytes for a in arrays], np.int64).tobytes() + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpack(parcel: bytes, kinds: list) -> list[np.ndarray]:
+    sizes = np.frombuffer(parcel[: 8 * len(kinds)], np.int64)
+    data = pa.decompress(parcel[8 * len(kinds) :], int(sizes.sum()), "zstd", asbytes=True)
+    ends = np.cumsum(sizes)
+    return [np.frombuffer(data[e - n : e], k) for n, e, k in zip(sizes, ends, kinds)]
+
+
+PARCEL = [np.uint64, np.uint32, np.uint16, np.int64, np.int64, np.uint32, np.uint16, np.int64]
+ANSWER = [np.int64] * 4
 
 
 def _training(id_col: str, folds: int, held: int) -> Column:
@@ -74,16 +159,20 @@ def score_documents(
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from the rows whose crc32(id) mod `folds` is not `held`; a null id is a training
-    row. P(w) is the base's add-a-half estimate. A frequent word, and each pair of them, is a state;
-    the arc of w from state h has the discounted share of w after h, plus, along h's failure arc,
-    the weight left over times the probability that the shorter history gives w. Probabilities of
-    each state add up to one over all words and one unseen word.
-
-    Four passes, all sums made inside the tasks first: words are counted, then pairs and triples of
-    frequent words; then the documents are dealt into blocks, each block asks once for every
-    distinct word and n-gram it holds, and the answers, joined to it, make the part of the
-    automaton that its texts can reach. Nothing that grows with the corpus is broadcast: the states
-    are at most 5,001, all else is joined. A null text is empty: just an end. An empty table gives an empty one.
+    row. P(w) is the base's add-a-half estimate. A word, and each pair of them, is a state; the arc
+    of w from state h has the discounted share of w after h, plus, along h's failure arc, the weight
+    left over times the probability that the shorter history gives w. Probabilities of each state
+    add up to one over all words and one unseen word. All pairs and triples of the training texts
+    count, however rare.
+
+    Three passes: words are counted; then the documents are dealt into blocks, and each block sends
+    its distinct pairs and triples with their counts, once and compressed, to the parts in which
+    they are summed over all blocks, and has the sums sent back in the order it asked for them; then
+    the blocks are read again, and the answers make the part of the automaton that their texts can
+    reach. A part holds about as many n-grams as a block does, whatever the corpus; nothing is
+    broadcast. N-grams are told apart by hashes: 64 bits of the first word (or of the pair's, to
+    choose the part) and 48 of each word after it. A null text is empty: just an end. An empty
+    table gives an empty one.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("held_out", _training("doc_id", folds, held))
@@ -97,63 +186,39 @@ def score_documents(
     )
     totals = words.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1)), F.sum("seen")).first()
     total, distinct, seen = (int(x or 0) for x in totals)
-    frequent = words.filter((F.col("c") >= max(1.0, HEAD_SHARE * total)) | (F.col("word") == END)).collect()
-    counts = {r.word: r.c for r in frequent} or {END: 0}
-    head = Head(sorted(counts, key=lambda w: (-counts[w], w)))
-    if len(head.words) > 1 << BITS:
-        raise ValueError("More frequent words than a code can hold")
-    head_counts = np.array([counts[w] for w in head.words], np.float64)
-
-    grams = durable(
-        rows.filter(~F.col("held_out"))
-        .select("text")
-        .mapInArrow(_count_grams(head), "code long, c long")
-        .groupBy("code")
-        .agg(F.sum("c").alias("c")),
-        "lm-grams",
-    )
-    context = F.shiftright("code", BITS)
-    taken = F.greatest(F.col("c") - DISCOUNT, F.lit(0.0))
-    after = (
-        grams.filter(F.col("code") < 1 << 3 * BITS)
-        .groupBy(context.cast("int").alias("state"))
-        .agg(F.sum(taken).alias("share"))
-        .collect()
-    )
-    left = np.ones(len(head.words))
-    for r in after:
-        left[r.state] = 1 - r.share / head_counts[r.state]
+    head = None
+    if HEAD_SHARE > 0:
+        states = words.filter((F.col("c") >= max(1.0, HEAD_SHARE * total)) | (F.col("word") == END))
+        head = hashes(pa.array([r.word for r in states.collect()], pa.large_string()))
 
-    triples = grams.filter(F.col("code") >= 1 << 3 * BITS).select(
-        "code", context.bitwiseAND((1 << 2 * BITS) - 1).alias("pair"), taken.alias("taken")
-    )
-    pairs = grams.filter(F.col("code") < 1 << 3 * BITS).select(F.col("code").alias("pair"), F.col("c"))
-    arcs3 = triples.join(pairs, "pair").select("code", "pair", (F.col("taken") / F.col("c")).alias("share"))
-    left2 = arcs3.groupBy("pair").agg((1 - F.sum("share")).alias("left"))
-    model = durable(
-        pairs.join(left2, "pair", "left")
-        .select(F.col("pair").alias("code"), taken.alias("share"), F.coalesce("left", F.lit(1.0)).alias("left"))
-        .unionByName(arcs3.select("code", "share", F.lit(1.0).alias("left"))),
-        "lm-model",
-    )
-
-    blocks = max(1, -(-seen // BLOCK_TOKENS))
+    blocks, parts = (max(1, -(-seen // most)) for most in (BLOCK_TOKENS, PART_TOKENS))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     dealt = dealt.mapInArrow(_parcel, "block int, parcel binary").repartition(blocks, "block").sortWithinPartitions("block")
-    known = words.filter("c > 0").select("word", F.col("c").cast("double").alias("value"))
-    of_words = dealt.mapInArrow(_ask_words(head), "block int, word string").distinct().join(known, "word")
-    of_codes = dealt.mapInArrow(_ask_codes(head), "block int, code long").distinct().join(model, "code")
-    answers = of_words.select(
-        "block", "word", F.lit(None).cast("long").alias("code"), "value", F.lit(1.0).alias("left")
+    sums = durable(
+        dealt.mapInArrow(_ask(head, parts), "part int, block int, parcel binary")
+        .repartition(parts, "part")
+        .groupBy("part")
+        .applyInArrow(_sum, "part int, block int, answer binary, word long, k long, s long"),
+        "lm-sums",
+    )
+    after = sums.filter("word is not null").groupBy("word").agg(F.sum("k").alias("k"), F.sum("s").alias("s"))
+    known = words.filter("c > 0").select(F.xxhash64("word").alias("word"), "c").join(after, "word", "left")
+    of_words = dealt.mapInArrow(_ask_words, "block int, word long").join(known, "word")
+    nothing = F.lit(None)
+    answers = sums.filter("block is not null").select(
+        "block", "part", "answer", *(nothing.cast("long").alias(n) for n in ("word", "c", "k", "s"))
     ).unionByName(
-        of_codes.select("block", F.lit(None).cast("string").alias("word"), "code", F.col("share").alias("value"), "left")
+        of_words.select(
+            "block", nothing.cast("int").alias("part"), nothing.cast("binary").alias("answer"), "word", "c",
+            *(F.coalesce(n, F.lit(0)).alias(n) for n in ("k", "s")),
+        )
     )
     kind = dict(rows.dtypes)["doc_id"]
     return (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
-            _traverse(head, head_counts, left, total, distinct, rows.schema["doc_id"].dataType),
+            _traverse(head, parts, total, distinct, rows.schema["doc_id"].dataType),
             f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
             "base_score double, score double",
         )
@@ -177,18 +242,6 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _count_grams(head: Head):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", COUNTED_BYTES):
-            words, starts = split_words(batch.column("text"))
-            places, distinct = coded(words)
-            both = np.concatenate(codes(*head.states(distinct, places, starts)[:3]))
-            found, times = np.unique(both[both >= 0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times)], ["code", "c"])
-
-    return count
-
-
 def _parcel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of each slice and block as one compressed parcel, for the way through the shuffle."""
     options = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -222,121 +275,155 @@ def _unpacked(parcels: Iterator[pa.Scalar], limit: int) -> Iterator[pa.RecordBat
         yield from joined()
 
 
-def _parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Slices of documents with their block, from parcels in the order of blocks."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """Each block and its documents in slices, from parcels in the order of blocks."""
     rows = (row for b in batches for row in zip(b.column("block").to_pylist(), b.column("parcel")))
     for block, own in groupby(rows, key=lambda row: row[0]):
-        for documents in _unpacked((parcel for _, parcel in own), COUNTED_BYTES):
-            yield block, documents
+        yield block, _unpacked((parcel for _, parcel in own), COUNTED_BYTES)
 
 
-def _ask_words(head: Head):
-    """The distinct words without a state that each block's texts hold."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states = pa.array(head.words, pa.large_string())
-        for block, documents in _parcels(batches):
-            distinct = coded(split_words(documents.column("text"))[0])[1]
-            rare = distinct.filter(pc.is_null(pc.index_in(distinct, states))).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rare), block, np.int32)), rare], ["block", "word"])
-
-    return ask
+def _ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each block, its texts' end among them."""
+    for block, documents in _blocks(batches):
+        found = hashes(pa.array([END], pa.large_string()))
+        for batch in documents:
+            found = np.union1d(found, hashes(coded(split_words(batch.column("text"))[0])[1]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(found), block, np.int32)), pa.array(found.view(np.int64))], ["block", "word"]
+        )
 
 
-def _ask_codes(head: Head):
-    """The distinct pairs and triples of states that each block's texts hold."""
+def _ask(head: np.ndarray | None, parts: int):
+    """The distinct pairs and triples of each block, as a parcel for each part."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, documents in _parcels(batches):
-            words, starts = split_words(documents.column("text"))
-            places, distinct = coded(words)
-            both = np.concatenate(codes(*head.states(distinct, places, starts)[:3]))
-            grams = np.unique(both[both >= 0])
+        for block, documents in _blocks(batches):
+            own = list(Block(documents, head, parts).parcels())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(grams), block, np.int32)), pa.array(grams, pa.int64())], ["block", "code"]
+                [
+                    pa.array([part for part, _ in own], pa.int32()),
+                    pa.array(np.full(len(own), block, np.int32)),
+                    pa.array([parcel for _, parcel in own], pa.binary()),
+                ],
+                ["part", "block", "parcel"],
             )
+            pa.default_memory_pool().release_unused()
 
     return ask
 
 
+def _sum(table: pa.Table) -> pa.Table:
+    """The counts of a part's pairs and triples over all blocks, in the order each block asked for them.
+
+    A pair's answer also has the sum and the number of the triples that go on from it. The same
+    two figures of the pairs that go on from a word are handed out as rows of that word.
+    """
+    parcels = [_unpack(p.as_py(), PARCEL) for p in table["parcel"]]
+    a, low, high, counts, follow, low3, high3, counts3 = (np.concatenate(x) for x in zip(*parcels))
+    ends, ends3 = (np.cumsum([len(p[i]) for p in parcels]) for i in (0, 7))
+    del parcels
+    places, rows = distinct_rows(a, _whole(low, high))
+    c = np.bincount(places, counts, len(rows)).astype(np.int64)
+    places3, rows3 = distinct_rows(np.repeat(places, follow), _whole(low3, high3))
+    c3 = np.bincount(places3, counts3, len(rows3)).astype(np.int64)
+    owner = np.repeat(places, follow)[rows3]
+    s = np.bincount(owner, c3, len(rows)).astype(np.int64)
+    k = np.bincount(owner, c3 > 0, len(rows)).astype(np.int64)
+    answers = [
+        _packed(c[own], s[own], k[own], c3[own3])
+        for own, own3 in zip(np.split(places, ends[:-1]), np.split(places3, ends3[:-1]))
+    ]
+    trained = c > 0
+    word, which = np.unique(a[rows][trained], return_inverse=True)
+    many = len(word)
+    empty = lambda n, kind: pa.nulls(n, kind)
+    part = table["part"].combine_chunks()
+    parted = {
+        "part": part.cast(pa.int32()), "block": table["block"].combine_chunks(), "answer": pa.array(answers, pa.binary()),
+        **{n: empty(len(table), pa.int64()) for n in ("word", "k", "s")},
+    }
+    worded = {
+        "part": empty(many, pa.int32()), "block": empty(many, pa.int32()), "answer": empty(many, pa.binary()),
+        "word": pa.array(word.view(np.int64)), "k": pa.array(np.bincount(which, minlength=many).astype(np.int64)),
+        "s": pa.array(np.bincount(which, c[trained], many).astype(np.int64)),
+    }
+    pa.default_memory_pool().release_unused()
+    return pa.concat_tables([pa.table(parted), pa.table(worded)])
+
+
 class Automaton:
-    """States are single frequent words and pairs of them; the root gives every word its base share.
+    """States are single words and pairs of them; the root gives every word its base share.
 
-    An arc holds the discounted share of a word after a state. `left` is the weight of a state's
-    failure arc, which leads from a pair to its second word and from a word to the root.
+    An arc holds the discounted share of a word after a state; what the arcs leave is the weight of
+    the state's failure arc, which leads from a pair to its second word and from a word to the root.
     """
 
-    def __init__(self, head: Head, counts, left, arcs: pa.Table, base):
-        self.head, self.left, self.base = head, left, base
-        order = np.argsort(arcs["code"].to_numpy())
-        self.codes = arcs["code"].to_numpy()[order]
-        self.share, self.fails = arcs["value"].to_numpy()[order], arcs["left"].to_numpy()[order]
-        pair = self.codes < 1 << 3 * BITS
-        self.share = np.where(pair, self.share / np.maximum(counts[(self.codes >> BITS) & ((1 << BITS) - 1)], 1), self.share)
-
-    def _arc(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.codes):
-            return np.zeros(len(code), bool), np.zeros(len(code), np.int64)
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        return self.codes[at] == code, at
-
-    def traverse(self, tokens, one, two, base) -> np.ndarray:
+    def __init__(self, block: Block, answers: pa.Table):
+        self.block = block
+        worded = answers.filter(pc.is_valid(answers["word"]))
+        words = worded["word"].to_numpy().view(np.uint64)
+        order = np.argsort(words)
+        self.words = words[order]
+        self.figures = np.stack([worded[n].to_numpy()[order] for n in ("c", "s", "k")])
+        parted = answers.filter(pc.is_valid(answers["part"]))
+        of_part = dict(zip(parted["part"].to_pylist(), parted["answer"]))
+        self.pairs = np.zeros((3, len(block.a)), np.int64)
+        self.triples = np.zeros(len(block.third), np.int64)
+        for part, own, thirds in block.ranges():
+            *self.pairs[:, own], self.triples[thirds] = _unpack(of_part[part].as_py(), ANSWER)
+
+    def of_words(self, tokens: np.ndarray) -> np.ndarray:
+        """Count, and sum and number of the pairs that go on, of each token."""
+        if not len(self.words):
+            return np.zeros((3, len(tokens)), np.int64)
+        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
+        return np.where(self.words[at] == tokens, self.figures[:, at], 0)
+
+    def traverse(self, base: np.ndarray) -> np.ndarray:
         """The probability of each token on the way from left to right.
 
         After each token the automaton is in the state of the longest history that the token ends,
         which depends on the last two tokens alone; so the way through all texts is taken at once.
         """
-        pairs, triples = codes(tokens, one, two)
-        in_pair, at = self._arc(pairs)
-        share = np.where(in_pair, self.share[at] if len(self.share) else 0.0, 0.0)
-        after_word = np.where(one >= 0, share + self.left[np.maximum(one, 0)] * base, base)
-        history = np.where((one >= 0) & (two >= 0), (two << BITS) + one, -1)
-        is_state, place = self._arc(history)
-        in_triple, at = self._arc(triples)
-        share = np.where(in_triple, self.share[at] if len(self.share) else 0.0, 0.0)
-        fails = self.fails[place] if len(self.fails) else 1.0
-        return np.where(is_state, share + fails * after_word, after_word)
-
-
-def _traverse(head: Head, head_counts, left, total: int, distinct_words: int, id_kind):
+        block = self.block
+        counts = np.append(self.pairs[0], 0)[block.pair]
+        p = _stepped(base, counts, self.of_words(block.one), block.after)
+        history = np.append(self.pairs, np.zeros((3, 1), np.int64), axis=1)[:, np.concatenate([[-1], block.pair[:-1]])]
+        return _stepped(p, np.append(self.triples, 0)[block.triple], history, block.second)
+
+
+def _stepped(shorter: np.ndarray, counts: np.ndarray, state: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """The probability after a state, from its arc's count and the probability by the shorter history."""
+    c, s, k = state
+    there = inside & (c > 0)
+    c = np.maximum(c, 1)
+    return np.where(there, np.maximum(counts - DISCOUNT, 0) / c + (1 - (s - DISCOUNT * k) / c) * shorter, shorter)
+
+
+def _traverse(head: np.ndarray | None, parts: int, total: int, distinct_words: int, id_kind):
     def traverse(key, parcels: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(parcels):
             return pa.table({n: pa.array([], t) for n, t in _columns(to_arrow_type(id_kind))})
-        arcs = answers.filter(pc.is_valid(answers["code"])).combine_chunks()
-        rare = answers.filter(pc.is_valid(answers["word"])).combine_chunks()
-        known = pa.concat_arrays(
-            [pa.array(head.words, pa.large_string()), *(c.cast(pa.large_string()) for c in rare["word"].chunks)]
+        block = Block(_unpacked(parcels["parcel"], SLICE_BYTES), head, parts)
+        automaton = Automaton(block, answers)
+        c = automaton.of_words(block.tokens)[0]
+        base = (c + 0.5) / (total + 0.5 * (distinct_words + 1))
+        p = automaton.traverse(base)
+        size = len(block.held)
+        scored = pa.table(
+            {
+                "doc_id": pa.chunked_array(block.ids),
+                "held_out": pa.array(block.held),
+                "n_tokens": pa.array(block.lengths),
+                "n_known": pa.array(np.bincount(block.row[c > 0], minlength=size)),
+                "train_tokens": pa.array(np.full(size, total)),
+                "base_score": pa.array(np.bincount(block.row, np.log10(base), size)),
+                "score": pa.array(np.bincount(block.row, np.log10(p), size)),
+            }
         )
-        counts = np.concatenate([head_counts, rare["value"].to_numpy()])
-        share_of = lambda c: (c + 0.5) / (total + 0.5 * (distinct_words + 1))
-        automaton = Automaton(head, head_counts, left, arcs, share_of)
-        parts = []
-        for batch in _unpacked(parcels["parcel"], SLICE_BYTES):
-            words, starts = split_words(batch.column("text"))
-            places, distinct = coded(words)
-            at = pc.fill_null(pc.index_in(distinct, known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-            own = np.where(at >= 0, counts[at], 0.0) if len(at) else np.zeros(0)
-            c, _ = with_ends(own[places] if len(at) else np.zeros(0), starts, head_counts[head.end])
-            tokens, one, two, begins = head.states(distinct, places, starts)
-            base = share_of(c)
-            p = automaton.traverse(tokens, one, two, base)
-            row, size = rows_of(begins), len(batch)
-            parts.append(
-                pa.table(
-                    {
-                        "doc_id": batch.column("doc_id"),
-                        "held_out": batch.column("held_out"),
-                        "n_tokens": pa.array(np.diff(begins)),
-                        "n_known": pa.array(np.bincount(row[c > 0], minlength=size)),
-                        "train_tokens": pa.array(np.full(size, total)),
-                        "base_score": pa.array(np.bincount(row, np.log10(base), size)),
-                        "score": pa.array(np.bincount(row, np.log10(p), size)),
-                    }
-                )
-            )
         # The next block may run in the same process.
         pa.default_memory_pool().release_unused()
-        return pa.concat_tables(parts)
+        return scored
 
     return traverse
 

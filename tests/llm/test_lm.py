@@ -81,3 +81,18 @@ def test_probabilities_add_up():
     for history in (["", "a"], ["", "a", "b"], ["a", "nowhere"], [""]):
         unseen = plain.probability(history, "never met")
         assert sum(plain.probability(history, w) for w in plain.c) + unseen == pytest.approx(1)
+
+
+def test_every_word_is_a_state_of_the_model(spark):
+    """By default rare words have pairs and triples as well, however many tokens there are."""
+    assert lm.HEAD_SHARE == 0
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    compare(lm.score_documents(docs).collect(), rows)
+
+
+def test_small_blocks_and_parts_agree(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 3_000)
+    monkeypatch.setattr(lm, "PART_TOKENS", 2_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    compare(lm.score_documents(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
