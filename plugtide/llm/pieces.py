@@ -16,9 +16,11 @@ from plugtide.llm.words import coded, gather, mixed, raw, slices, strings
 
 SEED = 17
 DROPOUT = 0.1
-# Different segmentations that one unit of text can get; which one an occurrence gets is a hash of
-# seed, document and place.
+# Numbered variants that the keys of `Vocabulary.segment` leave room for; texts do not use them.
 VARIANTS = 4
+# Letters of a unit up to which its merges are remembered; each occurrence of a longer one is worked
+# out for itself.
+REMEMBERED_LETTERS = 64
 SPACE = "▁"
 # Rows of equal width are merged together; the widest are handled alone.
 WIDTHS = [4, 8, 12, 16, 24, 32, 64, 128, 512, 4096]
@@ -75,24 +77,40 @@ class Vocabulary:
         places falls below `dropout`.
         """
         text = units.to_pylist()
+        keys = np.fromiter((zlib.crc32(t.encode()) for t in text), np.uint64, len(text))
+        keys = mixed(keys * np.uint64(VARIANTS * 1024) + variants.astype(np.uint64) + mixed(np.array([seed]))[0])
+        return self.segment_keyed(units, keys, dropout)[0]
+
+    def segment_keyed(
+        self, units: pa.Array, keys: np.ndarray, dropout: float, without: np.ndarray | None = None
+    ) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """As `segment`, with the units' keys: the ids and where they begin; and the spans merged, in order.
+
+        `without` has a span per unit that is skipped, whatever its hash.
+        """
+        text = units.to_pylist()
         letters = np.frombuffer("".join(text).encode("utf-32-le"), np.uint32).astype(np.int64)
         starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, text), np.int64, len(text)))])
         lengths = np.diff(starts)
-        keys = np.fromiter((zlib.crc32(t.encode()) for t in text), np.uint64, len(text))
-        keys = mixed(keys * np.uint64(VARIANTS * 1024) + variants.astype(np.uint64) + mixed(np.array([seed]))[0])
         order: list[np.ndarray] = []
         ids: list[np.ndarray] = []
+        merged: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
         counts = np.zeros(len(text), np.int64)
         for low, high in zip([0, *WIDTHS], [*WIDTHS, int(max(lengths.max(initial=0), WIDTHS[-1])) + 1]):
             rows = np.flatnonzero((lengths > low) & (lengths <= high))
             step = max(1, (1 << 20) // max(1, high))
             for some in (rows[i : i + step] for i in range(0, len(rows), step)):
-                own, own_starts = self._merged(letters, starts, some, keys[some], dropout)
+                gone = None if without is None else without[some]
+                own, own_starts, spans = self._merged(letters, starts, some, keys[some], dropout, gone)
+                merged += [(some[live], span) for live, span in spans]
                 counts[some] = np.diff(own_starts)
                 order.append(some)
                 ids.append(own)
+        rows, spans = (np.concatenate(x) for x in zip(*merged))
+        spans = spans[np.argsort(rows, kind="stable")]
+        span_starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(text)))])
         if not order:
-            return np.zeros(0, np.int64), np.zeros(len(text) + 1, np.int64)
+            return (np.zeros(0, np.int64), np.zeros(len(text) + 1, np.int64)), (spans, span_starts)
         sequence, values = np.concatenate(order), np.concatenate(ids)
         begins = np.concatenate([[0], np.cumsum(counts[sequence])])
         back = np.empty(len(text), np.int64)
@@ -100,9 +118,9 @@ class Vocabulary:
         back[sequence] = np.arange(len(sequence))
         begins = np.append(begins, begins[-1])
         back[back < 0] = len(sequence)
-        return gather(values, begins, back)
+        return gather(values, begins, back), (spans, span_starts)
 
-    def _merged(self, letters, starts, rows, keys, dropout):
+    def _merged(self, letters, starts, rows, keys, dropout, without):
         lengths = (starts[1:] - starts[:-1])[rows]
         width = int(lengths.max())
         columns = np.arange(width)
@@ -112,31 +130,35 @@ class Vocabulary:
         symbols = np.where(inside, np.where(self.letter[codes] >= 0, self.letter[codes], -2 - codes), -1)
         begins = np.broadcast_to(columns, symbols.shape).copy()
         begins = np.where(inside, begins, lengths[:, None])
-        level = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
+        level = np.uint64(_level(dropout))
 
         def candidates(which, at):
             """The piece made at places `at` of rows `which`, and its rank in the agenda."""
             last = symbols.shape[1] - 1
             left, right = symbols[which, at], symbols[which, np.minimum(at + 1, last)]
             made = np.where(at < last, self.merge(left, right), -1)
-            if dropout > 0:
+            if dropout > 0 or without is not None:
                 ends = begins[which, np.minimum(at + 2, last)]
                 ends = np.where(at + 2 <= last, ends, lengths[which])
-                span = (begins[which, at].astype(np.uint64) << np.uint64(42)) + (
-                    begins[which, np.minimum(at + 1, last)].astype(np.uint64) << np.uint64(21)
-                ) + ends.astype(np.uint64)
+                span = _span(begins[which, at], begins[which, np.minimum(at + 1, last)], ends)
+                if without is not None:
+                    made = np.where(span == without[which], -1, made)
+            if dropout > 0:
                 made = np.where(mixed(keys[which] ^ mixed(span)) < level, -1, made)
             return made, np.where(made >= 0, self.rank[made], self.never)
 
         every, at = np.divmod(np.arange(symbols.size), width)
         made, rank = (x.reshape(symbols.shape) for x in candidates(every, at))
         live = np.arange(len(rows))
+        spans = []
         while len(live):
             best = np.argmin(rank[live], axis=1)
             going = rank[live, best] < self.never
             live, best = live[going], best[going]
             if not len(live):
                 break
+            ends = np.where(best + 2 < width, begins[live, np.minimum(best + 2, width - 1)], lengths[live])
+            spans.append((live, _span(begins[live, best], begins[live, best + 1], ends)))
             symbols[live, best] = made[live, best]
             # What stands right of the merged pair moves one place to the left.
             shift = np.minimum(columns + (columns > best[:, None]), width - 1)
@@ -154,7 +176,7 @@ class Vocabulary:
         unknown = np.flatnonzero(flat < 0)
         if len(unknown):
             flat, counts = self._with_bytes(flat, counts, unknown)
-        return flat, np.concatenate([[0], np.cumsum(counts)])
+        return flat, np.concatenate([[0], np.cumsum(counts)]), spans
 
     def _with_bytes(self, flat, counts, unknown):
         """Letters without a piece become the pieces of their bytes."""
@@ -179,6 +201,17 @@ class Vocabulary:
         return data[keep], passed[begins]
 
 
+def _span(begin: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The span of a merge and the place in it where its parts meet, as one number."""
+    begin, middle, end = (x.astype(np.uint64) for x in (begin, middle, end))
+    return (begin << np.uint64(42)) + (middle << np.uint64(21)) + end
+
+
+def _level(dropout: float) -> int:
+    """A merge whose hash lies below this is skipped."""
+    return min(int(dropout * 2.0**64), 2**64 - 1)
+
+
 def segment_documents(
     docs: DataFrame,
     path: str,
@@ -191,9 +224,10 @@ def segment_documents(
 
     A space is put before a text, as the model's own encoder does, and the text is cut into units:
     spaces and what follows them up to the next space. No piece spans two units, so each is merged
-    for itself. Every occurrence of a unit takes one of `VARIANTS` seeded segmentations, chosen by a
-    hash of seed, id and the unit's number in its document; a task works out each unit and variant
-    once. Without dropout the ids are those of the model's own encoder, but for the character that
+    for itself. In every occurrence of a unit each merge is skipped or not for itself, by a hash of
+    seed, id, the unit's number in its document and the merge's span. A task remembers the merges of
+    each unit with none skipped, and with one of these skipped; an occurrence that skips none of the
+    merges so found has that result, and any other one is worked out for itself. Without dropout the ids are those of the model's own encoder, but for the character that
     stands for a space inside the model: as part of a text it is spelled in bytes, so that decoding
     gives every text back. `lossless` says that it did. Null and empty texts have no ids; with a
     null id the text's length takes the id's place. There is no shuffle.
@@ -230,9 +264,99 @@ def segment_documents(
 
 
 def _work(vocabulary: Vocabulary, keyed: pa.Array, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """Segments units that carry their variant's digit in front."""
-    variants = pc.utf8_slice_codeunits(keyed, 0, 1).cast(pa.int64()).to_numpy(zero_copy_only=False)
-    return vocabulary.segment(pc.utf8_slice_codeunits(keyed, 1), variants, seed, dropout)
+    """Segments units that carry in front what is skipped; all of a call carry the same kind.
+
+    * "0": nothing, and "1" with three letters: the span that they spell. The result is the number of
+      merges, three numbers for each, and the ids.
+    * "k" with 16 digits: what the hashes with this key say. The result is the ids.
+    * An empty unit asks for the level of the hashes, as four numbers of 16 bits.
+    """
+    kind = keyed[0].as_py()[:1] if len(keyed) else "k"
+    if not kind:
+        return np.array([_level(dropout)], "<u8").view("<u2").astype(np.int64), np.array([0, 4])
+    if kind == "k":
+        digits = "".join(pc.utf8_slice_codeunits(keyed, 1, 17).to_pylist())
+        keys = np.frombuffer(bytes.fromhex(digits), ">u8").astype(np.uint64)
+        return vocabulary.segment_keyed(pc.utf8_slice_codeunits(keyed, 17), keys, dropout)[0]
+    without = None
+    if kind == "1":
+        spelled = "".join(pc.utf8_slice_codeunits(keyed, 1, 4).to_pylist()).encode("ascii")
+        without = _span(*(np.frombuffer(spelled, np.uint8).reshape(-1, 3).T - 32))
+    units = pc.utf8_slice_codeunits(keyed, 4 if kind == "1" else 1)
+    (ids, starts), (spans, span_starts) = vocabulary.segment_keyed(units, np.zeros(len(units), np.uint64), 0.0, without)
+    merges = np.diff(span_starts)
+    begins = np.concatenate([[0], np.cumsum(1 + 3 * merges + np.diff(starts))])
+    values = np.empty(begins[-1], np.int64)
+    values[begins[:-1]] = merges
+    at = np.arange(len(spans)) * 3 + np.repeat(begins[:-1] + 1 - 3 * span_starts[:-1], merges)
+    for i, shift in enumerate((42, 21, 0)):
+        values[at + i] = (spans >> np.uint64(shift)) & np.uint64((1 << 21) - 1)
+    values[np.arange(len(ids)) + np.repeat(begins[1:] - starts[1:], np.diff(starts))] = ids
+    return values, begins
+
+
+def _looked_up(memo: Memo, keyed: pa.Array):
+    """The merges of each unit as spans, and its ids; both with where they begin."""
+    values, begins = memo(keyed, np.arange(len(keyed)))
+    values = values.astype(np.int64)
+    merges = values[begins[:-1]] if len(keyed) else np.zeros(0, np.int64)
+    inner = np.repeat(begins[:-1] + 1 + 3 * merges, np.diff(begins)) <= np.arange(len(values))
+    head = np.zeros(len(values), bool)
+    head[begins[:-1]] = True
+    spans = _span(*values[~inner & ~head].reshape(-1, 3).T)
+    starts = np.concatenate([[0], np.cumsum(merges)])
+    return spans, starts, values[inner], begins - np.arange(len(begins)) - 3 * starts
+
+
+def _first_skipped(spans: np.ndarray, starts: np.ndarray, places: np.ndarray, keys: np.ndarray, level: int):
+    """The occurrences (unit and key) that skip one of the unit's merges, and the first such span."""
+    if not level:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    own, begins = gather(np.arange(len(spans)), starts, places)
+    row = np.repeat(np.arange(len(places)), np.diff(begins))
+    at = np.flatnonzero(mixed(keys[row] ^ mixed(spans)[own]) < np.uint64(level))
+    rows, first = np.unique(row[at], return_index=True)
+    return rows, spans[own[at[first]]]
+
+
+def _segmented(units: pa.Array, places: np.ndarray, keys: np.ndarray, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the occurrences `units[places]` under their keys, one after the other, and where they begin."""
+    nothing = pa.scalar("", pa.large_string())
+    joined = lambda *parts: pc.binary_join_element_wise(*parts, nothing)
+    level = int(memo.work(pa.array([""], pa.large_string()))[0].astype("<u2").view("<u8")[0])
+    short = pc.less_equal(pc.utf8_length(units), REMEMBERED_LETTERS).to_numpy(zero_copy_only=False)
+    number = np.cumsum(short) - 1
+    result = np.full(len(places), -1)
+    open_rows = np.flatnonzero(short[places])
+    alone = [np.flatnonzero(~short[places])]
+
+    spans, starts, ids, ends = _looked_up(memo, joined(pa.scalar("0", pa.large_string()), units.filter(pa.array(short))))
+    own = number[places[open_rows]]
+    result[open_rows] = own
+    rows, skipped = _first_skipped(spans, starts, own, keys[open_rows], level)
+    open_rows = open_rows[rows]
+    parts = [(ids, ends)]
+    if len(rows):
+        # Spans of short units are told apart by 7 bits for each of the three places.
+        seven = np.uint64(127)
+        code = sum(((skipped >> np.uint64(s)) & seven) << np.uint64(t) for s, t in ((42, 14), (21, 7), (0, 0)))
+        pairs, which = np.unique((places[open_rows] << 21) + code.astype(np.int64), return_inverse=True)
+        spelled = np.stack([(pairs >> t) & 127 for t in (14, 7, 0)], axis=1).astype(np.uint8) + 32
+        spelled = strings(np.ascontiguousarray(spelled).ravel(), np.arange(len(pairs) + 1) * 3)
+        keyed = joined(pa.scalar("1", pa.large_string()), spelled, units.take(pa.array(pairs >> 21)))
+        spans, starts, ids, ends = _looked_up(memo, keyed)
+        result[open_rows] = len(parts[0][1]) - 1 + which
+        parts.append((ids, ends))
+        rows, _ = _first_skipped(spans, starts, which, keys[open_rows], level)
+        alone.append(open_rows[rows])
+    rows = np.concatenate(alone)
+    if len(rows):
+        digits = np.frombuffer(keys[rows].astype(">u8").tobytes().hex().encode(), np.uint8)
+        digits = strings(digits, np.arange(len(rows) + 1) * 16)
+        result[rows] = sum(len(e) - 1 for _, e in parts) + np.arange(len(rows))
+        parts.append(memo.work(joined(pa.scalar("k", pa.large_string()), digits, units.take(pa.array(places[rows])))))
+    sizes = np.concatenate([np.diff(e) for _, e in parts])
+    return gather(np.concatenate([i for i, _ in parts]), np.concatenate([[0], np.cumsum(sizes)]), result)
 
 
 def segment_texts(texts: pa.Array, keys: np.ndarray, memo: Memo, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -250,10 +374,6 @@ def segment_texts(texts: pa.Array, keys: np.ndarray, memo: Memo, seed: int) -> t
     first = np.searchsorted(at, starts)
     rows = np.repeat(np.arange(len(texts)), np.diff(first))
     number = np.arange(len(at)) - first[:-1][rows]
-    chosen = mixed(keys.view(np.uint64)[rows] ^ mixed(number + (seed << 32)))
-    both = places * VARIANTS + (chosen % np.uint64(VARIANTS)).astype(np.int64)
-    distinct, places = np.unique(both, return_inverse=True)
-    digits = pa.array((distinct % VARIANTS).astype(str), pa.large_string())
-    keyed = pc.binary_join_element_wise(digits, units.take(pa.array(distinct // VARIANTS)), nothing)
-    ids, unit_starts = memo(keyed, places)
+    occurrence = mixed(keys.view(np.uint64)[rows] ^ mixed(number + (seed << 32)))
+    ids, unit_starts = _segmented(units, places, occurrence, memo)
     return ids.astype(np.int64), unit_starts[first]

@@ -96,3 +96,23 @@ def test_odd_rows(spark):
 def test_given_documents(spark):
     rows = queries.op6_merge_dropout(spark, SF).collect()
     assert len(rows) == 200 and all(r.lossless and r.n_pieces == len(r.ids) for r in rows)
+
+
+def test_merges_are_skipped_per_occurrence():
+    """Each occurrence of a frequent unit is drawn for itself, and as its own key says."""
+    count, dropout = 4000, 0.1
+    keys = pieces.mixed(np.arange(count))
+    memo = Memo(lambda k: pieces._work(VOCABULARY, k, 1, dropout), np.uint16)
+    for unit in (" the", " documents", " internationalisation", " " + "long" * 40):
+        units = pa.array([unit], pa.large_string())
+        ids, starts = pieces._segmented(units, np.zeros(count, np.int64), keys, memo)
+        got = [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
+        for i in range(0, count, 100):
+            assert got[i] == slow_segment(unit, keys[i : i + 1], dropout)
+        whole, begins = VOCABULARY.segment_keyed(pa.array([unit] * count, pa.large_string()), keys, dropout)[0]
+        assert got == [whole[a:b].tolist() for a, b in zip(begins, begins[1:])]
+        (plain, _), (spans, _) = VOCABULARY.segment_keyed(units, keys[:1], 0.0)
+        # Other merges may lead to the same ids.
+        share = sum(g == plain.tolist() for g in got) / count
+        assert (1 - dropout) ** len(spans) - 0.03 < share < 0.95
+        assert len({tuple(g) for g in got}) > (1 if unit == " the" else pieces.VARIANTS)
