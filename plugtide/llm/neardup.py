@@ -235,10 +235,13 @@ def _rest_of_pairs(
             F.col("largest.label").alias("main"),
             F.ceil(F.col("all") / TILE).cast("int").alias("across"),
             F.ceil((F.col("all") - F.col("largest.n")) / TILE).cast("int").alias("down"),
+            F.col("all"),
+            (F.col("all") - F.col("largest.n")).alias("outside"),
         )
     )
+    mixed = durable(mixed, "mixed-buckets")
     marks = nodes.select("node", "signature").join(sets.select("node", "sketch").dropDuplicates(["node"]), "node")
-    open_rows = durable(own.join(mixed, "key").join(marks, "node"), "open-buckets")
+    open_rows = durable(own.join(mixed.drop("all", "outside"), "key").join(marks, "node"), "open-buckets")
     tile = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
     all_tiles = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     columns = ["key", "slot", "node", "label", "signature", "sketch"]
@@ -248,12 +251,18 @@ def _rest_of_pairs(
     )
     cells = left.unionByName(right)
     # Cells have at most some 2 x TILE rows; several small ones share a group.
-    groups = max(1, -(-open_rows.count() // (4 * TILE)))
+    groups = _groups(mixed)
     cells = cells.withColumn("group", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)))
     compared = _compared(max(_reach(VALUES, BITS, percent, 6), DISTANCE), _reach(SKETCH, 8, percent, 5))
     return cells.groupBy("group").applyInArrow(compared, "a long, b long").distinct()
 
 
+def _groups(mixed: DataFrame) -> int:
+    """Groups of some 4 x TILE rows of cells; a row stands in a cell for each tile of the other side."""
+    rows = mixed.agg(F.sum(F.col("all") * F.col("down") + F.col("outside") * F.col("across"))).first()[0]
+    return max(1, -(-int(rows or 0) // (4 * TILE)))
+
+
 def _reach(values: int, bits: int, percent: int, spreads: float) -> int:
     """The distance that two sets just similar enough keep to, but for so many standard deviations."""
     p = (1 - percent / 100) * (1 - 0.5**bits)

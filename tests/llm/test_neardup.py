@@ -103,3 +103,31 @@ def test_components(spark):
     loops = {x for x in parent if all(a == b for a, b in edges if x in (a, b))}
     assert got == {x: find(x) for x in parent if x not in loops}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_groups_stay_small_in_a_large_bucket(spark, monkeypatch):
+    """Rows are counted as often as tiles repeat them, so no group grows with a bucket."""
+    monkeypatch.setattr(neardup, "TILE", 16)
+    plain = neardup._compared
+
+    def counted(*reaches):
+        inside = plain(*reaches)
+
+        def compare(table):
+            if len(table) > 24 * 16:
+                raise ValueError(f"{len(table)} rows in a group")
+            return inside(table)
+
+        return compare
+
+    monkeypatch.setattr(neardup, "_compared", counted)
+    count = 600
+    rows = lambda make, schema: spark.createDataFrame([make(i) for i in range(count)], schema)
+    signature = np.arange(neardup.VALUES, dtype=np.uint16)
+    signed = [(signature + np.uint16(1000) * (np.arange(neardup.VALUES) >= 5) * np.uint16(i % 60 + 1)).tobytes() for i in range(count)]
+    members = rows(lambda i: (7, 0, i), "key long, slot int, node long")
+    nodes = rows(lambda i: (i, bytearray(signed[i])), "node long, signature binary")
+    sets = rows(lambda i: (i, bytearray(neardup.SKETCH)), "node long, sketch binary")
+    label = spark.createDataFrame([], "node long, component long")
+    got = {tuple(r) for r in neardup._rest_of_pairs(members, nodes, sets, label, 80).collect()}
+    assert got == {(i, j) for i in range(count) for j in range(i + 60, count, 60)}
