@@ -1,7 +1,8 @@
 """Reference SQL (DuckDB) for the text operators that SQL can express.
 
 It goes its own ways: rows of spans instead of arrays, all pairs that share a shingle instead of
-signatures, a recursive walk instead of stars, windows instead of grouped texts.
+signatures, a recursive walk instead of stars, windows instead of grouped texts, every window of every
+text instead of anchors, single documents and terms instead of classes and cells.
 """
 
 from __future__ import annotations
@@ -119,8 +120,94 @@ EXACT = r"""
         FROM d
     """
 
+PASSAGES = r"""
+        WITH texts AS MATERIALIZED (
+          SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+          FROM documents),
+        windows AS MATERIALIZED (
+          SELECT rid, doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS s
+          FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM texts)),
+        gone AS (
+          SELECT DISTINCT rid, unnest(range(i, i + 50)) AS i
+          FROM windows JOIN (SELECT s, min(doc_id) AS least FROM windows GROUP BY s) USING (s) WHERE least < doc_id),
+        words AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
+        kept AS (
+          SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t
+          FROM words ANTI JOIN gone USING (rid, i) GROUP BY rid)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (rid)
+    """
+
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SEARCH = rf"""
+        WITH texts AS MATERIALIZED (
+          SELECT row_number() OVER () AS rid, doc_id,
+                 regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+          FROM documents),
+        sizes AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS docs, sum(len(w))::BIGINT AS terms FROM texts),
+        wanted AS MATERIALIZED (
+          SELECT item, item_id, term, count(*) AS times FROM (
+            SELECT row_number() OVER () AS item, item_id,
+                   unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+        held AS MATERIALIZED (
+          SELECT rid, doc_id, n, term, count(*) AS tf
+          FROM (SELECT rid, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM texts)
+          WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+        weights AS (
+          SELECT term, CAST(floor(1000 * ln((2 * max(docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+          FROM held, sizes GROUP BY term),
+        scored AS (
+          SELECT item, item_id, rid, doc_id,
+                 sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+          FROM held JOIN weights USING (term) JOIN wanted USING (term), sizes GROUP BY ALL)
+        SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 20
+    """
+
+DIVERGENCE = rf"""
+        WITH texts AS MATERIALIZED (
+          SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                 regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        held AS MATERIALIZED (
+          SELECT lang, source, term, sum(n)::BIGINT AS n, count(*) AS texts
+          FROM (SELECT rid, lang, source, term, count(*) AS n FROM (SELECT *, unnest(w) AS term FROM texts) GROUP BY ALL)
+          GROUP BY ALL),
+        kept AS MATERIALIZED (
+          SELECT lang, term, sum(n)::BIGINT AS n FROM held GROUP BY lang, term HAVING sum(texts) >= 10),
+        langs AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+        present AS MATERIALIZED (SELECT DISTINCT lang, source FROM texts),
+        totals AS (
+          SELECT p.lang, p.source, coalesce(sum(h.n) FILTER (WHERE k.term IS NOT NULL), 0)::HUGEINT AS total
+          FROM present p LEFT JOIN held h ON h.lang = p.lang AND h.source = p.source
+          LEFT JOIN kept k ON k.lang = h.lang AND k.term = h.term GROUP BY ALL),
+        shares AS MATERIALIZED (
+          SELECT t.lang, t.source, k.term, coalesce(h.n, 0) AS n,
+                 (1 + (1000000000::HUGEINT * (coalesce(h.n, 0) + 2)) // (t.total + 2 * l.v))::BIGINT AS p,
+                 (1 + (1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v))::BIGINT AS q
+          FROM totals t JOIN langs l USING (lang) JOIN kept k USING (lang)
+          LEFT JOIN held h ON h.lang = t.lang AND h.source = t.source AND h.term = k.term),
+        pairs AS (
+          SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+          FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        ranked AS (
+          SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value,
+                 row_number() OVER (PARTITION BY lang, source ORDER BY coalesce(value, 0) DESC, item)::INTEGER AS rank
+          FROM (SELECT a.lang, a.source, b.source AS item FROM present a JOIN present b ON a.lang = b.lang AND a.source <> b.source)
+          LEFT JOIN pairs USING (lang, source, item)
+          UNION ALL SELECT * FROM (
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) AS value,
+                   row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // (p + q) DESC, term)::INTEGER AS rank
+            FROM shares WHERE n > 0 AND p > q) WHERE rank <= 10)
+        SELECT * FROM ranked
+    """
+
 ORACLE_SQL: dict[str, str] = {
     "op3_secret_scan": SECRETS,
     "op4_near_dedup": NEAR,
     "op7_exact_dedup": EXACT,
+    "op11_substring_dedup": PASSAGES,
+    "op12_ranked_search": SEARCH,
+    "op13_divergence_audit": DIVERGENCE,
 }

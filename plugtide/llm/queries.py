@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plugtide.llm import ann, exact, html, lm, neardup, packing, pieces, quality, secrets, tokens
+from plugtide.llm import ann, divergence, exact, html, lm, neardup, packing, pieces, quality, search, secrets, substrings, tokens
 from plugtide.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
 TOKEN_LIMIT = 2048
@@ -61,6 +61,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(_read(spark, sf_dir, "documents"), window=50).drop("removed_spans")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), top=20)
+
+
+def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -74,5 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_lm_scoring,
         op10_packing,
+        op11_substring_dedup,
+        op12_ranked_search,
+        op13_divergence_audit,
     )
 }
