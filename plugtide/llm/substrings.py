@@ -112,48 +112,60 @@ def _read(window: int):
 
 
 def _candidates(window: int):
-    """Texts with the first words of their windows around shared anchors."""
+    """Texts with their windows around shared anchors: twice a window's first word, and 1 more if one of
+    its anchors also stands in a smaller document."""
     period = period_of(window)
     cover = np.array(COVERS[period])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             _, starts = split_words(batch.column("text"), lower=False)
-            found = []
+            found, asked = [], []
             for n, spots in zip(np.diff(starts), batch.column("spots")):
-                k = np.unique(spots.values.to_numpy())
-                anchors = k // len(cover) * period + cover[k % len(cover)]
-                steps = np.zeros(n + 2, np.int64)
-                np.add.at(steps, np.maximum(anchors - period + 1, 0), 1)
-                np.add.at(steps, anchors + 1, -1)
-                found.append(np.flatnonzero(np.cumsum(steps)[: n - window + 1]))
+                k = spots.values.to_numpy()
+                near = [_near(k // 2, n), _near(k[k % 2 == 1] // 2, n)]
+                found.append(np.flatnonzero(near[0]))
+                asked.append(near[1][found[-1]])
             ends = np.concatenate([[0], np.cumsum([len(f) for f in found])])
             firsts = np.concatenate(found) if found else np.zeros(0, np.int64)
+            asks = np.concatenate(asked) if asked else np.zeros(0, bool)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c) for c in ("row", "place", "digest", "text")],
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(firsts, pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(2 * firsts + asks, pa.int32())),
                 ],
                 ["row", "place", "digest", "text", "firsts"],
             )
 
+    def _near(k: np.ndarray, n: int) -> np.ndarray:
+        """Whether the window from each word on holds one of these anchors."""
+        anchors = k // len(cover) * period + cover[k % len(cover)]
+        steps = np.zeros(n + 2, np.int64)
+        np.add.at(steps, np.maximum(anchors - period + 1, 0), 1)
+        np.add.at(steps, anchors + 1, -1)
+        return np.cumsum(steps)[: n - window + 1] > 0
+
     return candidates
 
 
-def _windows(window: int):
-    """One row per candidate window: its 128-bit hash, the text's row and place, its first word."""
+def _windows(window: int, asking: bool):
+    """One row per candidate window: its 128-bit hash, the text's row and place, its first word.
+
+    With `asking` only windows that a smaller document may hold.
+    """
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             _, own, starts = word_hashes(batch.column("text"))
             firsts = batch.column("firsts")
-            counts = pc.list_value_length(firsts).to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(len(batch)), pc.list_value_length(firsts).to_numpy(zero_copy_only=False))
             first = firsts.flatten().to_numpy()
-            at = first + np.repeat(starts[:-1], counts)
-            halves = [pa.array(window_hashes(own, at, window, base).view(np.int64)) for base in BASES]
-            own_row, place = (np.repeat(batch.column(c).to_numpy(), counts) for c in ("row", "place"))
+            if asking:
+                rows, first = rows[first % 2 == 1], first[first % 2 == 1]
+            first = first // 2
+            halves = [pa.array(window_hashes(own, first + starts[rows], window, base).view(np.int64)) for base in BASES]
             yield pa.RecordBatch.from_arrays(
-                [*halves, pa.array(own_row), pa.array(place), pa.array(first, pa.int32())],
+                [*halves, *[pa.array(batch.column(c).to_numpy()[rows]) for c in ("row", "place")], pa.array(first, pa.int32())],
                 ["h1", "h2", "row", "place", "first"],
             )
 
@@ -206,9 +218,10 @@ def repeated_passages(
 
     Texts with the same words are one text under their smallest id; its other rows lose all their
     words if they fill a window. Between different texts, only windows around anchors that at
-    least two texts have are hashed (128 bits) and grouped. All sums are made before the shuffle, and
-    hashes that many texts have go back to them by a lookup that keeps hot keys spread, so no task
-    sees all places of a passage and no pairs of places are made.
+    least two texts have are hashed (128 bits) and grouped, and only those with an anchor of a smaller
+    document ask for their first place. All sums are made before the shuffle, and hashes that many
+    texts have go back to them by a lookup that keeps hot keys spread, so no task sees all places
+    of a passage and no pairs of places are made.
 
     A null text has no words; it and texts shorter than a window lose nothing. A null id counts as
     larger than every other. Rows of equal id never remove anything from each other. An empty table
@@ -233,15 +246,19 @@ def repeated_passages(
     texts = durable(texts.select("digest", "least", "_it.row", "_it.mark", "_rows"), "texts")
 
     shared = (
-        rows.select("tag", F.explode("anchors").alias("hash"))
+        rows.select("tag", "place", F.explode("anchors").alias("hash"))
         .groupBy("hash")
-        .agg(F.min("tag").alias("low"), F.max("tag").alias("high"), F.count(F.lit(1)).alias("_rows"))
+        .agg(
+            F.min("tag").alias("low"), F.max("tag").alias("high"),
+            F.min("place").alias("_first_place"), F.count(F.lit(1)).alias("_rows"),
+        )
         .filter("low <> high")
-        .select("hash", "_rows", F.lit(True).alias("_shared"))
+        .select("hash", "_first_place", "_rows")
     )
-    anchors = rows.select("row", F.posexplode("anchors").alias("spot", "hash"))
-    hits = attach(anchors, shared, ["hash"], rows_per_key="_rows").filter("_shared")
-    spots = hits.groupBy("row").agg(F.collect_list("spot").alias("spots"))
+    anchors = rows.select("row", "place", F.posexplode("anchors").alias("spot", "hash"))
+    hits = attach(anchors, shared, ["hash"], rows_per_key="_rows", broadcast_bytes=0).filter("_first_place IS NOT NULL")
+    later = (F.col("_first_place") < F.col("place")).cast("int")
+    spots = hits.groupBy("row").agg(F.collect_list(F.col("spot") * 2 + later).alias("spots"))
     # Of equal texts only the one with the smallest id is looked into.
     spots = spots.join(texts.select("row", "digest", F.col("least").alias("place"), "mark"), "row")
     looked = given.select("place", "mark", "text").join(spots, ["place", "mark"]).dropDuplicates(["place", "mark"])
@@ -251,18 +268,18 @@ def repeated_passages(
         ),
         "candidates",
     )
-    windows = found.select("row", "place", "text", "firsts").mapInArrow(
-        _windows(window), "h1 long, h2 long, row long, place long, first int"
-    )
-    windows = durable(windows, "windows")
+    def windows(asking: bool) -> DataFrame:
+        of_text = found.select("row", "place", "text", "firsts")
+        return of_text.mapInArrow(_windows(window, asking), "h1 long, h2 long, row long, place long, first int")
+
     earliest = (
-        windows.groupBy("h1", "h2")
-        .agg(F.min("place").alias("_first_place"), F.max("place").alias("_high"), F.count(F.lit(1)).alias("_rows"))
-        .filter("_first_place <> _high")
-        .drop("_high")
+        windows(False)
+        .groupBy("h1", "h2")
+        .agg(F.min("place").alias("_first_place"), F.count(F.lit(1)).alias("_rows"))
+        .filter("_rows > 1")
     )
     repeated = (
-        attach(windows, earliest, ["h1", "h2"], rows_per_key="_rows")
+        attach(windows(True), earliest, ["h1", "h2"], rows_per_key="_rows", broadcast_bytes=0)
         .filter("_first_place < place")
         .groupBy("row")
         .agg(F.collect_list("first").alias("repeated"))
@@ -274,7 +291,7 @@ def repeated_passages(
         .mapInArrow(_cut(window), "digest binary, _removed long, _kept string, _spans array<int>")
     )
     results = texts.join(cut, "digest", "left")
-    answered = attach(rows.select("doc_id", "place", "n_words", "digest"), results.drop("row", "mark"), ["digest"], "_rows")
+    answered = attach(rows.select("doc_id", "place", "n_words", "digest"), results.drop("row", "mark"), ["digest"], "_rows", 0)
     copy = (F.col("place") > F.col("least")) & (F.col("n_words") >= window)
     first = (F.col("place") == F.col("least")) & F.col("_removed").isNotNull()
     whole = F.array(F.lit(0), F.col("n_words").cast("int"))
@@ -294,6 +311,7 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spans = repeated_passages(docs, id_col, text_col, window).filter("n_removed > 0")
     gone = spans.select(F.col("doc_id").alias("_of"), F.col("removed_spans").alias("_gone"))
+    columns = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
@@ -305,6 +323,6 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     bounds = [0, *edges, len(own)]
                     out[row] = " ".join(w for a, b in zip(bounds[::2], bounds[1::2]) for w in own[a:b])
             at = batch.schema.get_field_index(text_col)
-            yield batch.set_column(at, batch.schema.field(at), pa.array(out, batch.schema.field(at).type)).select(docs.columns)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(out, batch.schema.field(at).type)).select(columns)
 
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_of"]), "left").drop("_of").mapInArrow(cut, docs.schema)
