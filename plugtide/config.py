@@ -116,6 +116,7 @@ FOREST_SPACE = {
     "depth": (10, 20),
     "feature_subset": ["sqrt", "log2", "all"],
     "impurity": ["gini", "entropy"],
+    "min_split": (2, 19),
 }
 DEEP_BOOST_SPACE = {
     "trees": (100, 2500),
@@ -124,6 +125,8 @@ DEEP_BOOST_SPACE = {
     "row_share": (0.7, 1.0),
     "feature_share": (0.6, 1.0),
     "min_gain": (0.0, 0.5),
+    "l2": (1.0, 3.0),
+    "l1": (0.0, 1.0),
 }
 LEAF_BOOST_SPACE = {
     "trees": (100, 2500),
@@ -132,6 +135,7 @@ LEAF_BOOST_SPACE = {
     "min_leaf": (20, 99),
     "row_share": (0.7, 1.0),
     "feature_share": (0.6, 1.0),
+    "leaves": (20, 59),
 }
 SEARCH_SPACES = {"forest": FOREST_SPACE, "boosted_deep": DEEP_BOOST_SPACE, "boosted_leaf": LEAF_BOOST_SPACE}
 

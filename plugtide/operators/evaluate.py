@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plugtide import config
-from plugtide.functions.ordered import running_totals
+from plugtide.functions.ordered import previous_row, running_totals
 
 CELLS = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
 
@@ -129,13 +129,35 @@ def _with_totals(points: DataFrame) -> DataFrame:
     })
 
 
-def roc_curve(df: DataFrame) -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score, and the origin with a NULL threshold."""
-    return _roc_points(by_score(df))
+def roc_curve(df: DataFrame, thin: bool = True) -> DataFrame:
+    """(threshold, fpr, tpr) per distinct score, and the origin with a NULL threshold.
+
+    With `thin` a point is left out where the step to it and the step from it are the same; the line
+    through the rest is the same line.
+    """
+    points = by_score(df)
+    return _roc_points(corners(points) if thin else points)
+
+
+def corners(points: DataFrame) -> DataFrame:
+    """The rows of `by_score` at which the ROC curve may turn: the first, the last, and those whose
+    step differs from the next one's. Slices of scores look no further than one border row."""
+    nexts = {"_next_positives": "positives", "_next_negatives": "negatives"}
+    # The next point of the curve has the next smaller score.
+    steps = previous_row(points, ["score"], nexts)
+    first = (F.col("tp") == F.col("positives")) & (F.col("fp") == F.col("negatives"))
+    last = F.col("_next_positives").isNull()
+    same = (F.col("positives") == F.col("_next_positives")) & (F.col("negatives") == F.col("_next_negatives"))
+    return steps.filter(first | last | ~same).drop(*nexts)
 
 
 def _roc_points(points: DataFrame) -> DataFrame:
-    curve = _with_totals(points).select(
+    """Points of the curve from rows of `by_score`; the last of these counts all rows."""
+    totals = points.agg(F.max("tp").alias("tp"), F.max("fp").alias("fp"))
+    points = points.withColumns({
+        "all_positives": totals.select("tp").scalar(), "all_negatives": totals.select("fp").scalar(),
+    })
+    curve = points.select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("fp").cast("double"), F.col("all_negatives").cast("double")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), F.col("all_positives").cast("double")).alias("tpr"),
@@ -244,7 +266,7 @@ def evaluation_tables(scored: DataFrame, points: DataFrame, optimal_threshold: f
     return {
         "confusion_matrix": both(confusion_matrix),
         "classification_report": both(classification_report),
-        "roc_curve": _roc_points(points),
+        "roc_curve": _roc_points(corners(points)),
         "pr_curve": _with_end(_pr_points(points)),
         "f1_by_threshold": _f1_points(points),
     }

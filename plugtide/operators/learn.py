@@ -1,65 +1,63 @@
-"""Classifiers on `pyspark.ml`: weights, random search, scores, importances, retraining.
+"""Classifiers: weights, random search, scores, importances, retraining.
 
-The fits, folds and scores run on Spark. The driver holds drawn settings, fitted models and the
-one-row measures.
+All draws, folds and models are fitted side by side on one matrix of bins (`operators.trees`). The
+driver holds drawn settings, trees and the one-row measures.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plugtide.config import Settings
-from plugtide.functions.durable import durable, shared_folder
-from plugtide.operators import evaluate
-
-# name -> (estimator, how rows are weighted)
-MODELS = {
-    "forest": (RandomForestClassifier, "balanced"),
-    "boosted_deep": (GBTClassifier, "positive"),
-    "boosted_leaf": (GBTClassifier, "balanced"),
-}
+from plugtide.functions.durable import durable
+from plugtide.operators import evaluate, trees
+from plugtide.operators.trees import Model, Plan
+
+# name -> how rows are weighted
+MODELS = {"forest": "balanced", "boosted_deep": "positive", "boosted_leaf": "balanced"}
 
-# Search name -> the estimator's parameter; the number of trees differs by estimator.
+# Search name -> the parameter of a plan; shares and subsets of features become numbers of features.
 PARAMETERS = {
-    "depth": "maxDepth",
-    "min_leaf": "minInstancesPerNode",
-    "feature_subset": "featureSubsetStrategy",
-    "feature_share": "featureSubsetStrategy",
+    "trees": "trees", "depth": "depth", "leaves": "leaves", "min_leaf": "min_leaf", "min_split": "min_split",
+    "min_gain": "min_gain", "l1": "l1", "l2": "l2", "learning_rate": "learning_rate", "row_share": "row_share",
     "impurity": "impurity",
-    "learning_rate": "stepSize",
-    "row_share": "subsamplingRate",
-    "min_gain": "minInfoGain",
 }
+# These are drawn from a stream of their own.
+DRAWN_APART = ("min_split", "leaves", "l1", "l2")
+# The least sum of second derivatives in a leaf.
+LEAST_WEIGHT = {"boosted_deep": 1.0, "boosted_leaf": 1e-3}
+# Folds of rows that no fold holds out, and of rows that nothing is fitted on.
+WHOLE, TEST = -1, -2
 
 
 def class_weights(df: DataFrame) -> DataFrame:
     """Rows per label, with both weights: n / (2 n_c), and 1 against round(negatives / positives, 2)."""
     counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
-    total = counts.agg(F.sum("rows")).scalar()
-    negatives = counts.filter("label = 0").select("rows").scalar()
+    both = Window.partitionBy()
+    negatives = F.sum(F.when(F.col("label") == 0, F.col("rows"))).over(both)
     ratio = F.round(F.try_divide(negatives.cast("double"), F.col("rows").cast("double")), 2)
     return counts.select(
         "label",
         "rows",
-        (total / (2 * F.col("rows"))).alias("balanced"),
+        (F.sum("rows").over(both) / (2 * F.col("rows"))).alias("balanced"),
         F.when(F.col("label") == 1, ratio).otherwise(F.lit(1.0)).alias("positive"),
     )
 
 
-def assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    """Feature vector and numeric label; an unknown measure, such as a power of 0 / 0, counts as 0."""
-    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
-    vectors = VectorAssembler(inputCols=features, outputCol="features").transform(filled)
-    return vectors.withColumn("label", F.col("label").cast("double")).drop(*features)
+def weights_of(scheme: str, rows: int, positives: int) -> tuple[float, float]:
+    """The same weights from counts: of label 0, of label 1. A label without rows weighs 1."""
+    negatives = rows - positives
+    if not rows or not positives or not negatives:
+        return 1.0, 1.0
+    if scheme == "balanced":
+        return rows / (2 * negatives), rows / (2 * positives)
+    return 1.0, math.floor(negatives / positives * 100 + 0.5) / 100
 
 
 def weighted(df: DataFrame, scheme: str) -> DataFrame:
@@ -91,36 +89,33 @@ def draw_settings(name: str, settings: Settings) -> list[dict]:
         low, high = values
         return rng.randint(low, high) if isinstance(low, int) else rng.uniform(low, high)
 
-    return [{p: draw(values) for p, values in space.items()} for _ in range(settings.search_iterations)]
+    first = {p: values for p, values in space.items() if p not in DRAWN_APART}
+    drawn = [{p: draw(values) for p, values in first.items()} for _ in range(settings.search_iterations)]
+    rng = random.Random(settings.seed + 1)
+    return [d | {p: draw(values) for p, values in space.items() if p not in first} for d in drawn]
 
 
-def estimator(name: str, drawn: dict, settings: Settings):
-    """An estimator of the model with drawn settings."""
-    kind, _ = MODELS[name]
-    trees = "numTrees" if kind is RandomForestClassifier else "maxIter"
-    arguments = {PARAMETERS.get(p, trees): v for p, v in drawn.items()}
+def plan(name: str, drawn: dict, settings: Settings, features: list[int], rows: int, positives: int, **where) -> Plan:
+    """What to fit for drawn settings on rows of which so many are positive."""
+    count = len(features)
+    arguments = {PARAMETERS[p]: v for p, v in drawn.items() if p in PARAMETERS}
     if "feature_share" in drawn:
-        arguments["featureSubsetStrategy"] = str(round(drawn["feature_share"], 6))
-    return kind(
-        featuresCol="features", labelCol="label", weightCol="weight", seed=settings.seed, **arguments
+        arguments["tree_features"] = max(1, math.floor(drawn["feature_share"] * count))
+    if "feature_subset" in drawn:
+        subset = {"sqrt": math.isqrt(count), "log2": int(math.log2(count)), "all": 0}
+        arguments["node_features"] = subset[drawn["feature_subset"]] and max(1, subset[drawn["feature_subset"]])
+    return Plan(
+        name, forest=name == "forest", weights=weights_of(MODELS[name], rows, positives), seed=settings.seed,
+        features=tuple(features), min_weight=LEAST_WEIGHT.get(name, 0.0), **arguments, **where,
     )
 
 
-def fit(name: str, drawn: dict, rows: DataFrame, settings: Settings) -> Model:
-    """The model on `rows` (features, label), weighted by the labels of these rows."""
-    context = rows.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        # Boosting cuts the lineage of its rounds there.
-        context.setCheckpointDir(f"{shared_folder(rows.sparkSession)}/plugtide/rounds")
-    return estimator(name, drawn, settings).fit(weighted(rows, MODELS[name][1]))
-
-
 @dataclass
 class Search:
-    """The drawn settings, and per draw and fold: rows and positives held out, and F1 on them."""
+    """The drawn settings, and per draw and fold: rows and positives held out, hits and misses, F1."""
 
     drawn: list[dict]
-    tried: list[tuple[int, int, int, int, float]]
+    tried: list[tuple[int, int, int, int, int, int, int, int, float]]
 
     @property
     def best(self) -> int:
@@ -132,58 +127,81 @@ class Search:
 
 
 @dataclass
-class Fold:
-    """The rows of a fit, the rows held out from it, and how many of these there are."""
+class Matrix:
+    """The binned rows, written: keys, label, is_train, fold, row_hash, bins; and rows and positives per fold."""
 
     rows: DataFrame
-    held: DataFrame
-    size: int
-    positives: int
+    features: list[str]
+    edges: list
+    sizes: dict[int, tuple[int, int]]
+
+    @property
+    def train(self) -> DataFrame:
+        return self.rows.filter("is_train")
+
+    def fitted_on(self, held_out: int) -> tuple[int, int]:
+        """Rows and positives outside a fold."""
+        own = [size for fold, size in self.sizes.items() if fold != held_out]
+        return sum(n for n, _ in own), sum(p for _, p in own)
+
+
+def binned(matrix: DataFrame, settings: Settings, edge_rows: int = trees.EDGE_ROWS) -> Matrix:
+    """The matrix with folds and bins, from values rounded to six places.
+
+    An unknown measure, such as a power of 0 / 0, counts as 0.
+
+    The bins' borders are quantiles of the training rows; of more than `edge_rows` some so many are
+    taken by hash. All rows are binned, fitted and scored.
+    """
+    features, keys = settings.features, _keys(matrix, settings)
+    filled = [trees.rounded(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in features]
+    rows = matrix.select(*keys, F.col("label").cast("int").alias("label"), "is_train", *filled)
+    rows = rows.withColumn("row_hash", trees.row_hash(keys))
+    train = with_folds(rows.filter("is_train"), keys, settings.folds)
+    sizes = {
+        r.fold: (r.n, int(r.p))
+        for r in train.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("p")).collect()
+    }
+    share = min(1.0, edge_rows / max(sum(n for n, _ in sizes.values()), 1))
+    edges = trees.bin_edges(rows.filter("is_train"), features, share)
+    both = train.unionByName(rows.filter("NOT is_train").withColumn("fold", F.lit(TEST)))
+    return Matrix(durable(trees.binned(both, features, edges), "bins"), features, edges, sizes)
 
 
-def fold_tables(train: DataFrame, settings: Settings) -> list[Fold]:
-    """The folds of `train` (features, label, fold), written once for all models."""
-    folds = []
-    for fold in range(settings.folds):
-        rows, held = (durable(train.filter(part), "fold") for part in (F.col("fold") != fold, F.col("fold") == fold))
-        sizes = held.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-        folds.append(Fold(rows, held, sizes[0], int(sizes[1])))
-    return folds
+def fit(matrix: Matrix, plans: list[Plan]) -> list[Model]:
+    """All plans, side by side."""
+    grown = trees.fit(matrix.train, plans, len(matrix.features))
+    return [Model(p, t, matrix.features, matrix.edges) for p, t in zip(plans, grown)]
 
 
-def random_search(folds: list[Fold], name: str, settings: Settings) -> Search:
+def random_search(matrix: Matrix, names: list[str], settings: Settings) -> dict[str, Search]:
     """F1 of the positive class for every drawn setting, on each fold after a fit on the others.
 
     Weights come from the rows of a fit alone.
     """
-    search = Search(draw_settings(name, settings), [])
+    searches = {name: Search(draw_settings(name, settings), []) for name in names}
+    everything = list(range(len(matrix.features)))
+    plans = [
+        plan(name, drawn, settings, everything, *matrix.fitted_on(fold), draw=number, held_out=fold)
+        for name in names for number, drawn in enumerate(searches[name].drawn) for fold in range(settings.folds)
+    ]
+    models = fit(matrix, plans)
+    counts = {r.model: r for r in trees.held_out_counts(matrix.train, models).collect()}
+    for k, p in enumerate(plans):
+        tp, fp, fn, tn = (counts[k][c] if k in counts else 0 for c in ("tp", "fp", "fn", "tn"))
+        f1 = 2 * tp / (2 * tp + fp + fn) if tp else 0.0
+        rows, positives = matrix.sizes.get(p.held_out, (0, 0))
+        searches[p.name].tried.append((p.draw, p.held_out, rows, positives, tp, fp, fn, tn, f1))
+    return searches
 
-    def one(job: tuple[int, int]):
-        number, at = job
-        fold = folds[at]
-        model = fit(name, search.drawn[number], fold.rows, settings)
-        f1 = evaluate.classification_metrics(score(model, fold.held)).first()["f1"]
-        return number, at, fold.size, fold.positives, float(f1)
 
-    with ThreadPoolExecutor(settings.fit_parallelism) as pool:
-        search.tried += pool.map(one, [(n, at) for at in range(len(folds)) for n in range(len(search.drawn))])
-    return search
-
-
-def score(model: Model, df: DataFrame) -> DataFrame:
-    """Adds `prediction` (0 / 1) and `score`, the probability of the positive class."""
-    scored = model.transform(df)
-    return (
-        scored.withColumn("score", vector_to_array("probability")[1])
-        .withColumn("prediction", F.col("prediction").cast("int"))
-        .withColumn("label", F.col("label").cast("int"))
-        .drop("features", "rawPrediction", "probability")
-    )
+def score(model: Model, matrix: Matrix) -> DataFrame:
+    """The matrix's keys and label with `prediction` (0 / 1) and `score`, the probability of the positive class."""
+    return trees.scored(matrix.rows, model)
 
 
-def importances(spark: SparkSession, model: Model, features: list[str]) -> DataFrame:
-    values = [float(v) for v in model.featureImportances.toArray()]
-    return spark.createDataFrame(list(zip(features, values)), "feature string, importance double")
+def importances(spark: SparkSession, model: Model) -> DataFrame:
+    return trees.importances(spark, model)
 
 
 @dataclass
@@ -209,10 +227,6 @@ def _keys(matrix: DataFrame, settings: Settings) -> list[str]:
     return [c for c in ("session_date", "day_period", settings.group) if c in matrix.columns]
 
 
-def training_rows(matrix: DataFrame, features: list[str], settings: Settings) -> DataFrame:
-    return with_folds(assemble(matrix.filter("is_train"), features), _keys(matrix, settings), settings.folds)
-
-
 def _evaluate(trained: Trained, run: str, scored: DataFrame, settings: Settings) -> None:
     """Measures and tables at the model's own threshold and at the one of best F1."""
     test = scored.filter(~F.col("is_train"))
@@ -233,33 +247,39 @@ def _evaluate(trained: Trained, run: str, scored: DataFrame, settings: Settings)
     trained.tables[run] = evaluate.evaluation_tables(test, points, tuned["optimal_threshold"])
 
 
-def train_model(matrix: DataFrame, train: DataFrame, folds: list[Fold], name: str, settings: Settings) -> Trained:
-    """Search, score with the best model, tune, select features, retrain on those, score again.
+def train_models(matrix: DataFrame, settings: Settings, names: list[str] | None = None) -> list[Trained]:
+    """Search, score with the best models, tune, select features, retrain on those, score again."""
+    spark, names, ready = matrix.sparkSession, list(names or MODELS), binned(matrix, settings)
+    searches = random_search(ready, names, settings)
+    everything = list(range(len(ready.features)))
+
+    def again(features: dict[str, list[int]]) -> list[Model]:
+        best = {name: searches[name].drawn[searches[name].best] for name in names}
+        return fit(ready, [plan(n, best[n], settings, features[n], *ready.fitted_on(WHOLE)) for n in names])
+
+    trained, chosen = [], {}
+    for name, model in zip(names, again(dict.fromkeys(names, everything))):
+        ranked = evaluate.select_features(
+            importances(spark, model).select("feature", "importance"), settings.importance_share, settings.max_features
+        )
+        selected = [r["feature"] for r in ranked.filter("selected").orderBy("rank").collect()]
+        chosen[name] = sorted(ready.features.index(f) for f in selected)
+        search = searches[name]
+        trained.append(Trained(name, search, model, search.drawn[search.best], ranked, selected, model))
+    trained = [replace(t, retrained=model) for t, model in zip(trained, again(chosen))]
+
+    def judged(job: tuple[Trained, str]) -> None:
+        t, run = job
+        model = t.model if run == RUNS[0] else t.retrained
+        _evaluate(t, run, durable(score(model, ready), "scored"), settings)
 
-    `train` and `folds` are the training rows of `matrix` and their `fold_tables`.
-    """
-    features = settings.features
-    search = random_search(folds, name, settings)
-    drawn = search.drawn[search.best]
-    model = fit(name, drawn, train, settings)
-    ranked = evaluate.select_features(
-        importances(matrix.sparkSession, model, features), settings.importance_share, settings.max_features
-    )
-    selected = [r["feature"] for r in ranked.filter("selected").orderBy("rank").collect()]
-    retrained = fit(name, drawn, training_rows(matrix, selected, settings), settings)
-    trained = Trained(name, search, model, drawn, ranked, selected, retrained)
-    for run, fitted, used in zip(RUNS, (model, retrained), (features, selected)):
-        _evaluate(trained, run, durable(score(fitted, assemble(matrix, used)), "scored"), settings)
+    with ThreadPoolExecutor(settings.fit_parallelism) as pool:
+        list(pool.map(judged, [(t, run) for t in trained for run in RUNS]))
+    for t in trained:
+        t.measures.sort(key=lambda row: RUNS.index(row[1]))
     return trained
 
 
-def train_models(matrix: DataFrame, settings: Settings, names: list[str] | None = None) -> list[Trained]:
-    """All models on one written matrix."""
-    train = durable(training_rows(matrix, settings.features, settings), "train")
-    folds = fold_tables(train, settings)
-    return [train_model(matrix, train, folds, name, settings) for name in names or MODELS]
-
-
 def model_results(spark: SparkSession, trained: list[Trained]) -> DataFrame:
     """All measures as rows (model, run, metric, value)."""
     rows = [row for t in trained for row in t.measures]
@@ -274,9 +294,12 @@ def result_tables(spark: SparkSession, trained: list[Trained]) -> dict[str, Data
         "measures": model_results(spark, trained),
         "hyper_parameters": spark.createDataFrame(drawn, "model string, parameter string, value string"),
         "search": spark.createDataFrame(
-            tried, "model string, draw int, fold int, rows long, positives long, f1 double, best boolean"
+            tried,
+            "model string, draw int, fold int, rows long, positives long, tp long, fp long, fn long, tn long, "
+            "f1 double, best boolean",
         ),
         "importances": _union(_named(t.ranked, t.name) for t in trained),
+        "trees": trees.tree_table(spark, [t.model for t in trained]),
     }
     for table in next(iter(trained[0].tables.values())):
         result[table] = _union(_named(t.tables[run][table], t.name, run) for t in trained for run in RUNS)

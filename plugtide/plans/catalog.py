@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,22 +16,41 @@ from plugtide import config
 from plugtide.functions.durable import durable, fresh_path
 from plugtide.operators import enrich, evaluate, expand, filters, grid, learn, overlaps, prepare, repair, rolling
 from plugtide.operators.rollup import station_rollup
-from plugtide.plans import oracles, stages
+from plugtide.operators.trees import Model, Plan, tree_table
+from plugtide.plans import oracles, stages, tree_sql
 from plugtide.plans.fixture import SETTINGS, Fixture
 from plugtide.sources import tables
 
 REPAIRED = replace(SETTINGS, compat=False)
-# Small enough for a check, and wide enough that draws differ in trees and in depth.
+# Small enough for SQL to fit every draw again, and wide enough that draws differ in trees and in depth.
 SEARCH = {
     "search_iterations": 3,
     "folds": 2,
     "fit_parallelism": 4,
+    "search_spaces": {
+        "forest": config.FOREST_SPACE | {"trees": (2, 5), "depth": (2, 4)},
+        "boosted_deep": config.DEEP_BOOST_SPACE | {"trees": (2, 4), "depth": (2, 4)},
+        "boosted_leaf": config.LEAF_BOOST_SPACE | {"trees": (2, 4), "depth": (2, 4), "min_leaf": (2, 20), "leaves": (3, 9)},
+    },
+}
+# The wider search that the bench times.
+WIDE_SEARCH = SEARCH | {
     "search_spaces": {
         "forest": config.FOREST_SPACE | {"trees": (4, 12), "depth": (3, 7)},
         "boosted_deep": config.DEEP_BOOST_SPACE | {"trees": (3, 9), "depth": (2, 5)},
         "boosted_leaf": config.LEAF_BOOST_SPACE | {"trees": (3, 9), "depth": (2, 5), "min_leaf": (2, 20)},
     },
 }
+# Plans small enough for SQL to fit them again, with every bound and weight in force.
+FIXED = {
+    "forest": {"trees": 4, "depth": 5, "min_leaf": 3, "min_split": 12, "feature_subset": "sqrt", "impurity": "gini"},
+    "boosted_deep": {
+        "trees": 3, "depth": 4, "learning_rate": 0.2, "row_share": 0.8, "feature_share": 0.7, "min_gain": 0.3, "l1": 0.5, "l2": 1.5,
+    },
+    "boosted_leaf": {
+        "trees": 3, "depth": 6, "leaves": 9, "min_leaf": 20, "learning_rate": 0.2, "row_share": 0.9, "feature_share": 0.8,
+    },
+}
 BY_POINT = replace(SETTINGS, grain="points", **SEARCH)
 # Stations are labelled by the repaired rule: the established one leaves mean busyness of 1.01 and
 # more without a category, and such rows can not be labelled.
@@ -234,79 +252,68 @@ def checkpoint_roundtrip(fx: Fixture) -> DataFrame:
 
 # --- models ----------------------------------------------------------------------------------------
 
-_fitted: dict[tuple, tuple[DataFrame, list[learn.Trained]]] = {}
+def trained(fx: Fixture, settings) -> tuple[DataFrame, list[learn.Trained]]:
+    """The matrix, and all models searched and fitted on it."""
+    table = matrix(fx, settings)
+    return table, learn.train_models(table, settings)
+
 
+def fixed_plans(settings, rows: int = 2, positives: int = 1) -> list[Plan]:
+    everything = list(range(len(settings.features)))
+    return [learn.plan(name, drawn, settings, everything, rows, positives) for name, drawn in FIXED.items()]
 
-def trained(fx: Fixture, settings) -> tuple[DataFrame, list[learn.Trained]]:
-    """The matrix, and all models searched and fitted on it; once per session and input."""
-    key = (fx.spark.sparkContext.applicationId, fx.sf_dir, settings.grain)
-    if key not in _fitted:
-        table = matrix(fx, settings)
-        _fitted[key] = table, learn.train_models(table, settings)
-    return _fitted[key]
+
+def fixed_models(fx: Fixture, settings) -> tuple[learn.Matrix, list[Model]]:
+    ready = learn.binned(matrix(fx, settings), settings)
+    return ready, learn.fit(ready, fixed_plans(settings, *ready.fitted_on(learn.WHOLE)))
+
+
+def fitted_trees(fx: Fixture, settings) -> DataFrame:
+    """Every node of three small models: splits with their gains, leaves with their values."""
+    return tree_table(fx.spark, fixed_models(fx, settings)[1])
+
+
+def fitted_scores(fx: Fixture, settings) -> DataFrame:
+    """The test rows as these models score them."""
+    ready, models = fixed_models(fx, settings)
+    return _by_model([(m.plan.name, learn.score(m, ready).filter("NOT is_train")) for m in models])
+
+
+def split_importances(fx: Fixture, settings) -> DataFrame:
+    """Importances of these models, walked from their trees."""
+    return _by_model([(m.plan.name, learn.importances(fx.spark, m)) for m in fixed_models(fx, settings)[1]])
+
+
+def _by_model(parts: list[tuple[str, DataFrame]]) -> DataFrame:
+    shown = [df.withColumn("model", F.lit(name)) for name, df in parts]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
 
 
 def train_models(fx: Fixture, settings) -> DataFrame:
-    """What each model was fitted on."""
-    table, models = trained(fx, settings)
-    train, rows = learn.training_rows(table, settings.features, settings), []
-    for t in models:
-        of = learn.weighted(train, learn.MODELS[t.name][1])
-        sums = of.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("p"), F.sum("weight").alias("w")).first()
-        rows.append((t.name, sums.n, sums.p, sums.w, t.model.numFeatures))
-    return fx.spark.createDataFrame(rows, "model string, rows long, positives double, weight double, features int")
+    """Every node of the best model of each kind, fitted on all training rows."""
+    return tree_table(fx.spark, [t.model for t in trained(fx, settings)[1]])
 
 
 def random_search(fx: Fixture, settings) -> DataFrame:
-    table = learn.result_tables(fx.spark, trained(fx, settings)[1])["search"]
-    return table.withColumn("valid", F.col("f1").between(0, 1))
+    """Every draw on every fold."""
+    return learn.result_tables(fx.spark, trained(fx, settings)[1])["search"]
 
 
 def score(fx: Fixture, settings) -> DataFrame:
     """The test rows as the best setting of each model scores them."""
-    parts = [
-        t.scored["initial"].filter("NOT is_train").withColumn("model", F.lit(t.name)) for t in trained(fx, settings)[1]
-    ]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    agrees = (F.col("prediction") == 1) == (F.col("score") > 0.5)
-    return rows.withColumns({"valid": F.col("score").between(0, 1), "agrees": agrees})
+    return _by_model([(t.name, t.scored["initial"].filter("NOT is_train")) for t in trained(fx, settings)[1]])
 
 
 def retrain_selected(fx: Fixture, settings) -> DataFrame:
-    rows = [
-        (t.name, 1 <= len(t.selected) <= settings.max_features,
-         set(t.selected) <= set(settings.features) and t.retrained.numFeatures == len(t.selected))
-        for t in trained(fx, settings)[1]
-    ]
-    return fx.spark.createDataFrame(rows, "model string, in_limit boolean, subset boolean")
+    """Every node of the models fitted again on their selected features."""
+    return tree_table(fx.spark, [t.retrained for t in trained(fx, settings)[1]])
 
 
 def model_results(fx: Fixture, settings) -> DataFrame:
-    """Every measure as the result store gives it back, and whether it is right.
-
-    The area and the tuned F1 are worked out again from the scores, any other share lies in 0 to 1.
-    """
-    models = trained(fx, settings)[1]
-    results, folder = learn.result_tables(fx.spark, models), fresh_path(fx.spark, "results")
+    """Every measure as the result store gives it back."""
+    results, folder = learn.result_tables(fx.spark, trained(fx, settings)[1]), fresh_path(fx.spark, "results")
     tables.write_results(results, folder)
-    kept = tables.read_results(fx.spark, folder, list(results))
-    again = {}
-    for t in models:
-        values = {(run, metric): value for _, run, metric, value in t.measures}
-        for run, scored in t.scored.items():
-            test = scored.filter("NOT is_train").withColumn("label", F.col("label").cast("double"))
-            again[t.name, run, "roc_auc"] = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(test)
-            called = F.col("score") >= values[run, "optimal_threshold"]
-            hits = test.agg(F.sum(F.when(called, F.col("label"))), F.count_if(called), F.sum("label")).first()
-            again[t.name, run, "optimal_f1"] = 2 * (hits[0] or 0) / (hits[1] + hits[2])
-
-    def agrees(model: str, run: str, metric: str, value: float | None) -> bool:
-        if value is None or (model, run, metric) in again:
-            return value is not None and abs(value - again[model, run, metric]) < 1e-6
-        return value >= 1 if metric == "features" else 0 <= value <= 1
-
-    rows = [(*row[:3], agrees(*row)) for row in kept["measures"].collect()]
-    return fx.spark.createDataFrame(rows, "model string, run string, metric string, agrees boolean")
+    return tables.read_results(fx.spark, folder, list(results))["measures"]
 
 
 def evaluation_tables(fx: Fixture) -> DataFrame:
@@ -346,24 +353,71 @@ FROM (SELECT label, count(*) AS rows FROM crossed{tag} WHERE is_train = 1 GROUP
     )
 
 
-def model_entries(settings, tag: str, suffix: str) -> dict[str, Entry]:
-    """The queries on fitted models at one grain."""
+def fixed_entries(settings, tag: str, suffix: str) -> dict[str, Entry]:
+    """The queries on the fixed plans; SQL fits them again."""
+    features = settings.features
+    extra = tree_sql.matrix(tag, settings.group, features, settings.folds)
+    extra |= tree_sql.fitted(f"{tag}_x", tag, fixed_plans(settings), list(FIXED.values()))
+    names = f"([{', '.join(repr(f) for f in features)}])[f + 1]"
+    x = f"{tag}_x"
     keys = ["session_date", "day_period", settings.group]
 
     def entry(function, columns: list[str], sql: str) -> Entry:
-        return Entry(lambda fx: function(fx, settings), columns, sql)
+        return Entry(lambda fx: function(fx, settings), columns, sql, extra)
 
     return {
-        f"train_models{suffix}": entry(
-            train_models, ["model", "rows", "positives", "weight", "features"], oracles.fitted_rows(tag, len(settings.features))
+        f"fitted_trees{suffix}": entry(
+            fitted_trees, ["model", "tree", "node", "feature", "threshold", "gain", "rows", "value"],
+            f"SELECT *, {names} AS feature FROM nodes{x}",
+        ),
+        f"fitted_scores{suffix}": entry(
+            fitted_scores, ["model", *keys, "label", "score", "prediction"],
+            f"SELECT *, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM scores{x} "
+            f"JOIN mx{tag} USING (rid) JOIN plans{x} USING (job) WHERE is_train = 0",
         ),
+        f"split_importances{suffix}": entry(
+            split_importances, ["model", "feature", "importance", "total_gain", "splits"],
+            f"""
+SELECT model, ([{', '.join(repr(f) for f in features)}])[f + 1] AS feature, coalesce(total_gain, 0) AS total_gain, coalesce(splits, 0) AS splits,
+       CASE WHEN forest = 1 THEN coalesce(shares, 0) WHEN leaves > 0 THEN coalesce(splits, 0) ELSE coalesce(total_gain / splits, 0) END AS importance
+FROM plans{x} CROSS JOIN (SELECT unnest(range(0, {len(features)})) AS f) LEFT JOIN (
+  SELECT model, f, sum(gain) AS total_gain, count(*) AS splits, sum(share / trees) AS shares
+  FROM (SELECT *, gain / sum(gain) OVER (PARTITION BY model, tree) AS share FROM nodes{x} WHERE f IS NOT NULL)
+  JOIN (SELECT model, trees FROM plans{x}) USING (model) GROUP BY model, f) USING (model, f)""",
+        ),
+    }
+
+
+def model_entries(settings, tag: str, suffix: str) -> dict[str, Entry]:
+    """The queries on searched models at one grain; SQL searches, fits, selects and fits again."""
+    keys, features = ["session_date", "day_period", settings.group], settings.features
+    drawn = {name: learn.draw_settings(name, settings) for name in learn.MODELS}
+    jobs = [
+        (learn.plan(name, d, settings, list(range(len(features))), 2, 1, draw=number, held_out=fold), d)
+        for name, draws in drawn.items() for number, d in enumerate(draws) for fold in (*range(settings.folds), learn.WHOLE)
+    ]
+    extra = tree_sql.matrix(tag, settings.group, features, settings.folds)
+    extra |= tree_sql.search(tag, features, settings.importance_share, settings.max_features, *map(list, zip(*jobs)))
+    extra |= tree_sql.results(tag, len(features))
+    names = f"([{', '.join(repr(f) for f in features)}])[f + 1]"
+    nodes = ["model", "tree", "node", "feature", "threshold", "gain", "rows", "value"]
+
+    def entry(function, columns: list[str], sql: str) -> Entry:
+        return Entry(lambda fx: function(fx, settings), columns, sql, extra)
+
+    return {
+        f"train_models{suffix}": entry(train_models, nodes, f"SELECT *, {names} AS feature FROM first_nodes{tag}"),
         f"random_search{suffix}": entry(
-            random_search, ["model", "draw", "fold", "rows", "positives", "valid"],
-            oracles.searched(tag, settings.group, settings.folds, settings.search_iterations),
+            random_search, ["model", "draw", "fold", "rows", "positives", "tp", "fp", "fn", "tn", "f1", "best"],
+            f"SELECT t.*, CASE WHEN b.draw IS NULL THEN 0 ELSE 1 END AS best FROM tried{tag} t LEFT JOIN best{tag} b USING (model, draw)",
+        ),
+        f"score{suffix}": entry(
+            score, ["model", *keys, "label", "score", "prediction"],
+            f"SELECT *, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM judged{tag} JOIN "
+            f"(SELECT * EXCLUDE (label, is_train) FROM mx{tag}) USING (rid) WHERE is_train = 0 AND run = 'initial'",
         ),
-        f"score{suffix}": entry(score, ["model", *keys, "label", "valid", "agrees"], oracles.scored(tag)),
-        f"retrain_selected{suffix}": entry(retrain_selected, ["model", "in_limit", "subset"], oracles.SELECTED),
-        f"model_results{suffix}": entry(model_results, ["model", "run", "metric", "agrees"], oracles.RESULTS),
+        f"retrain_selected{suffix}": entry(retrain_selected, nodes, f"SELECT *, {names} AS feature FROM nodes{tag}_r"),
+        f"model_results{suffix}": entry(model_results, ["model", "run", "metric", "value"], f"SELECT * FROM results{tag}"),
     }
 
 
@@ -576,6 +630,8 @@ def entries() -> dict[str, Entry]:
         ),
         "class_weights_stations": class_weights(BY_STATION, "_stations_repaired"),
         # models
+        **fixed_entries(BY_POINT, "_points", ""),
+        **fixed_entries(BY_STATION, "_stations_repaired", "_stations"),
         **model_entries(BY_POINT, "_points", ""),
         **model_entries(BY_STATION, "_stations_repaired", "_stations"),
         "evaluation_tables": Entry(
@@ -606,7 +662,7 @@ UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(re
         ),
         "roc_curve": Entry(
             lambda fx: evaluate.roc_curve(fx.scores), ["threshold", "fpr", "tpr"],
-            "SELECT threshold, fp / CAST(neg AS DOUBLE) AS fpr, tp / CAST(pos AS DOUBLE) AS tpr FROM thresholds "
+            "SELECT threshold, fp / CAST(neg AS DOUBLE) AS fpr, tp / CAST(pos AS DOUBLE) AS tpr FROM corners "
             "UNION ALL SELECT NULL, 0, 0",
         ),
         "roc_auc": Entry(

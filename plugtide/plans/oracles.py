@@ -27,8 +27,7 @@ KINDS = {
         "is_train", "season_encoded", "weekday_encoded", "month_encoded", "city_type_encoded", "day_period_encoded",
         "label", "prediction", "actual", "predicted", "rows", "support", "rank", "selected", "holiday_1d_shift",
         "weekday_enc_1d_shift", "session_duration", "weekday_x_holiday", "weekday_x_day_period",
-        "weekday_x_holiday_1d_shift", "row_id", "draw", "fold", "positives", "features", "valid", "in_limit", "subset",
-        "agrees",
+        "weekday_x_holiday_1d_shift", "row_id", "draw", "fold", "positives", "features", "best", "tree", "node", "splits", "tp", "fp", "fn", "tn",
     ],
 }
 KIND = {name: kind for kind, names in KINDS.items() for name in names}
@@ -398,6 +397,11 @@ SELECT t.score AS threshold, count(*) FILTER (WHERE s.label = 1) AS tp, count(*)
 FROM (SELECT DISTINCT score FROM scores) t JOIN scores s ON s.score >= t.score,
      (SELECT count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM scores) n
 GROUP BY t.score""",
+        "corners": """
+SELECT * FROM (
+  SELECT *, lead(tp) OVER w AS next_tp, lead(fp) OVER w AS next_fp, lag(tp) OVER w AS last_tp, lag(fp) OVER w AS last_fp
+  FROM thresholds WINDOW w AS (ORDER BY threshold DESC))
+WHERE next_tp IS NULL OR last_tp IS NULL OR next_tp - tp <> tp - last_tp OR next_fp - fp <> fp - last_fp""",
         "pr": """
 SELECT threshold, tp / CAST(tp + fp AS DOUBLE) AS precision, tp / CAST(pos AS DOUBLE) AS recall FROM thresholds""",
         "f1s": "SELECT *, 2 * (precision * recall) / (precision + recall + 1e-10) AS f1 FROM pr",
@@ -453,45 +457,7 @@ def statement(query: str, columns: list[str], extra: dict[str, str] | None = Non
     return f"{tables_first}SELECT {shown} FROM ({query.strip()}) AS result"
 
 
-# --- what SQL can know about fitted models --------------------------------------------------------
-
-SCHEMES = "(VALUES ('forest', 'balanced'), ('boosted_deep', 'positive'), ('boosted_leaf', 'balanced')) m(model, scheme)"
-CURVE_POINTS = [f"curve_{kind}_{m}" for kind in ("optimal", "default") for m in ("precision", "recall", "f1")]
-METRICS = [
-    *[f"{kind}_{m}" for kind in ("default", "optimal") for m in ("accuracy", "precision", "recall", "f1", "accuracy_train")],
-    *CURVE_POINTS, "optimal_threshold", "default_threshold", "roc_auc", "features",
-]
-
-
-def fitted_rows(tag: str, features: int) -> str:
-    return f"""
-SELECT model, rows, positives, {features} AS features,
-       CASE WHEN scheme = 'balanced' THEN rows
-            ELSE rows - positives + positives * round((rows - positives) / CAST(positives AS DOUBLE), 2) END AS weight
-FROM {SCHEMES}, (SELECT count(*) AS rows, sum(label) AS positives FROM crossed{tag} WHERE is_train = 1)"""
-
-
-def searched(tag: str, group: str, folds: int, draws: int) -> str:
-    return f"""
-SELECT model, draw, fold, rows, positives, 1 AS valid
-FROM {SCHEMES}, (SELECT unnest(range(0, {draws})) AS draw), (
-  SELECT fold, count(*) AS rows, sum(label) AS positives FROM (
-    SELECT label, (CAST('0x' || substr(h, 1, 3) AS INTEGER)
-                   + row_number() OVER (PARTITION BY label, substr(h, 1, 3) ORDER BY h)) % {folds} AS fold
-    FROM (SELECT label, md5(concat_ws('|', strftime(session_date, '%Y-%m-%d'), day_period, {group})) AS h
-          FROM crossed{tag} WHERE is_train = 1)) GROUP BY fold)"""
-
-
-def scored(tag: str) -> str:
-    return f"SELECT *, 1 AS valid, 1 AS agrees FROM {SCHEMES}, crossed{tag} WHERE is_train = 0"
-
-
-SELECTED = f"SELECT model, 1 AS in_limit, 1 AS subset FROM {SCHEMES}"
-RESULTS = (
-    f"SELECT model, run, metric, 1 AS agrees FROM {SCHEMES}, (VALUES ('initial'), ('optimised')) r(run), "
-    f"(SELECT unnest([{', '.join(repr(m) for m in METRICS)}]) AS metric)"
-)
-
+# --- evaluation tables ------------------------------------------------------------------------------
 
 def _shown_counts(kind: str, counts: str) -> str:
     cells = " UNION ALL ".join(
@@ -512,7 +478,7 @@ UNION ALL SELECT 'classification_report', '{kind}', 'weighted avg', NULL, sum(pr
 EVALUATION = f"""
 {_shown_counts('default', 'counts')}
 UNION ALL {_shown_counts('optimal', 'tuned_counts')}
-UNION ALL SELECT 'roc_curve', NULL, NULL, threshold, fp / CAST(neg AS DOUBLE), tp / CAST(pos AS DOUBLE), NULL FROM thresholds
+UNION ALL SELECT 'roc_curve', NULL, NULL, threshold, fp / CAST(neg AS DOUBLE), tp / CAST(pos AS DOUBLE), NULL FROM corners
 UNION ALL SELECT 'roc_curve', NULL, NULL, NULL, 0, 0, NULL
 UNION ALL SELECT 'pr_curve', NULL, NULL, threshold, precision, recall, NULL FROM pr
 UNION ALL SELECT 'pr_curve', NULL, NULL, NULL, 1, 0, NULL
