@@ -54,11 +54,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_hadoop_path(spark, path))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes the folder or file, if it is there."""
+    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
 def drop_written(spark: SparkSession, since: int = 0) -> None:
     """Remove the intermediate tables written so far; results that read them must be done by then."""
     while len(_written) > since:
-        path = _written.pop()
-        _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+        remove(spark, _written.pop())
 
 
 @contextmanager

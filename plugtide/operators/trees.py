@@ -33,7 +33,9 @@ SCALE = 1 << 24
 # Row hashes are whole numbers below this prime.
 PRIME = (1 << 31) - 1
 # Bytes of histograms that a task holds in one pass; more open nodes take further passes.
-PASS_BYTES = 64 << 20
+PASS_BYTES = 32 << 20
+# Histograms that are sent at once.
+SENT = 32
 # Finished trees of a boosted model after which the rows' margins are written.
 SETTLE_AFTER = 32
 # Features are rounded before they are binned: what the order of a sum leaves in the last bits must not
@@ -338,19 +340,19 @@ def _histograms(tasks: list[_Task], slots: int, width: int, bins: int):
                         weight = None if weight is None else np.repeat(weight[rows].astype(float), width)
                         sums = np.bincount(flat, weight, size).astype(np.int64)
                         total[first : last + 1, k] += sums.reshape(-1, cells)
-        yield _sent(total)
+        yield from _sent(total)
 
     return histograms
 
 
-def _sent(total: np.ndarray) -> pa.RecordBatch:
-    slots, packed = [], []
-    for slot, sums in enumerate(total):
-        at = np.flatnonzero(sums[2])
-        if len(at):
-            slots.append(slot)
+def _sent(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    reached = np.flatnonzero(total[:, 2].any(axis=1))
+    for some in np.array_split(reached, max(1, -(-len(reached) // SENT))):
+        packed = []
+        for sums in total[some]:
+            at = np.flatnonzero(sums[2])
             packed.append(np.concatenate([at[None, :], sums[:, at]]).tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(packed, pa.binary())], ["slot", "cells"])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], ["slot", "cells"])
 
 
 def _derivatives(plan: Plan, label: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

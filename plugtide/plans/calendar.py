@@ -65,16 +65,24 @@ def to_periods(days: DataFrame, fields: list[str]) -> DataFrame:
     return days.select(*shared, F.inline(rows))
 
 
-def filled_days(days: DataFrame, holidays: DataFrame, settings: Settings) -> DataFrame:
+def first_day(days: DataFrame, settings: Settings) -> DataFrame:
+    """The first day of any span, in one row, read from the table as it is: a point's first row reaches
+    back to its first active day, and that is the same in all its rows."""
+    opened = F.greatest("first_active_day", F.lit(settings.remove_before).cast("date"))
+    return days.agg(F.min(F.least("session_date", opened)).alias("first_day"))
+
+
+def filled_days(
+    days: DataFrame, holidays: DataFrame, settings: Settings, data_start: Column | None = None
+) -> DataFrame:
     """Every day of every point's range, with use, busyness and gap days per period.
 
-    `days` is read more than once and should be a written table.
+    `days` is read more than once and should be a written table. Where it holds only some of the
+    points, `data_start` is the `first_day` of all.
     """
     all_use = sum((F.col(p) for p in PERIODS), F.lit(0.0))
-    # The first day of any span, read from the table as it is: a point's first row reaches back to
-    # its first active day, and that is the same in all its rows.
-    opened = F.greatest("first_active_day", F.lit(settings.remove_before).cast("date"))
-    data_start = days.agg(F.min(F.least("session_date", opened))).scalar()
+    if data_start is None:
+        data_start = first_day(days, settings).scalar()
     days = days.withColumns({
         "_lifetime": seconds_between(F.min("_opened").over(point()), F.max("_closed").over(point())),
         "_used": F.sum(all_use).over(point()),

@@ -8,6 +8,7 @@ rendering of types that `catalog.shown` applies on the Spark side.
 from __future__ import annotations
 
 from plugtide import config
+from plugtide.operators import holidays
 from plugtide.plans import fixture
 from plugtide.plans.fixture import SETTINGS as S
 
@@ -19,7 +20,7 @@ KINDS = {
         "day_period", "daily_period_busyness_cat", "class", "feature", "model", "run", "metric", "part", "name",
         "threshold_kind",
     ],
-    "d": ["first_active_day", "final_active_day", "last_session_pre_data", "session_date", "end_date"],
+    "d": ["first_active_day", "final_active_day", "last_session_pre_data", "session_date", "end_date", "holiday_date"],
     "t": ["started_at", "stopped_at", "last_energy_change_at"],
     "i": [
         "quarter", "year", "holiday_period", "station_charging_points", "population", "period_duration", "gap_days",
@@ -417,6 +418,32 @@ FROM scores, (SELECT optimal_threshold AS t FROM tuned)""",
     }
 
 
+# Easter by the paschal full moon of the year's golden number, and weekdays counted day by day.
+RULED_DAYS = {
+    "ruled_years": f"""
+SELECT DISTINCT year(CAST(started_at AS DATE) + CAST(d AS INTEGER)) AS y FROM sessions, (SELECT unnest([-{S.holiday_radius_days}, {S.holiday_radius_days}]) AS d)
+WHERE started_at IS NOT NULL""",
+    "ruled_moons": """
+SELECT y, (19 * (y % 19) + y // 100 - (y // 100) // 4 - ((y // 100) - ((y // 100) + 8) // 25 + 1) // 3 + 15) % 30 AS m FROM ruled_years""",
+    "ruled_easter": """
+SELECT y, make_date(y, n // 31, n % 31 + 1) AS easter FROM (
+  SELECT y, m + l - 7 * ((y % 19 + 11 * m + 22 * l) // 451) + 114 AS n FROM (
+    SELECT y, m, (32 + 2 * ((y // 100) % 4) + 2 * ((y % 100) // 4) - m - (y % 100) % 4) % 7 AS l FROM ruled_moons))""",
+    "ruled_rules": f"SELECT * FROM (VALUES {_values(holidays.RULES)}) r({', '.join(holidays.FIELDS)})",
+    "ruled_month": """
+SELECT y, CAST(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d FROM ruled_years""",
+    "ruled_counted": """
+SELECT y, d, month(d) AS mo, isodow(d) AS wd, row_number() OVER (PARTITION BY y, month(d), isodow(d) ORDER BY d) AS nth,
+       row_number() OVER (PARTITION BY y, month(d), isodow(d) ORDER BY d DESC) AS back FROM ruled_month""",
+    "ruled_dates": """
+SELECT r.*, d FROM ruled_rules r JOIN ruled_counted ON kind = 'weekday' AND mo = a AND wd = b AND CASE WHEN c > 0 THEN nth = c ELSE back = 1 END AND y BETWEEN since AND until
+UNION ALL SELECT r.*, d FROM ruled_rules r JOIN ruled_month ON kind = 'fixed' AND month(d) = a AND day(d) = b AND y BETWEEN since AND until
+UNION ALL SELECT r.*, easter + a FROM ruled_rules r JOIN ruled_easter ON kind = 'easter' AND y BETWEEN since AND until""",
+    "ruled_days": """
+SELECT country, d AS holiday_date FROM ruled_dates
+UNION SELECT country, CAST(d + CASE isodow(d) WHEN 6 THEN saturday WHEN 7 THEN sunday ELSE 0 END AS DATE) FROM ruled_dates""",
+}
+
 MEASURES = """
 SELECT (tp + tn) / CAST(tp + tn + fp + fn AS DOUBLE) AS accuracy,
        coalesce(tp / nullif(CAST(tp + fp AS DOUBLE), 0), 0) AS precision,

@@ -22,6 +22,7 @@ from plugtide.functions.lookups import attach
 from plugtide.functions.times import micros_between
 from plugtide.operators import enrich, expand, filters, grid, overlaps, prepare, repair, rolling, rollup
 from plugtide.plans import calendar
+from plugtide.sources import tables
 
 Step = Callable[..., DataFrame] | tuple[Callable[..., DataFrame], dict]
 
@@ -233,6 +234,41 @@ def point_features(
     return calendar.to_periods(calendar.rolled_days(filled, settings), calendar.FEATURE_FIELDS)
 
 
+def refreshed_features(
+    path: str,
+    sessions: DataFrame,
+    points: DataFrame,
+    holidays: DataFrame,
+    population: DataFrame,
+    settings: Settings,
+    buckets: int = 64,
+) -> DataFrame:
+    """The point-level feature table kept at `path`, where only what has changed is worked out again.
+
+    The day table is made anew: it is the cheap half, and holds all that one point's features take from
+    other points (the figures of its station). Points are dealt to `buckets`; the grid and the
+    rolling part run for the buckets with a changed day row. Other settings, holidays or another first
+    day of the data change every bucket. Under `compat` a group's first day looks into the group
+    before it, so any change there changes all.
+    """
+    spark = sessions.sparkSession
+    bucket = F.pmod(F.xxhash64("evse_uid"), F.lit(buckets)).cast("int").alias("bucket")
+    days = durable(day_table(sessions, points, population, settings).select("*", bucket), "days")
+    start = calendar.first_day(days, settings).first()["first_day"]
+    marks = tables.bucket_marks(days, "bucket")
+    whole = [tables.settings_mark(settings), tables.table_mark(holidays), str(start), str(buckets)]
+    if settings.compat:
+        whole.append(str(sorted(marks.items())))
+
+    def compute(changed: list[int]) -> DataFrame:
+        own = days.filter(F.col("bucket").isin(changed)).drop("bucket") if changed else days.limit(0).drop("bucket")
+        filled = durable(calendar.filled_days(own, holidays, settings, F.lit(start)), "filled-days")
+        features = calendar.to_periods(calendar.rolled_days(filled, settings), calendar.FEATURE_FIELDS)
+        return features.select("*", bucket)
+
+    return tables.refresh(spark, path, "|".join(whole), marks, compute)
+
+
 # --- from the feature table to train and test ----------------------------------------------------
 
 def at_grain(features: DataFrame, settings: Settings) -> DataFrame:
