@@ -166,13 +166,16 @@ def near_duplicates(
     * Each node's signature gives one key per chunk and allowed error. Nodes that share a key meet
       in its bucket, so every pair within `DISTANCE` is a candidate; of pairs at 85 % (80 %) about
       one in 10^9 (10^7) shares no key.
-    * First each bucket's smallest node is held against its other members, one pair per member
-      and bucket, and the links found are joined to components. What is left are buckets with
-      several components. There only nodes outside a bucket's largest component are compared with
-      the rest, in tiles of bounded size, on signatures and then on finer sketches inside the
-      task; a pair leaves the task once, in the first key it shares, and only if both distances
-      allow the similarity, but for some one in 10^6 of pairs just at it. No pair inside a
-      component and no pair of a far-off distance is ever written out.
+    * Each node is first held against one hub, the smallest node of all its buckets; the links found
+      are joined to components. In buckets that still hold several, the smallest node of the
+      largest component is held against the smallest of every other.
+    * What is then left are buckets with several components. There only nodes outside a bucket's
+      largest component are compared with the rest, in tiles of bounded size, on signatures and
+      then on finer sketches inside the task: first for the nearest node of another component in
+      each tile, and once those links are joined for all. A pair leaves the task once, in the
+      first key it shares, and only if both distances allow the similarity, but for some one in
+      10^6 of pairs just at it. No pair inside a component and none of a far-off distance is
+      ever written out.
     * Links are confirmed on the whole sets, as 64-bit hashes of shingles.
 
     Ids are whole numbers. Texts without words are linked with nothing. Rows without an id are linked with nothing and
@@ -201,11 +204,13 @@ def near_duplicates(
         "sets",
     )
 
-    first = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    hub = F.min("least").alias("a")
+    first = members.filter("node <> least").groupBy("node").agg(hub).select("a", F.col("node").alias("b"))
     links = _linked(first, sets, percent)
-    label = components(links)
-    rest = _rest_of_pairs(members, nodes, sets, label, percent)
-    links = links.unionByName(_linked(rest, sets, percent))
+    links = links.unionByName(_linked(_hub_pairs(members, components(links)), sets, percent))
+    for nearest in (True, False):
+        rest = _rest_of_pairs(members, nodes, sets, components(links), percent, nearest)
+        links = links.unionByName(_linked(rest, sets, percent))
     label = components(links)
 
     named = nodes.select(*of_set, "node").join(label, "node", "left")
@@ -217,14 +222,25 @@ def near_duplicates(
     return result.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
+def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+    own = members.select("key", "slot", "node").join(label.withColumnRenamed("component", "label"), "node", "left")
+    return durable(own.select("key", "slot", "node", F.coalesce("label", "node").alias("label")), "labelled")
+
+
+def _hub_pairs(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Per bucket the smallest node of its largest component against that of each other component."""
+    parts = _labelled(members, label).groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+    parts = durable(parts, "bucket-parts")
+    main = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "label", "node")).alias("main"))
+    others = parts.join(main.filter("parts > 1").select("key", "main"), "key").filter(F.col("label") != F.col("main.label"))
+    return others.select(F.least("node", "main.node").alias("a"), F.greatest("node", "main.node").alias("b")).distinct()
+
+
 def _rest_of_pairs(
-    members: DataFrame, nodes: DataFrame, sets: DataFrame, label: DataFrame, percent: int
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, label: DataFrame, percent: int, nearest: bool
 ) -> DataFrame:
-    """Candidate pairs (a, b) of different components, each once."""
-    own = members.select("key", "slot", "node").join(
-        label.withColumnRenamed("component", "label"), "node", "left"
-    )
-    own = durable(own.select("key", "slot", "node", F.coalesce("label", "node").alias("label")), "labelled")
+    """Candidate pairs (a, b) of different components, each once; with `nearest` one for a node and tile."""
+    own = _labelled(members, label)
     sizes = own.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = (
         sizes.groupBy("key")
@@ -253,7 +269,7 @@ def _rest_of_pairs(
     # Cells have at most some 2 x TILE rows; several small ones share a group.
     groups = _groups(mixed)
     cells = cells.withColumn("group", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)))
-    compared = _compared(max(_reach(VALUES, BITS, percent, 6), DISTANCE), _reach(SKETCH, 8, percent, 5))
+    compared = _compared(max(_reach(VALUES, BITS, percent, 6), DISTANCE), _reach(SKETCH, 8, percent, 5), nearest)
     return cells.groupBy("group").applyInArrow(compared, "a long, b long").distinct()
 
 
@@ -269,7 +285,7 @@ def _reach(values: int, bits: int, percent: int, spreads: float) -> int:
     return int(values * p + spreads * math.sqrt(values * p * (1 - p)))
 
 
-def _compared(reach: int, fine_reach: int):
+def _compared(reach: int, fine_reach: int, nearest: bool):
     def compare(table: pa.Table) -> pa.Table:
         key, i, j, node, label = (table[c].to_numpy() for c in ("key", "i", "j", "node", "label"))
         asks, slot = table["asks"].to_numpy(), table["slot"].to_numpy()
@@ -288,7 +304,11 @@ def _compared(reach: int, fine_reach: int):
                 x, y = np.nonzero((differ.sum(axis=2) <= reach) & (label[some][:, None] != label[right][None, :]))
                 at = _first_shared(differ[x, y].reshape(-1, CHUNKS, CHUNK)) == slot[rows[0]]
                 x, y = some[x[at]], right[y[at]]
-                at = (sketch[x] != sketch[y]).sum(axis=1) <= fine_reach
+                apart = (sketch[x] != sketch[y]).sum(axis=1)
+                at = np.flatnonzero(apart <= fine_reach)
+                if nearest:
+                    at = at[np.lexsort((node[y[at]], apart[at], x[at]))]
+                    at = at[np.unique(x[at], return_index=True)[1]]
                 a, b = node[x[at]], node[y[at]]
                 found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
         a, b = np.unique(np.concatenate(found, axis=1), axis=1)

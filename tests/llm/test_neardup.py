@@ -129,5 +129,34 @@ def test_groups_stay_small_in_a_large_bucket(spark, monkeypatch):
     nodes = rows(lambda i: (i, bytearray(signed[i])), "node long, signature binary")
     sets = rows(lambda i: (i, bytearray(neardup.SKETCH)), "node long, sketch binary")
     label = spark.createDataFrame([], "node long, component long")
-    got = {tuple(r) for r in neardup._rest_of_pairs(members, nodes, sets, label, 80).collect()}
+    got = {tuple(r) for r in neardup._rest_of_pairs(members, nodes, sets, label, 80, False).collect()}
     assert got == {(i, j) for i in range(count) for j in range(i + 60, count, 60)}
+    # The nearest alone: at most one for a node and tile, and one at least for each node.
+    near = {tuple(r) for r in neardup._rest_of_pairs(members, nodes, sets, label, 80, True).collect()}
+    assert near <= got and len(near) < count * -(-count // 16) and {x for p in near for x in p} == set(range(count))
+
+
+def test_pairs_grow_with_members_of_a_group(spark, monkeypatch):
+    """Near copies of one text: twice the members make about twice the pairs, not four times."""
+    plain, seen = neardup._linked, []
+
+    def counted(pairs, sets, percent):
+        pairs = neardup.durable(pairs, "pairs")
+        seen[-1] += pairs.count()
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(neardup, "_linked", counted)
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for i in range(240):
+        own = list(base)
+        for k in rng.sample(range(300), 2):
+            own[k] = f"x{i}y{k}"
+        texts.append((i, " ".join(own)))
+    for count in (120, 240):
+        seen.append(0)
+        docs = spark.createDataFrame(texts[:count], "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, shingle=3, percent=85).collect()}
+        assert got == near_components(dict(texts[:count]), 3, 85)
+    assert seen[1] < 3 * seen[0] and seen[1] < 12 * 240
