@@ -16,15 +16,25 @@ def shared_folder(spark: SparkSession) -> str:
     """A folder that all executors reach.
 
     It is the one that `spark.checkpoint.dir` or `setCheckpointDir` names, and otherwise lies below
-    the session's warehouse, which executors share as well.
+    the session's warehouse. A warehouse in a machine's own file system is shared only where one
+    process runs everything; elsewhere it raises an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         named = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = named.get() if named.isDefined() else f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
+        folder = named.get() if named.isDefined() else below_warehouse(
+            spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master
+        )
     return folder.rstrip("/")
 
 
+def below_warehouse(warehouse: str, master: str) -> str:
+    one_process = master == "local" or master.startswith("local[")
+    if not one_process and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError("Executors do not share the warehouse; set spark.checkpoint.dir to a folder that all of them reach")
+    return f"{warehouse.rstrip('/')}/_shared"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark)}/plugtide/{name}-{uuid.uuid4().hex}"
     _written.append(path)

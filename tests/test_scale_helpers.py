@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from plugtide.functions.durable import below_warehouse
 from plugtide.functions.lookups import attach
 from plugtide.functions.ordered import previous_row, running_totals
 
@@ -74,3 +76,11 @@ def test_running_totals_and_previous_row(spark):
     assert sorted((r["k"], r["t"]) for r in got.collect()) == sorted(expected)
     before = {r["k"]: r["p"] for r in previous_row(df, ["k"], {"p": "v"}).collect()}
     assert before == {k: (rows[i - 1][1] if i else None) for i, (k, _) in enumerate(rows)}
+
+
+def test_a_machines_own_folder_is_no_shared_one():
+    assert below_warehouse("file:/w", "local[8]") == "file:/w/_shared"
+    assert below_warehouse("s3a://b/w/", "spark://host:7077") == "s3a://b/w/_shared"
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            below_warehouse(warehouse, "local-cluster[3,2,3000]")
