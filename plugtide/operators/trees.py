@@ -36,8 +36,10 @@ PRIME = (1 << 31) - 1
 PASS_BYTES = 32 << 20
 # Histograms that are sent at once.
 SENT = 32
-# Finished trees of a boosted model after which the rows' margins are written.
-SETTLE_AFTER = 32
+# Finished trees of a boosted model, or nodes of all, after which the rows' margins are written.
+SETTLE_AFTER, SETTLE_NODES = 32, 200_000
+# Trees of a forest that grow at a time: what grows travels to the tasks with every pass.
+FOREST_BATCH = 16
 # Features are rounded before they are binned: what the order of a sum leaves in the last bits must not
 # move a row to another bin. Exact halves at the last place are lifted first.
 PLACES, NUDGE = 6, 1e-9
@@ -443,15 +445,22 @@ class _Ensemble:
         self.plan, self.job = plan, job
         self.trees: list[Tree] = []
         self.settled = 0
-        self.growing = [Growing(plan, k) for k in range(plan.trees if plan.forest else min(plan.trees, 1))]
+        self.growing = self._next()
+
+    def _next(self) -> list[Growing]:
+        first = len(self.trees)
+        return [Growing(self.plan, k) for k in range(first, min(first + (FOREST_BATCH if self.plan.forest else 1), self.plan.trees))]
+
+    @property
+    def unsettled(self) -> list[Tree]:
+        """Finished trees that passes still walk."""
+        return [] if self.plan.forest else self.trees[self.settled :]
 
     def advance(self) -> None:
-        """Trees without open nodes are done; a boosted model then begins its next."""
-        if any(g.open for g in self.growing):
-            return
-        self.trees += [g.tree() for g in self.growing]
-        more = not self.plan.forest and len(self.trees) < self.plan.trees
-        self.growing = [Growing(self.plan, len(self.trees))] if more else []
+        """Trees without open nodes are done, and the next ones begin."""
+        if not any(g.open for g in self.growing):
+            self.trees += [g.tree() for g in self.growing]
+            self.growing = self._next()
 
     def task(self, asked: dict[tuple[int, int, int], int]) -> _Task | None:
         growing = []
@@ -462,7 +471,7 @@ class _Ensemble:
                 growing.append((g.number, arrays, np.array([slots.get(int(n), -1) for n in arrays[4]], np.int64)))
         if not growing:
             return None
-        finished = [] if self.plan.forest else [t.arrays(self.plan.value) for t in self.trees[self.settled :]]
+        finished = [t.arrays(self.plan.value) for t in self.unsettled]
         return _Task(self.plan, self.job, finished, growing)
 
 
@@ -487,7 +496,8 @@ def fit(rows: DataFrame, plans: list[Plan], width: int, bins: int = BINS) -> lis
                 own = answers.get((e.job, g.number), {})
                 g.learn({n: own.get(n, (Node((0, 0), 0), None)) for n in g.open})
             e.advance()
-        if any(not e.plan.forest and len(e.trees) - e.settled >= SETTLE_AFTER for e in ensembles):
+        walked = [e.unsettled for e in ensembles]
+        if max(map(len, walked)) >= SETTLE_AFTER or sum(len(t.nodes) for own in walked for t in own) >= SETTLE_NODES:
             needed = _settle(needed, ensembles, width)
     return [e.trees for e in ensembles]
 
@@ -510,7 +520,7 @@ def _pass(rows: DataFrame, ensembles: list[_Ensemble], asks: list, width: int, b
 
 def _settle(rows: DataFrame, ensembles: list[_Ensemble], width: int) -> DataFrame:
     """Writes the margins that the finished trees give, so that later passes need not walk them."""
-    done = [[] if e.plan.forest else [t.arrays(e.plan.value) for t in e.trees[e.settled :]] for e in ensembles]
+    done = [[t.arrays(e.plan.value) for t in e.unsettled] for e in ensembles]
     names = ["label", "fold", "row_hash", "bins"]
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
