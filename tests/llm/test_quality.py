@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -68,3 +71,51 @@ def test_indicators_tell_shapes_and_repeats():
     sets = [set(found[a:b].tolist()) for a, b in zip(starts, starts[1:])]
     assert sets[0] != sets[1] and not sets[3] and not sets[4]
     assert sets[2] - sets[0]
+
+
+def plain_indicators(text):
+    """The distinct indicators of a text, as tuples."""
+    found, words = set(), re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    shapes = []
+    for k, word in enumerate(words):
+        kinds = "".join(
+            "a" if b >= 128 or chr(b).islower() else "A" if chr(b).isupper() else "0" if chr(b).isdigit() else chr(b)
+            for b in word.encode()
+        )
+        shapes.append("same" if k and word == words[k - 1] else ("shape", re.sub(r"(.)\1+", r"\1", kinds, flags=re.S)))
+        found.add(("word", re.sub("[A-Z]", lambda m: m.group().lower(), word)))
+        found.add(("one", shapes[-1]))
+        found.add(("run", *shapes[max(0, k - 1) :]))
+        found.add(("run", *shapes[max(0, k - 2) :]))
+    return found
+
+
+def test_indicators_and_scores_equal_a_plain_version():
+    draw = np.random.default_rng(5)
+    vocabulary = ["the", "The", "THE", "a1b", "99", "--", "x--y", "é", "naïve", "end.", "aa", "b"]
+    texts = [" ".join(draw.choice(vocabulary, draw.integers(0, 30))) for _ in range(60)] + [None, " ", "one"]
+    found, starts = quality.indicators(pa.array(texts))
+    sets = [set(found[a:b].tolist()) for a, b in zip(starts, starts[1:])]
+    plain = [plain_indicators(t) for t in texts]
+    # Each plain indicator has a number of its own, the same in every text.
+    number = {}
+    for one, two in zip(sets, plain):
+        assert len(one) == len(two)
+    for name in set().union(*plain):
+        holders = [s for s, p in zip(sets, plain) if name in p]
+        others = set().union(*[s for s, p in zip(sets, plain) if name not in p])
+        number[name] = set.intersection(*holders) - others
+    assert all(number.values())
+    labels = np.array([int("99" in (t or "")) for t in texts])
+    rows = [np.array(sorted(s), np.int64) for s in sets]
+    model = quality.fit(rows, labels)
+    for s, score in zip(rows, model.scores(found, starts)):
+        margin = sum(model.weights[i] for i in s) / math.sqrt(max(len(s), 1)) + model.constant
+        assert score == pytest.approx(1 / (1 + math.exp(-(model.slope * margin + model.offset))))
+    # The weights are ratios of smoothed shares, scaled by what the descent found.
+    used = [k for k in range(len(rows)) if k % 5 != 4]
+    totals = [quality.SMOOTHING * (1 << quality.BITS) + sum(len(rows[k]) for k in used if labels[k] == y) for y in (0, 1)]
+    for i in rows[0][:20]:
+        counts = [quality.SMOOTHING + sum(i in rows[k] for k in used if labels[k] == y) for y in (0, 1)]
+        ratio = math.log(counts[1] / totals[1]) - math.log(counts[0] / totals[0])
+        assert (ratio == pytest.approx(0, abs=1e-12)) == (model.weights[i] == pytest.approx(0, abs=1e-12))

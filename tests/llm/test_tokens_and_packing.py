@@ -125,6 +125,16 @@ def check_packing(rows, texts, tokenizer):
             at += n
         assert at <= packing.WINDOW
     assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows) and want
+    # Each id of each document lies in exactly one piece: of documents with one id, as many times as they are.
+    covered = {}
+    for r in rows:
+        own = covered.setdefault((str(r.doc_id), r.doc_tokens), np.zeros(r.doc_tokens, int))
+        own[r.start : r.start + r.length] += 1
+    wanted = {}
+    for i, n, _ in want:
+        wanted[i, n] = wanted.get((i, n), 0) + 1
+    assert covered.keys() == wanted.keys()
+    assert all((own == wanted[key]).all() for key, own in covered.items())
 
 
 def test_packing_of_documents(spark, byte_tokenizer):
