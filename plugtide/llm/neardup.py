@@ -327,7 +327,12 @@ def _first_shared(differ: np.ndarray) -> np.ndarray:
 def drop_near(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80
 ) -> DataFrame:
-    """`docs` without the near copies: of each component the document with the smallest id stays."""
+    """`docs` without the near copies: of each component the document with the smallest id stays.
+
+    All columns stay as they came. Rows without an id stay, and so do null and empty texts, which are linked
+    with nothing. Rows that repeat an id are one document and go or stay together. An empty table
+    stays empty.
+    """
     groups = near_duplicates(docs, id_col, text_col, shingle, percent)
     gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

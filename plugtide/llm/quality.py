@@ -256,6 +256,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """One row per row of `docs`: doc_id, held_out, score, predicted.
 
     Words and shapes of the text alone decide. One pass reads the sampled texts, one scores all.
+
+    A null text counts as empty; empty texts all get one score. Rows without an id or a label teach
+    nothing but are scored; repeated rows are each scored, alike. A document with two labels counts once
+    for each. Labels of one class, or none, give every row the same score. An empty table gives
+    an empty one; other columns are not looked at.
     """
     model = train(docs, labels, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -268,6 +273,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without those scored below `KEEP`."""
+    """`docs` without those scored below `KEEP`, all columns as they came.
+
+    Null and empty texts, null ids and repeated rows go or stay by their score, as in
+    `score_documents`; where labels teach nothing all rows go or all stay. An empty table stays empty.
+    """
     scored = score(docs, train(docs, labels, id_col, text_col), text_col)
     return scored.filter(F.col("_quality") >= KEEP).select(*docs.columns)

@@ -280,7 +280,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """`docs` with every span of a secret replaced by `mark`; other texts and all columns stay.
 
-    Spans that touch or overlap become one mark. `n_chars`, where there is one, follows the text.
+    Spans that touch or overlap become one mark. `n_chars`, where there is one, follows the text. A null
+    text stays null and an empty one empty; ids are not looked at, so null and repeated ones change
+    nothing, and equal texts are cut alike. An empty table stays empty.
     """
     text = F.col(text_col)
     cut = F.aggregate(
