@@ -20,29 +20,31 @@ SF = "/root/testdata/sf0.001"
 ENTRIES = catalog.entries()
 # What many queries start from; written once for all of them here.
 SHARED = ["cleaned", "enriched", "averaged", "timed_grid", "features", "matrix"]
+FITTED = ["trained", "fixed_models"]
 
 
 @pytest.fixture(scope="module", autouse=True)
 def shared_stages():
     """Each shared table is worked out by its own code the first time and read from then on."""
-    own = {name: getattr(catalog, name) for name in SHARED}
+    own = {name: getattr(catalog, name) for name in SHARED + FITTED}
 
     def once(name):
-        written = {}
+        kept = {}
 
         def stage(fx, *settings):
             key = repr(settings)
-            if key not in written:
-                written[key] = durable(own[name](fx, *settings), name)
-            return written[key]
+            if key not in kept:
+                made = own[name](fx, *settings)
+                kept[key] = durable(made, name) if name in SHARED else made
+            return kept[key]
 
         return stage
 
-    for name in SHARED:
+    for name in own:
         setattr(catalog, name, once(name))
     yield
-    for name in SHARED:
-        setattr(catalog, name, own[name])
+    for name, plain in own.items():
+        setattr(catalog, name, plain)
 
 
 @pytest.fixture(scope="session")
