@@ -34,17 +34,29 @@ CHROME = {"nav", "aside", "footer", "header", "form", "menu", "dialog", "fieldse
 ARTICLE = {"article", "main"}
 # Names of classes, ids and roles that mark what surrounds an article.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?\d*|ad-?(?:box|unit|slot|container|wrapper)|adverts?"
+    r"(?:^|[_-])(?:ads?\d*|ad-?(?:box|unit|slot|container|wrapper)|adverts?"
     r"|advertisements?|adsense|banners?|sponsor(?:ed|s)?|promos?|promotions?"
     r"|nav|navbar|navigation|menus?|breadcrumbs?|footer|site-header|page-header|masthead|topbar|toolbar"
-    r"|side-?bars?|widgets?|related|recommended|share|sharing|social|comments?|replies|discussion|disqus"
+    r"|side-?bars?|widgets?|share|sharing|social|comments?|replies|discussion|disqus"
     r"|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletter|subscribe|subscription"
-    r"|sign-?up|log-?in|search|pagination|pager|copyright|legal|disclaimer|complementary|contentinfo)(?:$|[\s_-])",
+    r"|sign-?up|log-?in|search|pagination|pager|copyright|disclaimer|complementary|contentinfo"
+    r"|(?:related|recommended)[_-](?:posts?|articles?|stories|links?|news|items?|pages?|products?|topics?|videos?)"
+    r")(?:$|[_-])",
     re.IGNORECASE,
 )
+# Names that mark surroundings when they stand alone; within a longer name they may as
+# well say what a part of the article is about.
+LOOSE_MARKS = re.compile(r"(?:^|[_-])(?:related|recommended|legal)(?:$|[_-])", re.IGNORECASE)
+# Names that tell an article's subject where they stand on the article's own element.
+SUBJECTS = {
+    "legal", "social", "share", "sharing", "search", "copyright", "discussion", "notice", "notices",
+    "alert", "alerts", "consent", "gdpr", "cookie", "cookies", "subscription",
+}
+# How names begin that tell what else a page has, not what the element is.
+LAYOUT = re.compile(r"(?:with|without|has|no)[_-]", re.IGNORECASE)
 CONTENT_MARKS = re.compile(
-    r"(?:^|[\s_-])(?:article|article-?body|post|post-?body|post-?content|entry|entry-?content"
-    r"|main|main-?content|content|story|prose)(?:$|[\s_-])",
+    r"(?:^|[_-])(?:article|article-?body|post|post-?body|post-?content|entry|entry-?content"
+    r"|main|main-?content|content|story|prose)(?:$|[_-])",
     re.IGNORECASE,
 )
 # Raw text ends only with the element's own end tag; whatever else looks like a tag belongs to it.
@@ -60,10 +72,11 @@ HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.IGNOR
 
 FEATURES = [
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
-    "in_article", "in_chrome",
+    "in_article", "mark",
 ]
 # The labelled table. One block per row: the features in the order above, and 1 for
-# blocks of an article. First pages that mark their article, then pages that mark nothing.
+# blocks of an article. `mark` is 2 in a page's surroundings, 1 under a name that may mark some.
+# First pages that mark their article, then pages that mark nothing.
 LABELLED = [
     (9, 0.00, 8, 0.00, 60, 0.00, 1, 0, 1),
     (60, 0.00, 9, 0.00, 45, 0.02, 1, 0, 1),
@@ -86,23 +99,38 @@ LABELLED = [
     (6, 1.00, 70, 0.00, 5, 1.00, 1, 0, 0),
     (4, 1.00, 5, 1.00, 4, 1.00, 1, 0, 0),
     (8, 0.95, 6, 1.00, 3, 0.00, 1, 0, 0),
-    (1, 1.00, 0, 0.00, 1, 1.00, 0, 1, 0),
-    (1, 1.00, 1, 1.00, 8, 0.00, 0, 1, 0),
-    (8, 0.00, 1, 1.00, 9, 0.00, 0, 1, 0),
-    (40, 0.00, 1, 1.00, 9, 0.00, 0, 1, 0),
-    (14, 0.10, 80, 0.00, 0, 0.00, 0, 1, 0),
-    (90, 0.00, 14, 0.00, 20, 0.00, 0, 1, 0),
-    (2, 0.00, 0, 0.00, 60, 0.00, 0, 1, 0),
-    (55, 0.00, 40, 0.00, 70, 0.00, 0, 1, 0),
-    (120, 0.02, 90, 0.00, 35, 0.00, 0, 1, 0),
-    (10, 0.00, 50, 0.00, 45, 0.10, 0, 1, 0),
-    (25, 0.00, 60, 0.00, 30, 0.00, 1, 1, 0),
-    (6, 0.00, 90, 0.00, 25, 0.00, 1, 1, 0),
-    (70, 0.02, 25, 0.00, 6, 0.00, 1, 1, 0),
-    (3, 1.00, 70, 0.00, 3, 1.00, 1, 1, 0),
-    (1, 0.00, 40, 0.00, 2, 0.00, 1, 1, 0),
-    (60, 0.00, 45, 0.00, 80, 0.00, 1, 1, 0),
-    (12, 0.00, 150, 0.05, 60, 0.00, 1, 1, 0),
+    (1, 1.00, 0, 0.00, 1, 1.00, 0, 2, 0),
+    (1, 1.00, 1, 1.00, 8, 0.00, 0, 2, 0),
+    (8, 0.00, 1, 1.00, 9, 0.00, 0, 2, 0),
+    (40, 0.00, 1, 1.00, 9, 0.00, 0, 2, 0),
+    (14, 0.10, 80, 0.00, 0, 0.00, 0, 2, 0),
+    (90, 0.00, 14, 0.00, 20, 0.00, 0, 2, 0),
+    (2, 0.00, 0, 0.00, 60, 0.00, 0, 2, 0),
+    (55, 0.00, 40, 0.00, 70, 0.00, 0, 2, 0),
+    (120, 0.02, 90, 0.00, 35, 0.00, 0, 2, 0),
+    (10, 0.00, 50, 0.00, 45, 0.10, 0, 2, 0),
+    (25, 0.00, 60, 0.00, 30, 0.00, 1, 2, 0),
+    (6, 0.00, 90, 0.00, 25, 0.00, 1, 2, 0),
+    (70, 0.02, 25, 0.00, 6, 0.00, 1, 2, 0),
+    (3, 1.00, 70, 0.00, 3, 1.00, 1, 2, 0),
+    (1, 0.00, 40, 0.00, 2, 0.00, 1, 2, 0),
+    (60, 0.00, 45, 0.00, 80, 0.00, 1, 2, 0),
+    (12, 0.00, 150, 0.05, 60, 0.00, 1, 2, 0),
+    (70, 0.00, 2, 0.00, 50, 0.00, 1, 1, 1),
+    (35, 0.05, 60, 0.00, 45, 0.00, 1, 1, 1),
+    (2, 0.00, 60, 0.00, 70, 0.00, 1, 1, 1),
+    (15, 0.00, 70, 0.00, 30, 0.00, 1, 1, 1),
+    (20, 0.30, 35, 0.05, 60, 0.00, 1, 1, 1),
+    (60, 0.00, 2, 0.00, 0, 0.00, 1, 1, 1),
+    (45, 0.05, 70, 0.00, 5, 0.50, 1, 1, 1),
+    (30, 0.00, 45, 0.00, 4, 0.00, 1, 1, 1),
+    (5, 0.00, 40, 0.00, 0, 0.00, 1, 1, 0),
+    (2, 0.00, 80, 0.00, 6, 1.00, 1, 1, 0),
+    (6, 1.00, 2, 0.00, 7, 1.00, 1, 1, 0),
+    (30, 0.90, 5, 1.00, 28, 0.90, 1, 1, 0),
+    (40, 0.00, 70, 0.00, 0, 0.00, 0, 1, 0),
+    (25, 0.05, 30, 0.00, 9, 0.00, 0, 1, 0),
+    (4, 1.00, 2, 0.00, 5, 1.00, 0, 1, 0),
     (35, 0.00, 20, 0.00, 40, 0.00, 0, 0, 1),
     (60, 0.05, 35, 0.00, 50, 0.00, 0, 0, 1),
     (120, 0.10, 5, 0.00, 80, 0.00, 0, 0, 1),
@@ -165,18 +193,33 @@ def decide(tree, features: tuple) -> int:
     return tree
 
 
-def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
-    """The page's text blocks in order: text, words, words in links, in an article, in its surroundings.
+def _ends(tags: list[re.Match]) -> dict[int, int]:
+    """Per tag that opens an element without text of the page, the tag that closes it, if one does."""
+    ends: dict[int, int] = {}
+    open_tags: dict[str, list[int]] = {}
+    for i, tag in enumerate(tags):
+        name = (tag[3] or "").lower()
+        if name in SKIPPED:
+            if not tag[2]:
+                open_tags.setdefault(name, []).append(i)
+            elif open_tags.get(name):
+                ends[open_tags[name].pop()] = i
+    return ends
+
+
+def blocks(page: str) -> list[tuple[str, int, int, bool, int]]:
+    """The page's text blocks in order: text, words, words in links, in an article, grade of its mark.
 
     A block ends where an element begins or ends that does not stand inside a line. Open elements
     that hold others are kept on a stack; an end tag closes the innermost one of its name, and one
-    that was never opened closes nothing, so markup that is cut off or badly nested does no harm.
+    that was never opened closes nothing, so markup that is cut off or badly nested does no harm. An
+    element without text of the page goes up to its end tag, or else up to the next block.
     """
-    found: list[tuple[str, int, int, bool, bool]] = []
+    found: list[tuple[str, int, int, bool, int]] = []
     pieces: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []
-    links, skipping = 0, ""
+    stack: list[tuple[str, bool, int]] = []
+    links, resume, unclosed = 0, -1, False
 
     def close() -> None:
         if pieces:
@@ -185,28 +228,32 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                 words = len(text.split(" "))
                 in_links = len(entities.unescape(" ".join(linked)).split())
                 article = any(s[1] for s in stack)
-                found.append((text, words, min(in_links, words), article, bool(stack) and stack[-1][2]))
+                found.append((text, words, min(in_links, words), article, stack[-1][2] if stack else 0))
             pieces.clear()
             linked.clear()
 
     at = 0
-    for match in TAG.finditer(page):
-        if not skipping and match.start() > at:
+    tags = list(TAG.finditer(page))
+    ends = _ends(tags)
+    for i, match in enumerate(tags):
+        if i > resume and not unclosed and match.start() > at:
             pieces.append(page[at : match.start()])
             if links:
                 linked.append(pieces[-1])
         at = match.end()
         name = (match[3] or "").lower()
-        if not name:
-            continue
-        if skipping:
-            if match[2] and name == skipping:
-                skipping = ""
+        if not name or i <= resume:
             continue
         if name in SKIPPED:
             if not match[2] and not match[4].rstrip().endswith("/"):
-                skipping = name
+                if i in ends:
+                    resume = ends[i]
+                else:
+                    unclosed = True
+            continue
+        if unclosed and (name in INLINE or name == "br"):
             continue
+        unclosed = False
         if name == "a":
             links = 0 if match[2] else 1
             continue
@@ -226,7 +273,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                     break
             continue
         stack.append((name, *_place(name, match[4], stack)))
-    if not skipping and at < len(page):
+    if not unclosed and at < len(page):
         pieces.append(page[at:])
         if links:
             linked.append(pieces[-1])
@@ -234,18 +281,37 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     return found
 
 
-def _place(name: str, attributes: str, stack: list[tuple[str, bool, bool]]) -> tuple[bool, bool]:
-    """Whether an element holds an article, and whether it belongs to the surroundings of one."""
-    outside = bool(stack) and stack[-1][2]
+def _grade(token: str, content: bool) -> int:
+    """How much a name marks surroundings: 2 if it does, 1 if it may. On an article's own element it
+    does only when it stands alone, and then not if it may be the article's subject."""
+    if LAYOUT.match(token):
+        return 0
+    mark = MARKS.search(token) or LOOSE_MARKS.search(token)
+    if not mark:
+        return 0
+    alone = mark.span() == (0, len(token))
+    if content:
+        return 2 if alone and token.lower() not in SUBJECTS else 0
+    return 2 if alone or MARKS.search(token) else 1
+
+
+def _place(name: str, attributes: str, stack: list[tuple[str, bool, int]]) -> tuple[bool, int]:
+    """Whether an element holds an article, and the grade of what marks it as surroundings of one."""
+    outside = stack[-1][2] if stack else 0
     in_article = any(s[1] for s in stack)
-    names = " ".join(m.strip("\"'") for m in NAMES.findall(attributes)) if attributes else ""
-    article = name in ARTICLE or bool(names and CONTENT_MARKS.search(names))
+    names = " ".join(m.strip("\"'") for m in NAMES.findall(attributes)).split() if attributes else []
+    named = any(CONTENT_MARKS.search(t) and not MARKS.search(t) for t in names)
+    article = name in ARTICLE or named
+    own = max((_grade(t, article) for t in names), default=0)
+    # A comment in an article is often an article of its own, told by how its name begins.
+    if article and in_article and not named:
+        own = max([own, *(2 for t in names if (m := MARKS.search(t)) and m.start() == 0)])
     # The heading of an article stands in a header of its own.
-    chrome = name in CHROME and not (name == "header" and in_article)
-    marked = bool(names and MARKS.search(names)) or bool(attributes and HIDDEN.search(attributes))
-    if article and not in_article and not marked:
-        return True, False
-    return article, outside or chrome or marked
+    if name in CHROME and not (name == "header" and in_article) or attributes and HIDDEN.search(attributes):
+        own = 2
+    if article and not in_article and own < 2:
+        return True, own
+    return article, max(outside, own)
 
 
 def main_text(page: str | None, tree) -> str:
@@ -253,10 +319,10 @@ def main_text(page: str | None, tree) -> str:
     found = blocks(page or "")
     density = [links / words for _, words, links, _, _ in found]
     kept = []
-    for i, (text, words, _, article, chrome) in enumerate(found):
+    for i, (text, words, _, article, mark) in enumerate(found):
         before = (found[i - 1][1], density[i - 1]) if i else (0, 0.0)
         after = (found[i + 1][1], density[i + 1]) if i + 1 < len(found) else (0, 0.0)
-        if decide(tree, (words, density[i], *before, *after, article, chrome)):
+        if decide(tree, (words, density[i], *before, *after, article, mark)):
             kept.append(text)
     return " ".join(kept)
 

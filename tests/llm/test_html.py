@@ -37,6 +37,20 @@ def test_tree_knows_its_table():
         (f"<div><h2>A heading of the page</h2>{P}<p>Short one.</p>{P}</div>", f"A heading of the page {KEPT} Short one. {KEPT}"),
         (f"<div id='content'><h1>Title</h1>{P}<p>End.</p></div><div class='ad-box'>{P}</div>", f"Title {KEPT} End."),
         (f"<div style='display:none'>{P}</div><article>{P}</article>", KEPT),
+        # Names that tell an article's subject, or what else a page has.
+        (f"<article class='post category-legal'>{P}</article>", KEPT),
+        (f"<main><article class='tag-social'>{P}</article></main>", KEPT),
+        (f"<main><article class='post legal comments-open'>{P}</article></main>", KEPT),
+        (f"<div id='content' class='with-sidebar'><article>{P}</article></div>", KEPT),
+        (f"<div class='has-ads'><div class='entry'>{P}</div><div class='ads'>{P}</div></div>", KEPT),
+        (f"<main>{P}<div class='related-work'><h2>Related work</h2>{P}</div></main>", f"{KEPT} Related work {KEPT}"),
+        (f"<main>{P}<div class='related-posts'><h2>More</h2>{P}</div></main>", KEPT),
+        (f"<main>{P}<div class='related-links'><a href=/>One more page of these</a></div></main>", KEPT),
+        (f"<article>{P}<article class='comment-body'>{P}</article><ul class=replies><li>{P}</ul></article>", KEPT),
+        # Elements without text of the page, closed and not.
+        (f"<article>{P}<button>Go<p>{P}</article><footer>{P}</footer>", f"{KEPT} {KEPT}"),
+        (f"<article>{P}<button>Go <b>on</b><div>{P}</div></button><select><option>x<option>y</select>{P}</article>", f"{KEPT} {KEPT}"),
+        (f"<article><svg><title>t</title><svg></svg>{P}</svg>{P}<object><br>{P}</article>", f"{KEPT} {KEPT}"),
     ],
 )
 def test_pages(page, text):
