@@ -18,9 +18,6 @@ from plugtide.llm.words import SLICE_BYTES, coded, mixed, rows_of, slices, split
 
 # The word that ends a text; no word of a text is empty.
 END = ""
-# Words with less than this share of all training tokens are no states. 0: every word is one, and
-# every pair and triple of words that the training texts hold is counted.
-HEAD_SHARE = 0.0
 # Taken off each n-gram's count and given to the shorter context.
 DISCOUNT = 0.75
 # Tokens scored in one task at once, on average, tokens whose n-grams are summed at once, and text
@@ -28,9 +25,6 @@ DISCOUNT = 0.75
 BLOCK_TOKENS = 1_000_000
 PART_TOKENS = 1_000_000
 COUNTED_BYTES = 3 << 20
-# A word is its 64-bit hash (Spark's xxhash64); after a known word, 48 bits of it.
-LOW = np.uint64((1 << 48) - 1)
-NO_BITS = np.zeros(0, np.uint64)
 
 
 def with_ends(values: np.ndarray, starts: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
@@ -44,68 +38,67 @@ def hashes(words: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed=42) for w in plain), np.uint64, len(plain))
 
 
-def distinct_rows(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's place among the distinct rows in their order, and one row for each of these."""
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), bool)
-    new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0) if len(order) else []
-    places = np.empty(len(order), np.int64)
-    places[order] = np.cumsum(new) - 1
-    return places, order[new]
+def distinct_keys(high: np.ndarray, low: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of numbers, `low` below `size`, in their order, and each row's place among them."""
+    keys, places = np.unique(high * np.int64(size) + low, return_inverse=True)
+    return keys // size, keys % size, places
 
 
-def parts_of(one: np.ndarray, low: np.ndarray, parts: int) -> np.ndarray:
+def parts_of(one: np.ndarray, two: np.ndarray, parts: int) -> np.ndarray:
     """The part in which a pair, and all triples that go on from it, are summed."""
-    return (mixed(mixed(one) + low) % np.uint64(parts)).astype(np.int64)
+    return (mixed(mixed(one) + two) % np.uint64(parts)).astype(np.int64)
 
 
 class Block:
     """The tokens of a block's documents, ends included, and their distinct pairs and triples.
 
-    A history begins with the end of the text before. Pairs stand in the order of part, first and
+    A word is its place in `vocabulary`, the hashes of the block's words by falling frequency. A
+    history begins with the end of the text before. Pairs stand in the order of part, first and
     second word, triples in that of their pair and third word, so that whoever reads the same
     documents again knows which answer is whose.
     """
 
-    def __init__(self, documents: Iterator[pa.RecordBatch], head: np.ndarray | None, parts: int):
-        end = hashes(pa.array([END], pa.large_string()))[0]
-        self.ids, held, tokens, lengths = [], [], [], []
+    def __init__(self, documents: Iterator[pa.RecordBatch], parts: int):
+        end = hashes(pa.array([END], pa.large_string()))
+        self.ids, held, found, tokens, lengths, seen = [], [], [], [], [], 0
         for batch in documents:
             words, starts = split_words(batch.column("text"))
             places, distinct = coded(words)
-            own, begins = with_ends(hashes(distinct)[places] if len(distinct) else NO_BITS, starts, end)
+            own, begins = with_ends(places + seen, starts, seen + len(distinct))
+            found.append(np.concatenate([hashes(distinct), end]))
             tokens.append(own)
             lengths.append(np.diff(begins))
+            seen += len(found[-1])
             self.ids.append(batch.column("doc_id"))
             held.append(batch.column("held_out").to_numpy(zero_copy_only=False))
         self.held, self.lengths = np.concatenate(held), np.concatenate(lengths)
-        self.tokens = np.concatenate(tokens)
-        begins = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
+        distinct, places = np.unique(np.concatenate(found), return_inverse=True)
+        tokens = places[np.concatenate(tokens)]
+        order = np.argsort(-np.bincount(tokens, minlength=len(distinct)), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.vocabulary, self.tokens, size = distinct[order], rank[tokens], len(distinct)
+
+        begins = np.cumsum(self.lengths) - self.lengths
         self.row = np.repeat(np.arange(len(begins)), self.lengths)
-        self.one = np.concatenate([[end], self.tokens[:-1]])
-        self.one[begins] = end
-        known = np.ones(len(self.tokens), bool) if head is None else np.isin(self.tokens, head)
-        self.after = np.concatenate([[True], known[:-1]])
-        self.after[begins] = True
-        self.second = np.concatenate([[False], (known & self.after)[:-1]])
+        self.one = np.concatenate([[0], self.tokens[:-1]])
+        self.one[begins] = rank[np.searchsorted(distinct, end[0])]
+        self.second = np.ones(len(self.tokens), bool)
         self.second[begins] = False
 
         training = ~self.held[self.row]
-        at = np.flatnonzero(known & self.after)
-        one, low = self.one[at], self.tokens[at] & LOW
-        part = parts_of(one, low, parts)
-        places, rows = distinct_rows(part, one, low)
-        self.part, self.a, self.b = part[rows], one[rows], low[rows]
-        self.pair = np.full(len(self.tokens), -1)
-        self.pair[at] = places
-        self.pair_counts = np.bincount(places[training[at]], minlength=len(rows))
-        at = np.flatnonzero(known & self.second)
-        owner, low = self.pair[at - 1], self.tokens[at] & LOW
-        places, rows = distinct_rows(owner, low)
-        self.owner, self.third = owner[rows], low[rows]
+        a, b, places = distinct_keys(self.one, self.tokens, size)
+        part = parts_of(self.vocabulary[a], self.vocabulary[b], parts)
+        order = np.argsort(part, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.part, self.a, self.b, self.pair = part[order], a[order], b[order], rank[places]
+        self.pair_counts = np.bincount(self.pair[training], minlength=len(a))
+        at = np.flatnonzero(self.second)
+        self.owner, self.third, places = distinct_keys(self.pair[at - 1], self.tokens[at], size)
         self.triple = np.full(len(self.tokens), -1)
         self.triple[at] = places
-        self.triple_counts = np.bincount(places[training[at]], minlength=len(rows))
+        self.triple_counts = np.bincount(places[training[at]], minlength=len(self.owner))
 
     def ranges(self) -> Iterator[tuple[int, slice, slice]]:
         """Each part with its range of pairs and of triples."""
@@ -115,38 +108,40 @@ class Block:
             yield int(self.part[begin]), slice(begin, cuts[i + 1]), slice(borders[i], borders[i + 1])
 
     def parcels(self) -> Iterator[tuple[int, bytes]]:
-        """Per part the pairs and triples, with their counts in the training documents of the block."""
+        """Per part the pairs and triples, with their counts in the training documents of the block.
+
+        A parcel has the hashes of its own words, by falling frequency, and names words by place.
+        """
+        place = np.empty(len(self.vocabulary), np.int64)
         for part, own, thirds in self.ranges():
-            follow = np.bincount(self.owner[thirds] - own.start, minlength=own.stop - own.start)
+            a, b, third = self.a[own], self.b[own], self.third[thirds]
+            used = np.unique(np.concatenate([a, b, third]))
+            place[used] = np.arange(len(used))
+            follow = np.bincount(self.owner[thirds] - own.start, minlength=len(a))
             yield part, _packed(
-                self.a[own], *_halves(self.b[own]), self.pair_counts[own], follow,
-                *_halves(self.third[thirds]), self.triple_counts[thirds],
+                self.vocabulary[used].view(np.int64), np.diff(place[a], prepend=0), place[b], self.pair_counts[own],
+                follow, place[third], self.triple_counts[thirds],
             )
 
 
-def _halves(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (low & np.uint64(0xFFFFFFFF)).astype(np.uint32), (low >> np.uint64(32)).astype(np.uint16)
-
-
-def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    return low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
-
-
 def _packed(*arrays: np.ndarray) -> bytes:
-    """Arrays as compressed bytes, behind the size of each."""
-    data = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-    return np.array([a.nbytes for a in arrays], np.int64).tobytes() + pa.compress(data, "zstd", asbytes=True)
-
-
-def _unpack(parcel: bytes, kinds: list) -> list[np.ndarray]:
-    sizes = np.frombuffer(parcel[: 8 * len(kinds)], np.int64)
-    data = pa.decompress(parcel[8 * len(kinds) :], int(sizes.sum()), "zstd", asbytes=True)
-    ends = np.cumsum(sizes)
-    return [np.frombuffer(data[e - n : e], k) for n, e, k in zip(sizes, ends, kinds)]
+    """Whole numbers as compressed bytes, behind the size of each array. First all lowest bytes of an
+    array, then the next ones: small numbers leave long runs of zeros."""
+    planes = b"".join(np.ascontiguousarray(a, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays)
+    return np.array([len(a) for a in arrays], np.int64).tobytes() + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpack(parcel: bytes, arrays: int) -> list[np.ndarray]:
+    sizes = np.frombuffer(parcel[: 8 * arrays], np.int64)
+    data = np.frombuffer(pa.decompress(parcel[8 * arrays :], 8 * int(sizes.sum()), "zstd", asbytes=True), np.uint8)
+    ends = 8 * np.cumsum(sizes)
+    return [
+        np.ascontiguousarray(data[e - 8 * n : e].reshape(8, n).T).view(np.int64).reshape(n) for n, e in zip(sizes, ends)
+    ]
 
 
-PARCEL = [np.uint64, np.uint32, np.uint16, np.int64, np.int64, np.uint32, np.uint16, np.int64]
-ANSWER = [np.int64] * 4
+# The arrays in a parcel and in an answer.
+PARCEL, ANSWER = 7, 4
 
 
 def _training(id_col: str, folds: int, held: int) -> Column:
@@ -170,9 +165,9 @@ def score_documents(
     they are summed over all blocks, and has the sums sent back in the order it asked for them; then
     the blocks are read again, and the answers make the part of the automaton that their texts can
     reach. A part holds about as many n-grams as a block does, whatever the corpus; nothing is
-    broadcast. N-grams are told apart by hashes: 64 bits of the first word (or of the pair's, to
-    choose the part) and 48 of each word after it. A null text is empty: just an end. An empty
-    table gives an empty one.
+    broadcast. A parcel names its words by their place in a list of its own, so that a word's hash
+    travels once per parcel. Words are told apart by 64-bit hashes. A null text is empty: just an
+    end. An empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("held_out", _training("doc_id", folds, held))
@@ -186,16 +181,12 @@ def score_documents(
     )
     totals = words.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1)), F.sum("seen")).first()
     total, distinct, seen = (int(x or 0) for x in totals)
-    head = None
-    if HEAD_SHARE > 0:
-        states = words.filter((F.col("c") >= max(1.0, HEAD_SHARE * total)) | (F.col("word") == END))
-        head = hashes(pa.array([r.word for r in states.collect()], pa.large_string()))
 
     blocks, parts = (max(1, -(-seen // most)) for most in (BLOCK_TOKENS, PART_TOKENS))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     dealt = dealt.mapInArrow(_parcel, "block int, parcel binary").repartition(blocks, "block").sortWithinPartitions("block")
     sums = durable(
-        dealt.mapInArrow(_ask(head, parts), "part int, block int, parcel binary")
+        dealt.mapInArrow(_ask(parts), "part int, block int, parcel binary")
         .repartition(parts, "part")
         .groupBy("part")
         .applyInArrow(_sum, "part int, block int, answer binary, word long, k long, s long"),
@@ -218,7 +209,7 @@ def score_documents(
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
-            _traverse(head, parts, total, distinct, rows.schema["doc_id"].dataType),
+            _traverse(parts, total, distinct, rows.schema["doc_id"].dataType),
             f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
             "base_score double, score double",
         )
@@ -293,12 +284,12 @@ def _ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _ask(head: np.ndarray | None, parts: int):
+def _ask(parts: int):
     """The distinct pairs and triples of each block, as a parcel for each part."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, documents in _blocks(batches):
-            own = list(Block(documents, head, parts).parcels())
+            own = list(Block(documents, parts).parcels())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part for part, _ in own], pa.int32()),
@@ -319,22 +310,26 @@ def _sum(table: pa.Table) -> pa.Table:
     two figures of the pairs that go on from a word are handed out as rows of that word.
     """
     parcels = [_unpack(p.as_py(), PARCEL) for p in table["parcel"]]
-    a, low, high, counts, follow, low3, high3, counts3 = (np.concatenate(x) for x in zip(*parcels))
-    ends, ends3 = (np.cumsum([len(p[i]) for p in parcels]) for i in (0, 7))
-    del parcels
-    places, rows = distinct_rows(a, _whole(low, high))
-    c = np.bincount(places, counts, len(rows)).astype(np.int64)
-    places3, rows3 = distinct_rows(np.repeat(places, follow), _whole(low3, high3))
-    c3 = np.bincount(places3, counts3, len(rows3)).astype(np.int64)
-    owner = np.repeat(places, follow)[rows3]
-    s = np.bincount(owner, c3, len(rows)).astype(np.int64)
-    k = np.bincount(owner, c3 > 0, len(rows)).astype(np.int64)
+    ends, ends3 = (np.cumsum([len(p[i]) for p in parcels]) for i in (1, 5))
+    vocabulary, places = np.unique(np.concatenate([p[0] for p in parcels]).view(np.uint64), return_inverse=True)
+    lists = np.split(places, np.cumsum([len(p[0]) for p in parcels])[:-1])
+    a = np.concatenate([own[np.cumsum(p[1])] for own, p in zip(lists, parcels)])
+    b = np.concatenate([own[p[2]] for own, p in zip(lists, parcels)])
+    third = np.concatenate([own[p[5]] for own, p in zip(lists, parcels)])
+    counts, follow, counts3 = (np.concatenate([p[i] for p in parcels]) for i in (3, 4, 6))
+    del parcels, lists
+    first, _, places = distinct_keys(a, b, len(vocabulary))
+    c = np.bincount(places, counts, len(first)).astype(np.int64)
+    owner, _, places3 = distinct_keys(np.repeat(places, follow), third, len(vocabulary))
+    c3 = np.bincount(places3, counts3, len(owner)).astype(np.int64)
+    s = np.bincount(owner, c3, len(first)).astype(np.int64)
+    k = np.bincount(owner, c3 > 0, len(first)).astype(np.int64)
     answers = [
         _packed(c[own], s[own], k[own], c3[own3])
         for own, own3 in zip(np.split(places, ends[:-1]), np.split(places3, ends3[:-1]))
     ]
     trained = c > 0
-    word, which = np.unique(a[rows][trained], return_inverse=True)
+    word, which = np.unique(vocabulary[first[trained]], return_inverse=True)
     many = len(word)
     empty = lambda n, kind: pa.nulls(n, kind)
     part = table["part"].combine_chunks()
@@ -362,9 +357,11 @@ class Automaton:
         self.block = block
         worded = answers.filter(pc.is_valid(answers["word"]))
         words = worded["word"].to_numpy().view(np.uint64)
-        order = np.argsort(words)
-        self.words = words[order]
-        self.figures = np.stack([worded[n].to_numpy()[order] for n in ("c", "s", "k")])
+        # Count, and sum and number of the pairs that go on, of each word of the block; 0 if unseen.
+        self.words = np.zeros((3, len(block.vocabulary)), np.int64)
+        order = np.argsort(block.vocabulary)
+        at = order[np.searchsorted(block.vocabulary, words, sorter=order)]
+        self.words[:, at] = np.stack([worded[n].to_numpy() for n in ("c", "s", "k")])
         parted = answers.filter(pc.is_valid(answers["part"]))
         of_part = dict(zip(parted["part"].to_pylist(), parted["answer"]))
         self.pairs = np.zeros((3, len(block.a)), np.int64)
@@ -372,13 +369,6 @@ class Automaton:
         for part, own, thirds in block.ranges():
             *self.pairs[:, own], self.triples[thirds] = _unpack(of_part[part].as_py(), ANSWER)
 
-    def of_words(self, tokens: np.ndarray) -> np.ndarray:
-        """Count, and sum and number of the pairs that go on, of each token."""
-        if not len(self.words):
-            return np.zeros((3, len(tokens)), np.int64)
-        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return np.where(self.words[at] == tokens, self.figures[:, at], 0)
-
     def traverse(self, base: np.ndarray) -> np.ndarray:
         """The probability of each token on the way from left to right.
 
@@ -386,13 +376,12 @@ class Automaton:
         which depends on the last two tokens alone; so the way through all texts is taken at once.
         """
         block = self.block
-        counts = np.append(self.pairs[0], 0)[block.pair]
-        p = _stepped(base, counts, self.of_words(block.one), block.after)
+        p = _stepped(base, self.pairs[0][block.pair], self.words[:, block.one], True)
         history = np.append(self.pairs, np.zeros((3, 1), np.int64), axis=1)[:, np.concatenate([[-1], block.pair[:-1]])]
         return _stepped(p, np.append(self.triples, 0)[block.triple], history, block.second)
 
 
-def _stepped(shorter: np.ndarray, counts: np.ndarray, state: np.ndarray, inside: np.ndarray) -> np.ndarray:
+def _stepped(shorter: np.ndarray, counts: np.ndarray, state: np.ndarray, inside: np.ndarray | bool) -> np.ndarray:
     """The probability after a state, from its arc's count and the probability by the shorter history."""
     c, s, k = state
     there = inside & (c > 0)
@@ -400,13 +389,13 @@ def _stepped(shorter: np.ndarray, counts: np.ndarray, state: np.ndarray, inside:
     return np.where(there, np.maximum(counts - DISCOUNT, 0) / c + (1 - (s - DISCOUNT * k) / c) * shorter, shorter)
 
 
-def _traverse(head: np.ndarray | None, parts: int, total: int, distinct_words: int, id_kind):
+def _traverse(parts: int, total: int, distinct_words: int, id_kind):
     def traverse(key, parcels: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(parcels):
             return pa.table({n: pa.array([], t) for n, t in _columns(to_arrow_type(id_kind))})
-        block = Block(_unpacked(parcels["parcel"], SLICE_BYTES), head, parts)
+        block = Block(_unpacked(parcels["parcel"], SLICE_BYTES), parts)
         automaton = Automaton(block, answers)
-        c = automaton.of_words(block.tokens)[0]
+        c = automaton.words[0][block.tokens]
         base = (c + 0.5) / (total + 0.5 * (distinct_words + 1))
         p = automaton.traverse(base)
         size = len(block.held)

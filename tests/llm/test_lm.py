@@ -17,8 +17,7 @@ class Plain:
         training = [[*words(t), ""] for i, t in rows if not self.held(i)]
         self.c = Counter(w for t in training for w in t)
         self.n, self.v = sum(self.c.values()), len(self.c)
-        least = max(1.0, lm.HEAD_SHARE * self.n)
-        head = {w for w, c in self.c.items() if c >= least} | {""}
+        head = {*self.c, ""}
         self.pairs, self.triples, self.out1, self.out2 = Counter(), Counter(), Counter(), Counter()
         for text in training:
             text = ["", *text]
@@ -62,9 +61,8 @@ def compare(rows, texts):
         assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-9)
 
 
-@pytest.mark.parametrize("share, block", [(1e-4, 2_500_000), (5e-3, 5_000)])
-def test_given_documents(spark, monkeypatch, share, block):
-    monkeypatch.setattr(lm, "HEAD_SHARE", share)
+@pytest.mark.parametrize("block", [2_500_000, 5_000])
+def test_given_documents(spark, monkeypatch, block):
     monkeypatch.setattr(lm, "BLOCK_TOKENS", block)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     compare(lm.score_documents(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
@@ -84,8 +82,7 @@ def test_probabilities_add_up():
 
 
 def test_every_word_is_a_state_of_the_model(spark):
-    """By default rare words have pairs and triples as well, however many tokens there are."""
-    assert lm.HEAD_SHARE == 0
+    """Rare words have pairs and triples as well, however many tokens there are."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     compare(lm.score_documents(docs).collect(), rows)
@@ -96,3 +93,10 @@ def test_small_blocks_and_parts_agree(spark, monkeypatch):
     monkeypatch.setattr(lm, "PART_TOKENS", 2_000)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     compare(lm.score_documents(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_parcels_come_back_whole():
+    arrays = [[0, -1, 1 << 40, -(1 << 63)], [], [7] * 5000, list(range(300))]
+    packed = lm._packed(*(lm.np.array(a, lm.np.int64) for a in arrays))
+    assert [a.tolist() for a in lm._unpack(packed, 4)] == arrays
+    assert len(packed) < 2000
