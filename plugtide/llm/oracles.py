@@ -37,12 +37,14 @@ SECRETS = f"""
           UNION ALL SELECT rid, kind, s, e FROM ({_matches(2, "[0-9a-f]+", 0)}) WHERE counted >= 16),
         tokens AS (
           SELECT rid, s, e, translate(token, '-_', '+/') AS p, CAST(length(token) AS DOUBLE) AS n
-          FROM ({_matches(3, "[A-Za-z0-9+/_-]{20,}", 0)})),
+          FROM ({_matches(3, "[A-Za-z0-9+/_-]{16,}", 0)}) x
+          WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = x.rid AND b.s < x.e AND x.s < b.e)),
         alphabets(o, pattern, alphabet, two, three) AS (VALUES
           (1, '^[0-9]+$', '0123456789', 0.16::DOUBLE, 0.034::DOUBLE),
           (2, '^[0-9a-f]+$', '0123456789abcdef', 0.12::DOUBLE, 0.019::DOUBLE),
-          (3, '^[A-Z2-7]+$', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 0.068::DOUBLE, 0.0058::DOUBLE),
-          (4, '', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/', 0.068::DOUBLE, 0.0058::DOUBLE)),
+          (3, '^[0-9A-F]+$', '0123456789ABCDEF', 0.12::DOUBLE, 0.019::DOUBLE),
+          (4, '^[A-Z2-7]+$', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 0.068::DOUBLE, 0.0058::DOUBLE),
+          (5, '', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/', 0.068::DOUBLE, 0.0058::DOUBLE)),
         inferred AS (
           SELECT *, CAST(length(alphabet) AS DOUBLE) AS size, string_split(p, '') AS c FROM tokens
           JOIN alphabets ON regexp_matches(p, pattern) QUALIFY row_number() OVER (PARTITION BY rid, s ORDER BY o) = 1),
@@ -65,7 +67,7 @@ SECRETS = f"""
                    {_BEYOND.format("(runs - mean_runs) / sqrt((mean_runs - 1) * (mean_runs - 2) / (n - 1))")} ELSE 0 END AS p_runs
           FROM normal),
         stepped AS MATERIALIZED (
-          SELECT rid, s, e, CASE WHEN n >= 128 THEN 128 WHEN n >= 64 THEN 64 WHEN n >= 40 THEN 40 WHEN n >= 28 THEN 28 ELSE 20 END AS band,
+          SELECT rid, s, e, CASE WHEN n >= 128 THEN 128 WHEN n >= 64 THEN 64 WHEN n >= 40 THEN 40 WHEN n >= 28 THEN 28 WHEN n >= 20 THEN 20 ELSE 16 END AS band,
                  least(floor(-10 * log10(CASE WHEN p_runs < 0.001 OR p_serial < 0.001 THEN 1 ELSE greatest(p_text, 1e-30) END)), 300) AS step
           FROM chances),
         levels AS (
@@ -74,8 +76,7 @@ SECRETS = f"""
                    count(*) OVER (PARTITION BY band ORDER BY step DESC) AS found FROM stepped)
           WHERE total * pow(10, -step / 10) <= 0.05 * found GROUP BY band),
         added AS MATERIALIZED (
-          SELECT rid, 3 AS kind, s, e FROM stepped x JOIN levels l USING (band)
-          WHERE step >= level AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = x.rid AND b.s < x.e AND x.s < b.e)),
+          SELECT rid, 3 AS kind, s, e FROM stepped JOIN levels l USING (band) WHERE step >= level),
         named AS (
           SELECT *, (['assign', 'access', 'hex', 'random'])[kind + 1] || ':' || s || ':' || e AS shown
           FROM (SELECT * FROM base UNION ALL SELECT * FROM added))

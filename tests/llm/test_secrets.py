@@ -6,6 +6,7 @@ import random
 import re
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from plugtide.llm import queries, secrets
@@ -88,6 +89,7 @@ def test_found_tokens_against_sql(spark):
     syllables = ["the", "ing", "er", "an", "re", "on", "at", "en", "nd", "ti"]
     rows = [(i, f"é {token(draw.choice([15, 24, 33, 60, 120]))} secret={token(12)} {'ab' * 20}") for i in range(60)]
     rows += [(i, "".join(draw.choice(syllables) for _ in range(draw.randrange(8, 60)))) for i in range(60, 200)]
+    rows += [(i, f"id {draw.randbytes(draw.choice([8, 12, 24, 40])).hex().upper()}, {token(12)}") for i in range(200, 240)]
     rows += TRICKY[:-1] + [(None, f"x{token(48)}")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((tuple(r) for r in secrets.find_secrets(docs).collect()), key=str)
@@ -111,6 +113,26 @@ def test_redaction(spark):
 
 
 def test_step_table_is_small(spark):
-    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    ids = spark.range(2000)
+    docs = ids.select(F.col("id").alias("doc_id"), F.upper(F.sha2(F.col("id").cast("string"), 256)).alias("text"))
     steps = secrets.discovery_steps(docs)
     assert set(steps) <= set(secrets.BANDS) and 64 in steps
+
+
+def test_base_secrets_do_not_lower_the_level(spark):
+    """Tokens that a pattern takes anyway are not counted among the finds."""
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    assert secrets.discovery_steps(docs) == {}
+
+
+@pytest.mark.parametrize("length", [18, 24, 32, 40, 64])
+def test_upper_case_hexadecimal_tokens(spark, length):
+    draw = random.Random(length)
+    token = lambda signs: "".join(draw.choice(signs) for _ in range(length))
+    rows = [(i, f"id {token('0123456789ABCDEF')} end") for i in range(100)]
+    rows += [(i, "see " + "".join(draw.choice(["DEC", "AD", "BE", "FACE", "CAB", "BAD", "ADD"]) for _ in range(8))) for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id for r in secrets.find_secrets(docs).filter("n_random > 0").collect()}
+    assert len([i for i in found if i >= 100]) <= 10
+    # Sixteen signs tell random from regular only in a longer token.
+    assert len([i for i in found if i < 100]) >= {18: 0, 24: 0, 32: 70, 40: 90, 64: 90}[length]
