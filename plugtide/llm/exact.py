@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plugtide.functions.durable import durable
 from plugtide.functions.lookups import attach
 
 
@@ -65,10 +66,27 @@ def exact_groups(
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one document per group of equal texts, all columns as they came.
+    """`docs` with one row per group of equal texts, all columns as they came.
 
-    Documents without an id stay: nothing names them, so nothing can tell them from the kept one.
+    The row that stays is the one that `exact_groups` keeps, told by id and text together: of rows
+    that repeat an id, one with another text is judged in its own group. Where several rows of a
+    group carry the id that stays, or none of them has an id, one of them stays. An empty table
+    stays empty.
     """
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    with_id = docs.join(kept, F.col(id_col) == F.col("_kept"), "left_semi")
-    return with_id.unionByName(docs.filter(F.col(id_col).isNull()))
+    kept = exact_groups(docs, id_col, text_col).filter("kept")
+    kept = kept.groupBy(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = durable(kept, "exact-kept")
+    named = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        F.col(id_col).alias("_own"),
+        F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("_sha"),
+    )
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        return named.join(some, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_of")), "left_semi")
+
+    left = rows_of(kept.filter("_rows = 1"))
+    # Rows that repeat both id and text are rare; without any, the texts pass one shuffle only.
+    if not kept.filter("_rows > 1").isEmpty():
+        left = left.unionByName(rows_of(kept.filter("_rows > 1")).dropDuplicates(["_sha"]))
+    return left.select("_row.*")

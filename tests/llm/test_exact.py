@@ -43,8 +43,21 @@ def test_drop_keeps_columns_and_one_of_each(spark):
     docs = odd_documents(spark)
     left = exact.drop_exact(docs)
     assert left.columns == docs.columns
-    with_id = [r for r in left.collect() if r.doc_id is not None]
-    assert sorted(r.doc_id for r in with_id) == [1, 3, 4, 5, 6, 6, 8, 9, 10, 11]
+    groups = {}
+    for i, t in ODD_TEXTS:
+        groups.setdefault(normal(t), []).append(i)
+    want = [(min((i for i in ids if i is not None), default=None), t) for t, ids in groups.items()]
+    assert sorted(((r.doc_id, normal(r.text)) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
+def test_drop_follows_the_groups(spark):
+    """Rows without an id, and rows that repeat an id, are told by id and text together."""
+    rows = [(None, "x y", "p"), (None, "x  y", "q"), (1, "x y", "r"), (2, "other", "s"), (1, "other", "t"), (1, "x y", "u")]
+    rows += [(None, "none", "v"), (None, "none", "w"), (3, None, "y"), (4, "", "z")]
+    left = exact.drop_exact(spark.createDataFrame(rows, "doc_id long, text string, _sha string")).collect()
+    got = sorted(((r.doc_id, normal(r.text)) for r in left), key=str)
+    assert got == sorted([(1, "x y"), (1, "other"), (None, "none"), (3, "")], key=str)
+    assert all(tuple(r) in rows for r in left)
 
 
 def test_against_sql(spark):
