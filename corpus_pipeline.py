@@ -18,8 +18,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with equal texts; null and empty texts are equal. Rows without an id stay,
-    and so do rows that repeat the id of the one that is kept."""
+    """One document of each group with equal texts; null and empty texts are equal. A row without an id
+    stays only where its group has no id at all; of rows that repeat both id and text one stays."""
     return exact.drop_exact(docs)
 
 
