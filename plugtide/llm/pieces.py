@@ -53,18 +53,44 @@ class Vocabulary:
             for k in range(1, len(p))
             if p[:k] in ids and p[k:] in ids
         }
-        self.pairs = np.array(sorted(merges), np.int64)
-        self.merged = np.array([merges[k] for k in self.pairs.tolist()], np.int64)
+        self._place(np.array(list(merges), np.int64), np.array(list(merges.values()), np.int64))
         single = {ord(p): i for p, i in ids.items() if len(p) == 1 and p != SPACE}
         self.letter = np.full(0x110000, -1, np.int64)
         self.letter[list(single)] = list(single.values())
         self.letter[0x20] = ids[SPACE]
 
+    def _place(self, pairs: np.ndarray, merged: np.ndarray) -> None:
+        """A hash table of pairs: each stands in its own slot or in the next free one; half of the slots at least are free."""
+        self.bits = max(4, int(2 * len(pairs)).bit_length() + 1)
+        self.pairs = np.full(1 << self.bits, -1, np.int64)
+        self.merged = np.full(1 << self.bits, -1, np.int64)
+        left, slot = np.arange(len(pairs)), self._slot(pairs)
+        while len(left):
+            free = np.flatnonzero(self.pairs[slot] < 0)
+            taken, first = np.unique(slot[free], return_index=True)
+            placed = free[first]
+            self.pairs[taken], self.merged[taken] = pairs[left[placed]], merged[left[placed]]
+            rest = np.ones(len(left), bool)
+            rest[placed] = False
+            left, slot = left[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        spread = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def merge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that two neighbours make, or -1."""
-        key = (left << 16) + right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.merged[at], -1)
+        made = np.full(len(left), -1)
+        rest = np.flatnonzero((left >= 0) & (right >= 0))
+        key = (left[rest] << 16) + right[rest]
+        slot = self._slot(key)
+        while len(rest):
+            found = self.pairs[slot]
+            same = found == key
+            made[rest[same]] = self.merged[slot[same]]
+            on = np.flatnonzero(~same & (found >= 0))
+            rest, key, slot = rest[on], key[on], (slot[on] + 1) & (len(self.pairs) - 1)
+        return made
 
     def segment(
         self, units: pa.Array, variants: np.ndarray, seed: int, dropout: float
@@ -122,55 +148,66 @@ class Vocabulary:
 
     def _merged(self, letters, starts, rows, keys, dropout, without):
         lengths = (starts[1:] - starts[:-1])[rows]
-        width = int(lengths.max())
+        # Past the end stand two places without a letter.
+        width = int(lengths.max()) + 2
         columns = np.arange(width)
         inside = columns < lengths[:, None]
-        codes = np.where(inside, letters[np.minimum(starts[rows][:, None] + columns, len(letters) - 1)], 0)
+        codes = letters[(starts[rows][:, None] + columns)[inside]]
         # Letters without a piece stay apart as -2 - code point; places past the end are -1.
-        symbols = np.where(inside, np.where(self.letter[codes] >= 0, self.letter[codes], -2 - codes), -1)
-        begins = np.broadcast_to(columns, symbols.shape).copy()
-        begins = np.where(inside, begins, lengths[:, None])
+        symbols = np.full(len(rows) * width, -1)
+        every = np.flatnonzero(inside)
+        known = self.letter[codes]
+        symbols[every] = np.where(known >= 0, known, -2 - codes)
+        # Nothing is moved when two pieces merge: each place names its neighbours.
+        after, before = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
+        after[-1] = len(symbols) - 1
         level = np.uint64(_level(dropout))
 
-        def candidates(which, at):
-            """The piece made at places `at` of rows `which`, and its rank in the agenda."""
-            last = symbols.shape[1] - 1
-            left, right = symbols[which, at], symbols[which, np.minimum(at + 1, last)]
-            made = np.where(at < last, self.merge(left, right), -1)
+        def candidates(at):
+            """The piece made at places `at`, and its rank in the agenda."""
+            middle = after[at]
+            made = self.merge(symbols[at], symbols[middle])
             if dropout > 0 or without is not None:
-                ends = begins[which, np.minimum(at + 2, last)]
-                ends = np.where(at + 2 <= last, ends, lengths[which])
-                span = _span(begins[which, at], begins[which, np.minimum(at + 1, last)], ends)
+                some = np.flatnonzero(made >= 0)
+                which = at[some] // width
+                first = which * width
+                span = _span(at[some] - first, middle[some] - first, after[middle[some]] - first)
+                skipped = np.zeros(len(some), bool)
                 if without is not None:
-                    made = np.where(span == without[which], -1, made)
-            if dropout > 0:
-                made = np.where(mixed(keys[which] ^ mixed(span)) < level, -1, made)
+                    skipped |= span == without[which]
+                if dropout > 0:
+                    skipped |= mixed(keys[which] ^ mixed(span)) < level
+                made[some[skipped]] = -1
             return made, np.where(made >= 0, self.rank[made], self.never)
 
-        every, at = np.divmod(np.arange(symbols.size), width)
-        made, rank = (x.reshape(symbols.shape) for x in candidates(every, at))
+        made = np.full(len(symbols), -1)
+        rank = np.full(len(symbols), self.never)
+        made[every], rank[every] = candidates(every)
+        rank = rank.reshape(-1, width)
         live = np.arange(len(rows))
         spans = []
-        while len(live):
-            best = np.argmin(rank[live], axis=1)
-            going = rank[live, best] < self.never
-            live, best = live[going], best[going]
-            if not len(live):
+        while True:
+            best = np.argmin(rank, axis=1)
+            going = np.flatnonzero(rank[np.arange(len(rank)), best] < self.never)
+            if not len(going):
                 break
-            ends = np.where(best + 2 < width, begins[live, np.minimum(best + 2, width - 1)], lengths[live])
-            spans.append((live, _span(begins[live, best], begins[live, best + 1], ends)))
-            symbols[live, best] = made[live, best]
-            # What stands right of the merged pair moves one place to the left.
-            shift = np.minimum(columns + (columns > best[:, None]), width - 1)
-            tail = columns[None, :] == width - 1
-            for table, empty in ((symbols, -1), (begins, None), (made, -1), (rank, self.never)):
-                moved = np.take_along_axis(table[live], shift, axis=1)
-                filler = lengths[live][:, None] if empty is None else empty
-                table[live] = np.where(tail & (best[:, None] < width - 1), filler, moved)
-            made[live, best], rank[live, best] = candidates(live, best)
-            before = live[best > 0]
-            place = best[best > 0] - 1
-            made[before, place], rank[before, place] = candidates(before, place)
+            best = best[going]
+            if 4 * len(going) < 3 * len(rank):
+                rank, live, going = rank[going], live[going], np.arange(len(going))
+            first = live[going] * width
+            at = first + best
+            middle = after[at]
+            end = after[middle]
+            spans.append((live[going], _span(best, middle - first, end - first)))
+            symbols[at], symbols[middle] = made[at], -1
+            after[at], before[end] = end, at
+            rank[going, middle - first] = self.never
+            # The merged piece and the one before it have new neighbours.
+            led = np.flatnonzero(best > 0)
+            changed = np.concatenate([at, before[at[led]]])
+            made[changed], ranks = candidates(changed)
+            rank[np.concatenate([going, going[led]]), changed - np.concatenate([first, first[led]])] = ranks
+        symbols = symbols.reshape(-1, width)
         present = symbols != -1
         flat, counts = symbols[present], present.sum(axis=1)
         unknown = np.flatnonzero(flat < 0)

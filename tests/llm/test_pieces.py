@@ -116,3 +116,25 @@ def test_merges_are_skipped_per_occurrence():
         share = sum(g == plain.tolist() for g in got) / count
         assert (1 - dropout) ** len(spans) - 0.03 < share < 0.95
         assert len({tuple(g) for g in got}) > (1 if unit == " the" else pieces.VARIANTS)
+
+
+def test_a_merge_touches_its_neighbours_only(monkeypatch):
+    """A step moves no letters, and looks a few places up for each unit however long the units are."""
+    looked_up = []
+    merge = pieces.Vocabulary.merge
+    monkeypatch.setattr(pieces.Vocabulary, "merge", lambda self, a, b: looked_up.append(len(a)) or merge(self, a, b))
+    monkeypatch.setattr(np, "take_along_axis", lambda *_, **__: pytest.fail("letters are moved"))
+    units = pa.array([" " + "internationalisation" * 3, " the"] * 50, pa.large_string())
+    keys = np.arange(100, dtype=np.uint64)
+    (ids, starts), (spans, _) = VOCABULARY.segment_keyed(units, keys, 0.3)
+    for k in range(4):
+        assert ids[starts[k] : starts[k + 1]].tolist() == slow_segment(units[k].as_py(), keys[k : k + 1], 0.3)
+    assert sum(looked_up) <= sum(map(len, units.to_pylist())) + 2 * len(spans)
+
+
+def test_every_pair_has_its_slot():
+    slots = np.flatnonzero(VOCABULARY.pairs >= 0)
+    left, right = VOCABULARY.pairs[slots] >> 16, VOCABULARY.pairs[slots] & 0xFFFF
+    assert (VOCABULARY.merge(left, right) == VOCABULARY.merged[slots]).all()
+    assert VOCABULARY.merge(np.array([-1, -5, 7]), np.array([3, 3, -1])).tolist() == [-1, -1, -1]
+    assert 2 * len(slots) <= len(VOCABULARY.pairs)
