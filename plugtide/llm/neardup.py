@@ -22,8 +22,9 @@ VALUES = CHUNKS * CHUNK
 # One error is enumerated in each chunk, so every pair of signatures within this distance is found:
 # with more than one error in all chunks the distance would be at least 2 * CHUNKS.
 DISTANCE = 2 * CHUNKS - 1
-# A finer sketch, of more minhash values with fewer bits, judges candidates before their sets do.
-SKETCH = 512
+# A finer sketch, of many more minhash values with few bits, judges candidates before their sets do: it
+# takes 512 bytes, whatever the set, and its spread is that of some 1,500 whole values.
+SKETCH, SKETCH_BITS = 2048, 2
 # Members of a bucket that are compared in one task at once.
 TILE = 1024
 
@@ -61,19 +62,29 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The minhash signature of each non-empty set, as rows of 16-bit values."""
-    return _minhashes(values, starts, _MULTIPLIERS[:VALUES], np.uint16)
+    out = np.empty((len(starts) - 1, VALUES), np.uint16)
+    for k in range(VALUES):
+        out[:, k] = _minhash(values, starts, k, BITS)
+    return out
 
 
 def sketches(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The finer sketch of each non-empty set, as rows of bytes."""
-    return _minhashes(values, starts, _MULTIPLIERS[VALUES:], np.uint8)
+    """The finer sketch of each non-empty set, as rows of bytes with four values each."""
+    out = np.zeros((len(starts) - 1, SKETCH // 4), np.uint8)
+    for k in range(SKETCH):
+        out[:, k // 4] |= _minhash(values, starts, VALUES + k, SKETCH_BITS).astype(np.uint8) << np.uint8(2 * (k % 4))
+    return out
 
 
-def _minhashes(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray, kind) -> np.ndarray:
-    out = np.empty((len(starts) - 1, len(multipliers)), kind)
-    for k, multiplier in enumerate(multipliers):
-        out[:, k] = mixed(np.minimum.reduceat(values * multiplier, starts[:-1])) >> np.uint64(64 - 8 * out.itemsize)
-    return out
+def sketch_distances(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The number of values in which the sketches of two lists differ, row by row."""
+    differ = np.ascontiguousarray(one).view(np.uint64) ^ np.ascontiguousarray(two).view(np.uint64)
+    differ = (differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)
+    return np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+
+
+def _minhash(values: np.ndarray, starts: np.ndarray, k: int, bits: int) -> np.ndarray:
+    return mixed(np.minimum.reduceat(values * _MULTIPLIERS[k], starts[:-1])) >> np.uint64(64 - bits)
 
 
 def chunk_keys(signature: np.ndarray) -> np.ndarray:
@@ -269,7 +280,7 @@ def _rest_of_pairs(
     # Cells have at most some 2 x TILE rows; several small ones share a group.
     groups = _groups(mixed)
     cells = cells.withColumn("group", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)))
-    compared = _compared(max(_reach(VALUES, BITS, percent, 6), DISTANCE), _reach(SKETCH, 8, percent, 5), nearest)
+    compared = _compared(max(_reach(VALUES, BITS, percent, 6), DISTANCE), _reach(SKETCH, SKETCH_BITS, percent, 5), nearest)
     return cells.groupBy("group").applyInArrow(compared, "a long, b long").distinct()
 
 
@@ -304,7 +315,7 @@ def _compared(reach: int, fine_reach: int, nearest: bool):
                 x, y = np.nonzero((differ.sum(axis=2) <= reach) & (label[some][:, None] != label[right][None, :]))
                 at = _first_shared(differ[x, y].reshape(-1, CHUNKS, CHUNK)) == slot[rows[0]]
                 x, y = some[x[at]], right[y[at]]
-                apart = (sketch[x] != sketch[y]).sum(axis=1)
+                apart = sketch_distances(sketch[x], sketch[y])
                 at = np.flatnonzero(apart <= fine_reach)
                 if nearest:
                     at = at[np.lexsort((node[y[at]], apart[at], x[at]))]

@@ -160,3 +160,32 @@ def test_pairs_grow_with_members_of_a_group(spark, monkeypatch):
         got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, shingle=3, percent=85).collect()}
         assert got == near_components(dict(texts[:count]), 3, 85)
     assert seen[1] < 3 * seen[0] and seen[1] < 12 * 240
+
+
+def test_members_that_are_not_quite_similar_stay_in_their_task(spark, monkeypatch):
+    """One text changed often: any two copies share 0.78 of their words, and few of such pairs are written out."""
+    draw, texts = random.Random(3), {}
+    base = [f"w{k}" for k in range(300)]
+    for k in range(120):
+        words = list(base)
+        for at in draw.sample(range(300), 19):
+            words[at] = f"x{k}-{at}"
+        texts[k] = " ".join(words)
+    texts[120] = texts[7] + " y"
+    written = []
+    linked = neardup._linked
+    monkeypatch.setattr(neardup, "_linked", lambda pairs, *rest: written.append(pairs.count()) or linked(pairs, *rest))
+    check(spark, texts, 1, 85)
+    assert sum(written[2:]) < 120 * 119 / 2 / 10
+
+
+def test_sketches_tell_distances():
+    """Sketches of 2,048 values with two bits differ in three quarters of the values that do."""
+    one, two = np.arange(1000, dtype=np.uint64), np.arange(85, 1085, dtype=np.uint64)
+    values = neardup.mixed(np.concatenate([np.sort(one), np.sort(two)]) + np.uint64(1 << 40))
+    sketch = neardup.sketches(values, np.array([0, 1000, 2000]))
+    assert sketch.shape == (2, 512)
+    plain = [[(b >> s) & 3 for b in row for s in (0, 2, 4, 6)] for row in sketch.tolist()]
+    apart = neardup.sketch_distances(sketch[:1], sketch[1:])[0]
+    assert apart == sum(x != y for x, y in zip(*plain))
+    assert abs(apart / 2048 / 0.75 - (1 - 915 / 1085)) < 0.05
