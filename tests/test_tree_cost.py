@@ -59,3 +59,23 @@ def test_values_are_rounded_as_spark_rounds_them(spark):
     want = [r.r for r in df.select((F.round(F.col("v") + F.lit(trees.NUDGE), 6) + F.lit(0.0)).alias("r"), "k").orderBy("k").collect()]
     assert np.array(want).tobytes() == trees.rounded(np.array(values), 6).tobytes()
     assert trees.rounded(np.array(values), None).tolist()[2] == 5e-7
+
+
+def test_small_batches_are_worked_on_together(monkeypatch):
+    """What is done per node and feature does not multiply with the batches that a task gets."""
+    plan = trees.Plan("boosted_deep", features=tuple(range(WIDTH)))
+    arrays = trees.Growing(plan, 0).tree(final=False).arrays(lambda *_: 0.0)
+    given, added = batch(500), []
+    add = trees._add
+    monkeypatch.setattr(trees, "_add", lambda *args: added.append(1) or add(*args))
+
+    def sent(batches):
+        task = trees._Task(plan, 0, [], [(0, arrays, np.array([0]))])
+        found = list(trees._histograms([task], [plan.allowed(0, 1)], WIDTH, trees.BINS)(iter(batches)))
+        return [b.column("cells").to_pylist() for b in found]
+
+    small = [given.slice(k, 7) for k in range(0, 500, 7)]
+    assert sent(small) == sent([given]) and len(added) == 2
+    monkeypatch.setattr(trees, "ROWS_AT_ONCE", 100)
+    assert sent(small) == sent([given]) and len(added) == 2 + 5 + 1
+    assert list(trees._gathered(iter([]))) == []
