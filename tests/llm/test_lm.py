@@ -1,10 +1,16 @@
 from __future__ import annotations
 
+import glob
 import math
+import tempfile
+import time
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from plugtide.functions.durable import durable
 from plugtide.llm import lm
 from tests.llm.helpers import ODD_TEXTS, SF, crc, no_documents, odd_documents, words
 
@@ -100,3 +106,43 @@ def test_parcels_come_back_whole():
     packed = lm._packed(*(lm.np.array(a, lm.np.int64) for a in arrays))
     assert [a.tolist() for a in lm._unpack(packed, 4)] == arrays
     assert len(packed) < 2000
+
+
+def test_a_block_sends_few_bytes_a_token():
+    """Parcels name words by small numbers; with hashes of their words they took some 14 bytes a token."""
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text"]).combine_chunks()
+    size, parts, ranges = len(table), 100, 3
+    rows = pa.record_batch(
+        [
+            pa.array([0] * size, pa.int32()), table["doc_id"].combine_chunks(), pa.array([False] * size),
+            table["text"].combine_chunks(),
+        ],
+        ["block", "doc_id", "held_out", "text"],
+    )
+    parcels = list(lm._parcel(iter([rows])))
+    asked = list(lm._ask_words(ranges)(iter(parcels)))
+    named = pa.concat_tables(lm._name(ranges)(pa.Table.from_batches([b]).slice(i, 1)) for b in asked for i in range(len(b)))
+    named = named.filter(named["answer"].is_valid())
+    sent = lm._ask(parts, ranges)((pa.scalar(0),), pa.Table.from_batches(parcels), named)
+    tokens = sum(len(words(t)) + 1 for t in table["text"].to_pylist())
+    bytes_of = lambda column: sum(len(p.as_py()) for p in column)
+    of_words = sum(bytes_of(b.column("parcel")) for b in asked) + bytes_of(named["answer"])
+    assert bytes_of(sent["parcel"]) < 5 * tokens and of_words < 3 * tokens
+
+
+def test_shuffle_files_go_with_their_write(spark, tmp_path):
+    """The tables on the way leave no shuffle files behind for the passes that follow."""
+    root = spark.conf.get("spark.local.dir", None) or tempfile.gettempdir()
+    files = lambda: set(glob.glob(f"{root}/blockmgr-*/*/shuffle_*.data"))
+    before = files()
+    durable(spark.range(1000).repartition(3, "id"), "tidied", tidy=True)
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+
+
+def test_words_have_hashes_of_their_own():
+    texts = ["", "\0", "\0\0", "a", "a\0", "\0a", "b", "ab", "ba", "\xe9", *map(str, range(20000))]
+    assert len(set(lm.hashes(pa.array(texts, pa.large_string())).tolist())) == len(texts)
