@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from plugtide.operators import trees
+from plugtide.plans import catalog, stages
+from plugtide.plans.fixture import Fixture
 
+SF = "/root/testdata/sf0.001"
 WIDTH = 9
 
 
@@ -79,3 +85,28 @@ def test_small_batches_are_worked_on_together(monkeypatch):
     monkeypatch.setattr(trees, "ROWS_AT_ONCE", 100)
     assert sent(small) == sent([given]) and len(added) == 2 + 5 + 1
     assert list(trees._gathered(iter([]))) == []
+
+
+def test_rows_are_binned_without_rounding_them():
+    """A value lies above the unrounded border exactly where, rounded, it lies above the border."""
+    rng = np.random.default_rng(0)
+    values = np.concatenate([
+        rng.normal(size=2000), rng.integers(0, 50, 500) / 7, np.round(rng.random(500), 6) + 5e-7, rng.normal(size=50) * 1e12,
+        [np.inf, -np.inf, np.nan, 0.0, -0.0, 1e300, -1e300, 5e-7, 4.99e-7, 4.990000001e-7],
+    ])
+    for _ in range(10):
+        borders = np.unique(trees.rounded(rng.choice(values, 63), 6))
+        above = trees.unrounded(borders, 6)
+        near = np.concatenate([values, above, np.nextafter(above, np.inf), np.nextafter(above, -np.inf), borders])
+        assert (np.searchsorted(above, near) == np.searchsorted(borders, trees.rounded(near, 6))).all()
+    assert trees.unrounded(borders, None) is borders
+
+
+@pytest.mark.parametrize("settings", [catalog.BY_POINT, catalog.BY_STATION])
+def test_split_and_shifts_share_a_shuffle(spark, settings):
+    """The wide rows pass no second shuffle, and columns that no feature is made from are not carried."""
+    features = catalog.written_features(Fixture(spark, SF), settings)
+    plan = stages.model_table(features, settings)._jdf.queryExecution().executedPlan().toString()
+    assert f"hashpartitioning({settings.group}" in plan
+    assert not re.search(rf"hashpartitioning\(is_train#\d+, {settings.group}", plan)
+    assert "last_session_pre_data" in features.columns and "last_session_pre_data" not in plan
