@@ -6,6 +6,8 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from plugtide.llm import queries, search
@@ -74,6 +76,25 @@ def test_steps_of_one_class(spark, monkeypatch):
     assert found(search.search(odd_documents(spark), items_of(spark), 3)) == plain(ODD_TEXTS, ITEMS, 3)
 
 
+def test_steps_of_few_matches(spark, monkeypatch):
+    monkeypatch.setattr(search, "MATCHES", 1)
+    assert found(search.search(odd_documents(spark), items_of(spark), 3)) == plain(ODD_TEXTS, ITEMS, 3)
+
+
+def test_matches_held_at_once_are_bounded(monkeypatch):
+    """300 classes of 60 terms that are in each of 100 items: 1.8 million matches in one batch."""
+    held, gather = [], search.gather
+    monkeypatch.setattr(search, "gather", lambda *given: held.append(gather(*given)) or held[-1])
+    item_of, begins = np.tile(np.arange(100), 60), np.arange(61) * 100
+    bag = np.stack([np.arange(60, dtype="<i4"), np.ones(60, "<i4")], axis=1).tobytes()
+    batch = pa.RecordBatch.from_pydict({"bag": [bag] * 300, "m": [100] * 300, "ids": [[d] for d in range(300)]})
+    rank = search._rank((item_of, np.ones_like(item_of), begins), np.full(60, 7), pa.array(range(100)), 20, pa.int64())
+    rows = pa.Table.from_batches(rank(iter([batch]))).to_pylist()
+    assert sum(len(places) for places, _ in held) == 300 * 60 * 100
+    assert max(len(places) for places, _ in held) <= 1 << 20
+    assert [(r["item"], r["doc_id"]) for r in rows] == [(item, doc) for item in range(100) for doc in range(20)]
+
+
 def test_ids_that_are_text(spark):
     docs = spark.createDataFrame([("b", "one two"), ("a", "one two"), (None, "one")], "doc_id string, text string")
     items = spark.createDataFrame([("q", "two one")], "item_id string, text string")
