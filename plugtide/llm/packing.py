@@ -23,19 +23,48 @@ BLOCK_DOCS = 2048
 JOINED = 2000
 # Where spaces touch other white space, the tokenizer joins them into one run.
 RUNS = r"[\x20\t\n\r\x0B\x0C\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# White space that may begin a part, bytes of ASCII letters, other signs of ASCII that are no white space.
+SPACES = " \t\n\r"
+_ASCII = np.arange(256)
+_BLANK = np.isin(_ASCII, [ord(c) for c in SPACES])
+_LETTER = ((_ASCII >= 65) & (_ASCII <= 90)) | ((_ASCII >= 97) & (_ASCII <= 122))
+_SIGN = (_ASCII > 32) & (_ASCII < 127) & ~_LETTER
+
+
+def cut_places(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 begin a part that a tokenizer with the byte-level pattern takes by itself.
+
+    Those are each space; each tab and end of a line after a sign that is no white space; and each other sign of ASCII
+    after a letter, where a run of letters ends whatever follows. Letters are those of ASCII and U+00C0 to U+023F.
+    """
+    cuts = data == 32
+    letter = _LETTER[data]
+    for lead in range(0xC3, 0xC9):
+        at = np.flatnonzero(data[:-1] == lead) + 1
+        if lead == 0xC3:
+            at = at[(data[at] != 0x97) & (data[at] != 0xB7)]
+        letter[at] = True
+    sign = _SIGN[data]
+    cuts[1:] |= (letter[:-1] | sign[:-1]) & _BLANK[data[1:]] | letter[:-1] & sign[1:]
+    return cuts
 
 
 class Encoder:
     """Ids of whole texts by a byte-level tokenizer that puts a single space before the word it precedes.
 
     A text in which no space touches other white space is the same to the tokenizer as its parts
-    cut before each space, so every distinct part is encoded once and remembered. Other texts, and
-    those with a special token's string, are encoded whole.
+    cut at `cut_places` (before each space only, where its pattern is not the byte-level one), so every
+    distinct part is encoded once and remembered. Other texts, and those with a special token's string,
+    are encoded whole.
     """
 
     def __init__(self, path: str):
+        from tokenizers.pre_tokenizers import ByteLevel
+
         self.tokenizer = open_tokenizer(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        pattern = self.tokenizer.pre_tokenizer
+        self.finely = self.tokenizer.normalizer is None and isinstance(pattern, ByteLevel) and pattern.use_regex
         size = self.tokenizer.get_vocab_size()
         # Each character of a token's name stands for one byte.
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], np.int64)
@@ -49,11 +78,11 @@ class Encoder:
     def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct parts.
 
-        Parts that begin with their space and end without one are encoded many at a time, one after
+        Parts that begin with white space and end without it are encoded many at a time, one after
         the other; the bytes of the tokens tell where each part's end.
         """
         texts = parts.to_pylist()
-        alone = np.fromiter((t[0] != " " or t[-1].isspace() for t in texts), bool, len(texts))
+        alone = np.fromiter((t[0] not in SPACES or t[-1].isspace() for t in texts), bool, len(texts))
         single, single_starts = self._encode([texts[i] for i in np.flatnonzero(alone)])
         rest = [texts[i] for i in np.flatnonzero(~alone)]
         joined, _ = self._encode(["".join(rest[i : i + JOINED]) for i in range(0, len(rest), JOINED)])
@@ -74,7 +103,7 @@ class Encoder:
         odd = odd.to_numpy(zero_copy_only=False)
         ids, id_starts = np.zeros(0, np.uint32), np.zeros(len(starts), np.int64)
         if len(data):
-            cuts = data == 32
+            cuts = cut_places(data) if self.finely else data == 32
             cuts[starts[:-1][starts[:-1] < len(data)]] = True
             at = np.flatnonzero(cuts)
             places, parts = coded(strings(data, np.append(at, len(data))))

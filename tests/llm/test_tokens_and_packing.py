@@ -157,3 +157,27 @@ def test_encoder_gives_the_tokenizers_ids(texts):
     ids, starts = encoder(pa.array(texts, pa.string()))
     for i, text in enumerate(texts):
         assert ids[starts[i] : starts[i + 1]].tolist() == ids_of(encoder.tokenizer, text)
+
+
+def test_words_are_encoded_once_whatever_follows_them():
+    import pyarrow as pa
+
+    words, ends = [f"w{c}rd" for c in "abcdeéßœ"], [",", ".\n", "***", "'s", "!\t", ")", "1", "\n\n"]
+    texts = [f"to {a}{end}{b}" for a in words for end in ends for b in words]
+    encoder = packing.Encoder(BYTE)
+    ids, starts = encoder(pa.array(texts))
+    assert len(encoder.memo.known) < len(texts) / 2
+    for i, text in enumerate(texts):
+        assert ids[starts[i] : starts[i + 1]].tolist() == ids_of(encoder.tokenizer, text)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abZé×÷ßœȿʼс中１Ⅷ²'sldn\n\t\r\x0b\x1c\x7f .,!_(>9…«\u0301\u00a0\u3000😀", max_size=40), max_size=8))
+def test_encoder_on_letters_signs_and_white_space(texts):
+    import pyarrow as pa
+
+    encoder = packing.Encoder(BYTE)
+    texts = texts + [t.replace(" ", "") for t in texts]
+    ids, starts = encoder(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        assert ids[starts[i] : starts[i + 1]].tolist() == ids_of(encoder.tokenizer, text)
