@@ -58,6 +58,36 @@ def test_sums_side_by_side_are_the_same_as_one_by_one():
         assert (total == want).all()
 
 
+class Watched(np.ndarray):
+    """Bins that note how many of a column's cells are picked by number."""
+
+    picked: list[int] = []
+
+    def __getitem__(self, key):
+        if isinstance(key, np.ndarray):
+            self.picked.append(len(key))
+        return super().__getitem__(key)
+
+
+def test_small_trees_are_walked_and_many_features_summed_without_picking_cells(monkeypatch):
+    columns, rows = trees._columns(batch(500), WIDTH), np.arange(0, 500, 3)
+    grown = trees.Tree({n: trees.Node((0, 0), 0, trees.Split(n % WIDTH, 30, 1.0, (0, 0, 0)) if n < 32 else None) for n in range(1, 64)})
+    arrays = grown.arrays(lambda *_: 0.0)
+    monkeypatch.setattr(Watched, "picked", [])
+    places = trees._places(columns.view(Watched), arrays, rows)
+    # One pick per tree: the rows' places at the end.
+    assert len(Watched.picked) <= 1
+    monkeypatch.setattr(trees, "AT_ONCE", 4)
+    total, want = (np.zeros((1, 3, WIDTH, trees.BINS), np.int64) for _ in range(2))
+    given = rows, np.zeros(len(rows), int), np.ones(len(rows)), np.ones(len(rows))
+    trees._add(total, np.array([0]), range(WIDTH), columns.view(Watched), *given, np.ascontiguousarray(columns.T))
+    assert len(Watched.picked) <= 1
+    trees._add(want, np.array([0]), range(WIDTH), columns, *given)
+    assert (total == want).all()
+    monkeypatch.setattr(trees, "WALKED", 0)
+    assert places.tolist() == trees._places(columns, arrays, rows).tolist() and len(set(places)) > 10
+
+
 def test_values_are_rounded_as_spark_rounds_them(spark):
     values = [0.0, -0.0, 5e-7, -5e-7, 0.1234565, 0.123456499, -2.0000005, 1e-9, 123456.7891235, 1e12 + 0.1234567, 1e300, float("nan"), float("inf")]
     values += [float(x) for x in np.random.default_rng(1).normal(size=300) * 100]
